@@ -90,4 +90,4 @@ def typed_records(recs: DataFrame, tspec: TypeSpec) -> DataFrame:
             cols.append(F.col(name))
         else:
             cols.append(F.col(name).cast(DATA_TYPES[m.data_type]).alias(name))
-    return recs.select("index", "shard", "type", "_id", *cols)
+    return recs.select("_index", "_shard", "_type", "_id", *cols)

@@ -52,8 +52,9 @@ def default_id_mode(tspec: TypeSpec) -> str:
 
 def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
                 id_mode: str | None = None, value_col: str = "value") -> DataFrame:
-    """One row per line: ``type, value, status, reason`` + normalised fields +
-    raw partition values + ``index, shard, _id`` + presence words.
+    """One row per line: ``_type, _line, _status, _reason`` + normalised fields +
+    raw partition values (``_p_<field>``) + ``_index, _shard, _id`` + presence
+    words.  Bookkeeping columns start with ``_``; field names may not.
 
     ``lines`` must come straight from a scan (no exchange in between) when
     ``id_mode='position'``: the id is the line's position in its scan split.
@@ -61,14 +62,14 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
     id_mode = id_mode or default_id_mode(tspec)
     names = tspec.field_names
     n = len(names)
-    cols = [F.col(value_col).cast("string").alias("value")]
+    cols = [F.col(value_col).cast("string").alias("_line")]
     if id_mode == "position":
         cols.append(F.monotonically_increasing_id().alias("_pos"))
-    df = lines.select(*cols).withColumn("_f", split_escaped("value", tspec.field_sep))
+    df = lines.select(*cols).withColumn("_f", split_escaped("_line", tspec.field_sep))
 
     f = F.col("_f")
     size = F.size(f)
-    value = F.col("value")
+    value = F.col("_line")
     ri = tspec.routing_index
     status = F.when(value == "", F.lit(REJECTED))
     reason = F.when(value == "", F.lit(REASON_EMPTY))
@@ -86,7 +87,7 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
     if coercible:
         for name, sql_type in coercible:
             raw = field_value(F.get(f, tspec.index_of(name)))
-            bad = raw.isNotNull() & F.try_cast(raw, sql_type).isNull()
+            bad = raw.isNotNull() & raw.try_cast(sql_type).isNull()
             status = status.when(bad, F.lit(REJECTED))
             reason = reason.when(bad, F.lit(f"{REASON_COERCION}:{name}"))
     status = status.otherwise(F.lit(OK))
@@ -94,11 +95,11 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
 
     pf = list(ispec.partition_fields or ())
     part_cols = [F.get(f, tspec.index_of(p)).alias(partition_column(p)) for p in pf]
-    keep = ["value"] + (["_pos"] if id_mode == "position" else [])
-    df = df.select(F.lit(tspec.name).alias("type"), *keep, status.alias("status"),
-                   reason.alias("reason"), "_f", *field_cols, *part_cols)
+    keep = ["_line"] + (["_pos"] if id_mode == "position" else [])
+    df = df.select(F.lit(tspec.name).alias("_type"), *keep, status.alias("_status"),
+                   reason.alias("_reason"), "_f", *field_cols, *part_cols)
 
-    ok = F.col("status") == OK
+    ok = F.col("_status") == OK
     if id_mode == "position":
         doc_id = hash_id(F.lit(tspec.name), F.col("_pos").cast("string"))
     elif id_mode == "key":
@@ -116,7 +117,7 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
     else:
         shard = unrouted_shard(F.col("_id"), ispec.num_shards)
     index = index_name(ispec.name, *[F.col(partition_column(p)) for p in pf])
-    df = df.withColumn("index", F.when(ok, index)).withColumn("shard", F.when(ok, shard))
+    df = df.withColumn("_index", F.when(ok, index)).withColumn("_shard", F.when(ok, shard))
 
     words = []
     for j, wname in enumerate(present_columns(tspec)):
@@ -127,21 +128,21 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
         for b in bits[1:]:
             total = total + b
         words.append(total.alias(wname))
-    return df.select("type", "value", "status", "reason", *names,
-                     *[partition_column(p) for p in pf], "index", "shard", "_id", *words)
+    return df.select("_type", "_line", "_status", "_reason", *names,
+                     *[partition_column(p) for p in pf], "_index", "_shard", "_id", *words)
 
 
 def _fail_on_reject(mode: str) -> Column:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    st = F.col("status")
+    st = F.col("_status")
     if mode == "quarantine":
         return st == OK
     return (F.when(st == OK, F.lit(True))
             .when(st == DROPPED, F.lit(False))
-            .otherwise(F.raise_error(F.concat(F.lit("rejected line ("), F.col("reason"),
-                                              F.lit("), type "), F.col("type"),
-                                              F.lit(": "), F.col("value"))).cast("boolean")))
+            .otherwise(F.raise_error(F.concat(F.lit("rejected line ("), F.col("_reason"),
+                                              F.lit("), type "), F.col("_type"),
+                                              F.lit(": "), F.col("_line"))).cast("boolean")))
 
 
 def documents(parsed: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
@@ -150,19 +151,24 @@ def documents(parsed: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
     doc = F.to_json(F.struct(*[F.col(c) for c in tspec.field_names], F.col("_id")))
     pf = list(ispec.partition_fields or ())
     return (parsed.filter(_fail_on_reject(mode))
-            .select("index", "shard", "type", "_id", doc.alias("doc"),
+            .select(F.col("_index").alias("index"), F.col("_shard").alias("shard"),
+                    F.col("_type").alias("type"), "_id", doc.alias("doc"),
                     *[F.col(partition_column(p)).alias(p) for p in pf],
                     *present_columns(tspec)))
 
 
 def records(parsed: DataFrame, tspec: TypeSpec, *, mode: str = "failfast") -> DataFrame:
-    """``ok`` rows with their fields as columns (for mapping, postings, typing)."""
+    """``ok`` rows with their fields as columns (for mapping, postings, typing).
+
+    The document's own columns keep the ``_`` prefix (``_index, _shard,
+    _type, _id``) so that no field name can collide with them."""
     return (parsed.filter(_fail_on_reject(mode))
-            .select("index", "shard", "type", "_id", *tspec.field_names, *present_columns(tspec)))
+            .select("_index", "_shard", "_type", "_id", *tspec.field_names, *present_columns(tspec)))
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("status") == REJECTED).select("type", "value", "reason")
+    return parsed.filter(F.col("_status") == REJECTED).select(
+        F.col("_type").alias("type"), F.col("_line").alias("value"), F.col("_reason").alias("reason"))
 
 
 def split_fields(lines: DataFrame, sep: str, value_col: str = "value") -> DataFrame:
@@ -212,12 +218,13 @@ def build_rows(parsed: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
     and carries its raw ``value`` and ``reason``; a document has both null."""
     doc = F.to_json(F.struct(*[F.col(c) for c in tspec.field_names], F.col("_id")))
     pf = list(ispec.partition_fields or ())
-    st = F.col("status")
+    st = F.col("_status")
     keep = (st == OK) | (st == REJECTED) if mode == "quarantine" else _fail_on_reject(mode)
     is_rej = st == REJECTED
     return (parsed.filter(keep)
-            .select("index", "shard", "type", "_id", F.when(~is_rej, doc).alias("doc"),
+            .select(F.col("_index").alias("index"), F.col("_shard").alias("shard"),
+                    F.col("_type").alias("type"), "_id", F.when(~is_rej, doc).alias("doc"),
                     *[F.col(partition_column(p)).alias(p) for p in pf],
                     *present_columns(tspec),
-                    F.when(is_rej, F.col("value")).alias("value"),
-                    F.when(is_rej, F.col("reason")).alias("reason")))
+                    F.when(is_rej, F.col("_line")).alias("value"),
+                    F.when(is_rej, F.col("_reason")).alias("reason")))

@@ -47,9 +47,10 @@ def keyword_postings(recs: DataFrame, tspec: TypeSpec) -> DataFrame:
     if not fields:
         return recs.sparkSession.createDataFrame(
             [], "index string, shard int, type string, field string, term string, _id string")
-    long = recs.unpivot(["index", "shard", "type", "_id"], fields, "field", "term")
+    long = recs.unpivot(["_index", "_shard", "_type", "_id"], fields, "field", "term")
     return (long.filter(F.col("term").isNotNull())
-            .select("index", "shard", "type", "field", "term", "_id"))
+            .select(F.col("_index").alias("index"), F.col("_shard").alias("shard"),
+                    F.col("_type").alias("type"), "field", "term", "_id"))
 
 
 def tokens(text) -> F.Column:
@@ -63,8 +64,9 @@ def text_postings(recs: DataFrame, tspec: TypeSpec, stop_words: tuple[str, ...]
     if not fields:
         return recs.sparkSession.createDataFrame(
             [], "index string, shard int, type string, field string, term string, _id string, tf bigint")
-    long = recs.unpivot(["index", "shard", "type", "_id"], fields, "field", "text")
-    tok = long.select("index", "shard", "type", "field", "_id",
+    long = recs.unpivot(["_index", "_shard", "_type", "_id"], fields, "field", "text")
+    tok = long.select(F.col("_index").alias("index"), F.col("_shard").alias("shard"),
+                      F.col("_type").alias("type"), "field", "_id",
                       F.explode(tokens("text")).alias("term"))
     keep = (F.col("term") != "") & (F.length("term") <= MAX_TOKEN_LENGTH)
     if stop_words:

@@ -33,6 +33,9 @@ DATA_TYPES = {
 # Index modes: exact-value terms, analysed text terms, or not indexed.
 INDEX_MODES = ("not_analyzed", "analyzed", "no")
 DEFAULT_DATA_TYPE = "string"
+# Columns of the document table; a partition field (also kept as a column)
+# may not take one of these names.
+RESERVED_COLUMNS = ("index", "shard", "type", "doc", "value", "reason")
 DEFAULT_INDEX_MODE = "not_analyzed"
 
 
@@ -112,6 +115,9 @@ class TypeSpec:
             raise SpecError(f"type name may not contain '{{': {self.name!r}")
         if not self.field_names:
             raise SpecError(f"type {self.name!r} declares no fields")
+        for f in self.field_names:
+            if not f or f.startswith("_"):
+                raise SpecError(f"type {self.name!r}: field names may not be empty or start with '_': {f!r}")
         if len(set(self.field_names)) != len(self.field_names):
             raise SpecError(f"type {self.name!r} repeats a field name")
         if len(self.field_sep) != 1:
@@ -193,6 +199,8 @@ class IndexSpec:
         if len(set(names)) != len(names):
             raise SpecError("type names must be unique")
         for p in self.partition_fields or ():
+            if p in RESERVED_COLUMNS:
+                raise SpecError(f"partition field {p!r} collides with a document table column")
             for t in self.types:
                 if p not in t.field_names:
                     raise SpecError(f"cannot find the partition field {p!r} in type {t.name!r}")
