@@ -2,10 +2,9 @@
 
 ``String.hashCode`` folds the UTF-16 code units of a string with
 ``h = 31 * h + unit`` in 32-bit two's complement.  Spark's ``hash`` is Murmur3,
-so the fold is written with built-in expressions: the string is encoded to
-UTF-16BE, hex-encoded, cut into 4-digit units and folded with ``aggregate``,
-masked to 32 bits at every step and turned signed at the end.  Surrogate
-pairs are two units, exactly as in Java.
+so the fold is written with built-in expressions (``aggregate`` over the
+characters), masked to 32 bits at every step and turned signed at the end.
+Surrogate pairs are two units, exactly as in Java.
 
 The fold is a higher-order function (evaluated per row, outside codegen), so
 callers compute it once, on the routing column only, before any exchange.
@@ -26,16 +25,26 @@ def _col(c) -> Column:
 
 
 def java_hash(s) -> Column:
-    """``String.hashCode`` of a string column, as ``int`` (null stays null)."""
+    """``String.hashCode`` of a string column, as ``int`` (null stays null).
+
+    Characters are taken with ``(?s).`` (a surrogate pair is one match) and
+    their code points with ``ascii``; a code point above U+FFFF is folded as
+    its two UTF-16 units.  The fold is referenced once, so it runs once.
+    """
     s = _col(s)
-    units = F.regexp_extract_all(F.hex(F.encode(s, "UTF-16BE")), F.lit("[0-9A-F]{4}"), 0)
-    folded = F.aggregate(
-        units,
-        F.lit(0).cast("bigint"),
-        lambda acc, u: (acc * 31 + F.conv(u, 16, 10).cast("bigint")).bitwiseAND(F.lit(_MASK32)),
-    )
-    signed = F.when(folded >= _TWO_31, folded - _TWO_32).otherwise(folded)
-    return F.when(s.isNull(), F.lit(None)).otherwise(signed).cast("int")
+    cps = F.transform(F.regexp_extract_all(s, F.lit("(?s)."), 0), lambda c: F.ascii(c).cast("bigint"))
+    mask = F.lit(_MASK32)
+
+    def step(acc, cp):
+        off = cp - 0x10000
+        hi = F.lit(0xD800) + F.shiftright(off, 10)
+        lo = F.lit(0xDC00) + off.bitwiseAND(F.lit(0x3FF))
+        pair = ((acc * 31 + hi).bitwiseAND(mask) * 31 + lo).bitwiseAND(mask)
+        return F.when(cp > 0xFFFF, pair).otherwise((acc * 31 + cp).bitwiseAND(mask))
+
+    folded = F.aggregate(cps, F.lit(0).cast("bigint"), step)
+    # unsigned 32-bit -> signed, with the fold referenced once
+    return (F.pmod(folded + _TWO_31, F.lit(_TWO_32)) - _TWO_31).cast("int")
 
 
 def routed_shard(raw_routing, num_shards: int) -> Column:

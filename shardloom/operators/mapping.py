@@ -34,11 +34,14 @@ def field_positions(spark: SparkSession, ispec: IndexSpec) -> DataFrame:
     return spark.createDataFrame(rows, "type string, field string, word int, mask bigint")
 
 
-def infer_mapping(stats_or_docs: DataFrame, ispec: IndexSpec) -> DataFrame:
-    """``(index, type, field)`` for every field with a non-null value."""
-    spark = stats_or_docs.sparkSession
+def _per_type(stats_or_docs: DataFrame, ispec: IndexSpec) -> DataFrame:
     words = [w for w in all_present_columns(ispec) if w in stats_or_docs.columns]
-    per_type = stats_or_docs.groupBy("index", "type").agg(*[F.bit_or(w).alias(w) for w in words])
+    return stats_or_docs.groupBy("index", "type").agg(*[F.bit_or(w).alias(w) for w in words])
+
+
+def _decode(per_type: DataFrame, ispec: IndexSpec) -> DataFrame:
+    spark = per_type.sparkSession
+    words = [c for c in per_type.columns if c.startswith("_present_")]
     pos = F.broadcast(field_positions(spark, ispec))
     word = F.element_at(F.array(*[F.col(w) for w in words]), F.col("word") + 1)
     return (per_type.join(pos, "type")
@@ -46,6 +49,11 @@ def infer_mapping(stats_or_docs: DataFrame, ispec: IndexSpec) -> DataFrame:
             .select("index", "type", "field"))
 
 
+def infer_mapping(stats_or_docs: DataFrame, ispec: IndexSpec) -> DataFrame:
+    """``(index, type, field)`` for every field with a non-null value."""
+    return _decode(_per_type(stats_or_docs, ispec), ispec)
+
+
 def explicit_mapping_table(spark: SparkSession, ispec: IndexSpec) -> DataFrame:
     rows = [(t.name, m.field, m.data_type, m.index_mode) for t in ispec.types for m in t.mapping or ()]
     return spark.createDataFrame(rows, "type string, field string, data_type string, index_mode string")
@@ -58,8 +66,9 @@ def merge_mapping(stats_or_docs: DataFrame, ispec: IndexSpec, explicit: DataFram
     """
     spark = stats_or_docs.sparkSession
     explicit = explicit if explicit is not None else explicit_mapping_table(spark, ispec)
-    inferred = infer_mapping(stats_or_docs, ispec).withColumn("_seen", F.lit(True))
-    types_in_index = stats_or_docs.select("index", "type").distinct()
+    per_type = _per_type(stats_or_docs, ispec)  # one aggregate, used twice (exchange reuse)
+    inferred = _decode(per_type, ispec)
+    types_in_index = per_type.select("index", "type")
     exp = types_in_index.join(F.broadcast(explicit), "type")
     m = inferred.join(exp, ["index", "type", "field"], "full")
     return m.select(

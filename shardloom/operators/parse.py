@@ -128,8 +128,20 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
         for b in bits[1:]:
             total = total + b
         words.append(total.alias(wname))
-    return df.select("_type", "_line", "_status", "_reason", *names,
-                     *[partition_column(p) for p in pf], "_index", "_shard", "_id", *words)
+    out = df.select("_type", "_line", "_status", "_reason", *names,
+                    *[partition_column(p) for p in pf], "_index", "_shard", "_id", *words)
+    return _barrier(out)
+
+
+def _barrier(df: DataFrame) -> DataFrame:
+    """Stop later filters on ``_status`` from being pushed below the parse.
+
+    Pushing a filter through a projection inlines the aliases, so the split
+    (a regex over the whole line) would run again for every reference in the
+    status expression.  A one-row generator keeps every column computed once:
+    predicates on generator output are not pushed below it.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
 
 
 def _fail_on_reject(mode: str) -> Column:

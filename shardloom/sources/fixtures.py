@@ -15,8 +15,19 @@ from pyspark.sql import functions as F
 from ..spec import FieldMapping, IndexSpec, TypeSpec
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that has fewer partitions than the session has
+    task slots (e.g. one small file with a single row group), so the
+    per-line work before the first exchange is not one task.  A large input
+    already has many splits and is left as it is: no shuffle is added."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _s(c) -> F.Column:
