@@ -63,14 +63,19 @@ def merge_mapping(stats_or_docs: DataFrame, ispec: IndexSpec, explicit: DataFram
     """Explicit properties win; every other seen field is a
     ``string``/``not_analyzed`` keyword; only types that have documents in
     the index get a mapping there (explicit fields included even if unseen).
+
+    One aggregate (presence words per index and type) joined with one
+    broadcast table of the declared fields and their explicit mapping (its
+    size is the spec's); explicit fields are always declared fields.
     """
     spark = stats_or_docs.sparkSession
     explicit = explicit if explicit is not None else explicit_mapping_table(spark, ispec)
-    per_type = _per_type(stats_or_docs, ispec)  # one aggregate, used twice (exchange reuse)
-    inferred = _decode(per_type, ispec)
-    types_in_index = per_type.select("index", "type")
-    exp = types_in_index.join(F.broadcast(explicit), "type")
-    m = inferred.join(exp, ["index", "type", "field"], "full")
+    per_type = _per_type(stats_or_docs, ispec)
+    words = [c for c in per_type.columns if c.startswith("_present_")]
+    fields = field_positions(spark, ispec).join(explicit, ["type", "field"], "left")
+    word = F.element_at(F.array(*[F.col(w) for w in words]), F.col("word") + 1)
+    seen = word.bitwiseAND(F.col("mask")) != 0
+    m = per_type.join(F.broadcast(fields), "type").filter(seen | F.col("data_type").isNotNull())
     return m.select(
         "index", "type", "field",
         F.coalesce("data_type", F.lit(DEFAULT_DATA_TYPE)).alias("data_type"),

@@ -2,8 +2,8 @@
 
 1. one pass over the input: parse, route, build documents (and quarantine
    rejects), one exchange on (index, shard), write the documents table;
-2. one small aggregate over three narrow columns of what was written
-   (counts and field presence per (index, shard, type)), checkpointed;
+2. one small aggregate over narrow columns of what was written (counts and
+   field presence per (index, shard, type)), written as the ``_stats`` table;
 3. shard grid, mapping and manifest from that aggregate (tiny);
 4. shard and mapping tables written by index, manifest appended last.
 
@@ -22,7 +22,7 @@ from ..operators.grid import shard_grid
 from ..operators.mapping import merge_mapping, presence_stats
 from ..operators.parse import build_rows, parse_lines
 from ..session import apply_build_conf, checkpoint_dir
-from ..sinks.documents import (MANIFEST, MAPPING, SHARDS, read_documents, read_rejected,
+from ..sinks.documents import (MANIFEST, MAPPING, SHARDS, STATS, read_documents, read_rejected,
                                read_table, table_path, write_documents, write_index_table)
 from ..sinks.manifest import index_manifest, shard_manifest
 from ..sources.lines import read_index_inputs
@@ -61,8 +61,13 @@ def build_index(spark: SparkSession, ispec: IndexSpec, out: str, *,
     write_documents(union_rows(inputs, ispec, mode=mode, id_mode=id_mode), out)
 
     docs = read_documents(spark, out)
-    # only the indices of this build (an earlier build may share the folder)
-    stats = presence_stats(docs, ispec).checkpoint()
+    # One small aggregate over narrow columns of what was written, written as
+    # a table (lineage cut; everything below reads a few rows per shard).
+    # The input here is the whole documents folder, which an earlier build
+    # may share: keep only the indices this build wrote.
+    stats_path = table_path(out, STATS)
+    presence_stats(docs, ispec).write.mode("overwrite").parquet(stats_path)
+    stats = spark.read.parquet(stats_path)
     built = stats.select("index").distinct()
     grid = shard_grid(stats, ispec.num_shards)
     mapping = merge_mapping(stats, ispec)

@@ -9,6 +9,8 @@ Layout under an output folder::
     mapping/index=<index>/...                merged mapping (A7)
     manifest/...                             one row per index and build (K2),
                                              appended last
+    _stats/...                               counts and field presence per
+                                             (index, shard, type) of the last build
 
 Every index table is written with dynamic partition overwrite on ``index``
 only, so a rebuild replaces whole indices (a rebuild with fewer shards
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DOCUMENTS, SHARDS, MAPPING, MANIFEST = "documents", "shards", "mapping", "manifest"
+STATS = "_stats"
 
 
 def table_path(out: str, name: str) -> str:
