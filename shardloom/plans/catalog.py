@@ -275,7 +275,7 @@ def _lookup_sql():
         f = O.split_sql("value", t.field_sep)
         parts.append(f"""SELECT type, value, CAST(len(f) AS INTEGER) AS n_fields, len(f) = {len(t.field_names)} AS arity_ok,
   f[{ri}] AS routing,
-  CASE WHEN f[{ri}] IS NOT NULL AND f[{ri}] NOT IN ('', '\\N') THEN {O.routed_shard_sql(f'f[{ri}]', 10)} END AS shard
+  coalesce(CASE WHEN f[{ri}] IS NOT NULL AND f[{ri}] NOT IN ('', '\\N') THEN {O.routed_shard_sql(f'f[{ri}]', 10)} END, -1) AS shard
 FROM (SELECT type, value, {f} AS f FROM ({_typed_lines_sql()}) WHERE type = '{t.name}')""")
     return " UNION ALL ".join(parts)
 
@@ -285,7 +285,9 @@ def type_lookup(spark, sf):
     """Separator, fields and routing come from the line's row of a type table."""
     tagged = (fx.events_lines(spark, sf).select(F.lit("event").alias("type"), "value")
               .unionByName(fx.orders_lines(spark, sf).select(F.lit("order").alias("type"), "value")))
-    return lk.type_lookup(tagged, lk.type_table(spark, UNI), 10)
+    out = lk.type_lookup(tagged, lk.type_table(spark, UNI), 10)
+    # -1: no shard (null routing token); integers stay non-null across engines
+    return out.withColumn("shard", F.coalesce("shard", F.lit(-1)))
 
 
 def _current_manifest(spark, sf):
@@ -302,10 +304,12 @@ def _current_manifest(spark, sf):
   FROM events WHERE day(ts) <= 10),
 new AS (SELECT DISTINCT _index AS index FROM ({EV_DOCS_SQL}))
 SELECT new.index, CASE WHEN cur.version IS NULL THEN 'create' ELSE 'replace' END AS action,
-  cur.version AS previous_version FROM new LEFT JOIN cur ON new.index = cur.index""")
+  coalesce(cur.version, 0) AS previous_version FROM new LEFT JOIN cur ON new.index = cur.index""")
 def publish_plan(spark, sf):
     """Create or replace, per index of the new build."""
-    return lk.publish_plan(_docs(spark, sf, EV).select("index"), _current_manifest(spark, sf))
+    plan = lk.publish_plan(_docs(spark, sf, EV).select("index"), _current_manifest(spark, sf))
+    # 0: no previous version (a new index)
+    return plan.withColumn("previous_version", F.coalesce("previous_version", F.lit(0)))
 
 
 # --- aggregations ------------------------------------------------------------------
