@@ -59,23 +59,35 @@ def explicit_mapping_table(spark: SparkSession, ispec: IndexSpec) -> DataFrame:
     return spark.createDataFrame(rows, "type string, field string, data_type string, index_mode string")
 
 
-def merge_mapping(stats_or_docs: DataFrame, ispec: IndexSpec, explicit: DataFrame | None = None) -> DataFrame:
+def field_table(spark: SparkSession, ispec: IndexSpec) -> DataFrame:
+    """Every declared field: its presence bit and its explicit mapping (or
+    nulls).  Built from the spec, so its size is the number of declared fields."""
+    rows = []
+    for t in ispec.types:
+        explicit = t.explicit_mapping()
+        for i, name in enumerate(t.field_names):
+            m = explicit.get(name)
+            rows.append((t.name, name, i // PRESENT_BITS, 1 << (i % PRESENT_BITS),
+                         m.data_type if m else None, m.index_mode if m else None))
+    return spark.createDataFrame(
+        rows, "type string, field string, word int, mask bigint, data_type string, index_mode string")
+
+
+def merge_mapping(stats_or_docs: DataFrame, ispec: IndexSpec) -> DataFrame:
     """Explicit properties win; every other seen field is a
     ``string``/``not_analyzed`` keyword; only types that have documents in
     the index get a mapping there (explicit fields included even if unseen).
 
-    One aggregate (presence words per index and type) joined with one
-    broadcast table of the declared fields and their explicit mapping (its
-    size is the spec's); explicit fields are always declared fields.
+    One aggregate (presence words per index and type) and one broadcast join
+    with the spec's field table.
     """
     spark = stats_or_docs.sparkSession
-    explicit = explicit if explicit is not None else explicit_mapping_table(spark, ispec)
     per_type = _per_type(stats_or_docs, ispec)
     words = [c for c in per_type.columns if c.startswith("_present_")]
-    fields = field_positions(spark, ispec).join(explicit, ["type", "field"], "left")
     word = F.element_at(F.array(*[F.col(w) for w in words]), F.col("word") + 1)
     seen = word.bitwiseAND(F.col("mask")) != 0
-    m = per_type.join(F.broadcast(fields), "type").filter(seen | F.col("data_type").isNotNull())
+    m = per_type.join(F.broadcast(field_table(spark, ispec)), "type") \
+        .filter(seen | F.col("data_type").isNotNull())
     return m.select(
         "index", "type", "field",
         F.coalesce("data_type", F.lit(DEFAULT_DATA_TYPE)).alias("data_type"),

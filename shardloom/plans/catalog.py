@@ -439,6 +439,26 @@ def keyword_postings(spark, sf):
     return po.keyword_postings(_records(spark, sf, ORD), fx.ORDER_TYPE)
 
 
+# The orders feed as FIXTURES.md states it: the order key is stored but not
+# indexed, so keyword terms cover custkey, status, priority and year.
+ORDER_KEYED = TypeSpec("order", fx.ORDER_TYPE.field_names, field_sep="|", routing_field="custkey",
+                       key_fields=("okey",), mapping=(FieldMapping("okey", "long", "no"),))
+ORD_KEYED = IndexSpec("orders", 10, (ORDER_KEYED,), partition_fields=("year",))
+
+
+@query("orders_mapping", O.merged_mapping_sql(ORD_KEYED))
+def orders_mapping(spark, sf):
+    """A6 + A7 on the orders feed alone: 7 yearly indices x 5 fields."""
+    return mp.merge_mapping(_docs(spark, sf, ORD_KEYED), ORD_KEYED)
+
+
+@query("orders_term_stats", f"""SELECT index, field, term, count(*) AS doc_freq, CAST(count(*) AS BIGINT) AS total_freq
+FROM ({_keyword_sql(ORDER_KEYED, ORD_KEYED)}) GROUP BY index, field, term""")
+def orders_term_stats(spark, sf):
+    """L4 over keyword postings of the fields that are indexed."""
+    return po.term_stats(po.keyword_postings(_records(spark, sf, ORD_KEYED), ORDER_KEYED))
+
+
 _STOP = ", ".join(f"'{w}'" for w in po.STOP_WORDS)
 
 
