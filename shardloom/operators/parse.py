@@ -224,19 +224,22 @@ def parse_types(inputs: dict[str, DataFrame], ispec: IndexSpec, *, mode: str = "
 
 
 def build_rows(parsed: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
-               mode: str = "failfast") -> DataFrame:
+               mode: str = "failfast", build_id: str | None = None) -> DataFrame:
     """Documents and (in quarantine mode) rejected lines in one frame, so one
     pass over the input writes both: a rejected line has a null ``index``
-    and carries its raw ``value`` and ``reason``; a document has both null."""
+    and carries its raw ``value`` and ``reason``; a document has both null.
+    ``build_id`` stamps every row, so what one build wrote can be read back
+    by a pushed-down filter (row-group statistics skip older files)."""
     doc = F.to_json(F.struct(*[F.col(c) for c in tspec.field_names], F.col("_id")))
     pf = list(ispec.partition_fields or ())
     st = F.col("_status")
     keep = (st == OK) | (st == REJECTED) if mode == "quarantine" else _fail_on_reject(mode)
     is_rej = st == REJECTED
+    stamp = [F.lit(build_id).alias("build_id")] if build_id is not None else []
     return (parsed.filter(keep)
             .select(F.col("_index").alias("index"), F.col("_shard").alias("shard"),
                     F.col("_type").alias("type"), "_id", F.when(~is_rej, doc).alias("doc"),
                     *[F.col(partition_column(p)).alias(p) for p in pf],
                     *present_columns(tspec),
                     F.when(is_rej, F.col("_line")).alias("value"),
-                    F.when(is_rej, F.col("_reason")).alias("reason")))
+                    F.when(is_rej, F.col("_reason")).alias("reason"), *stamp))

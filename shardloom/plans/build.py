@@ -17,13 +17,14 @@ import uuid as _uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.grid import shard_grid
 from ..operators.mapping import merge_mapping, presence_stats
 from ..operators.parse import build_rows, parse_lines
 from ..session import apply_build_conf, checkpoint_dir
-from ..sinks.documents import (MANIFEST, MAPPING, SHARDS, STATS, read_documents, read_rejected,
-                               read_table, table_path, write_documents, write_index_table)
+from ..sinks.documents import (DOCUMENTS, MANIFEST, MAPPING, SHARDS, STATS, read_table, table_path,
+                               write_documents, write_index_table)
 from ..sinks.manifest import index_manifest, shard_manifest
 from ..sources.lines import read_index_inputs
 from ..spec import IndexSpec
@@ -40,10 +41,11 @@ class BuildResult:
 
 
 def union_rows(inputs: dict[str, DataFrame], ispec: IndexSpec, *, mode: str = "failfast",
-               id_mode: str | None = None) -> DataFrame:
+               id_mode: str | None = None, build_id: str | None = None) -> DataFrame:
     rows = None
     for t in ispec.types:
-        r = build_rows(parse_lines(inputs[t.name], t, ispec, id_mode=id_mode), t, ispec, mode=mode)
+        r = build_rows(parse_lines(inputs[t.name], t, ispec, id_mode=id_mode), t, ispec, mode=mode,
+                       build_id=build_id)
         rows = r if rows is None else rows.unionByName(r, allowMissingColumns=True)
     return rows
 
@@ -58,13 +60,17 @@ def build_index(spark: SparkSession, ispec: IndexSpec, out: str, *,
     if inputs is None:
         inputs = read_index_inputs(spark, ispec)
 
-    write_documents(union_rows(inputs, ispec, mode=mode, id_mode=id_mode), out)
-
-    docs = read_documents(spark, out)
-    # One small aggregate over narrow columns of what was written, written as
-    # a table (lineage cut; everything below reads a few rows per shard).
-    # The input here is the whole documents folder, which an earlier build
-    # may share: keep only the indices this build wrote.
+    rows = union_rows(inputs, ispec, mode=mode, id_mode=id_mode, build_id=build_id)
+    write_documents(rows, out)
+
+    # read back with the schema just written: no footer inference over a
+    # folder that older builds may share, and the build_id filter is pushed
+    written = spark.read.schema(rows.schema).parquet(table_path(out, DOCUMENTS))
+    docs = written.filter(F.col("index").isNotNull() & (F.col("build_id") == build_id)) \
+        .drop("value", "reason")
+    # One small aggregate over narrow columns of what this build wrote (the
+    # build_id filter reaches the parquet scan), written as a table: lineage
+    # cut, and everything below reads a few rows per shard.
     stats_path = table_path(out, STATS)
     presence_stats(docs, ispec).write.mode("overwrite").parquet(stats_path)
     stats = spark.read.parquet(stats_path)
@@ -79,9 +85,10 @@ def build_index(spark: SparkSession, ispec: IndexSpec, out: str, *,
     def this_build(df):
         return df.join(built, "index", "left_semi")
 
+    rej = written.filter(F.col("index").isNull() & (F.col("build_id") == build_id))
     return BuildResult(
         documents=docs,
-        rejected=read_rejected(spark, out),
+        rejected=rej.select("type", "value", "reason"),
         mapping=this_build(read_table(spark, out, MAPPING)),
         shards=this_build(read_table(spark, out, SHARDS)),
         manifest=read_table(spark, out, MANIFEST).filter(f"build_id = '{build_id}'"),

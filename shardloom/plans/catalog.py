@@ -543,9 +543,7 @@ def shard_manifest(spark, sf):
 
 
 def _days(spark, sf, lo, hi):
-    lines = fx.events_lines(spark, sf, keep_key=True)
-    e = fx.table(spark, sf, "events").select(F.col("event_id").alias("src_key"), F.dayofmonth("ts").alias("d"))
-    return lines.join(e, "src_key").filter((F.col("d") >= lo) & (F.col("d") <= hi)).select("value")
+    return fx.events_lines(spark, sf, days=(lo, hi))
 
 
 EV4 = fx.events_spec(4)

@@ -60,11 +60,13 @@ def read_documents(spark: SparkSession, out: str) -> DataFrame:
     return df.drop(*[c for c in ("value", "reason") if c in df.columns])
 
 
-def read_rejected(spark: SparkSession, out: str) -> DataFrame:
+def read_rejected(spark: SparkSession, out: str, with_build: bool = False) -> DataFrame:
     df = read_table(spark, out, DOCUMENTS)
+    extra = ["build_id"] if with_build and "build_id" in df.columns else []
     if "reason" not in df.columns:
-        return spark.createDataFrame([], "type string, value string, reason string")
-    return df.filter(F.col("index").isNull()).select("type", "value", "reason")
+        return spark.createDataFrame([], "type string, value string, reason string"
+                                     + (", build_id string" if extra else ""))
+    return df.filter(F.col("index").isNull()).select("type", "value", "reason", *extra)
 
 
 def publish(spark: SparkSession, build_out: str, live_out: str) -> DataFrame:

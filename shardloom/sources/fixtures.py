@@ -71,8 +71,14 @@ def docs_spec(num_shards: int = 8) -> IndexSpec:
 
 # --- feeds -----------------------------------------------------------------
 
-def events_lines(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+def events_lines(spark: SparkSession, sf_dir: str, keep_key: bool = False,
+                 days: tuple[int, int] | None = None) -> DataFrame:
+    """``days=(lo, hi)`` renders only events of those days of the month (a
+    filter on the table, pushed to the scan)."""
+    e = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    if days is not None:
+        e = e.filter(F.dayofmonth("ts").between(days[0], days[1]))
+    e = spread(e)
     eid = F.col("event_id")
     uid = (F.when(eid % 17 == 0, F.lit("\\N")).when(eid % 19 == 0, F.lit(""))
            .otherwise(_s(F.col("user_id"))))
