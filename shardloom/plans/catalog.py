@@ -23,7 +23,6 @@ from ..operators import parse as ps
 from ..operators import postings as po
 from ..session import scratch_path
 from ..sinks import documents as sk
-from ..sinks import manifest as mf
 from ..sources import fixtures as fx
 from ..sources import lines as ln
 from ..spec import FieldMapping, IndexSpec, TypeSpec

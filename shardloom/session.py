@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,4 +70,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["BUILD_CONF", "local_session", "apply_build_conf", "checkpoint_dir",
-           "scratch_path", "path_exists", "os"]
+           "scratch_path", "path_exists"]
