@@ -38,3 +38,22 @@ def test_round_trip():
                  routing_field="uid", mapping={"age": "integer"}, input_path="/in")
     ix = IndexSpec("offline_index", 10, (t,), partition_fields=("year", "month", "day"))
     assert IndexSpec.from_dict(ix.to_dict()) == ix
+
+
+def test_cli_builds_from_a_json_spec(spark, tmp_path):
+    import json
+
+    from shardloom.__main__ import main
+    from shardloom.sinks.documents import read_documents
+    from shardloom.sources import fixtures as fx
+    from shardloom.sources.lines import write_lines
+    from tests.conftest import SF_SMALL
+
+    src = str(tmp_path / "in")
+    write_lines(fx.events_lines(spark, SF_SMALL), src)
+    t = TypeSpec("event", fx.EVENT_TYPE.field_names, input_path=src, field_sep=",", routing_field="uid")
+    spec = IndexSpec("events", 3, (t,), partition_fields=("year", "month", "day"))
+    path = tmp_path / "job.json"
+    path.write_text(json.dumps(spec.to_dict()))
+    assert main(["build", str(path), str(tmp_path / "out"), "--quarantine", "--publish", str(tmp_path / "live")]) == 0
+    assert read_documents(spark, str(tmp_path / "live")).count() > 0
