@@ -40,19 +40,17 @@ def str_to_map_valid(s) -> Column:
 
 
 def str_to_map(s) -> Column:
+    """One pass over the entries: each ``key:value`` replaces an earlier
+    entry of the same key (last wins); an entry without a ``:`` raises."""
     s = _col(s)
-    comps = split_escaped(s, ",")
     colon = separator_regex(":")
-    pairs = F.transform(comps, lambda c: F.split(c, colon, -1))
-    malformed = F.exists(comps, lambda c: c == "") | F.exists(pairs, lambda p: F.size(p) < 2)
-    keys = F.transform(pairs, lambda p: F.get(p, 0))
-    vals = F.transform(pairs, lambda p: F.get(p, 1))
-    n = F.size(keys)
-    # keep entry i only when no later entry repeats its key (last one wins)
-    keep = F.filter(F.sequence(F.lit(1), n),
-                    lambda i: F.array_position(F.slice(keys, i + 1, n - i), F.element_at(keys, i)) == 0)
-    m = F.map_from_arrays(F.transform(keep, lambda i: F.element_at(keys, i)),
-                          F.transform(keep, lambda i: F.element_at(vals, i)))
-    return (F.when(~str_to_map_valid(s), F.lit(None))
-            .when(malformed, F.raise_error(F.concat(F.lit("malformed map entry in: "), s)))
-            .otherwise(m))
+    pairs = F.transform(split_escaped(s, ","), lambda c: F.split(c, colon, -1))
+
+    def merge(m, p):
+        k = F.get(p, 0)
+        entry = F.map_concat(F.map_filter(m, lambda key, _v: key != k), F.create_map(k, F.get(p, 1)))
+        return F.when(F.size(p) < 2, F.raise_error(F.concat(F.lit("malformed map entry in: "), s))
+                      .cast("map<string,string>")).otherwise(entry)
+
+    folded = F.aggregate(pairs, F.create_map().cast("map<string,string>"), merge)
+    return F.when(~str_to_map_valid(s), F.lit(None).cast("map<string,string>")).otherwise(folded)
