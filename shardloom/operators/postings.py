@@ -82,3 +82,46 @@ def term_stats(postings: DataFrame) -> DataFrame:
     tf = F.col("tf") if "tf" in postings.columns else F.lit(1)
     return postings.groupBy("index", "field", "term").agg(
         F.count(F.lit(1)).alias("doc_freq"), F.sum(tf).cast("bigint").alias("total_freq"))
+
+
+def _field_modes(spark, ispec) -> DataFrame:
+    """``(type, field, index_mode)`` for every declared field: spec-sized."""
+    rows = []
+    for t in ispec.types:
+        explicit = t.explicit_mapping()
+        for f in t.field_names:
+            rows.append((t.name, f, explicit[f].index_mode if f in explicit else "not_analyzed"))
+    return spark.createDataFrame(rows, "type string, field string, index_mode string")
+
+
+def postings_from_documents(docs: DataFrame, ispec, stop_words: tuple[str, ...] | None = STOP_WORDS) -> DataFrame:
+    """L2 + L3 from the document table in one scan of it.
+
+    Every document is parsed once with the union of the declared fields (all
+    strings; a field of another type is simply absent), turned into
+    ``(field, value)`` rows, and joined with the spec's field modes (a
+    broadcast of a spec-sized table).  ``not_analyzed`` values are one term;
+    ``analyzed`` values are tokenised; ``no`` fields are skipped.  Output:
+    ``(index, shard, type, field, term, _id, tf)``.
+    """
+    spark = docs.sparkSession
+    names: list[str] = []
+    for t in ispec.types:
+        names += [f for f in t.field_names if f not in names]
+    schema = "struct<" + ",".join(f"`{n}`:string" for n in names) + ">"
+    parsed = docs.select("index", "shard", "type", "_id", F.from_json("doc", schema).alias("_f"))
+    kv = F.explode(F.array(*[F.struct(F.lit(n).alias("field"), F.col("_f")[n].alias("value")) for n in names]))
+    long = parsed.select("index", "shard", "type", "_id", kv.alias("_kv")) \
+        .select("index", "shard", "type", "_id", "_kv.field", "_kv.value") \
+        .filter(F.col("value").isNotNull())
+    modes = F.broadcast(_field_modes(spark, ispec).filter(F.col("index_mode") != "no"))
+    j = long.join(modes, ["type", "field"])
+    analyzed = F.col("index_mode") == "analyzed"
+    terms = F.when(analyzed, tokens("value")).otherwise(F.array(F.col("value")))
+    t = j.select("index", "shard", "type", "field", "_id", analyzed.alias("_an"), F.explode(terms).alias("term"))
+    keep_text = (F.col("term") != "") & (F.length("term") <= MAX_TOKEN_LENGTH)
+    if stop_words:
+        keep_text = keep_text & ~F.col("term").isin(*stop_words)
+    return (t.filter(~F.col("_an") | keep_text)
+            .groupBy("index", "shard", "type", "field", "term", "_id")
+            .agg(F.count(F.lit(1)).alias("tf")))

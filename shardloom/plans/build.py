@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from ..operators.grid import shard_grid
 from ..operators.mapping import merge_mapping, presence_stats
 from ..operators.parse import build_rows, parse_lines
+from ..operators.postings import postings_from_documents, term_stats
 from ..session import apply_build_conf, checkpoint_dir
-from ..sinks.documents import (DOCUMENTS, MANIFEST, MAPPING, SHARDS, STATS, read_table, table_path,
-                               write_documents, write_index_table)
+from ..sinks.documents import (DOCUMENTS, MANIFEST, MAPPING, POSTINGS, SHARDS, STATS, TERMS, read_table,
+                               table_path, write_documents, write_index_table)
 from ..sinks.manifest import index_manifest, shard_manifest
 from ..sources.lines import read_index_inputs
 from ..spec import IndexSpec
@@ -38,6 +39,8 @@ class BuildResult:
     shards: DataFrame
     manifest: DataFrame
     build_id: str
+    postings: DataFrame | None = None
+    terms: DataFrame | None = None
 
 
 def union_rows(inputs: dict[str, DataFrame], ispec: IndexSpec, *, mode: str = "failfast",
@@ -53,7 +56,13 @@ def union_rows(inputs: dict[str, DataFrame], ispec: IndexSpec, *, mode: str = "f
 def build_index(spark: SparkSession, ispec: IndexSpec, out: str, *,
                 inputs: dict[str, DataFrame] | None = None, mode: str = "failfast",
                 id_mode: str | None = None, build_id: str | None = None,
-                created_at: _dt.datetime | None = None) -> BuildResult:
+                created_at: _dt.datetime | None = None, postings: bool = False) -> BuildResult:
+    """Build every index of ``ispec`` into ``out``.
+
+    With ``postings=True`` the index content is written too: the
+    ``postings`` table (keyword and analysed terms with their frequency per
+    document) and the ``terms`` dictionary, both by index.
+    """
     apply_build_conf(spark)
     checkpoint_dir(spark)
     build_id = build_id or _uuid.uuid4().hex
@@ -79,6 +88,10 @@ def build_index(spark: SparkSession, ispec: IndexSpec, out: str, *,
     mapping = merge_mapping(stats, ispec)
     write_index_table(shard_manifest(grid), table_path(out, SHARDS))
     write_index_table(mapping, table_path(out, MAPPING))
+    if postings:
+        write_index_table(postings_from_documents(docs, ispec), table_path(out, POSTINGS))
+        built_postings = read_table(spark, out, POSTINGS).join(built, "index", "left_semi")
+        write_index_table(term_stats(built_postings), table_path(out, TERMS))
     manifest = index_manifest(grid, mapping, ispec, build_id=build_id, created_at=created_at)
     manifest.write.mode("append").parquet(table_path(out, MANIFEST))
 
@@ -93,4 +106,6 @@ def build_index(spark: SparkSession, ispec: IndexSpec, out: str, *,
         shards=this_build(read_table(spark, out, SHARDS)),
         manifest=read_table(spark, out, MANIFEST).filter(f"build_id = '{build_id}'"),
         build_id=build_id,
+        postings=this_build(read_table(spark, out, POSTINGS)) if postings else None,
+        terms=this_build(read_table(spark, out, TERMS)) if postings else None,
     )

@@ -491,13 +491,19 @@ def text_term_stats(spark, sf):
 
 # --- sinks, manifests, publish ----------------------------------------------------------
 
+def _build_postings_sql():
+    return f"""SELECT index, field, term, count(*) AS doc_freq, CAST(sum(tf) AS BIGINT) AS total_freq FROM (
+SELECT index, field, term, 1 AS tf FROM ({_keyword_sql(fx.DOC_TYPE, DOCS)})
+UNION ALL SELECT index, field, term, tf FROM ({_text_postings_sql()})) GROUP BY index, field, term"""
+
 CREATED_AT = _dt.datetime(2024, 2, 1)
 
 
-def _build(spark, sf, ispec, name, mode="quarantine", inputs=None):
+def _build(spark, sf, ispec, name, mode="quarantine", inputs=None, postings=False):
     out = scratch_path(spark, name)
     inputs = inputs or fx.feed_inputs(spark, sf, ispec)
-    return build_index(spark, ispec, out, inputs=inputs, mode=mode, created_at=CREATED_AT), out
+    return build_index(spark, ispec, out, inputs=inputs, mode=mode, created_at=CREATED_AT,
+                       postings=postings), out
 
 
 @query("sink_documents", f"""SELECT index, shard, type, count(*) AS doc_count FROM ({O.union_docs_sql(UNI)})
@@ -521,6 +527,14 @@ SELECT c.index, {ispec.num_shards} AS num_shards, {ispec.replicas} AS replicas,
 FROM c LEFT JOIN mm ON c.index = mm.index"""
 
 
+@query("build_postings", _build_postings_sql())
+def build_postings(spark, sf):
+    """L2-L4 inside the build: postings and the term dictionary written by
+    index from the documents table (one scan of it), read back."""
+    res, _ = _build(spark, sf, DOCS, "postings", postings=True)
+    return res.terms.select("index", "field", "term", "doc_freq", "total_freq")
+
+
 @query("index_manifest", _manifest_sql(MAPPED))
 def index_manifest(spark, sf):
     """K2: one row per index, mappings of every type seen in any shard."""

@@ -11,6 +11,7 @@ Layout under an output folder::
                                              appended last
     _stats/...                               counts and field presence per
                                              (index, shard, type) of the last build
+    postings/index=<index>/..., terms/...    index content, when built with postings
 
 Every index table is written with dynamic partition overwrite on ``index``
 only, so a rebuild replaces whole indices (a rebuild with fewer shards
@@ -22,8 +23,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import path_exists
+
 DOCUMENTS, SHARDS, MAPPING, MANIFEST = "documents", "shards", "mapping", "manifest"
 STATS = "_stats"
+POSTINGS, TERMS = "postings", "terms"
 
 
 def table_path(out: str, name: str) -> str:
@@ -77,7 +81,9 @@ def publish(spark: SparkSession, build_out: str, live_out: str) -> DataFrame:
     goes last, so a reader that joins through it never sees a half-copied
     index as active.
     """
-    for name in (DOCUMENTS, SHARDS, MAPPING):
+    for name in (DOCUMENTS, SHARDS, MAPPING, POSTINGS, TERMS):
+        if name in (POSTINGS, TERMS) and not path_exists(spark, table_path(build_out, name)):
+            continue
         write_index_table(read_table(spark, build_out, name), table_path(live_out, name))
     manifest = read_table(spark, build_out, MANIFEST)
     manifest.write.mode("append").parquet(table_path(live_out, MANIFEST))
