@@ -130,11 +130,12 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
         words.append(total.alias(wname))
     out = df.select("_type", "_line", "_status", "_reason", *names,
                     *[partition_column(p) for p in pf], "_index", "_shard", "_id", *words)
-    return _barrier(out)
+    return compute_once(out)
 
 
-def _barrier(df: DataFrame) -> DataFrame:
-    """Stop later filters on ``_status`` from being pushed below the parse.
+def compute_once(df: DataFrame) -> DataFrame:
+    """Stop later filters on ``_status`` from being pushed below the parse
+    (and later lambdas from re-evaluating an expression per array element).
 
     Pushing a filter through a projection inlines the aliases, so the split
     (a regex over the whole line) would run again for every reference in the

@@ -4,9 +4,10 @@
   field: one row per (document, field); a narrow projection, no shuffle.
 * L3 text postings - fields mapped ``analyzed``: lower-cased runs of Unicode
   letters and digits, tokens over 255 characters and English stop words
-  dropped, term frequency per document.  The count is a partial + final
-  aggregate keyed by (…, term, _id): every key is one document's term, so a
-  frequent term is spread over all tasks, never gathered.
+  dropped, term frequency per document.  All tokens of a document field are
+  in one row, so the frequencies are counted inside that row (sort the
+  tokens, measure the runs of equal ones): no exchange, and a frequent term
+  is never gathered anywhere.
 * L4 term dictionary - document and total frequency per (index, field, term),
   a partial + final aggregate (a hot term is one row per task before the
   exchange).
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..spec import TypeSpec
+from .parse import compute_once
 
 # The English stop-word set of the standard analyzer.
 STOP_WORDS = (
@@ -59,21 +61,46 @@ def tokens(text) -> F.Column:
     return F.split(F.lower(text), TOKEN_SPLIT, -1)
 
 
+def indexed_tokens(text, stop_words: tuple[str, ...] | None = STOP_WORDS) -> F.Column:
+    """The tokens that become terms: not empty, at most 255 characters, not a stop word."""
+    def keep(t):
+        k = (t != "") & (F.length(t) <= MAX_TOKEN_LENGTH)
+        return k & ~t.isin(*stop_words) if stop_words else k
+    return F.filter(tokens(text), keep)
+
+
+def count_terms(df: DataFrame, keys: list[str], terms: F.Column) -> DataFrame:
+    """``(*keys, term, tf)``: one row per distinct element of each row's
+    ``terms`` array, with its number of occurrences in that array.
+
+    The count stays inside the row, so there is no exchange: the array is
+    sorted (JVM sort), the start of every run of equal terms is marked, and
+    run lengths are the frequencies.  Each step is materialised once before
+    the next one's lambda reads it (a lambda would otherwise re-evaluate the
+    sort for every element it visits).
+    """
+    n = F.size("_terms")
+    st = F.col("_starts")
+    m = F.size(st)
+    sorted_ = compute_once(df.select(*keys, F.sort_array(terms).alias("_terms")))
+    runs = compute_once(sorted_.select(*keys, "_terms", F.when(n > 0, F.filter(
+        F.sequence(F.lit(1), n),
+        lambda i: (i == 1) | (F.element_at("_terms", i) != F.element_at("_terms", i - 1)))).alias("_starts")))
+    pairs = F.when(n > 0, F.transform(F.sequence(F.lit(1), m), lambda j: F.struct(
+        F.element_at("_terms", F.element_at(st, j)).alias("term"),
+        (F.when(j < m, F.element_at(st, j + 1)).otherwise(n + 1) - F.element_at(st, j)).cast("bigint").alias("tf"))))
+    return runs.select(*keys, F.inline(pairs))
+
+
 def text_postings(recs: DataFrame, tspec: TypeSpec, stop_words: tuple[str, ...] | None = STOP_WORDS) -> DataFrame:
     fields = text_fields(tspec)
     if not fields:
         return recs.sparkSession.createDataFrame(
             [], "index string, shard int, type string, field string, term string, _id string, tf bigint")
     long = recs.unpivot(["_index", "_shard", "_type", "_id"], fields, "field", "text")
-    tok = long.select(F.col("_index").alias("index"), F.col("_shard").alias("shard"),
-                      F.col("_type").alias("type"), "field", "_id",
-                      F.explode(tokens("text")).alias("term"))
-    keep = (F.col("term") != "") & (F.length("term") <= MAX_TOKEN_LENGTH)
-    if stop_words:
-        keep = keep & ~F.col("term").isin(*stop_words)
-    return (tok.filter(keep)
-            .groupBy("index", "shard", "type", "field", "term", "_id")
-            .agg(F.count(F.lit(1)).alias("tf")))
+    named = long.select(F.col("_index").alias("index"), F.col("_shard").alias("shard"),
+                        F.col("_type").alias("type"), "field", "_id", "text")
+    return count_terms(named, ["index", "shard", "type", "field", "_id"], indexed_tokens("text", stop_words))
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
@@ -117,11 +144,7 @@ def postings_from_documents(docs: DataFrame, ispec, stop_words: tuple[str, ...]
     modes = F.broadcast(_field_modes(spark, ispec).filter(F.col("index_mode") != "no"))
     j = long.join(modes, ["type", "field"])
     analyzed = F.col("index_mode") == "analyzed"
-    terms = F.when(analyzed, tokens("value")).otherwise(F.array(F.col("value")))
-    t = j.select("index", "shard", "type", "field", "_id", analyzed.alias("_an"), F.explode(terms).alias("term"))
-    keep_text = (F.col("term") != "") & (F.length("term") <= MAX_TOKEN_LENGTH)
-    if stop_words:
-        keep_text = keep_text & ~F.col("term").isin(*stop_words)
-    return (t.filter(~F.col("_an") | keep_text)
-            .groupBy("index", "shard", "type", "field", "term", "_id")
-            .agg(F.count(F.lit(1)).alias("tf")))
+    # a keyword value is one term of its document field (tf 1); an analysed
+    # value's terms are counted inside its row (no exchange either way)
+    terms = F.when(analyzed, indexed_tokens("value", stop_words)).otherwise(F.array(F.col("value")))
+    return count_terms(j, ["index", "shard", "type", "field", "_id"], terms)

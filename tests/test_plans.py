@@ -14,12 +14,18 @@ def test_sample_is_limited_before_the_exchange(spark):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
-def test_postings_aggregate_partially(spark):
+def test_text_postings_need_no_exchange(spark):
+    # term frequencies are counted inside each document's row
     p = plan(spark, "text_postings")
-    assert "partial_count" in p
+    assert "Exchange hashpartitioning" not in p and "HashAggregate" not in p
     assert "collect_list" not in p and "collect_set" not in p
 
 
+def test_term_dictionary_aggregates_partially(spark):
+    p = plan(spark, "text_term_stats")
+    assert "partial_count" in p and "partial_sum" in p
+
+
 def test_grid_needs_no_join(spark):
     p = plan(spark, "shard_grid")
     assert "Join" not in p
