@@ -213,9 +213,10 @@ def shard_routed(spark, sf):
     return _parsed(spark, sf, EV).filter(F.col("_status") == ps.OK).select(F.col("_line").alias("value"), F.col("_shard").alias("shard"))
 
 
-@query("shard_unrouted")
+@query("shard_unrouted", f"""SELECT index, shard, type, count(*) AS doc_count FROM ({O.union_docs_sql(PARTS)})
+GROUP BY index, shard, type""")
 def shard_unrouted(spark, sf):
-    """No routing field; the shard is a stable hash of the document id."""
+    """No routing field; the document id is the routing key."""
     return agg.shard_counts(_docs(spark, sf, PARTS))
 
 
@@ -239,9 +240,11 @@ def index_suffix(spark, sf):
     return _docs(spark, sf, UNI).select("index").distinct().select("index", X.index_suffix("index").alias("suffix"))
 
 
-@query("colocate_shards")
+@query("colocate_shards", f"""SELECT _index AS index, _shard AS shard, _type AS type, _id FROM ({EV_DOCS_SQL})""")
 def colocate_shards(spark, sf):
-    """Documents clustered by (index, shard) for the write."""
+    """Documents clustered by (index, shard) for the write; every
+    document survives the rebalance unchanged (the placement itself is
+    checked by plan and file tests)."""
     return sk.colocate(_docs(spark, sf, EV)).select("index", "shard", "type", "_id")
 
 

@@ -137,12 +137,14 @@ def parsed_sql(tspec: TypeSpec, ispec: IndexSpec, lines: str) -> str:
         index = f"'{ispec.name}@' || concat_ws('-', {', '.join('_f[%d]' % (tspec.index_of(p) + 1) for p in pf)})"
     else:
         index = f"'{ispec.name}'"
+    keys = [f"_f[{tspec.index_of(k) + 1}]" for k in (tspec.key_fields or ())]
+    doc_id = hash_id_sql(f"'{tspec.name}'", *keys) if keys else "NULL"
     if ri is not None:
         shard = routed_shard_sql(f"_f[{ri + 1}]", ispec.num_shards)
+    elif keys:
+        shard = routed_shard_sql(doc_id, ispec.num_shards)
     else:
         shard = "NULL::INTEGER"
-    keys = [f"_f[{tspec.index_of(k) + 1}]" for k in (tspec.key_fields or ())]
-    doc_id = hash_id_sql(f"'{tspec.name}'", *keys) if keys else "NULL"
     ok = f"({status}) = 'ok'"
     return f"""SELECT '{tspec.name}' AS _type, value AS _line, {status} AS _status, {reason} AS _reason,
   {', '.join(fields + pcols)},
