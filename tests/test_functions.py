@@ -32,10 +32,11 @@ def test_split_null_unescape_random(spark):
 def test_java_hash_and_shard_random(spark):
     vals = random_strings(800, seed=11, max_len=30) + ["", "hello", "polygenelubricants"]
     df = spark.createDataFrame([(v,) for v in vals], "v string")
-    rows = df.select("v", X.java_hash("v").alias("h"), X.routed_shard("v", 7).alias("s"),
-                     X.routed_shard("v", 64).alias("s64")).collect()
+    rows = df.select("v", X.java_hash("v").alias("h"), X.java_hash_fold("v").alias("hf"),
+                     X.routed_shard("v", 7).alias("s"), X.routed_shard("v", 64).alias("s64")).collect()
     for r in rows:
         assert r.h == rules.java_hash(r.v), r.v
+        assert r.hf == r.h, r.v
         assert r.s == rules.shard(r.v, 7)
         assert r.s64 == rules.shard(r.v, 64)
 
