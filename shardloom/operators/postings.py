@@ -61,23 +61,24 @@ def tokens(text) -> F.Column:
     return F.split(F.lower(text), TOKEN_SPLIT, -1)
 
 
-def indexed_tokens(text, stop_words: tuple[str, ...] | None = STOP_WORDS) -> F.Column:
-    """The tokens that become terms: not empty, at most 255 characters, not a stop word."""
-    def keep(t):
-        k = (t != "") & (F.length(t) <= MAX_TOKEN_LENGTH)
-        return k & ~t.isin(*stop_words) if stop_words else k
-    return F.filter(tokens(text), keep)
+def keep_token(t: F.Column, stop_words: tuple[str, ...] | None = STOP_WORDS) -> F.Column:
+    """A token becomes a term when it is not empty, has at most 255
+    characters and is not a stop word."""
+    k = (t != "") & (F.length(t) <= MAX_TOKEN_LENGTH)
+    return k & ~t.isin(*stop_words) if stop_words else k
 
 
-def count_terms(df: DataFrame, keys: list[str], terms: F.Column) -> DataFrame:
+def count_terms(df: DataFrame, keys: list[str], terms: F.Column, keep=None) -> DataFrame:
     """``(*keys, term, tf)``: one row per distinct element of each row's
-    ``terms`` array, with its number of occurrences in that array.
+    ``terms`` array, with its number of occurrences in that array; with
+    ``keep`` (a function of the term column), only the terms it accepts.
 
     The count stays inside the row, so there is no exchange: the array is
     sorted (JVM sort), the start of every run of equal terms is marked, and
-    run lengths are the frequencies.  Each step is materialised once before
-    the next one's lambda reads it (a lambda would otherwise re-evaluate the
-    sort for every element it visits).
+    run lengths are the frequencies.  ``keep`` is applied to the distinct
+    terms, not to every token.  Each step is materialised once before the
+    next one's lambda reads it (a lambda would otherwise re-evaluate the sort
+    for every element it visits).
     """
     n = F.size("_terms")
     st = F.col("_starts")
@@ -89,6 +90,8 @@ def count_terms(df: DataFrame, keys: list[str], terms: F.Column) -> DataFrame:
     pairs = F.when(n > 0, F.transform(F.sequence(F.lit(1), m), lambda j: F.struct(
         F.element_at("_terms", F.element_at(st, j)).alias("term"),
         (F.when(j < m, F.element_at(st, j + 1)).otherwise(n + 1) - F.element_at(st, j)).cast("bigint").alias("tf"))))
+    if keep is not None:
+        pairs = F.filter(pairs, lambda p: keep(p["term"]))
     return runs.select(*keys, F.inline(pairs))
 
 
@@ -100,7 +103,8 @@ def text_postings(recs: DataFrame, tspec: TypeSpec, stop_words: tuple[str, ...]
     long = recs.unpivot(["_index", "_shard", "_type", "_id"], fields, "field", "text")
     named = long.select(F.col("_index").alias("index"), F.col("_shard").alias("shard"),
                         F.col("_type").alias("type"), "field", "_id", "text")
-    return count_terms(named, ["index", "shard", "type", "field", "_id"], indexed_tokens("text", stop_words))
+    return count_terms(named, ["index", "shard", "type", "field", "_id"], tokens("text"),
+                       keep=lambda t: keep_token(t, stop_words))
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
@@ -146,5 +150,7 @@ def postings_from_documents(docs: DataFrame, ispec, stop_words: tuple[str, ...]
     analyzed = F.col("index_mode") == "analyzed"
     # a keyword value is one term of its document field (tf 1); an analysed
     # value's terms are counted inside its row (no exchange either way)
-    terms = F.when(analyzed, indexed_tokens("value", stop_words)).otherwise(F.array(F.col("value")))
-    return count_terms(j, ["index", "shard", "type", "field", "_id"], terms)
+    terms = F.when(analyzed, tokens("value")).otherwise(F.array(F.col("value")))
+    out = count_terms(j.withColumn("_an", analyzed), ["index", "shard", "type", "field", "_id", "_an"], terms,
+                      keep=lambda t: ~F.col("_an") | keep_token(t, stop_words))
+    return out.drop("_an")
