@@ -46,3 +46,20 @@ def test_parse_is_not_inlined_into_filters(spark):
     p = plan(spark, "arity_reject")
     # the status filter stays above the parse: the split runs once per line
     assert p.count("split(") == 1
+
+
+def test_routing_hash_runs_once_per_line(spark):
+    p = plan(spark, "shard_routed")
+    assert p.count("reflect(java.util.Objects, hashCode") == 1
+
+
+def test_build_postings_write_needs_no_exchange(spark):
+    from shardloom.operators.postings import postings_from_documents
+    from shardloom.plans.catalog import DOCS
+    from shardloom.plans.build import union_rows
+    from shardloom.sources import fixtures as fx
+    rows = union_rows(fx.feed_inputs(spark, SF_SMALL, DOCS), DOCS, mode="quarantine")
+    docs = rows.filter("index IS NOT NULL")
+    p = postings_from_documents(docs, DOCS)._jdf.queryExecution().executedPlan().toString()
+    # only the feed's own spread of a one-file table; nothing keyed by term or document
+    assert "Exchange hashpartitioning" not in p and "HashAggregate" not in p
