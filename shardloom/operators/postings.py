@@ -2,9 +2,9 @@
 
 * L2 keyword postings - the exact value of each non-null ``not_analyzed``
   field: one row per (document, field); a narrow projection, no shuffle.
-* L3 text postings - fields mapped ``analyzed``: lower-cased runs of Unicode
-  letters and digits, tokens over 255 characters and English stop words
-  dropped, term frequency per document.  All tokens of a document field are
+* L3 text postings - fields mapped ``analyzed``: lower-cased words by the
+  Unicode word-boundary rules (letters, digits and their joiners), tokens
+  over 255 characters and English stop words dropped, term frequency per document.  All tokens of a document field are
   in one row, so the frequencies are counted inside that row (sort the
   tokens, measure the runs of equal ones): no exchange, and a frequent term
   is never gathered anywhere.
@@ -30,7 +30,36 @@ STOP_WORDS = (
     "they", "this", "to", "was", "will", "with",
 )
 MAX_TOKEN_LENGTH = 255
-TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
+
+# Word-boundary classes of the standard tokenizer (Unicode text
+# segmentation, word boundaries, Unicode 6.3), as code points.  A MidLetter
+# character joins two letters, a MidNum character two digits, MidNumLet and
+# the single quote either; ExtendNumLet (the underscore family) joins anything.
+MID_LETTER = "\u003A\u00B7\u0387\u05F4\u2027\uFE13\uFE55\uFF1A"
+MID_NUM_LET = "\u002E\u2018\u2019\u2024\uFE52\uFF07\uFF0E"
+MID_NUM = "\u002C\u003B\u037E\u0589\u060C\u060D\u066C\u07F8\u2044\uFE10\uFE14\uFE50\uFE54\uFF0C\uFF1B"
+SINGLE_QUOTE = "\u0027"
+EXTEND_NUM_LET = "\u005F\u203F\u2040\u2054\uFE33\uFE34\uFE4D\uFE4E\uFE4F\uFF3F"
+
+
+def char_class(chars: str) -> str:
+    """A regex character class of the given characters, as ``\\x{...}`` escapes."""
+    return "[" + "".join(f"\\x{{{ord(c):X}}}" for c in chars) + "]"
+
+
+JOIN_LETTERS = char_class(MID_LETTER + MID_NUM_LET + SINGLE_QUOTE)
+JOIN_DIGITS = char_class(MID_NUM + MID_NUM_LET + SINGLE_QUOTE)
+EXTEND = char_class(EXTEND_NUM_LET)
+# Java regex of one token: a Han or Hiragana character alone, or a word of
+# letters and digits (other scripts) with its joiners, underscores and marks.
+_LETTER = r"[\p{L}&&[^\p{IsHan}\p{IsHiragana}]]"
+_WORD_CHAR = r"[\p{L}\p{N}&&[^\p{IsHan}\p{IsHiragana}]]"
+TOKEN_PATTERN = (
+    r"[\p{IsHan}\p{IsHiragana}]"
+    rf"|{EXTEND}*{_WORD_CHAR}(?:{_WORD_CHAR}|{EXTEND}|\p{{M}}"
+    rf"|(?<=[\p{{L}}\p{{M}}]){JOIN_LETTERS}(?={_LETTER})"
+    rf"|(?<=\p{{Nd}}){JOIN_DIGITS}(?=\p{{Nd}}))*"
+)
 
 
 def keyword_fields(tspec: TypeSpec) -> list[str]:
@@ -56,9 +85,12 @@ def keyword_postings(recs: DataFrame, tspec: TypeSpec) -> DataFrame:
 
 
 def tokens(text) -> F.Column:
-    """Analysed tokens of a text column, as an array (stop words kept)."""
+    """Analysed tokens of a text column, as an array (stop words kept): the
+    lower-cased text's words by the word-boundary rules above, so
+    ``example.com``, ``2.0``, ``10.0.0.1``, ``1,000``, ``don't`` and
+    ``foo_bar`` are one token each, and each Han or Hiragana character is one."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.split(F.lower(text), TOKEN_SPLIT, -1)
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
 
 
 def keep_token(t: F.Column, stop_words: tuple[str, ...] | None = STOP_WORDS) -> F.Column:

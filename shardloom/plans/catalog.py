@@ -467,7 +467,7 @@ _STOP = ", ".join(f"'{w}'" for w in po.STOP_WORDS)
 
 def _text_postings_sql():
     return f"""SELECT _index AS index, _shard AS shard, _type AS type, 'text' AS field, term, _id, count(*) AS tf FROM (
-SELECT _index, _shard, _type, _id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS term
+SELECT _index, _shard, _type, _id, unnest({O.tokens_sql('text')}) AS term
 FROM ({O.docs_sql(fx.DOC_TYPE, DOCS)}))
 WHERE term <> '' AND length(term) <= {po.MAX_TOKEN_LENGTH} AND term NOT IN ({_STOP})
 GROUP BY _index, _shard, _type, term, _id"""

@@ -36,3 +36,59 @@ def shard(s: str, n: int) -> int:
     h = java_hash(s)
     r = abs(h) % n
     return r  # |h % n| with the sign of h, then abs, is |h| % n
+
+
+def _is_han_or_hiragana(c: str) -> bool:
+    import unicodedata
+    name = unicodedata.name(c, "")
+    return name.startswith("CJK UNIFIED IDEOGRAPH") or name.startswith("HIRAGANA")
+
+
+def words(s: str) -> list[str]:
+    """Analysed tokens, scanned a character at a time: a word is letters and
+    digits (with underscores and marks); a letter joiner between two letters,
+    or a digit joiner between two digits, stays inside it; each Han or
+    Hiragana character is a word of its own."""
+    import unicodedata
+
+    from shardloom.operators import postings as po
+    join_letters = set(po.MID_LETTER + po.MID_NUM_LET + po.SINGLE_QUOTE)
+    join_digits = set(po.MID_NUM + po.MID_NUM_LET + po.SINGLE_QUOTE)
+    ext = set(po.EXTEND_NUM_LET)
+
+    def cat(c):
+        return unicodedata.category(c) if c else ""
+
+    def word_char(c):
+        return bool(c) and cat(c)[0] in "LN" and not _is_han_or_hiragana(c)
+
+    out, cur, has_word = [], "", False
+
+    def flush():
+        nonlocal cur, has_word
+        if has_word:
+            out.append(cur)
+        cur, has_word = "", False
+
+    for i, c in enumerate(s):
+        prev = s[i - 1] if i > 0 else ""
+        nxt = s[i + 1] if i + 1 < len(s) else ""
+        if _is_han_or_hiragana(c):
+            flush()
+            out.append(c)
+        elif word_char(c):
+            cur += c
+            has_word = True
+        elif c in ext:
+            cur += c
+        elif has_word and cat(c).startswith("M"):
+            cur += c
+        elif (has_word and c in join_letters and cat(prev)[:1] in ("L", "M")
+              and cat(nxt).startswith("L") and word_char(nxt)):
+            cur += c
+        elif has_word and c in join_digits and cat(prev) == "Nd" and cat(nxt) == "Nd":
+            cur += c
+        else:
+            flush()
+    flush()
+    return out

@@ -1,19 +1,33 @@
 """Term counting inside a row against plain-Python counts."""
 
 import random
-import re
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 from shardloom.operators import postings as po
+from tests import rules
 
 
 def _analyse(text):
-    toks = re.split(r"[^\w]+|_", text.lower()) if text is not None else []
+    toks = rules.words(text.lower()) if text is not None else []
     return [t for t in toks if t and len(t) <= po.MAX_TOKEN_LENGTH and t not in po.STOP_WORDS]
 
 
+ALPHABET = ["a", "b", "É", "z", "0", "7", ".", ",", ";", ":", "'", "\u2019", "_", " ", "-", "@", "中", "ひ",
+            "カ", "\u0301", "\n", "x1", "2.0"]
+
+
+def test_tokens_equal_the_plain_word_rule(spark):
+    rnd = random.Random(17)
+    texts = sorted({"".join(rnd.choice(ALPHABET) for _ in range(rnd.randint(0, 25))) for _ in range(1500)})
+    texts += ["hein.19@mail5.example.com 70.23.22.57 v2.0. 1,000 a.b.c don't _foo_ ___ end.Next"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: r.k for r in df.select("t", po.tokens("t").alias("k")).collect()}
+    for t in texts:
+        assert got[t] == rules.words(t.lower()), t
+
+
 def test_count_terms_random_arrays(spark):
     rnd = random.Random(3)
     words = ["a", "b", "c", "zz", "é", "中文", "b "]
