@@ -48,8 +48,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = sc._jsc.sc().getCheckpointDir()
-        d = d.get() if d.isDefined() else None
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="shardloom-ckpt-")
         sc.setCheckpointDir(d)
@@ -62,12 +61,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a parquet table has been written at ``path`` (a read that
+    finds no files fails at analysis, before any job runs)."""
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True
 
 
 __all__ = ["BUILD_CONF", "local_session", "apply_build_conf", "checkpoint_dir",
-           "scratch_path", "path_exists"]
+           "scratch_path", "table_exists"]

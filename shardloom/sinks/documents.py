@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists
+from ..session import table_exists
 
 DOCUMENTS, SHARDS, MAPPING, MANIFEST = "documents", "shards", "mapping", "manifest"
 STATS = "_stats"
@@ -82,7 +82,7 @@ def publish(spark: SparkSession, build_out: str, live_out: str) -> DataFrame:
     index as active.
     """
     for name in (DOCUMENTS, SHARDS, MAPPING, POSTINGS, TERMS):
-        if name in (POSTINGS, TERMS) and not path_exists(spark, table_path(build_out, name)):
+        if name in (POSTINGS, TERMS) and not table_exists(spark, table_path(build_out, name)):
             continue
         write_index_table(read_table(spark, build_out, name), table_path(live_out, name))
     manifest = read_table(spark, build_out, MANIFEST)
