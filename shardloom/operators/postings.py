@@ -50,15 +50,18 @@ def char_class(chars: str) -> str:
 JOIN_LETTERS = char_class(MID_LETTER + MID_NUM_LET + SINGLE_QUOTE)
 JOIN_DIGITS = char_class(MID_NUM + MID_NUM_LET + SINGLE_QUOTE)
 EXTEND = char_class(EXTEND_NUM_LET)
-# Java regex of one token: a Han or Hiragana character alone, or a word of
-# letters and digits (other scripts) with its joiners, underscores and marks.
+# Java regex of one token: a word of letters and digits (scripts other than
+# Han and Hiragana) with its joiners, underscores and marks, or one Han or
+# Hiragana character.  Lower-case ASCII is tried first, and the loops are
+# possessive (nothing follows them, so the matches are the same), which keeps
+# the per-character work low.
 _LETTER = r"[\p{L}&&[^\p{IsHan}\p{IsHiragana}]]"
-_WORD_CHAR = r"[\p{L}\p{N}&&[^\p{IsHan}\p{IsHiragana}]]"
+_WORD_CHAR = r"(?:[a-z0-9]|[\p{L}\p{N}&&[^\p{IsHan}\p{IsHiragana}]])"
 TOKEN_PATTERN = (
-    r"[\p{IsHan}\p{IsHiragana}]"
-    rf"|{EXTEND}*{_WORD_CHAR}(?:{_WORD_CHAR}|{EXTEND}|\p{{M}}"
+    rf"{EXTEND}*+{_WORD_CHAR}(?:[a-z0-9]++|{_WORD_CHAR}|{EXTEND}|\p{{M}}"
     rf"|(?<=[\p{{L}}\p{{M}}]){JOIN_LETTERS}(?={_LETTER})"
-    rf"|(?<=\p{{Nd}}){JOIN_DIGITS}(?=\p{{Nd}}))*"
+    rf"|(?<=\p{{Nd}}){JOIN_DIGITS}(?=\p{{Nd}}))*+"
+    r"|[\p{IsHan}\p{IsHiragana}]"
 )
 
 
