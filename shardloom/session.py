@@ -42,14 +42,19 @@ def apply_build_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the cluster and read here.  Only when it is
-    unset (local tests) is a folder of our own chosen and registered.
+    On a cluster this is set by the cluster and read here.  Only a local
+    session (tests, benchmarks) without it gets a folder of our own; a
+    cluster session without it fails, since a folder on the driver's disk is
+    not shared with the executors.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
+                             "(scratch tables and lineage cuts are written there)")
         d = tempfile.mkdtemp(prefix="shardloom-ckpt-")
         sc.setCheckpointDir(d)
     return d
