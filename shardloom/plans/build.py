@@ -23,7 +23,7 @@ from ..operators.grid import shard_grid
 from ..operators.mapping import merge_mapping, presence_stats
 from ..operators.parse import build_rows, parse_lines
 from ..operators.postings import postings_from_documents, term_stats
-from ..session import apply_build_conf, checkpoint_dir
+from ..session import apply_build_conf
 from ..sinks.documents import (DOCUMENTS, MANIFEST, MAPPING, POSTINGS, SHARDS, STATS, TERMS, read_table,
                                table_path, write_documents, write_index_table)
 from ..sinks.manifest import index_manifest, shard_manifest
@@ -64,7 +64,6 @@ def build_index(spark: SparkSession, ispec: IndexSpec, out: str, *,
     document) and the ``terms`` dictionary, both by index.
     """
     apply_build_conf(spark)
-    checkpoint_dir(spark)
     build_id = build_id or _uuid.uuid4().hex
     if inputs is None:
         inputs = read_index_inputs(spark, ispec)
