@@ -24,7 +24,7 @@ from ..operators.mapping import merge_mapping, presence_stats
 from ..operators.parse import build_rows, parse_lines
 from ..operators.postings import postings_from_documents, term_stats
 from ..session import apply_build_conf
-from ..sinks.documents import (DOCUMENTS, MANIFEST, MAPPING, POSTINGS, SHARDS, STATS, TERMS, read_table,
+from ..sinks.documents import (DOCUMENTS, MANIFEST, MAPPING, POSTINGS, SHARDS, STATS, TERMS, by_index, read_table,
                                table_path, write_documents, write_index_table)
 from ..sinks.manifest import index_manifest, shard_manifest
 from ..sources.lines import read_index_inputs
@@ -85,12 +85,12 @@ def build_index(spark: SparkSession, ispec: IndexSpec, out: str, *,
     built = stats.select("index").distinct()
     grid = shard_grid(stats, ispec.num_shards)
     mapping = merge_mapping(stats, ispec)
-    write_index_table(shard_manifest(grid), table_path(out, SHARDS))
-    write_index_table(mapping, table_path(out, MAPPING))
+    write_index_table(by_index(shard_manifest(grid)), table_path(out, SHARDS))
+    write_index_table(by_index(mapping), table_path(out, MAPPING))
     if postings:
         write_index_table(postings_from_documents(docs, ispec), table_path(out, POSTINGS))
         built_postings = read_table(spark, out, POSTINGS).join(built, "index", "left_semi")
-        write_index_table(term_stats(built_postings), table_path(out, TERMS))
+        write_index_table(by_index(term_stats(built_postings)), table_path(out, TERMS))
     manifest = index_manifest(grid, mapping, ispec, build_id=build_id, created_at=created_at)
     manifest.write.mode("append").parquet(table_path(out, MANIFEST))
 

@@ -1,9 +1,9 @@
 """Table sinks: documents, shard and mapping tables, manifests, publish."""
 
-from .documents import (active_documents, colocate, publish, read_documents, read_rejected,
+from .documents import (active_documents, by_index, colocate, publish, read_documents, read_rejected,
                         read_table, table_path, write_documents, write_index_table)
 from .manifest import current_manifest, index_manifest, shard_manifest
 
-__all__ = ["active_documents", "colocate", "publish", "read_documents", "read_rejected",
+__all__ = ["active_documents", "by_index", "colocate", "publish", "read_documents", "read_rejected",
            "read_table", "table_path", "write_documents", "write_index_table",
            "current_manifest", "index_manifest", "shard_manifest"]

@@ -45,6 +45,18 @@ def colocate(docs: DataFrame) -> DataFrame:
     return docs.hint("rebalance", "index", "shard").sortWithinPartitions("index", "shard")
 
 
+def by_index(df: DataFrame) -> DataFrame:
+    """Cluster an aggregated table by ``index`` before its partitioned write.
+
+    An aggregate leaves every task holding rows of every index, and a write
+    partitioned by ``index`` would then open one file per (task, index):
+    with thousands of indices, millions of small files.  A REBALANCE on
+    ``index`` lets AQE size the partitions (a large index is split over
+    several tasks, small ones share one), so each index gets a few files.
+    """
+    return df.hint("rebalance", "index")
+
+
 def write_index_table(df: DataFrame, path: str) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("index").parquet(path))

@@ -141,3 +141,17 @@ def test_no_python_udfs_or_driver_collects_in_library():
                 src = open(os.path.join(dirpath, f), encoding="utf-8").read()
                 for bad in (".collect()", ".toPandas()", "@udf", "F.udf(", "pandas_udf", "localCheckpoint"):
                     assert bad not in src, (f, bad)
+
+
+def test_small_index_tables_get_one_file_per_index(spark, scratch):
+    """Aggregated tables are rebalanced by index before their write: not one
+    file per (task, index)."""
+    import glob
+    spec = fx.docs_spec(8)
+    build_index(spark, spec, f"{scratch}/out", inputs=fx.feed_inputs(spark, SF_SMALL, spec),
+                mode="quarantine", postings=True)
+    for table in ("shards", "mapping", "terms"):
+        dirs = glob.glob(f"{scratch}/out/{table}/index=*")
+        assert dirs
+        for d in dirs:
+            assert len(glob.glob(f"{d}/*.parquet")) == 1, (table, d)
