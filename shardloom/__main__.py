@@ -32,7 +32,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"shardloom-{spec.name}").getOrCreate()
     res = build_index(spark, spec, args.out, mode="quarantine" if args.quarantine else "failfast")
     if args.publish:
-        publish(spark, args.out, args.publish)
+        publish(spark, args.out, args.publish, build_id=res.build_id)
     print(json.dumps({"build_id": res.build_id, "out": args.out, "published": args.publish}))
     return 0
 

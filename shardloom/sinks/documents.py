@@ -85,19 +85,35 @@ def read_rejected(spark: SparkSession, out: str, with_build: bool = False) -> Da
     return df.filter(F.col("index").isNull()).select("type", "value", "reason", *extra)
 
 
-def publish(spark: SparkSession, build_out: str, live_out: str) -> DataFrame:
+def publish(spark: SparkSession, build_out: str, live_out: str, build_id: str | None = None) -> DataFrame:
     """K4 + K5: copy a finished build into the live folder, whole indices at a
     time, then append its manifest rows; returns the published manifest rows.
 
+    Without ``build_id`` the whole build folder is published (a folder used
+    for one build, as the source job's output is).  With it, only the indices
+    that build wrote: a folder reused by several builds keeps the indices of
+    older ones, and those are not copied again.  Documents are selected by
+    their ``build_id`` stamp (pushed into the scan); the other tables by their
+    ``index`` partition against the build's manifest rows (one per index).
+
     The copy is a plain distributed read/write (no exchange); the manifest
     goes last, so a reader that joins through it never sees a half-copied
     index as active.
     """
+    manifest = read_table(spark, build_out, MANIFEST)
+    if build_id is not None:
+        manifest = manifest.filter(F.col("build_id") == build_id)
+    indices = manifest.select("index")
     for name in (DOCUMENTS, SHARDS, MAPPING, POSTINGS, TERMS):
         if name in (POSTINGS, TERMS) and not table_exists(spark, table_path(build_out, name)):
             continue
-        write_index_table(read_table(spark, build_out, name), table_path(live_out, name))
-    manifest = read_table(spark, build_out, MANIFEST)
+        df = read_table(spark, build_out, name)
+        if build_id is not None:
+            if name == DOCUMENTS:
+                df = df.filter(F.col("build_id") == build_id)
+            else:
+                df = df.join(indices, "index", "left_semi")
+        write_index_table(df, table_path(live_out, name))
     manifest.write.mode("append").parquet(table_path(live_out, MANIFEST))
     return manifest
 

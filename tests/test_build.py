@@ -155,3 +155,22 @@ def test_small_index_tables_get_one_file_per_index(spark, scratch):
         assert dirs
         for d in dirs:
             assert len(glob.glob(f"{d}/*.parquet")) == 1, (table, d)
+
+
+def test_publish_one_build_of_a_reused_folder(spark, scratch):
+    """A build folder reused by two builds: publishing the second build copies
+    only its own indices; publishing the folder copies both."""
+    out = f"{scratch}/b"
+    spec = fx.events_spec(3)
+    first = build_index(spark, spec, out, inputs={"event": fx.events_lines(spark, SF_SMALL, days=(1, 10))},
+                        mode="quarantine")
+    second = build_index(spark, spec, out, inputs={"event": fx.events_lines(spark, SF_SMALL, days=(11, 31))},
+                         mode="quarantine")
+    one, both = f"{scratch}/live1", f"{scratch}/live2"
+    sk.publish(spark, out, one, build_id=second.build_id)
+    sk.publish(spark, out, both)
+    idx = lambda d: {r[0] for r in d.select("index").distinct().collect()}
+    assert idx(sk.read_documents(spark, one)) == idx(second.documents)
+    assert idx(sk.read_table(spark, one, "shards")) == idx(second.documents)
+    assert idx(sk.read_documents(spark, both)) == idx(first.documents) | idx(second.documents)
+    assert sk.read_table(spark, one, "manifest").select("build_id").distinct().count() == 1
