@@ -88,3 +88,17 @@ def test_ids_are_stable_and_unique(spark):
     b = [r.i for r in df.select(X.key_id("t", "k").alias("i")).collect()]
     assert a == b and all(len(x) == 22 for x in a)
     assert len(set(a)) == 50
+
+
+def test_fold_hash_switch_routes_the_same(spark):
+    from shardloom.functions import hashing
+    df = spark.createDataFrame([(v,) for v in random_strings(300, seed=23, max_len=20)], "v string")
+    by_reflect = dict(df.select("v", X.routed_shard("v", 10)).collect())
+    hashing.use_fold_hash(True)
+    try:
+        plan = df.select(X.routed_shard("v", 10))._jdf.queryExecution().optimizedPlan().toString()
+        by_fold = dict(df.select("v", X.routed_shard("v", 10)).collect())
+    finally:
+        hashing.use_fold_hash(False)
+    assert "reflect" not in plan and "aggregate" in plan
+    assert by_fold == by_reflect
