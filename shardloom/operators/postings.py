@@ -50,18 +50,28 @@ def char_class(chars: str) -> str:
 JOIN_LETTERS = char_class(MID_LETTER + MID_NUM_LET + SINGLE_QUOTE)
 JOIN_DIGITS = char_class(MID_NUM + MID_NUM_LET + SINGLE_QUOTE)
 EXTEND = char_class(EXTEND_NUM_LET)
+# Characters outside the Katakana script that count as Katakana
+# for word boundaries (repeat, voiced and prolonged sound marks).
+KATAKANA_EXTRA = "\u3031\u3032\u3033\u3034\u3035\u309B\u309C\u30A0\u30FC\uFF70\uFF9E\uFF9F"
+# Han, Hiragana and Katakana all lie at U+2E80 and above: every script test
+# is guarded by that range, so the common scripts never pay for it.
+_HIGH = r"\x{2E80}-\x{10FFFF}"
+_KATA = rf"[{_HIGH}&&[\p{{IsKatakana}}" + char_class(KATAKANA_EXTRA)[1:-1] + "]]"
+_OWN_SCRIPTS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}" + char_class(KATAKANA_EXTRA)[1:-1]
 # Java regex of one token: a word of letters and digits (scripts other than
-# Han and Hiragana) with its joiners, underscores and marks, or one Han or
-# Hiragana character.  Lower-case ASCII is tried first, and the loops are
-# possessive (nothing follows them, so the matches are the same), which keeps
-# the per-character work low.
-_LETTER = r"[\p{L}&&[^\p{IsHan}\p{IsHiragana}]]"
-_WORD_CHAR = r"(?:[a-z0-9]|[\p{L}\p{N}&&[^\p{IsHan}\p{IsHiragana}]])"
+# Han, Hiragana and Katakana) with its joiners, underscores and marks; a run
+# of Katakana (joined to letters or digits only through an underscore); or
+# one Han or Hiragana character.  Lower-case ASCII is tried first, and the
+# loops are possessive (nothing follows them, so the matches are the same).
+_LETTER = rf"(?:[\p{{L}}&&[^{_HIGH}]]|[\p{{L}}&&[{_HIGH}]&&[^{_OWN_SCRIPTS}]])"
+_ALNUM = rf"(?:[\p{{L}}\p{{N}}&&[^{_HIGH}]]|[\p{{L}}\p{{N}}&&[{_HIGH}]&&[^{_OWN_SCRIPTS}]])"
+_LETTER_OR_MARK = rf"(?:[\p{{L}}\p{{M}}&&[^{_HIGH}]]|[\p{{L}}\p{{M}}&&[{_HIGH}]&&[^{_OWN_SCRIPTS}]])"
 TOKEN_PATTERN = (
-    rf"{EXTEND}*+{_WORD_CHAR}(?:[a-z0-9]++|{_WORD_CHAR}|{EXTEND}|\p{{M}}"
-    rf"|(?<=[\p{{L}}\p{{M}}]){JOIN_LETTERS}(?={_LETTER})"
+    rf"{EXTEND}*+(?:[a-z0-9]|{_ALNUM}|{_KATA})"
+    rf"(?:(?<!{_KATA})[a-z0-9]++|(?<!{_KATA}){_ALNUM}|(?<!{_ALNUM}){_KATA}|{EXTEND}|\p{{M}}"
+    rf"|(?<={_LETTER_OR_MARK}){JOIN_LETTERS}(?={_LETTER})"
     rf"|(?<=\p{{Nd}}){JOIN_DIGITS}(?=\p{{Nd}}))*+"
-    r"|[\p{IsHan}\p{IsHiragana}]"
+    rf"|[{_HIGH}&&[\p{{IsHan}}\p{{IsHiragana}}]]"
 )
 
 
@@ -91,7 +101,8 @@ def tokens(text) -> F.Column:
     """Analysed tokens of a text column, as an array (stop words kept): the
     lower-cased text's words by the word-boundary rules above, so
     ``example.com``, ``2.0``, ``10.0.0.1``, ``1,000``, ``don't`` and
-    ``foo_bar`` are one token each, and each Han or Hiragana character is one."""
+    ``foo_bar`` are one token each, a Katakana run is its own token, and each
+    Han or Hiragana character is one."""
     text = F.col(text) if isinstance(text, str) else text
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
 

@@ -9,7 +9,7 @@ of each character with ``list_reduce``.
 
 from __future__ import annotations
 
-from ..operators.postings import EXTEND, JOIN_DIGITS, JOIN_LETTERS
+from ..operators.postings import EXTEND, JOIN_DIGITS, JOIN_LETTERS, KATAKANA_EXTRA, char_class
 from ..spec import DATA_TYPES, IndexSpec, TypeSpec
 
 # Placeholder for an escaped separator during the split (a noncharacter).
@@ -80,23 +80,30 @@ def json_doc_sql(names: list[str], with_id: str | None) -> str:
 
 # Marker put before a joiner that sits between two letters or two digits (a noncharacter).
 _JOIN_MARK = "chr(64976)"
-_LW = r"[^\P{L}\p{Han}\p{Hiragana}]"
-_W = r"(?:[^\P{L}\p{Han}\p{Hiragana}]|[^\P{N}\p{Han}\p{Hiragana}])"
+_KX = char_class(KATAKANA_EXTRA)[1:-1]
+_OWN = r"\p{Han}\p{Hiragana}\p{Katakana}" + _KX
+_KATA = r"[\p{Katakana}" + _KX + "]"
+_LW = rf"[^\P{{L}}{_OWN}]"
+_W = rf"(?:[^\P{{L}}{_OWN}]|[^\P{{N}}{_OWN}])"
 
 
 def tokens_sql(text: str) -> str:
     """The analysed tokens of ``lower(text)``, restated for RE2 (no look-around):
-    joiners between two letters, then between two digits, are marked in two
-    passes each (a pass cannot reuse the letter it consumed), words are
-    extracted with a marked joiner allowed inside, and the marks removed."""
+    a space is put wherever Katakana meets a letter or digit; joiners between
+    two letters, then between two digits, are marked in two passes each (a
+    pass cannot reuse the letter it consumed); words are extracted with a
+    marked joiner allowed inside, and the marks removed."""
     x = f"lower({text})"
+    x = f"regexp_replace({x}, '({_KATA})({_W})', '\\1 \\2', 'g')"
+    x = f"regexp_replace({x}, '({_W})({_KATA})', '\\1 \\2', 'g')"
     for _ in range(2):
         x = (f"regexp_replace({x}, '({_LW}|\\p{{M}})({JOIN_LETTERS})({_LW})', "
              f"'\\1' || {_JOIN_MARK} || '\\2\\3', 'g')")
     for _ in range(2):
         x = (f"regexp_replace({x}, '(\\p{{Nd}})({JOIN_DIGITS})(\\p{{Nd}})', "
              f"'\\1' || {_JOIN_MARK} || '\\2\\3', 'g')")
-    word = (f"'[\\p{{Han}}\\p{{Hiragana}}]|{EXTEND}*{_W}(?:{_W}|{EXTEND}|\\p{{M}}|' || {_JOIN_MARK} || '.)*'")
+    word = (f"'[\\p{{Han}}\\p{{Hiragana}}]|{EXTEND}*(?:{_W}|{_KATA})(?:{_W}|{_KATA}|{EXTEND}|\\p{{M}}|' "
+            f"|| {_JOIN_MARK} || '.)*'")
     return f"list_transform(regexp_extract_all({x}, {word}), lambda t: replace(t, {_JOIN_MARK}, ''))"
 
 

@@ -47,8 +47,9 @@ def _is_han_or_hiragana(c: str) -> bool:
 def words(s: str) -> list[str]:
     """Analysed tokens, scanned a character at a time: a word is letters and
     digits (with underscores and marks); a letter joiner between two letters,
-    or a digit joiner between two digits, stays inside it; each Han or
-    Hiragana character is a word of its own."""
+    or a digit joiner between two digits, stays inside it; a Katakana run is a
+    word that meets letters and digits only through an underscore; each Han
+    or Hiragana character is a word of its own."""
     import unicodedata
 
     from shardloom.operators import postings as po
@@ -59,8 +60,12 @@ def words(s: str) -> list[str]:
     def cat(c):
         return unicodedata.category(c) if c else ""
 
+    def kata(c):
+        import unicodedata as u
+        return bool(c) and (c in po.KATAKANA_EXTRA or u.name(c, "").startswith(("KATAKANA", "HALFWIDTH KATAKANA")))
+
     def word_char(c):
-        return bool(c) and cat(c)[0] in "LN" and not _is_han_or_hiragana(c)
+        return bool(c) and cat(c)[0] in "LN" and not _is_han_or_hiragana(c) and not kata(c)
 
     out, cur, has_word = [], "", False
 
@@ -76,15 +81,17 @@ def words(s: str) -> list[str]:
         if _is_han_or_hiragana(c):
             flush()
             out.append(c)
-        elif word_char(c):
+        elif word_char(c) or kata(c):
+            if (word_char(c) and kata(prev)) or (kata(c) and word_char(prev)):
+                flush()
             cur += c
             has_word = True
         elif c in ext:
             cur += c
         elif has_word and cat(c).startswith("M"):
             cur += c
-        elif (has_word and c in join_letters and cat(prev)[:1] in ("L", "M")
-              and cat(nxt).startswith("L") and word_char(nxt)):
+        elif (has_word and c in join_letters and cat(prev)[:1] in ("L", "M") and not kata(prev)
+              and not _is_han_or_hiragana(prev) and cat(nxt).startswith("L") and word_char(nxt)):
             cur += c
         elif has_word and c in join_digits and cat(prev) == "Nd" and cat(nxt) == "Nd":
             cur += c

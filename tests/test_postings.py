@@ -15,13 +15,14 @@ def _analyse(text):
 
 
 ALPHABET = ["a", "b", "É", "z", "0", "7", ".", ",", ";", ":", "'", "\u2019", "_", " ", "-", "@", "中", "ひ",
-            "カ", "\u0301", "\n", "x1", "2.0"]
+            "カ", "タ", "ー", "\uff9e", "\u0301", "\n", "x1", "2.0"]
 
 
 def test_tokens_equal_the_plain_word_rule(spark):
     rnd = random.Random(17)
     texts = sorted({"".join(rnd.choice(ALPHABET) for _ in range(rnd.randint(0, 25))) for _ in range(1500)})
-    texts += ["hein.19@mail5.example.com 70.23.22.57 v2.0. 1,000 a.b.c don't _foo_ ___ end.Next"]
+    texts += ["hein.19@mail5.example.com 70.23.22.57 v2.0. 1,000 a.b.c don't _foo_ ___ end.Next",
+              "カタカナabc abcカタ カ_a カ1 カ.a 中カ ひカ"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = {r.t: r.k for r in df.select("t", po.tokens("t").alias("k")).collect()}
     for t in texts:
