@@ -85,8 +85,10 @@ def build_index(spark: SparkSession, ispec: IndexSpec, out: str, *,
     built = stats.select("index").distinct()
     grid = shard_grid(stats, ispec.num_shards)
     mapping = merge_mapping(stats, ispec)
-    write_index_table(by_index(shard_manifest(grid)), table_path(out, SHARDS))
-    write_index_table(by_index(mapping), table_path(out, MAPPING))
+    # grid and mapping leave aggregates keyed by index (and type): each index
+    # is already in one task, so they are written as they are
+    write_index_table(shard_manifest(grid), table_path(out, SHARDS))
+    write_index_table(mapping, table_path(out, MAPPING))
     if postings:
         write_index_table(postings_from_documents(docs, ispec), table_path(out, POSTINGS))
         built_postings = read_table(spark, out, POSTINGS).join(built, "index", "left_semi")
