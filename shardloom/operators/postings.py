@@ -4,10 +4,10 @@
   field: one row per (document, field); a narrow projection, no shuffle.
 * L3 text postings - fields mapped ``analyzed``: lower-cased words by the
   Unicode word-boundary rules (letters, digits and their joiners), tokens
-  over 255 characters and English stop words dropped, term frequency per document.  All tokens of a document field are
-  in one row, so the frequencies are counted inside that row (sort the
-  tokens, measure the runs of equal ones): no exchange, and a frequent term
-  is never gathered anywhere.
+  over 255 characters and English stop words dropped, term frequency per
+  document.  All tokens of a document field are in one row, so the
+  frequencies are counted inside that row (sort the tokens, measure the runs
+  of equal ones): no exchange, and a frequent term is never gathered anywhere.
 * L4 term dictionary - document and total frequency per (index, field, term),
   a partial + final aggregate (a hot term is one row per task before the
   exchange).
