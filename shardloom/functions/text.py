@@ -21,17 +21,27 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def separator_regex(sep: str) -> str:
-    """Java regex that matches an unescaped ``sep``."""
+def _separator_literal(sep: str) -> str:
     if len(sep) != 1:
         raise ValueError("separator must be one character")
-    lit = sep if (sep.isalnum() or ord(sep) < 32 or ord(sep) > 126) else "\\" + sep
-    return r"(?<!\\)" + lit
+    return sep if (sep.isalnum() or ord(sep) < 32 or ord(sep) > 126) else "\\" + sep
+
+
+def separator_regex(sep: str) -> str:
+    """Java regex that matches an unescaped ``sep``."""
+    return r"(?<!\\)" + _separator_literal(sep)
 
 
 def split_escaped(value, sep: str) -> Column:
-    """Escape-aware split; ``limit=-1`` keeps trailing empty fields."""
-    return F.split(_col(value), separator_regex(sep), -1)
+    """Escape-aware split; ``limit=-1`` keeps trailing empty fields.
+
+    A line without a backslash has no escaped separator, so it takes the
+    plain split on the one character (no regex is run); only lines with a
+    backslash take the look-behind pattern.  Both give the same fields.
+    """
+    v = _col(value)
+    return F.when(F.instr(v, "\\") > 0, F.split(v, separator_regex(sep), -1)) \
+        .otherwise(F.split(v, _separator_literal(sep), -1))
 
 
 def split_escaped_by(value, sep_col) -> Column:
