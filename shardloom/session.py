@@ -18,6 +18,10 @@ BUILD_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # index names are text even when they look like numbers or dates
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # a read through the manifest (active indices) prunes the index folders
+    # of the documents scan even when the join plan offers no broadcast to
+    # reuse: the manifest subquery is small and runs on its own
+    "spark.sql.optimizer.dynamicPartitionPruning.reuseBroadcastOnly": "false",
 }
 
 

@@ -64,3 +64,10 @@ def test_build_postings_write_needs_no_exchange(spark):
     p = postings_from_documents(docs, DOCS)._jdf.queryExecution().executedPlan().toString()
     # only the feed's own spread of a one-file table; nothing keyed by term or document
     assert "Exchange hashpartitioning" not in p and "HashAggregate" not in p
+
+
+def test_active_documents_prune_index_folders(spark):
+    df = E.queries()["active_documents"](spark, SF_SMALL)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression(index" in p
