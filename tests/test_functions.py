@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shardloom import functions as X
 from tests import rules
 
-ALPHABET = ["a", "b", "Z", "0", ",", "|", "\x01", "\\", "N", " ", "é", "中", "😀", "\t", '"', ":"]
+ALPHABET = ["a", "b", "Z", "0", ",", "|", "\x01", "\\", "N", " ", "é", "中", "😀", "\t", '"', ":", "."]
 
 
 def random_strings(n, seed=7, max_len=12):
@@ -21,7 +21,7 @@ def random_strings(n, seed=7, max_len=12):
 def test_split_null_unescape_random(spark):
     vals = random_strings(600)
     df = spark.createDataFrame([(v,) for v in vals], "v string")
-    for sep in (",", "|", "\x01"):
+    for sep in (",", "|", "\x01", ".", "é", "N"):
         got = {r.v: (r.sp, r.fv) for r in df.select(
             "v", X.split_escaped("v", sep).alias("sp"), X.field_value("v").alias("fv")).collect()}
         for v in vals:
