@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash_dedup
+from . import mixing, secret_scan, simhash_dedup
 from .common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,8 +23,77 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+_MIX = mixing.Mix()
+
+
+@query("op2_mix_sources", f"""
+WITH doc AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents),
+src AS (SELECT source, sum(size)::BIGINT AS w, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS pos FROM doc GROUP BY source),
+wt AS (SELECT *, CASE pos % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight FROM src),
+fill AS (SELECT *, sum(2 * w) OVER o AS capped, sum(weight) OVER () - sum(weight) OVER o AS free, sum(w) OVER () AS total,
+         2.0::DOUBLE * w / weight AS ratio FROM wt WINDOW o AS (ORDER BY 2.0::DOUBLE * w / weight, pos)),
+-- the level: with the sources of the k smallest ratios at their cap, the rest share what is left; the largest k that holds
+lev AS (SELECT coalesce(max(l), (SELECT 1.5::DOUBLE * sum(w) / sum(weight) FROM wt)) AS l
+        FROM (SELECT (1.5::DOUBLE * total - capped) / free AS l, ratio FROM fill WHERE free > 0) WHERE l > ratio),
+tgt AS (SELECT wt.*, least((2 * w)::DOUBLE, weight * (SELECT l FROM lev)) AS target FROM wt),
+tot AS (SELECT sum(target) AS total, count(*) AS num, greatest(1, least({_MIX.most_block}, floor(min(target) / {_MIX.parts})))::BIGINT AS block
+        FROM tgt WHERE target > 0),
+hs AS (SELECT *, greatest(1, round_even(total / block, 0))::BIGINT AS house FROM tot),
+part AS (SELECT tgt.pos, shard, target, ceil(w / block)::BIGINT AS n, floor(house * shard / {_MIX.shards})::BIGINT AS seats_all, target / total AS share, num / 2 AS half
+         FROM tgt, hs, range(1, {_MIX.shards} + 1) t(shard) WHERE target > 0),
+bnd AS (SELECT *, greatest(0, ceil(share * (seats_all - half) - 0.5) - 1)::BIGINT AS sure, (floor(share * (seats_all + half) + 0.5) + 1)::BIGINT AS most FROM part),
+cand AS (SELECT shard, pos, row_number() OVER (PARTITION BY shard ORDER BY target / (2 * k + 1) DESC, pos) AS rk
+         FROM (SELECT shard, pos, target, unnest(range(sure, most + 1)) AS k FROM bnd)),
+won AS (SELECT shard, pos, count(*) AS more FROM cand JOIN (SELECT shard, max(seats_all) - sum(sure) AS free FROM bnd GROUP BY shard) USING (shard)
+        WHERE rk <= free GROUP BY shard, pos),
+quota AS (SELECT pos, n, list(least(sure + coalesce(more, 0), 2 * n)::BIGINT ORDER BY shard) AS upto FROM bnd LEFT JOIN won USING (shard, pos) GROUP BY pos, n),
+line AS (SELECT tgt.source, tgt.w, tgt.target, greatest(coalesce(n, 1), 1) AS n, coalesce(upto, []) AS upto,
+         coalesce(upto[-1], 0) // greatest(coalesce(n, 1), 1) AS whole, coalesce(upto[-1], 0) % greatest(coalesce(n, 1), 1) AS r,
+         ('0x' || substr(md5('{_MIX.seed}:' || tgt.pos), 1, 12))::BIGINT % greatest(coalesce(n, 1), 1) AS c, coalesce((SELECT block FROM hs), 1) AS block
+         FROM tgt LEFT JOIN quota USING (pos)),
+spot AS (SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY coalesce((doc_id % {mixing.BINS} + {mixing.BINS}) % {mixing.BINS}, 0),
+         doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING), 0)::BIGINT - size AS org FROM doc),
+pick AS (SELECT s.doc_id, s.source, s.size, l.w, l.target, l.whole, l.upto, l.n, l.r::HUGEINT AS r, l.c, l.block, org, org // block AS k, (org + size) // block AS k2
+         FROM spot s JOIN line l ON s.source IS NOT DISTINCT FROM l.source),
+done AS (SELECT *, (k * r + c) // n AS a, ((k + 1) * r + c) // n AS a1, (k2 * r + c) // n AS b, ((k2 + 1) * r + c) // n AS b1 FROM pick),
+res AS (SELECT *, (whole * size + block * (b - a) + (org + size - k2 * block) * (b1 - b) - (org - k * block) * (a1 - a))::BIGINT AS taken FROM done)
+SELECT doc_id, size, w AS source_size, target, taken,
+  CASE WHEN taken > 0 THEN len(list_filter(upto, lambda u: u <= CASE WHEN whole > 0 THEN k ELSE a END))::INTEGER END AS shard FROM res""")
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    got = mixing.mix_plan(read_table(spark, sf_dir, "documents"), _MIX)
+    return got.select("doc_id", "size", "source_size", "target", "taken", "shard")
+
+
 @query("op3_simhash_dedup")
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     got = simhash_dedup.simhash_groups(read_table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+_SPAN_SQL = ", ".join(f"({i}, '{r.kind}', $re${r.pattern}$re$, {r.least})" for i, r in enumerate(secret_scan.RULES))
+
+
+@query("op8_secret_scan", rf"""
+WITH rule(kind, name, pat, least) AS (VALUES {_SPAN_SQL}),
+doc AS (SELECT row_number() OVER () AS uid, doc_id, coalesce(text, '') AS text FROM documents),
+cut AS (SELECT uid, kind, name, least, pat, regexp_extract_all(text, pat) AS inside, string_split_regex(text, pat) AS around
+        FROM doc, rule WHERE regexp_matches(text, pat)),
+hit AS (SELECT uid, kind, name, least, pat, unnest(range(1, len(inside) + 1)) AS i, unnest(inside) AS m,
+               unnest(around[1:len(inside)]) AS p FROM cut),
+spot AS (SELECT *, sum(length(p) + length(m)) OVER (PARTITION BY uid, kind ORDER BY i) AS e FROM hit),
+span AS (SELECT uid, kind, name, e - length(m) AS s, e FROM spot
+         WHERE CASE WHEN least = 0 THEN TRUE ELSE length(regexp_extract(m, pat, 1)) >= least END),
+told AS (SELECT uid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+  coalesce(string_agg(concat(name, ':', s, ':', e), ',' ORDER BY s, kind) FILTER (kind < {secret_scan.BASE}), '') AS base,
+  string_agg(concat(name, ':', s, ':', e), ',' ORDER BY s, kind) AS spans FROM span GROUP BY uid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM doc LEFT JOIN told USING (uid)""")
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the base kinds, all spans."""
+    got = secret_scan.scan(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s.kind < secret_scan.BASE)
+    count = lambda k: F.size(F.filter("spans", lambda s: s.kind == k)).cast("bigint")
+    return got.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                      F.sha2(secret_scan.digest(base), 256).alias("base_sha256"), secret_scan.digest(F.col("spans")).alias("spans"))
