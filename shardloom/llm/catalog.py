@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secret_scan, simhash_dedup
+from . import byte_bpe, mixing, secret_scan, simhash_dedup
 from .common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,17 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda k: F.size(F.filter("spans", lambda s: s.kind == k)).cast("bigint")
     return got.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
                       F.sha2(secret_scan.digest(base), 256).alias("base_sha256"), secret_scan.digest(F.col("spans")).alias("spans"))
+
+
+def vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> tuple[bytes, str]:
+    """Content of a public rank file, and the pattern that goes with it."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read(), public_tokenizers.PATTERN
+
+
+@query("op7_byte_bpe")
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of ids and decoded bytes of every document."""
+    return byte_bpe.encode(read_table(spark, sf_dir, "documents"), *vocabulary())
