@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, secret_scan, simhash_dedup
+from . import byte_bpe, mixing, quality_perplexity, secret_scan, simhash_dedup
 from .common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,9 @@ def vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> tuple[bytes, str]:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded bytes of every document."""
     return byte_bpe.encode(read_table(spark, sf_dir, "documents"), *vocabulary())
+
+
+@query("op4_quality_perplexity")
+def op4_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    return quality_perplexity.judge(read_table(spark, sf_dir, "documents"))
