@@ -9,17 +9,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shardloom.llm import simhash_dedup
+from shardloom.llm import byte_bpe, mixing, quality_perplexity, secret_scan, simhash_dedup
+from shardloom.llm.catalog import vocabulary
 from shardloom.session import scratch_path
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or lie outside their language's perplexity band go."""
+    return quality_perplexity.kept_documents(docs)
+
+
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return simhash_dedup.keep_one(docs)
 
 
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by their kind."""
+    return secret_scan.redact(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of the sources: repeated, whole, partial or no text of a document."""
+    return mixing.mixed_documents(docs)
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token count, ids and digests of every text of the mix."""
+    return byte_bpe.encode(docs, *vocabulary(), whole=True).drop("decoded")
+
+
 STAGES = [
+    ("quality_rules", quality_stage),
     ("simhash_dedup", simhash_stage),
+    ("secret_scan", secret_stage),
+    ("source_mixing", mixing_stage),
+    ("byte_bpe", bpe_stage),
 ]
 
 ORACLE_SQL = None   # SimHash, perplexity bands and byte-level BPE are beyond SQL; see tests/llm

@@ -176,17 +176,28 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> tuple[DataFr
     return met.groupBy("doc_id").agg(F.collect_set("rule").alias("rules")), full
 
 
+def _counts(match: Column, rule: Rule) -> Column:
+    """Whether a match is long enough to be reported."""
+    return F.length(F.regexp_extract(match, rule.pattern, 1)) >= rule.least if rule.least else F.lit(True)
+
+
 def _matches(text: Column, rule: Rule, r: int) -> Column:
     """Per match: kind, order, length of the text before it, its length, whether it counts."""
-    pattern = F.lit(rule.pattern)
     around = F.split(text, rule.pattern, -1)
-    inside = F.regexp_extract_all(text, pattern, F.lit(0))
-    ok = (lambda m: F.length(F.regexp_extract(m, rule.pattern, 1)) >= rule.least) if rule.least else (lambda m: F.lit(True))
+    inside = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     both = F.zip_with(around, inside, lambda p, m: F.struct(
-        F.lit(r).alias("kind"), F.length(p).alias("p"), F.length(m).alias("m"), F.coalesce(ok(m), F.lit(False)).alias("ok")))
+        F.lit(r).alias("kind"), F.length(p).alias("p"), F.length(m).alias("m"), F.coalesce(_counts(m, rule), F.lit(False)).alias("ok")))
     return F.filter(both, lambda x: x.m.isNotNull())
 
 
+def _without(text: Column, rule: Rule) -> Column:
+    """The text before each match, then the kind, or the match itself where it does not count."""
+    around = F.split(text, rule.pattern, -1)
+    inside = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    return F.array_join(F.zip_with(around, inside, lambda p, m: F.concat(
+        p, F.when(m.isNull(), "").when(_counts(m, rule), f"[{rule.kind}]").otherwise(m))), "")
+
+
 _HITS = "array<struct<kind:int,p:int,m:int,ok:boolean>>"
 
 
@@ -229,17 +240,10 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     and ``n_chars`` (if there) counted anew where the text changed."""
     cols = docs.columns
     told, full = _with_candidates(docs, rules)
-    text = F.col("text")
+    told = told.withColumn("__llm_text", F.col("text"))
+    text = F.col("__llm_text")
     for r, rule in enumerate(rules):
-        mark = F.lit(f"[{rule.kind}]")
-        ok = (lambda m, rule=rule: F.length(F.regexp_extract(m, rule.pattern, 1)) >= rule.least) if rule.least else (lambda m: F.lit(True))
-        # text before each match, then the mark, or the match itself where it does not count
-        rebuilt = F.array_join(F.zip_with(F.split(F.col("__llm_text"), rule.pattern, -1),
-                                          F.regexp_extract_all("__llm_text", F.lit(rule.pattern), F.lit(0)),
-                                          lambda p, m, ok=ok, mark=mark: F.concat(p, F.when(m.isNull(), "").when(ok(m), mark).otherwise(m))), "")
-        told = told.withColumn("__llm_text", text if r == 0 else F.col("__llm_text"))
-        told = told.withColumn("__llm_text", F.when(_admitted(r, full) & F.col("__llm_text").rlike(rule.pattern), rebuilt)
-                               .otherwise(F.col("__llm_text")))
+        told = told.withColumn("__llm_text", F.when(_admitted(r, full) & text.rlike(rule.pattern), _without(text, rule)).otherwise(text))
     changed = ~F.col("__llm_text").eqNullSafe(F.col("text"))
     out = {"text": F.col("__llm_text")}
     if "n_chars" in cols:
