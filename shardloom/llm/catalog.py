@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, quality_perplexity, secret_scan, simhash_dedup
+from . import byte_bpe, mixing, quality_perplexity, secret_scan, simhash_dedup, warc
 from .common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,15 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return quality_perplexity.judge(read_table(spark, sf_dir, "documents"))
+
+
+@query("op9_warc", f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+o AS (SELECT page_id, h, CASE WHEN strlen(h) >= {warc.LEAST_REVISIT} THEN max(page_id) OVER (PARTITION BY h) END AS owner FROM p)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN owner IS NOT NULL AND page_id IS DISTINCT FROM owner THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM owner THEN owner END AS refers_to FROM o""")
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back from the archives."""
+    got = warc.round_trip(read_table(spark, sf_dir, "pages"))
+    return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
