@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, quality_perplexity, secret_scan, simhash_dedup, warc
+from . import byte_bpe, mixing, quality_perplexity, secret_scan, simhash_dedup, toxicity_fm, url_rules, warc
 from .common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,22 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record and read back from the archives."""
     got = warc.round_trip(read_table(spark, sf_dir, "pages"))
     return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_url_rules")
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's url.  The last number in a page's path is the
+    document it shows; that document's label is the url's."""
+    pages, labels = read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels")
+    shown = F.expr(r"try_cast(regexp_extract(url, '://[^?#]*/([0-9]{1,18})[^/0-9?#]*/?(?:[?#]|$)', 1) AS BIGINT)")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    told = pages.select("url", shown.alias("doc_id")).join(labels.select("doc_id", bad.alias("bad")), "doc_id")
+    return url_rules.judge(pages, told.select("url", "bad"))
+
+
+@query("op10_toxicity_fm")
+def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    training = toxicity_fm.Training()
+    return toxicity_fm.score(docs, toxicity_fm.train(toxicity_fm.training_rows(docs, labels, training), training))
