@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, mixing, quality_perplexity, secret_scan, simhash_dedup, toxicity_fm, url_rules, warc
+from . import byte_bpe, embedding_dedup, mixing, quality_perplexity, secret_scan, simhash_dedup, toxicity_fm, url_rules, warc
 from .common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,9 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     training = toxicity_fm.Training()
     return toxicity_fm.score(docs, toxicity_fm.train(toxicity_fm.training_rows(docs, labels, training), training))
+
+
+@query("op1_embedding_dedup")
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate group of every vector."""
+    return embedding_dedup.embedding_groups(read_table(spark, sf_dir, "embeddings"))
