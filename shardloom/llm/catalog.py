@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, embedding_dedup, mixing, quality_perplexity, secret_scan, simhash_dedup, toxicity_fm, url_rules, warc
+from . import byte_bpe, chat_rotation, embedding_dedup, mixing, quality_perplexity, secret_scan, simhash_dedup, toxicity_fm, url_rules, warc
 from .common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,22 @@ def op10_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and near-duplicate group of every vector."""
     return embedding_dedup.embedding_groups(read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_chat_rotation", f"""
+WITH t AS (SELECT conv_id, turn, regexp_replace(replace(coalesce(role, 'unknown'), '<|', '< |'), '\\s', '_', 'g') AS speaker,
+           replace(coalesce(text, ''), '<|', '< |') AS text, floor(turn / {chat_rotation.TURNS})::BIGINT AS part FROM conversations),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn, speaker, text) - 1 AS rn FROM t),
+p AS (SELECT DISTINCT conv_id, speaker AS me FROM t WHERE speaker <> 'system'),
+s AS (SELECT conv_id, part, rn // {chat_rotation.ROWS} AS piece, rn, me, speaker, concat('{chat_rotation.START}',
+      CASE WHEN speaker = me THEN 'assistant' WHEN speaker = 'system' THEN 'system' ELSE concat('user name=', speaker) END, chr(10)) AS pre, text
+      FROM r JOIN p USING (conv_id)),
+g AS (SELECT *, concat(pre, text, '{chat_rotation.END}', chr(10)) AS seg FROM s),
+o AS (SELECT *, sum(length(seg)) OVER (PARTITION BY conv_id, part, piece, me ORDER BY rn) - length(seg) AS org FROM g)
+SELECT conv_id, part, piece::BIGINT AS piece, me AS perspective, count(*)::INTEGER AS n_turns, string_agg(seg, '' ORDER BY rn) AS text,
+  coalesce(string_agg(concat(org + length(pre), ':', org + length(seg) - 1), ',' ORDER BY rn) FILTER (speaker = me), '') AS mask
+FROM o GROUP BY conv_id, part, piece, me""")
+def op6_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from every participant's perspective; the mask as ``start:end`` pairs."""
+    got = chat_rotation.rotations(read_table(spark, sf_dir, "conversations"))
+    return got.withColumn("mask", F.array_join(F.transform("mask", lambda m: F.concat_ws(":", m.start, m.end)), ","))
