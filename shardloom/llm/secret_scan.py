@@ -161,10 +161,12 @@ def _query_table(spark: SparkSession, rules: tuple[Rule, ...]) -> tuple[DataFram
 
 def trigram_index(docs: DataFrame, grams: list[str]) -> DataFrame:
     """Postings ``(tri, doc_id)`` of the given trigrams in the case-folded text."""
-    low = docs.where("doc_id is not null and text is not null").select("doc_id", F.lower("text").alias("low"))
     asked = F.array(*[F.lit(g) for g in grams])
-    found = low.select("doc_id", F.filter(asked, lambda g: F.contains(F.col("low"), g)).alias("tris"))
-    return found.select("doc_id", F.explode("tris").alias("tri"))
+    # the folded text is bound to a lambda variable, so it is made once a row, not once a trigram
+    found = F.flatten(F.transform(F.array(F.lower("text")), lambda low: F.filter(asked, lambda g: F.contains(low, g))))
+    rows = docs.where("doc_id is not null and text is not null")
+    # explode_outer: plain explode makes the optimizer test the array's size first, which computes it twice
+    return rows.select("doc_id", F.explode_outer(found).alias("tri")).where("tri is not null")
 
 
 def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, set[int]]:
