@@ -1,13 +1,14 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text's terms are its distinct lower-case words, hashed to ``2^HASH_BITS``
-buckets.  The machine scores a text by a bias, a weight per bucket present and
+A text's terms are its distinct lower-case words and their beginnings (4 to 8
+letters, for inflected and compounded forms), hashed to ``2^HASH_BITS`` buckets.  The machine scores a text by a bias, a weight per bucket present and
 the product of the factors of every pair of buckets present, so a pair of words
 can count although neither does alone.
 
 Training takes a bounded sample of the labelled rows (``rows`` expected, chosen
 by a hash of ``doc_id``); buckets are ranked by chi-square on that sample and
-the best ``terms`` enter the machine, which Spark ML fits.  Scoring reads every
+the best ``terms`` of those beyond ``chance`` enter the machine, which Spark
+ML fits.  Scoring reads every
 whole text; a text's cost is its number of words.
 
 Defined results: a null or empty text has no terms and gets the score of the
@@ -32,15 +33,18 @@ from pyspark.sql import functions as F
 from .common import saved
 
 HASH_BITS = 22
+STEMS = range(4, 9)
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
 @dataclass(frozen=True)
 class Training:
     rows: int = 20_000        # bound of the training sample (expected size)
-    terms: int = 4096         # buckets that enter the machine
+    terms: int = 1024         # buckets that enter the machine at most
+    chance: float = 15.0      # chi-square that a bucket has at least
     least: int = 5            # training texts that a bucket is in at least
     factors: int = 4
+    start: float = 0.01       # spread of the factors at the start
     steps: int = 60
     rate: float = 0.1
     penalty: float = 1e-4
@@ -49,8 +53,9 @@ class Training:
 
 def buckets(text: str | None) -> np.ndarray:
     """Distinct hash buckets of the words of a text."""
-    words = set(_WORDS.findall((text or "").lower()))
-    return np.unique(np.fromiter((zlib.crc32(w.encode()) for w in words), np.uint32, len(words)) & np.uint32((1 << HASH_BITS) - 1)).astype(np.int32)
+    terms = set(_WORDS.findall((text or "").lower()))
+    terms |= {w[:n] + "*" for w in terms for n in STEMS if len(w) > n}
+    return np.unique(np.fromiter((zlib.crc32(w.encode()) for w in terms), np.uint32, len(terms)) & np.uint32((1 << HASH_BITS) - 1)).astype(np.int32)
 
 
 @dataclass
@@ -62,9 +67,10 @@ class Machine:
     bias: float
 
     def score(self, found: np.ndarray) -> float:
-        i = np.searchsorted(self.at, found)
-        i = i[(i < len(self.at))]
-        i = i[np.isin(self.at[i], found)] if len(i) else i
+        if not len(self.at):
+            return float(1 / (1 + np.exp(-self.bias)))
+        i = np.minimum(np.searchsorted(self.at, found), len(self.at) - 1)
+        i = i[self.at[i] == found]
         v = self.factor[i]
         z = self.bias + self.weight[i].sum() + 0.5 * ((v.sum(0) ** 2).sum() - (v ** 2).sum())
         return float(1 / (1 + np.exp(-np.clip(z, -60, 60))))
@@ -106,7 +112,7 @@ def train(rows: DataFrame, training: Training = Training()) -> Machine:
             .agg(F.count(F.lit(1)).alias("c"), F.sum("toxic").alias("t")).where(F.col("c") >= training.least))
     expected = F.col("c") * F.lit(pos / n)
     chi = (F.col("t") - expected) ** 2 / (expected * F.lit(1 - pos / n) * (1 - F.col("c") / F.lit(n + 1)))
-    best = seen.orderBy(chi.desc(), "bucket").limit(training.terms).select("bucket").collect()      # bounded by ``terms``
+    best = seen.where(chi >= training.chance).orderBy(chi.desc(), "bucket").limit(training.terms).select("bucket").collect()      # bounded by ``terms``
     at = np.array(sorted(r.bucket for r in best), np.int32)
     if not len(at):
         none.bias = float(np.log(pos / (n - pos)))
@@ -120,7 +126,7 @@ def train(rows: DataFrame, training: Training = Training()) -> Machine:
 
     data = saved(rows.select(F.col("toxic").cast("double").alias("label"), vector("buckets").alias("features")), "toxic-vectors")
     fit = FMClassifier(factorSize=training.factors, maxIter=training.steps, stepSize=training.rate, regParam=training.penalty,
-                       seed=training.seed, initStd=0.05, tol=1e-5).fit(data)
+                       seed=training.seed, initStd=training.start, tol=1e-5).fit(data)
     return Machine(at, fit.linear.toArray(), fit.factors.toArray(), float(fit.intercept))
 
 
