@@ -3,10 +3,13 @@
 1. Documents are cut into pre-tokens (each match of ``pattern``) and dealt to
    blocks of about ``block_bytes`` of text; a document's pre-tokens stay in
    order, which is their position.
-2. Each block lists its distinct pre-tokens once; the (word, block) pairs are
-   dealt by word, so the tokenizer runs once per distinct word of the corpus.
-3. The ids go back to the blocks, where every document is reassembled by
-   position.  A frequent word is one row per block, however often it occurs.
+2. Each block lists its distinct pre-tokens once, sorted, by word bucket (a
+   hash of the word).  The lists are dealt by bucket, so the tokenizer runs
+   once per distinct word of the corpus.
+3. A bucket's ids go back to the block in the order of its list; the block
+   rebuilds the lists, so words need not travel back, and reassembles every
+   document by position.  A frequent word stands once in a block's list,
+   however often it occurs.
 4. Decoding looks each id up in the token-byte table, which the vocabulary
    file bounds, and joins the bytes.
 
@@ -20,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -77,8 +81,8 @@ def decode_ids(ids: np.ndarray, table: list[bytes]) -> bytes:
     return b"".join([table[i] for i in ids.tolist()])
 
 
-def _blocks(docs: DataFrame, pattern: str, block_bytes: int) -> DataFrame:
-    """``(block, doc_id, words)``: compressed pre-tokens, dealt by block."""
+def _blocks(docs: DataFrame, pattern: str, block_bytes: int) -> tuple[DataFrame, int]:
+    """``(block, doc_id, words)``: compressed pre-tokens, dealt by block; and the number of blocks."""
     docs = docs.select("doc_id", "text")
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = int(total // block_bytes) + 1
@@ -95,7 +99,7 @@ def _blocks(docs: DataFrame, pattern: str, block_bytes: int) -> DataFrame:
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return (docs.select(block.alias("block"), "doc_id", "text").mapInArrow(run, f"block int, doc_id {id_type}, words binary")
-            .repartition("block").sortWithinPartitions("block"))
+            .repartition("block").sortWithinPartitions("block")), n
 
 
 def _unpack(data: bytes, d) -> list[bytes]:
@@ -103,40 +107,76 @@ def _unpack(data: bytes, d) -> list[bytes]:
     return text.split(SEP_BYTE) if text else []
 
 
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(block, word)`` once per block; the input is sorted by block."""
-    import zstandard
+def _by_bucket(words: set[bytes], buckets: int) -> dict[int, list[bytes]]:
+    """The words of a block, sorted, by bucket."""
+    out: dict[int, list[bytes]] = {}
+    for w in sorted(words):
+        out.setdefault(zlib.crc32(w) % buckets, []).append(w)
+    return out
 
-    d, at, words = zstandard.ZstdDecompressor(), None, set()
 
-    def rows():
-        if words:
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), at, np.int32)), pa.array(list(words), pa.binary())], names=["block", "word"])
+def _distinct_words(buckets: int):
+    """``(block, bucket, list)`` of each block's distinct words; the input is sorted by block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
 
-    for b in batches:
-        for block, data in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
-            if block != at:
-                yield from rows()
-                at, words = block, set()
-            words.update(_unpack(data, d))
-    yield from rows()
+        d, pack, at, words = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3), None, set()
+
+        def rows():
+            lists = _by_bucket(words, buckets)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(lists), at, np.int32)), pa.array(list(lists), pa.int32()),
+                 pa.array([pack.compress(SEP_BYTE.join(x)) for x in lists.values()], pa.binary())], names=["block", "bucket", "list"])
+
+        for b in batches:
+            for block, data in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+                if block != at:
+                    if words:
+                        yield rows()
+                    at, words = block, set()
+                words.update(_unpack(data, d))
+        if words:
+            yield rows()
+    return run
 
 
-def _encode_words(data, pattern: str, kind: str):
-    """Ids of each word; the input is sorted by word, so a word is encoded once."""
+def _encode_lists(data, pattern: str, kind: str):
+    """The ids of each list, in its order; the input is sorted by bucket, and a
+    word of a bucket is encoded once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(data.value, pattern).encode_ordinary
-        last, ids = None, b""
+        import zstandard
+
+        d, pack, encode = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3), _encoder(data.value, pattern).encode_ordinary
+        at, known = None, {}
         for b in batches:
             out = []
-            for w in b.column(1).to_pylist():
-                if w != last:
-                    last, ids = w, np.array(encode(w.decode()), kind).tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["block", "word", "ids"])
+            for bucket, packed in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if bucket != at:
+                    at, known = bucket, {}
+                ids = []
+                for w in _unpack(packed, d):
+                    if w not in known:
+                        known[w] = encode(w.decode())
+                    ids.append(known[w])
+                size = np.array([len(x) for x in ids], "<u4")
+                out.append(pack.compress(size.tobytes() + np.array([i for x in ids for i in x], kind).tobytes()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["block", "bucket", "ids"])
     return run
 
 
+def _ids_of_words(lists: dict[int, list[bytes]], coded: dict[int, bytes], width: int) -> dict[bytes, bytes]:
+    """Id bytes of each word from the lists of a block and what their buckets sent."""
+    out: dict[bytes, bytes] = {}
+    for bucket, words in lists.items():
+        data = coded[bucket]
+        ends = np.cumsum(np.frombuffer(data, "<u4", len(words)), dtype=np.int64) * width + 4 * len(words)
+        start = 4 * len(words)
+        for w, end in zip(words, ends.tolist()):
+            out[w] = data[start:end]
+            start = end
+    return out
+
+
 def encode(docs: DataFrame, ranks: bytes, pattern: str, whole: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: ``doc_id, n_tokens, ids_sha256, decoded_sha256``,
     with ``whole`` also ``ids`` (array<int>) and ``decoded`` (binary).
@@ -145,19 +185,24 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, whole: bool = False, blo
     """
     data = docs.sparkSession.sparkContext.broadcast(ranks)      # bounded by the vocabulary
     kind = "<u2" if len(token_bytes(ranks)) <= 1 << 16 else "<u4"
-    blocks = _blocks(docs, pattern, block_bytes)
-    pairs = blocks.mapInArrow(_distinct_words, "block int, word binary")
-    coded = (pairs.repartition("word").sortWithinPartitions("word")
-             .mapInArrow(_encode_words(data, pattern, kind), "block int, word binary, ids binary"))
+    blocks, n = _blocks(docs, pattern, block_bytes)
+    lists = blocks.mapInArrow(_distinct_words(n), "block int, bucket int, list binary")
+    coded = (lists.repartition("bucket").sortWithinPartitions("bucket")
+             .mapInArrow(_encode_lists(data, pattern, kind), "block int, bucket int, ids binary"))
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
         import zstandard
 
         d, table = zstandard.ZstdDecompressor(), token_bytes(data.value)
-        ids_of = dict(zip(right.column("word").to_pylist(), right.column("ids").to_pylist())).__getitem__
+        packed_docs = left.column("words").to_pylist()
+        words: set[bytes] = set()
+        for packed in packed_docs:
+            words.update(_unpack(packed, d))
+        coded_ids = {k: d.decompress(v) for k, v in zip(right.column("bucket").to_pylist(), right.column("ids").to_pylist())}
+        ids_of = _ids_of_words(_by_bucket(words, n), coded_ids, np.dtype(kind).itemsize).__getitem__
         out = {"doc_id": left.column("doc_id"), "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": [], "decoded": []}
-        for packed in left.column("words"):
-            ids = np.frombuffer(b"".join(map(ids_of, _unpack(packed.as_py(), d))), kind).astype("<u4")
+        for packed in packed_docs:
+            ids = np.frombuffer(b"".join(map(ids_of, _unpack(packed, d))), kind).astype("<u4")
             text = decode_ids(ids, table)
             out["n_tokens"].append(len(ids))
             out["ids_sha256"].append(hashlib.sha256(ids.tobytes()).hexdigest())
