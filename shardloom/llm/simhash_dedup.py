@@ -151,6 +151,7 @@ def allocate(cost: list[list[float]], radius: int) -> tuple[float, list[int]]:
 
 def plan_probes(both: np.ndarray, total: int, radius: int) -> list[tuple[list[int], int]]:
     """``(bits, threshold)`` of each probed part."""
+    rows = max(total, 1024)     # of a tiny table, few probes matter more than few candidates
     p = np.diag(both) / max(total, 1)
     agree = p * p + (1 - p) * (1 - p)
     best = None
@@ -159,7 +160,7 @@ def plan_probes(both: np.ndarray, total: int, radius: int) -> list[tuple[list[in
         cost = []
         for g in groups:
             share = near_share(agree[g], radius)
-            cost.append([total * comb(len(g), t) * ROW_COST + total * total / 2 * share[t] * comb(len(g), t)
+            cost.append([rows * comb(len(g), t) * ROW_COST + rows * rows / 2 * share[t] * comb(len(g), t)
                          if t <= len(g) else float("inf") for t in range(radius + 1)])
         found = allocate(cost, radius)
         if best is None or found[0] < best[0]:
