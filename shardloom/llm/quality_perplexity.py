@@ -290,7 +290,7 @@ def band_table(scored: DataFrame, bands: Bands) -> DataFrame:
 
 def _verdict(scored: DataFrame, table: DataFrame, bands: Bands) -> DataFrame:
     got = scored.join(F.broadcast(table), "__llm_lang", "left")
-    half = bands.width * _c("spread") * F.sqrt(1 + F.lit(bands.short) / _c("n_units"))
+    half = bands.width * _c("spread") * F.sqrt(1 + F.lit(bands.short) / F.greatest(_c("n_units"), F.lit(1)))
     failed = (_c("n_words") < 10) | (100 * _c("n_repeat_words") > 20 * _c("n_words"))
     inside = F.coalesce(F.abs(_c("bits") - _c("median")) <= half, F.lit(False))
     return (got.withColumn("__llm_failed", failed).withColumn("__llm_kept", ~failed & inside)
