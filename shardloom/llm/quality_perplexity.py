@@ -129,14 +129,27 @@ def _language(lang: Column, bands: Bands) -> Column:
     return (F.coalesce(number, F.lit(0))).cast("int")    # 0: all others
 
 
+def _parts(texts: list[str], chars: int = 4 << 20) -> Iterator[list[str]]:
+    """Texts in runs of about ``chars`` characters (a longer text alone), to bound memory."""
+    run, held = [], 0
+    for t in texts:
+        if run and held + len(t) > chars:
+            yield run
+            run, held = [], 0
+        run.append(t)
+        held += len(t)
+    if run:
+        yield run
+
+
 def ngram_counts(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """``(lang, key, n)`` over all documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lang = b.column(0).to_numpy()
             texts = b.column(1).to_pylist()
-            for x in np.unique(lang):
-                keys, n = np.unique(ngram_keys([t for t, y in zip(texts, lang) if y == x and t])[0], return_counts=True)
+            for x, part in ((x, p) for x in np.unique(lang) for p in _parts([t for t, y in zip(texts, lang) if y == x and t])):
+                keys, n = np.unique(ngram_keys(part)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), x, np.int32)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))],
                                                  names=["lang", "key", "n"])
 
@@ -259,9 +272,10 @@ def _scored(docs: DataFrame, model, bands: Bands) -> DataFrame:
             size, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
             for x in np.unique(lang):
                 mine = np.flatnonzero((lang == x) & np.array([bool(t) for t in texts], bool))
-                for lo in range(0, len(mine), 256):              # bounds memory
-                    part = mine[lo:lo + 256]
-                    keys, n = ngram_keys([texts[i] for i in part])
+                at = 0
+                for run in _parts([texts[i] for i in mine], 1 << 20):
+                    part, at = mine[at:at + len(run)], at + len(run)
+                    keys, n = ngram_keys(run)
                     size[part] = n
                     total[part] = np.add.reduceat(m.bits(keys, int(x)), np.cumsum(n) - n)
             with np.errstate(invalid="ignore"):
