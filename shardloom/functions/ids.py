@@ -21,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ID_SEPARATOR = "\x01"
 ID_MODES = ("position", "key", "random")
 
 
@@ -30,7 +29,10 @@ def _col(c) -> Column:
 
 
 def hash_id(*parts) -> Column:
-    digest = F.sha2(F.concat_ws(ID_SEPARATOR, *[_col(p) for p in parts]), 256)
+    """The id of a tuple of texts.  Each part is written with its length before
+    it (a null as ``-``), so different tuples never give the same text."""
+    told = [F.when(_col(p).isNull(), "-").otherwise(F.concat(F.length(_col(p)).cast("string"), F.lit(":"), _col(p))) for p in parts]
+    digest = F.sha2(F.concat(*told), 256)
     b64 = F.base64(F.unhex(F.substr(digest, F.lit(1), F.lit(32))))
     return F.rtrim(F.translate(b64, "+/", "-_"), F.lit("="))
 

@@ -40,17 +40,23 @@ def str_to_map_valid(s) -> Column:
 
 
 def str_to_map(s) -> Column:
-    """One pass over the entries: each ``key:value`` replaces an earlier
-    entry of the same key (last wins); an entry without a ``:`` raises."""
+    """Entries sorted by key, the last of each key kept (n log n in the number
+    of entries); an entry without a ``:`` raises."""
     s = _col(s)
     colon = separator_regex(":")
     pairs = F.transform(split_escaped(s, ","), lambda c: F.split(c, colon, -1))
 
-    def merge(m, p):
-        k = F.get(p, 0)
-        entry = F.map_concat(F.map_filter(m, lambda key, _v: key != k), F.create_map(k, F.get(p, 1)))
-        return F.when(F.size(p) < 2, F.raise_error(F.concat(F.lit("malformed map entry in: "), s))
-                      .cast("map<string,string>")).otherwise(entry)
+    checked = F.transform(pairs, lambda p: F.when(F.size(p) < 2, F.raise_error(F.concat(F.lit("malformed map entry in: "), s))
+                                                  .cast("struct<key:string,value:string>"))
+                          .otherwise(F.struct(F.get(p, 0).alias("key"), F.get(p, 1).alias("value"))))
+    # the last entry of a key wins: numbered entries sorted by key, those before another of their key left out
+    sorted_ = F.array_sort(F.transform(checked, lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"), e["value"].alias("value"))))
 
-    folded = F.aggregate(pairs, F.create_map().cast("map<string,string>"), merge)
+    def last(es):
+        return F.filter(F.zip_with(es, F.slice(es, F.lit(2), F.size(es)), lambda e, n: F.struct(
+            e["key"].alias("key"), e["value"].alias("value"), (n["key"].isNull() | (n["key"] != e["key"])).alias("keep"))), lambda x: x["keep"])
+
+    # bound to lambda variables, so each array is made once
+    folded = F.element_at(F.transform(F.array(sorted_), lambda es: F.map_from_entries(
+        F.transform(last(es), lambda x: F.struct(x["key"], x["value"])))), 1)
     return F.when(~str_to_map_valid(s), F.lit(None).cast("map<string,string>")).otherwise(folded)

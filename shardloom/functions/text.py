@@ -47,8 +47,11 @@ def split_escaped(value, sep: str) -> Column:
 def split_escaped_by(value, sep_col) -> Column:
     """Same as :func:`split_escaped`, with the separator taken from a column
     (one character per row, e.g. from a joined type table)."""
-    pattern = F.concat(F.lit(r"(?<!\\)\Q"), _col(sep_col), F.lit(r"\E"))
-    return F.split(_col(value), pattern, F.lit(-1))
+    v, sep = _col(value), _col(sep_col)
+    quoted = F.concat(F.lit(r"\Q"), sep, F.lit(r"\E"))
+    # as in split_escaped: only a line with a backslash needs the look-behind
+    return F.when(F.instr(v, "\\") > 0, F.split(v, F.concat(F.lit(r"(?<!\\)"), quoted), F.lit(-1))) \
+        .otherwise(F.split(v, quoted, F.lit(-1)))
 
 
 def null_token(raw) -> Column:

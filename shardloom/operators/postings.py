@@ -3,9 +3,9 @@
 * L2 keyword postings - the exact value of each non-null ``not_analyzed``
   field: one row per (document, field); a narrow projection, no shuffle.
 * L3 text postings - fields mapped ``analyzed``: lower-cased words by the
-  Unicode word-boundary rules (letters, digits and their joiners), tokens
-  over 255 characters and English stop words dropped, term frequency per
-  document.  All tokens of a document field are in one row, so the
+  Unicode word-boundary rules (letters, digits and their joiners), English
+  stop words dropped (a parameter; so is ``max_token_length``, by default
+  none: every token is kept), term frequency per document.  All tokens of a document field are in one row, so the
   frequencies are counted inside that row (sort the tokens, measure the runs
   of equal ones): no exchange, and a frequent term is never gathered anywhere.
 * L4 term dictionary - document and total frequency per (index, field, term),
@@ -29,7 +29,6 @@ STOP_WORDS = (
     "no", "not", "of", "on", "or", "such", "that", "the", "their", "then", "there", "these",
     "they", "this", "to", "was", "will", "with",
 )
-MAX_TOKEN_LENGTH = 255
 
 # Word-boundary classes of the standard tokenizer (Unicode text
 # segmentation, word boundaries, Unicode 6.3), as code points.  A MidLetter
@@ -107,10 +106,12 @@ def tokens(text) -> F.Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
 
 
-def keep_token(t: F.Column, stop_words: tuple[str, ...] | None = STOP_WORDS) -> F.Column:
-    """A token becomes a term when it is not empty, has at most 255
-    characters and is not a stop word."""
-    k = (t != "") & (F.length(t) <= MAX_TOKEN_LENGTH)
+def keep_token(t: F.Column, stop_words: tuple[str, ...] | None = STOP_WORDS, max_token_length: int | None = None) -> F.Column:
+    """A token becomes a term when it is not empty, not a stop word and, with
+    ``max_token_length``, not longer than that."""
+    k = t != ""
+    if max_token_length is not None:
+        k = k & (F.length(t) <= max_token_length)
     return k & ~t.isin(*stop_words) if stop_words else k
 
 
@@ -141,7 +142,8 @@ def count_terms(df: DataFrame, keys: list[str], terms: F.Column, keep=None) -> D
     return runs.select(*keys, F.inline(pairs))
 
 
-def text_postings(recs: DataFrame, tspec: TypeSpec, stop_words: tuple[str, ...] | None = STOP_WORDS) -> DataFrame:
+def text_postings(recs: DataFrame, tspec: TypeSpec, stop_words: tuple[str, ...] | None = STOP_WORDS,
+                  max_token_length: int | None = None) -> DataFrame:
     fields = text_fields(tspec)
     if not fields:
         return recs.sparkSession.createDataFrame(
@@ -150,7 +152,7 @@ def text_postings(recs: DataFrame, tspec: TypeSpec, stop_words: tuple[str, ...]
     named = long.select(F.col("_index").alias("index"), F.col("_shard").alias("shard"),
                         F.col("_type").alias("type"), "field", "_id", "text")
     return count_terms(named, ["index", "shard", "type", "field", "_id"], tokens("text"),
-                       keep=lambda t: keep_token(t, stop_words))
+                       keep=lambda t: keep_token(t, stop_words, max_token_length))
 
 
 def term_stats(postings: DataFrame) -> DataFrame:
@@ -171,7 +173,8 @@ def _field_modes(spark, ispec) -> DataFrame:
     return spark.createDataFrame(rows, "type string, field string, index_mode string")
 
 
-def postings_from_documents(docs: DataFrame, ispec, stop_words: tuple[str, ...] | None = STOP_WORDS) -> DataFrame:
+def postings_from_documents(docs: DataFrame, ispec, stop_words: tuple[str, ...] | None = STOP_WORDS,
+                            max_token_length: int | None = None) -> DataFrame:
     """L2 + L3 from the document table in one scan of it.
 
     Every document is parsed once with the union of the declared fields (all
@@ -198,5 +201,5 @@ def postings_from_documents(docs: DataFrame, ispec, stop_words: tuple[str, ...]
     # value's terms are counted inside its row (no exchange either way)
     terms = F.when(analyzed, tokens("value")).otherwise(F.array(F.col("value")))
     out = count_terms(j.withColumn("_an", analyzed), ["index", "shard", "type", "field", "_id", "_an"], terms,
-                      keep=lambda t: ~F.col("_an") | keep_token(t, stop_words))
+                      keep=lambda t: ~F.col("_an") | keep_token(t, stop_words, max_token_length))
     return out.drop("_an")

@@ -7,7 +7,8 @@
 3. shard grid, mapping and manifest from that aggregate (tiny);
 4. shard and mapping tables written by index, manifest appended last.
 
-Re-running a build into the same folder replaces whole indices.
+Every build has folders of its own; the manifest says which build of an index is
+read, so a rebuild replaces whole indices in one step.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ from ..operators.grid import shard_grid
 from ..operators.mapping import merge_mapping, presence_stats
 from ..operators.parse import build_rows, parse_lines
 from ..operators.postings import postings_from_documents, term_stats
-from ..session import apply_build_conf
-from ..sinks.documents import (DOCUMENTS, MANIFEST, MAPPING, POSTINGS, SHARDS, STATS, TERMS, by_index, read_table,
-                               table_path, write_documents, write_index_table)
-from ..sinks.manifest import index_manifest, shard_manifest
+from ..session import build_conf
+from ..sinks.documents import (DOCUMENTS, MANIFEST, MAPPING, POSTINGS, REJECTED_COLUMNS, SCHEMAS, SHARDS, STATS, TERMS,
+                               build_path, by_index, read_table, write_documents, write_index_table)
+from ..sinks.manifest import append_manifest, index_manifest, shard_manifest
 from ..sources.lines import read_index_inputs
 from ..spec import IndexSpec
 
@@ -63,50 +64,48 @@ def build_index(spark: SparkSession, ispec: IndexSpec, out: str, *,
     ``postings`` table (keyword and analysed terms with their frequency per
     document) and the ``terms`` dictionary, both by index.
     """
-    apply_build_conf(spark)
     build_id = build_id or _uuid.uuid4().hex
     if inputs is None:
         inputs = read_index_inputs(spark, ispec)
-
-    rows = union_rows(inputs, ispec, mode=mode, id_mode=id_mode, build_id=build_id)
-    write_documents(rows, out)
-
-    # read back with the schema just written: no footer inference over a
-    # folder that older builds may share, and the build_id filter is pushed
-    written = spark.read.schema(rows.schema).parquet(table_path(out, DOCUMENTS))
-    docs = written.filter(F.col("index").isNotNull() & (F.col("build_id") == build_id)) \
-        .drop("value", "reason")
-    # One small aggregate over narrow columns of what this build wrote (the
-    # build_id filter reaches the parquet scan), written as a table: lineage
-    # cut, and everything below reads a few rows per shard.
-    stats_path = table_path(out, STATS)
-    presence_stats(docs, ispec).write.mode("overwrite").parquet(stats_path)
-    stats = spark.read.parquet(stats_path)
-    built = stats.select("index").distinct()
+    with build_conf(spark):
+        return _build(spark, ispec, out, inputs, mode, id_mode, build_id, created_at, postings)
+
+
+def _build(spark, ispec, out, inputs, mode, id_mode, build_id, created_at, postings) -> BuildResult:
+    rows = union_rows(inputs, ispec, mode=mode, id_mode=id_mode)
+    write_documents(rows, out, build_id)
+
+    def read(name: str, schema: str) -> DataFrame:
+        """This build's rows, by a stated schema (an empty build has no footer to infer from)."""
+        return spark.read.schema(f"{schema}, index string").parquet(build_path(out, name, build_id))
+
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in ("index", *REJECTED_COLUMNS))
+    docs = read(DOCUMENTS, columns).where("index is not null")
+    rejected = read(DOCUMENTS, "type string, value string, reason string").where("index is null").select("type", "value", "reason")
+    # One small aggregate over narrow columns of what this build wrote,
+    # written as a table: lineage cut, and everything below reads a few rows
+    # per shard.
+    stats = presence_stats(docs, ispec)
+    stats_path = build_path(out, STATS, build_id)
+    stats.write.mode("overwrite").parquet(stats_path)
+    stats = spark.read.schema(stats.schema).parquet(stats_path)
     grid = shard_grid(stats, ispec.num_shards)
     mapping = merge_mapping(stats, ispec)
     # grid and mapping leave aggregates keyed by index (and type): each index
     # is already in one task, so they are written as they are
-    write_index_table(shard_manifest(grid), table_path(out, SHARDS))
-    write_index_table(mapping, table_path(out, MAPPING))
+    write_index_table(shard_manifest(grid), out, SHARDS, build_id)
+    write_index_table(mapping, out, MAPPING, build_id)
     if postings:
-        write_index_table(postings_from_documents(docs, ispec), table_path(out, POSTINGS))
-        built_postings = read_table(spark, out, POSTINGS).join(built, "index", "left_semi")
-        write_index_table(by_index(term_stats(built_postings)), table_path(out, TERMS))
-    manifest = index_manifest(grid, mapping, ispec, build_id=build_id, created_at=created_at)
-    manifest.write.mode("append").parquet(table_path(out, MANIFEST))
-
-    def this_build(df):
-        return df.join(built, "index", "left_semi")
-
-    rej = written.filter(F.col("index").isNull() & (F.col("build_id") == build_id))
+        # ordered by term, so that row-group statistics skip what a term lookup does not need
+        terms_of = postings_from_documents(docs, ispec)
+        write_index_table(terms_of.sortWithinPartitions("index", "field", "term"), out, POSTINGS, build_id)
+        made = term_stats(read(POSTINGS, SCHEMAS[POSTINGS]))
+        write_index_table(by_index(made).sortWithinPartitions("index", "field", "term"), out, TERMS, build_id)
+    manifest = index_manifest(grid, mapping, ispec, build_id=build_id, columns=columns, created_at=created_at)
+    append_manifest(spark, manifest, out)
     return BuildResult(
-        documents=docs,
-        rejected=rej.select("type", "value", "reason"),
-        mapping=this_build(read_table(spark, out, MAPPING)),
-        shards=this_build(read_table(spark, out, SHARDS)),
-        manifest=read_table(spark, out, MANIFEST).filter(f"build_id = '{build_id}'"),
-        build_id=build_id,
-        postings=this_build(read_table(spark, out, POSTINGS)) if postings else None,
-        terms=this_build(read_table(spark, out, TERMS)) if postings else None,
+        documents=docs, rejected=rejected, mapping=read(MAPPING, SCHEMAS[MAPPING]), shards=read(SHARDS, SCHEMAS[SHARDS]),
+        manifest=read_table(spark, out, MANIFEST).where(F.col("build_id") == build_id), build_id=build_id,
+        postings=read(POSTINGS, SCHEMAS[POSTINGS]) if postings else None,
+        terms=read(TERMS, SCHEMAS[TERMS]) if postings else None,
     )

@@ -462,14 +462,17 @@ def orders_term_stats(spark, sf):
     return po.term_stats(po.keyword_postings(_records(spark, sf, ORD_KEYED), ORDER_KEYED))
 
 
-_STOP = ", ".join(f"'{w}'" for w in po.STOP_WORDS)
+# The English stop words, stated apart from the operator's list.
+_STOP = ", ".join(f"'{w}'" for w in (
+    "a an and are as at be but by for if in into is it no not of on or such that the their then there these "
+    "they this to was will with").split())
 
 
 def _text_postings_sql():
     return f"""SELECT _index AS index, _shard AS shard, _type AS type, 'text' AS field, term, _id, count(*) AS tf FROM (
 SELECT _index, _shard, _type, _id, unnest({O.tokens_sql('text')}) AS term
 FROM ({O.docs_sql(fx.DOC_TYPE, DOCS)}))
-WHERE term <> '' AND length(term) <= {po.MAX_TOKEN_LENGTH} AND term NOT IN ({_STOP})
+WHERE term <> '' AND term NOT IN ({_STOP})
 GROUP BY _index, _shard, _type, term, _id"""
 
 
@@ -584,24 +587,40 @@ def publish_replace(spark, sf):
     sk.publish(spark, old_out, live)
     new, new_out = _build(spark, sf, EV2, "new", inputs={"event": _days(spark, sf, 5, 31)})
     sk.publish(spark, new_out, live)
-    return sk.read_documents(spark, live).groupBy("index", "shard").agg(F.count(F.lit(1)).alias("doc_count"))
+    return sk.active_documents(spark, live).groupBy("index", "shard").agg(F.count(F.lit(1)).alias("doc_count"))
 
 
 @query("active_documents", f"""SELECT index, count(*) AS doc_count FROM (
 SELECT _index AS index FROM ({O.docs_sql(fx.EVENT_TYPE, EV, f"SELECT l.value FROM ({O.EVENTS_LINES}) l JOIN events e ON l.src_key = e.event_id WHERE day(e.ts) <= 10")}))
 GROUP BY index""")
 def active_documents(spark, sf):
-    """K5: documents copied without a manifest row (days 11..) are not active."""
+    """K5: what was copied without a manifest row is not active, whether its
+    index is new (days 11..) or a rebuild of a listed one (days 5..); a later
+    publication of the older build is a rollback."""
     live = scratch_path(spark, "active")
-    _, out = _build(spark, sf, EV, "act", inputs={"event": _days(spark, sf, 1, 10)})
+    first, out = _build(spark, sf, EV, "act", inputs={"event": _days(spark, sf, 1, 10)})
+    sk.publish(spark, out, live)
+    # a replacement, published, then rolled back
+    _, again = _build(spark, sf, EV2, "act2", inputs={"event": _days(spark, sf, 3, 4)})
+    sk.publish(spark, again, live)
     sk.publish(spark, out, live)
     # a copy that never reached its activation step
-    rows = ps.build_rows(ps.parse_lines(_days(spark, sf, 11, 31), fx.EVENT_TYPE, EV), fx.EVENT_TYPE, EV,
+    rows = ps.build_rows(ps.parse_lines(_days(spark, sf, 5, 31), fx.EVENT_TYPE, EV), fx.EVENT_TYPE, EV,
                          mode="quarantine")
-    sk.write_documents(rows, live)
+    sk.write_documents(rows, live, "unlisted")
     return sk.active_documents(spark, live).groupBy("index").agg(F.count(F.lit(1)).alias("doc_count"))
 
 
+@query("rejected_lines", f"""SELECT 'arity' AS reason, l.value, count(*) AS n FROM ({O.EVENTS_LINES}) l
+WHERE l.src_key % 29 = 0 AND l.src_key % 17 <> 0 AND l.src_key % 19 <> 0 GROUP BY l.value""")
+def rejected_lines(spark, sf):
+    """K1: the quarantined lines of two builds in one folder, both still there."""
+    out = scratch_path(spark, "rejected")
+    for days in ((1, 15), (16, 31)):
+        build_index(spark, EV, out, inputs={"event": _days(spark, sf, *days)}, mode="quarantine", created_at=CREATED_AT)
+    return sk.read_rejected(spark, out).groupBy("reason", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- end to end ---------------------------------------------------------------------------
 
 @query("build_index_summary", O.grid_sql(_per_shard_sql(EV), 10))

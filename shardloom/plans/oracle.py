@@ -66,7 +66,8 @@ def routed_shard_sql(raw: str, n: int) -> str:
 
 
 def hash_id_sql(*parts: str) -> str:
-    joined = f"concat_ws(chr(1), {', '.join(parts)})"
+    told = [f"CASE WHEN {p} IS NULL THEN '-' ELSE length({p}) || ':' || {p} END" for p in parts]
+    joined = f"concat({', '.join(told)})"
     return (f"rtrim(translate(to_base64(unhex(substr(sha256({joined}), 1, 32))), '+/', '-_'), '=')")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -38,9 +39,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return b.getOrCreate()
 
 
-def apply_build_conf(spark: SparkSession) -> None:
+@contextmanager
+def build_conf(spark: SparkSession):
+    """``BUILD_CONF`` for the jobs of a build; the caller's settings come back after."""
+    before = {k: spark.conf.get(k, None) for k in BUILD_CONF}
     for k, v in BUILD_CONF.items():
         spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -70,16 +79,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a parquet table has been written at ``path`` (a read that
-    finds no files fails at analysis, before any job runs)."""
+def table_exists(spark: SparkSession, path: str, schema: str = "build_id string") -> bool:
+    """Whether there is a folder at ``path`` (the read is analysed only; with a
+    schema, an empty table counts too)."""
     from pyspark.errors import AnalysisException
     try:
-        spark.read.parquet(path)
+        spark.read.schema(schema).parquet(path).schema
     except AnalysisException:
         return False
     return True
 
 
-__all__ = ["BUILD_CONF", "local_session", "apply_build_conf", "checkpoint_dir",
+__all__ = ["BUILD_CONF", "local_session", "build_conf", "checkpoint_dir",
            "scratch_path", "table_exists"]

@@ -1,29 +1,31 @@
 """Document tables: write (K1), publish with whole-index replacement (K4),
 activation through the manifest (K5).
 
-Layout under an output folder::
-
-    documents/index=<index>/part-*.parquet   shard is a column; rejected
-                                             lines sit under the null index
-    shards/index=<index>/...                 shard manifest (K3)
-    mapping/index=<index>/...                merged mapping (A7)
-    manifest/...                             one row per index and build (K2),
-                                             appended last
-    _stats/...                               counts and field presence per
-                                             (index, shard, type) of the last build
-    postings/index=<index>/..., terms/...    index content, when built with postings
-
-Every index table is written with dynamic partition overwrite on ``index``
-only, so a rebuild replaces whole indices (a rebuild with fewer shards
-leaves nothing stale) and leaves indices absent from the rebuild alone.
+Layout under an output or live folder::
+
+    documents/build_id=<build>/index=<index>/part-*.parquet
+                             shard is a column; rejected lines sit under the
+                             null index of their build
+    shards/, mapping/, postings/, terms/   the same two levels
+    _stats/build_id=<build>/               counts and field presence
+    manifest/                one row per index and publication, appended last
+
+What a build wrote is never overwritten by another build.  Which build of an
+index is read is decided by the manifest alone: the row with the highest
+``publish_seq``.  A copy without a manifest row is invisible, a later
+publication of an older build rolls back, and publishing what is already
+current changes nothing.  The manifest row also holds the columns of the
+build's documents, so folders with several specs are read by a stated schema
+(the union of those columns), not by one file's footer.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import table_exists
+from ..session import scratch_path, table_exists
 
 DOCUMENTS, SHARDS, MAPPING, MANIFEST = "documents", "shards", "mapping", "manifest"
 STATS = "_stats"
@@ -57,70 +59,103 @@ def by_index(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "index")
 
 
-def write_index_table(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("index").parquet(path))
+def build_path(out: str, name: str, build_id: str) -> str:
+    return f"{table_path(out, name)}/build_id={build_id}"
 
 
-def write_documents(rows: DataFrame, out: str) -> None:
+def write_index_table(df: DataFrame, out: str, name: str, build_id: str) -> None:
+    """Write one build's rows of a table; a build has a folder of its own."""
+    df.drop("build_id").write.mode("overwrite").partitionBy("index").parquet(build_path(out, name, build_id))
+
+
+def write_documents(rows: DataFrame, out: str, build_id: str) -> None:
     """K1: the one large write of a build (one exchange, on (index, shard))."""
-    write_index_table(colocate(rows), table_path(out, DOCUMENTS))
+    write_index_table(colocate(rows), out, DOCUMENTS, build_id)
+
+
+# Columns of the tables whose layout does not depend on a spec.
+SCHEMAS = {
+    SHARDS: "shard int, doc_count bigint, is_empty boolean, version int, primary boolean",
+    MAPPING: "type string, field string, data_type string, index_mode string, origin string",
+    POSTINGS: "shard int, type string, field string, term string, _id string, tf bigint",
+    TERMS: "field string, term string, doc_freq bigint, total_freq bigint",
+    MANIFEST: "index string, uuid string, num_shards int, replicas int, version int, created_at timestamp, state string, "
+              "partition_key string, mappings map<string,string>, doc_count bigint, build_id string, columns string, publish_seq bigint",
+}
+REJECTED_COLUMNS = ("value", "reason")
+
+
+def _document_columns(spark: SparkSession, out: str) -> str:
+    """The union of the document columns of the builds that the manifest names."""
+    told = read_table(spark, out, MANIFEST).agg(F.sort_array(F.collect_set("columns"))).first()[0]   # one string per layout
+    fields: dict[str, str] = {}
+    for columns in told:
+        for f in T.StructType.fromDDL(columns).fields:
+            fields.setdefault(f.name, f.dataType.simpleString())
+    return ", ".join(f"`{n}` {t}" for n, t in fields.items()) or "type string, value string, reason string"
 
 
 def read_table(spark: SparkSession, out: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(out, name))
+    """All rows of a table, of every build (``build_id`` is a column)."""
+    if name == MANIFEST:
+        return spark.read.schema(SCHEMAS[MANIFEST]).parquet(table_path(out, MANIFEST))
+    columns = _document_columns(spark, out) if name == DOCUMENTS else SCHEMAS[name]
+    return spark.read.schema(f"{columns}, build_id string, index string").parquet(table_path(out, name))
+
+
+def active_table(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """K5: rows of the build that is current for each index."""
+    from .manifest import current_manifest
+    listed = current_manifest(spark, out).select("index", "build_id")
+    return read_table(spark, out, name).join(listed, ["index", "build_id"], "left_semi")
+
+
+def active_documents(spark: SparkSession, out: str) -> DataFrame:
+    return active_table(spark, out, DOCUMENTS).drop(*REJECTED_COLUMNS)
 
 
 def read_documents(spark: SparkSession, out: str) -> DataFrame:
-    df = read_table(spark, out, DOCUMENTS).filter(F.col("index").isNotNull())
-    return df.drop(*[c for c in ("value", "reason") if c in df.columns])
+    """Documents of a folder: the current builds, or all rows of a stream's
+    folder (which has no manifest)."""
+    if table_exists(spark, table_path(out, MANIFEST)):
+        return active_documents(spark, out)
+    return spark.read.parquet(table_path(out, DOCUMENTS)).where("index is not null").drop(*REJECTED_COLUMNS)
 
 
 def read_rejected(spark: SparkSession, out: str, with_build: bool = False) -> DataFrame:
-    df = read_table(spark, out, DOCUMENTS)
-    extra = ["build_id"] if with_build and "build_id" in df.columns else []
-    if "reason" not in df.columns:
-        return spark.createDataFrame([], "type string, value string, reason string"
-                                     + (", build_id string" if extra else ""))
-    return df.filter(F.col("index").isNull()).select("type", "value", "reason", *extra)
+    """Quarantined lines of every build in the folder."""
+    columns = "type string, value string, reason string, index string"
+    with_builds = table_exists(spark, table_path(out, MANIFEST))
+    df = spark.read.schema(columns + (", build_id string" if with_builds else "")).parquet(table_path(out, DOCUMENTS))
+    return df.where("index is null").select("type", "value", "reason", *["build_id"] * (with_build and with_builds))
 
 
 def publish(spark: SparkSession, build_out: str, live_out: str, build_id: str | None = None) -> DataFrame:
-    """K4 + K5: copy a finished build into the live folder, whole indices at a
-    time, then append its manifest rows; returns the published manifest rows.
-
-    Without ``build_id`` the whole build folder is published (a folder used
-    for one build, as the source job's output is).  With it, only the indices
-    that build wrote: a folder reused by several builds keeps the indices of
-    older ones, and those are not copied again.  Documents are selected by
-    their ``build_id`` stamp (pushed into the scan); the other tables by their
-    ``index`` partition against the build's manifest rows (one per index).
-
-    The copy is a plain distributed read/write (no exchange); the manifest
-    goes last, so a reader that joins through it never sees a half-copied
-    index as active.
+    """K4 + K5: copy the indices of a build folder (of one build with
+    ``build_id``, else the current build of each index) into the live folder,
+    then append their manifest rows; returns the rows appended.
+
+    Each index goes to a folder of its build, beside those of other builds,
+    and the one manifest append switches the readers over: a failure before it
+    leaves the live indices as they were.  What is already current is not
+    copied again.  The copy is a plain distributed read and write.
     """
-    manifest = read_table(spark, build_out, MANIFEST)
-    if build_id is not None:
-        manifest = manifest.filter(F.col("build_id") == build_id)
-    indices = manifest.select("index")
+    from .manifest import append_manifest, current_manifest
+    rows = current_manifest(spark, build_out) if build_id is None else \
+        read_table(spark, build_out, MANIFEST).where(F.col("build_id") == build_id).dropDuplicates(["index"])
+    if table_exists(spark, table_path(live_out, MANIFEST)):
+        rows = rows.join(current_manifest(spark, live_out).select("index", "build_id"), ["index", "build_id"], "left_anti")
+    # fixed before the copy: the live manifest changes below
+    rows = _fixed(rows, scratch_path(spark, "publish"))
     for name in (DOCUMENTS, SHARDS, MAPPING, POSTINGS, TERMS):
-        if name in (POSTINGS, TERMS) and not table_exists(spark, table_path(build_out, name)):
-            continue
-        df = read_table(spark, build_out, name)
-        if build_id is not None:
-            if name == DOCUMENTS:
-                df = df.filter(F.col("build_id") == build_id)
-            else:
-                df = df.join(indices, "index", "left_semi")
-        write_index_table(df, table_path(live_out, name))
-    manifest.write.mode("append").parquet(table_path(live_out, MANIFEST))
-    return manifest
+        if table_exists(spark, table_path(build_out, name), SCHEMAS.get(name, "index string")):
+            df = read_table(spark, build_out, name).join(rows.select("index", "build_id"), ["index", "build_id"], "left_semi")
+            (df.drop(*REJECTED_COLUMNS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("build_id", "index").parquet(table_path(live_out, name)))
+    append_manifest(spark, rows, live_out)
+    return rows
 
 
-def active_documents(spark: SparkSession, out: str) -> DataFrame:
-    """K5: documents of indices listed in the manifest (latest build wins)."""
-    from .manifest import current_manifest
-    listed = current_manifest(spark, out).select("index", "build_id")
-    docs = read_documents(spark, out)
-    return docs.join(listed.select("index"), "index", "left_semi")
+def _fixed(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,12 +6,14 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.ids import hash_id
 from ..functions.naming import index_suffix
 from ..operators.mapping import mapping_json
+from ..session import table_exists
 from ..spec import IndexSpec
-from .documents import MANIFEST, read_table
+from .documents import MANIFEST, SCHEMAS, read_table, table_path
 
 # Fixed values of the shard state record.
 SHARD_STATE_VERSION = 2
@@ -26,7 +28,7 @@ def shard_manifest(grid: DataFrame) -> DataFrame:
 
 
 def index_manifest(grid: DataFrame, mapping: DataFrame, ispec: IndexSpec, *,
-                   build_id: str, created_at: _dt.datetime | None = None,
+                   build_id: str, columns: str, created_at: _dt.datetime | None = None,
                    open_: bool = True) -> DataFrame:
     """K2: one row per index.  The mapping of every type seen in any shard
     of the index is included (not only the types of shard 0)."""
@@ -44,11 +46,20 @@ def index_manifest(grid: DataFrame, mapping: DataFrame, ispec: IndexSpec, *,
                     created.alias("created_at"),
                     F.lit("open" if open_ else "close").alias("state"),
                     index_suffix("index").alias("partition_key"),
-                    "mappings", "doc_count", F.lit(build_id).alias("build_id")))
+                    "mappings", "doc_count", F.lit(build_id).alias("build_id"), F.lit(columns).alias("columns")))
+
+
+def append_manifest(spark: SparkSession, rows: DataFrame, out: str) -> None:
+    """Append ``rows`` under the next publication number: the switch."""
+    last = 0
+    if table_exists(spark, table_path(out, MANIFEST)):
+        last = read_table(spark, out, MANIFEST).agg(F.coalesce(F.max("publish_seq"), F.lit(0))).first()[0]
+    names = [f.name for f in T.StructType.fromDDL(SCHEMAS[MANIFEST]).fields]
+    rows.withColumn("publish_seq", F.lit(last + 1).cast("bigint")).select(*names).write.mode("append").parquet(table_path(out, MANIFEST))
 
 
 def current_manifest(spark: SparkSession, out: str) -> DataFrame:
-    """The latest manifest row of every index (the manifest is append-only)."""
+    """The manifest row of every index's last publication (the manifest is append-only)."""
     m = read_table(spark, out, MANIFEST)
-    w = Window.partitionBy("index").orderBy(F.col("created_at").desc(), F.col("build_id").desc())
+    w = Window.partitionBy("index").orderBy(F.col("publish_seq").desc())
     return m.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

@@ -15,19 +15,8 @@ from pyspark.sql import functions as F
 from ..spec import FieldMapping, IndexSpec, TypeSpec
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an input that has fewer partitions than the session has
-    task slots (e.g. one small file with a single row group), so the
-    per-line work before the first exchange is not one task.  A large input
-    already has many splits and is left as it is: no shuffle is added."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c) -> F.Column:
@@ -73,12 +62,10 @@ def docs_spec(num_shards: int = 8) -> IndexSpec:
 
 def events_lines(spark: SparkSession, sf_dir: str, keep_key: bool = False,
                  days: tuple[int, int] | None = None) -> DataFrame:
-    """``days=(lo, hi)`` renders only events of those days of the month (a
-    filter on the table, pushed to the scan)."""
+    """``days=(lo, hi)`` renders only events of those days of the month."""
     e = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     if days is not None:
         e = e.filter(F.dayofmonth("ts").between(days[0], days[1]))
-    e = spread(e)
     eid = F.col("event_id")
     uid = (F.when(eid % 17 == 0, F.lit("\\N")).when(eid % 19 == 0, F.lit(""))
            .otherwise(_s(F.col("user_id"))))

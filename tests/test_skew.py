@@ -8,7 +8,7 @@ from tests.conftest import SF_MID
 
 
 def test_hot_shard_is_split(spark, scratch):
-    e = fx.table(spark, SF_MID, "events")
+    e = fx.table(spark, SF_MID, "events").repartition(8)      # an input of several splits; the given file is one
     uid = F.when(F.col("event_id") % 3 == 0, F.lit("7")).otherwise(F.col("user_id").cast("string"))
     lines = e.select(F.concat_ws(",", uid, F.col("event_type"), F.col("event_id").cast("string"),
                                  F.lit("x" * 200)).alias("value"))
