@@ -58,11 +58,11 @@ pick AS (SELECT s.doc_id, s.source, s.size, l.w, l.target, l.whole, l.upto, l.n,
 done AS (SELECT *, (k * r + c) // n AS a, ((k + 1) * r + c) // n AS a1, (k2 * r + c) // n AS b, ((k2 + 1) * r + c) // n AS b1 FROM pick),
 res AS (SELECT *, (whole * size + block * (b - a) + (org + size - k2 * block) * (b1 - b) - (org - k * block) * (a1 - a))::BIGINT AS taken FROM done)
 SELECT doc_id, size, w AS source_size, target, taken,
-  CASE WHEN taken > 0 THEN len(list_filter(upto, lambda u: u <= CASE WHEN whole > 0 THEN k ELSE a END))::INTEGER END AS shard FROM res""")
+  CASE WHEN taken > 0 THEN len(list_filter(upto, lambda u: u <= CASE WHEN whole > 0 THEN k ELSE a END))::INTEGER ELSE -1 END AS shard FROM res""")
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     got = mixing.mix_plan(read_table(spark, sf_dir, "documents"), _MIX)
-    return got.select("doc_id", "size", "source_size", "target", "taken", "shard")
+    return got.select("doc_id", "size", "source_size", "target", "taken", F.coalesce("shard", F.lit(-1)).alias("shard"))
 
 
 @query("op3_simhash_dedup")
