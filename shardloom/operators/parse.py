@@ -25,7 +25,7 @@ from ..functions.hashing import routed_shard, unrouted_shard
 from ..functions.ids import hash_id, random_id
 from ..functions.naming import index_name
 from ..functions.text import field_value, split_escaped
-from ..spec import DATA_TYPES, NULL_TOKENS, IndexSpec, TypeSpec
+from ..spec import DATA_TYPES, NULL_TOKENS, STRICT_FORMS, IndexSpec, TypeSpec
 
 OK, DROPPED, REJECTED = "ok", "dropped", "rejected"
 MODES = ("failfast", "quarantine")
@@ -37,6 +37,12 @@ REASON_ARITY = "arity"
 REASON_COERCION = "coercion"
 
 
+def coerces(raw: Column, data_type: str) -> Column:
+    """Whether a text is a value of the data type (dates and times by their whole form)."""
+    ok = raw.try_cast(DATA_TYPES[data_type]).isNotNull()
+    return ok & raw.rlike(STRICT_FORMS[data_type]) if data_type in STRICT_FORMS else ok
+
+
 def present_columns(tspec: TypeSpec) -> list[str]:
     n = len(tspec.field_names)
     return [f"_present_{j}" for j in range((n + PRESENT_BITS - 1) // PRESENT_BITS)]
@@ -82,12 +88,11 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
 
     field_cols = [field_value(F.get(f, i)).alias(name) for i, name in enumerate(names)]
     explicit = tspec.explicit_mapping()
-    coercible = [(name, DATA_TYPES[m.data_type]) for name, m in explicit.items()
-                 if m.data_type != "string"]
+    coercible = [(name, m.data_type) for name, m in explicit.items() if m.data_type != "string"]
     if coercible:
-        for name, sql_type in coercible:
+        for name, data_type in coercible:
             raw = field_value(F.get(f, tspec.index_of(name)))
-            bad = raw.isNotNull() & raw.try_cast(sql_type).isNull()
+            bad = raw.isNotNull() & ~coerces(raw, data_type)
             status = status.when(bad, F.lit(REJECTED))
             reason = reason.when(bad, F.lit(f"{REASON_COERCION}:{name}"))
     status = status.otherwise(F.lit(OK))

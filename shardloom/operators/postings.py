@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..spec import TypeSpec
+from ..spec import DATA_TYPES, NUMBER_TYPES, TypeSpec
 from .parse import compute_once
 
 # The English stop-word set of the standard analyzer.
@@ -85,12 +85,23 @@ def text_fields(tspec: TypeSpec) -> list[str]:
     return [f for f in tspec.field_names if f in explicit and explicit[f].index_mode == "analyzed"]
 
 
+def canonical(value: F.Column, data_type: str) -> F.Column:
+    """The term of an exact value: a number's own text (``7`` for ``007`` and
+    ``+7``), any other value as it is.  A value that is no number stays."""
+    if data_type not in NUMBER_TYPES:
+        return value
+    return F.coalesce(value.try_cast(DATA_TYPES[data_type]).cast("string"), value)
+
+
 def keyword_postings(recs: DataFrame, tspec: TypeSpec) -> DataFrame:
     fields = keyword_fields(tspec)
     if not fields:
         return recs.sparkSession.createDataFrame(
             [], "index string, shard int, type string, field string, term string, _id string")
-    long = recs.unpivot(["_index", "_shard", "_type", "_id"], fields, "field", "term")
+    explicit = tspec.explicit_mapping()
+    terms = [canonical(F.col(f), explicit[f].data_type if f in explicit else "string").alias(f) for f in fields]
+    keys = ["_index", "_shard", "_type", "_id"]
+    long = recs.select(*keys, *terms).unpivot(keys, fields, "field", "term")
     return (long.filter(F.col("term").isNotNull())
             .select(F.col("_index").alias("index"), F.col("_shard").alias("shard"),
                     F.col("_type").alias("type"), "field", "term", "_id"))
@@ -169,8 +180,9 @@ def _field_modes(spark, ispec) -> DataFrame:
     for t in ispec.types:
         explicit = t.explicit_mapping()
         for f in t.field_names:
-            rows.append((t.name, f, explicit[f].index_mode if f in explicit else "not_analyzed"))
-    return spark.createDataFrame(rows, "type string, field string, index_mode string")
+            m = explicit.get(f)
+            rows.append((t.name, f, m.index_mode if m else "not_analyzed", m.data_type if m else "string"))
+    return spark.createDataFrame(rows, "type string, field string, index_mode string, data_type string")
 
 
 def postings_from_documents(docs: DataFrame, ispec, stop_words: tuple[str, ...] | None = STOP_WORDS,
@@ -199,7 +211,10 @@ def postings_from_documents(docs: DataFrame, ispec, stop_words: tuple[str, ...]
     analyzed = F.col("index_mode") == "analyzed"
     # a keyword value is one term of its document field (tf 1); an analysed
     # value's terms are counted inside its row (no exchange either way)
-    terms = F.when(analyzed, tokens("value")).otherwise(F.array(F.col("value")))
+    exact = F.col("value")
+    for data_type in NUMBER_TYPES:
+        exact = F.when(F.col("data_type") == data_type, canonical(F.col("value"), data_type)).otherwise(exact)
+    terms = F.when(analyzed, tokens("value")).otherwise(F.array(exact))
     out = count_terms(j.withColumn("_an", analyzed), ["index", "shard", "type", "field", "_id", "_an"], terms,
                       keep=lambda t: ~F.col("_an") | keep_token(t, stop_words, max_token_length))
     return out.drop("_an")

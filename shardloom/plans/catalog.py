@@ -429,11 +429,13 @@ def coercion_rejects(spark, sf):
     return ps.rejected(_parsed(spark, sf, PARTS))
 
 
-def _keyword_sql(tspec, ispec):
-    fields = [f for f in po.keyword_fields(tspec)]
-    cols = ", ".join(f"{{'field': '{f}', 'term': {f}}}" for f in fields)
+def _keyword_sql(tspec, ispec, lines=None):
+    explicit = tspec.explicit_mapping()
+    whole = {"byte", "short", "integer", "long"}
+    term = lambda f: f"coalesce(CAST(TRY_CAST({f} AS BIGINT) AS VARCHAR), {f})" if f in explicit and explicit[f].data_type in whole else f
+    cols = ", ".join(f"{{'field': '{f}', 'term': {term(f)}}}" for f in po.keyword_fields(tspec))
     return f"""SELECT _index AS index, _shard AS shard, _type AS type, kv.field AS field, kv.term AS term, _id FROM (
-SELECT _index, _shard, _type, _id, unnest([{cols}]) AS kv FROM ({O.docs_sql(tspec, ispec)})) WHERE kv.term IS NOT NULL"""
+SELECT _index, _shard, _type, _id, unnest([{cols}]) AS kv FROM ({O.docs_sql(tspec, ispec, *([lines] if lines else []))})) WHERE kv.term IS NOT NULL"""
 
 
 @query("keyword_postings", _keyword_sql(fx.ORDER_TYPE, ORD))
@@ -442,6 +444,41 @@ def keyword_postings(spark, sf):
     return po.keyword_postings(_records(spark, sf, ORD), fx.ORDER_TYPE)
 
 
+# Order keys with leading zeros or a sign, dates in whole and broken forms.
+NUMBERED = TypeSpec("order", ("okey", "custkey", "odate", "stamp"), field_sep="|", routing_field="custkey", key_fields=("okey",),
+                    mapping=(FieldMapping("okey", "long"), FieldMapping("custkey", "long"), FieldMapping("odate", "date"),
+                             FieldMapping("stamp", "timestamp")))
+NUM = IndexSpec("numbered", 4, (NUMBERED,))
+_NUM_LINES = """SELECT concat(CASE o_orderkey % 3 WHEN 0 THEN '00' WHEN 1 THEN '+' ELSE '' END, o_orderkey, '|', o_custkey, '|',
+  CASE WHEN o_orderkey % 13 = 0 THEN CAST(year(o_orderdate) AS VARCHAR) ELSE strftime(o_orderdate, '%Y-%m-%d') END,
+  CASE o_orderkey % 11 WHEN 0 THEN 'Tgarbage' WHEN 1 THEN 'T10:20:30' ELSE '' END, '|', strftime(o_orderdate, '%Y-%m-%d'),
+  CASE o_orderkey % 7 WHEN 0 THEN 'T10:20:30' WHEN 1 THEN ' 10:20:30.5Z' WHEN 2 THEN 'T10:20' ELSE 'T00:00:00+02:00' END) AS value FROM orders"""
+
+
+def _numbered_lines(spark, sf):
+    k, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    pick = lambda c, *cases, other="": F.when(c == cases[0][0], cases[0][1]).when(c == cases[1][0], cases[1][1]).otherwise(other)
+    odate = F.concat(F.when(k % 13 == 0, F.year("o_orderdate").cast("string")).otherwise(day), pick(k % 11, (0, "Tgarbage"), (1, "T10:20:30")))
+    at = F.concat(day, F.when(k % 7 == 2, "T10:20").otherwise(pick(k % 7, (0, "T10:20:30"), (1, " 10:20:30.5Z"), other="T00:00:00+02:00")))
+    line = F.concat_ws("|", F.concat(pick(k % 3, (0, "00"), (1, "+")), k.cast("string")), F.col("o_custkey").cast("string"), odate, at)
+    return fx.table(spark, sf, "orders").select(line.alias("value"))
+
+
+@query("strict_values", f"""SELECT _status AS status, coalesce(_reason, '') AS reason, count(*) AS n
+FROM ({O.parsed_sql(NUMBERED, NUM, _NUM_LINES)}) GROUP BY _status, _reason""")
+def strict_values(spark, sf):
+    """L1: dates and times are taken in whole form only."""
+    p = ps.parse_lines(_numbered_lines(spark, sf), NUMBERED, NUM)
+    return p.groupBy(F.col("_status").alias("status"), F.coalesce("_reason", F.lit("")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("numeric_terms", f"""SELECT field, term, count(*) AS doc_freq FROM ({_keyword_sql(NUMBERED, NUM, _NUM_LINES)}) GROUP BY field, term""")
+def numeric_terms(spark, sf):
+    """L2 + L4: a number is one term however it is written."""
+    recs = ps.records(ps.parse_lines(_numbered_lines(spark, sf), NUMBERED, NUM), NUMBERED, mode="quarantine")
+    return po.term_stats(po.keyword_postings(recs, NUMBERED)).groupBy("field", "term").agg(F.sum("doc_freq").alias("doc_freq"))
+
+
 # The orders feed as FIXTURES.md states it: the order key is stored but not
 # indexed, so keyword terms cover custkey, status, priority and year.
 ORDER_KEYED = TypeSpec("order", fx.ORDER_TYPE.field_names, field_sep="|", routing_field="custkey",

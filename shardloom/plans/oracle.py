@@ -16,7 +16,10 @@ from ..spec import DATA_TYPES, IndexSpec, TypeSpec
 _PH = "chr(1114109)"
 _DUCK_TYPES = {"string": "VARCHAR", "byte": "TINYINT", "short": "SMALLINT", "integer": "INTEGER",
                "long": "BIGINT", "float": "FLOAT", "double": "DOUBLE", "boolean": "BOOLEAN",
-               "date": "DATE"}
+               "date": "DATE", "timestamp": "TIMESTAMPTZ"}
+# The whole form of a date and of a time, stated apart from the spec.
+_DUCK_FORMS = {"date": "[0-9]{4}-[0-9]{2}-[0-9]{2}",
+               "timestamp": "[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?(Z|[+-][0-9]{2}:[0-9]{2})?"}
 assert set(_DUCK_TYPES) == set(DATA_TYPES)
 
 
@@ -157,6 +160,8 @@ def parsed_sql(tspec: TypeSpec, ispec: IndexSpec, lines: str) -> str:
             continue
         v = field_value_sql(f"_f[{tspec.index_of(m.field) + 1}]")
         bad = f"{v} IS NOT NULL AND TRY_CAST({v} AS {_DUCK_TYPES[m.data_type]}) IS NULL"
+        if m.data_type in _DUCK_FORMS:
+            bad = f"({bad} OR NOT regexp_full_match({v}, '{_DUCK_FORMS[m.data_type]}'))"
         st.append(f"WHEN {bad} THEN 'rejected'")
         rs.append(f"WHEN {bad} THEN 'coercion:{m.field}'")
     status = "CASE " + " ".join(st) + " ELSE 'ok' END"

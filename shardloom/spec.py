@@ -29,7 +29,15 @@ DATA_TYPES = {
     "double": "double",
     "boolean": "boolean",
     "date": "date",
+    "timestamp": "timestamp",
 }
+# A text is a date or time only if it has the whole form; a cast alone would
+# take "2024" or drop what follows a date.
+STRICT_FORMS = {
+    "date": r"^\d{4}-\d{2}-\d{2}$",
+    "timestamp": r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2})?$",
+}
+NUMBER_TYPES = ("byte", "short", "integer", "long", "float", "double")
 # Index modes: exact-value terms, analysed text terms, or not indexed.
 INDEX_MODES = ("not_analyzed", "analyzed", "no")
 DEFAULT_DATA_TYPE = "string"
