@@ -68,10 +68,12 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
     id_mode = id_mode or default_id_mode(tspec)
     names = tspec.field_names
     n = len(names)
-    cols = [F.col(value_col).cast("string").alias("_line")]
+    cols = [F.lit(tspec.name).alias("_type"), F.col(value_col).cast("string").alias("_line")]
     if id_mode == "position":
         cols.append(F.monotonically_increasing_id().alias("_pos"))
-    df = lines.select(*cols).withColumn("_f", split_escaped("_line", tspec.field_sep))
+    # the split is computed once a line; all else is plain projection over it,
+    # so a query that needs only index and shard makes no ids and no fields
+    df = compute_once(lines.select(*cols).withColumn("_f", split_escaped("_line", tspec.field_sep)))
 
     f = F.col("_f")
     size = F.size(f)
@@ -101,7 +103,7 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
     pf = list(ispec.partition_fields or ())
     part_cols = [F.get(f, tspec.index_of(p)).alias(partition_column(p)) for p in pf]
     keep = ["_line"] + (["_pos"] if id_mode == "position" else [])
-    df = df.select(F.lit(tspec.name).alias("_type"), *keep, status.alias("_status"),
+    df = df.select("_type", *keep, status.alias("_status"),
                    reason.alias("_reason"), "_f", *field_cols, *part_cols)
 
     ok = F.col("_status") == OK
@@ -133,9 +135,8 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
         for b in bits[1:]:
             total = total + b
         words.append(total.alias(wname))
-    out = df.select("_type", "_line", "_status", "_reason", *names,
-                    *[partition_column(p) for p in pf], "_index", "_shard", "_id", *words)
-    return compute_once(out)
+    return df.select("_type", "_line", "_status", "_reason", *names,
+                     *[partition_column(p) for p in pf], "_index", "_shard", "_id", *words)
 
 
 def compute_once(df: DataFrame) -> DataFrame:

@@ -71,3 +71,10 @@ def test_active_documents_prune_index_folders(spark):
     df.collect()
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruningexpression(index" in p
+
+
+def test_counts_by_shard_make_no_ids_and_split_once(spark):
+    """Index and shard alone: one split a line, no id hash, no field built."""
+    for name in ("shard_grid", "shard_counts"):
+        p = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        assert "sha2" not in p and "event_type" not in p.split("Generate")[0], name
