@@ -1,6 +1,7 @@
 """Run a build from a JSON job spec (``IndexSpec.to_dict`` layout).
 
     spark-submit --py-files shardloom.zip -m shardloom build job.json OUT [--quarantine] [--publish LIVE]
+        [--postings] [--id-mode position|key|random]
     python -m shardloom build job.json OUT
 """
 
@@ -12,6 +13,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from .functions.ids import ID_MODES
 from .plans.build import build_index
 from .sinks.documents import publish
 from .spec import IndexSpec
@@ -25,12 +27,15 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("out", help="output folder of the build")
     b.add_argument("--quarantine", action="store_true", help="set rejected lines aside instead of failing")
     b.add_argument("--publish", metavar="LIVE", help="then replace the built indices in this folder")
+    b.add_argument("--postings", action="store_true", help="also write the postings and the term dictionary")
+    b.add_argument("--id-mode", choices=ID_MODES, help="how document ids are made (default: key fields, else position)")
     args = ap.parse_args(argv)
 
     with open(args.spec, encoding="utf-8") as fh:
         spec = IndexSpec.from_dict(json.load(fh))
     spark = SparkSession.builder.appName(f"shardloom-{spec.name}").getOrCreate()
-    res = build_index(spark, spec, args.out, mode="quarantine" if args.quarantine else "failfast")
+    res = build_index(spark, spec, args.out, mode="quarantine" if args.quarantine else "failfast",
+                      id_mode=args.id_mode, postings=args.postings)
     if args.publish:
         publish(spark, args.out, args.publish, build_id=res.build_id)
     print(json.dumps({"build_id": res.build_id, "out": args.out, "published": args.publish}))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import routed_shard, unrouted_shard
+from ..functions.hashing import random_shard, routed_shard, unrouted_shard
 from ..functions.ids import hash_id, random_id
 from ..functions.naming import index_name
 from ..functions.text import field_value, split_escaped
@@ -121,6 +121,8 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
 
     if ri is not None:
         shard = routed_shard(F.get(f, ri), ispec.num_shards)
+    elif ispec.unrouted == "random":
+        shard = random_shard(ispec.num_shards)
     else:
         shard = unrouted_shard(F.col("_id"), ispec.num_shards)
     index = index_name(ispec.name, *[F.col(partition_column(p)) for p in pf])

@@ -75,7 +75,8 @@ def read_index_inputs(spark: SparkSession, ispec: IndexSpec, line_sep: str | Non
     for t in ispec.types:
         if t.input_path is None:
             raise ValueError(f"type {t.name!r} has no input_path")
-        out[t.name] = read_lines(spark, t.input_path, line_sep)
+        sep = t.record_sep if t.record_sep is not None else line_sep
+        out[t.name] = filter_long_lines(read_lines(spark, t.input_path, sep), t.max_line_bytes, sep or "\n")
     return out
 
 

@@ -7,6 +7,7 @@ turned into literals in the Spark plan by the operators.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -79,7 +80,35 @@ class FieldMapping:
             raise SpecError(f"only string fields can be analyzed: {self.field!r}")
 
 
-def _mapping_tuple(mapping) -> tuple[FieldMapping, ...] | None:
+def _properties(mapping, type_name: str):
+    """The field properties of a mapping given as JSON text, as a search index's
+    document ``{type: {"properties": ...}}``, or already as properties.
+
+    Templates for undeclared fields may only state what holds anyway (exact
+    strings); other settings are an error rather than silently ignored.
+    """
+    if isinstance(mapping, str):
+        mapping = json.loads(mapping)
+    if not isinstance(mapping, dict):
+        return mapping
+    body = mapping
+    if set(mapping) == {type_name} and isinstance(mapping[type_name], dict) and set(mapping[type_name]) & {"properties", "dynamic_templates"}:
+        body = mapping[type_name]
+    if not isinstance(body.get("properties"), dict) and "dynamic_templates" not in body:
+        return mapping
+    other = set(body) - {"properties", "dynamic_templates"}
+    if other:
+        raise SpecError(f"mapping of type {type_name!r}: settings {sorted(other)} are not supported")
+    for template in body.get("dynamic_templates", ()):
+        for name, rule in template.items():
+            how = rule.get("mapping", {})
+            if how.get("type", DEFAULT_DATA_TYPE) != DEFAULT_DATA_TYPE or how.get("index", DEFAULT_INDEX_MODE) != DEFAULT_INDEX_MODE:
+                raise SpecError(f"mapping of type {type_name!r}: template {name!r} is not the exact-string default")
+    return body.get("properties", {})
+
+
+def _mapping_tuple(mapping, type_name: str = "") -> tuple[FieldMapping, ...] | None:
+    mapping = _properties(mapping, type_name)
     if mapping is None:
         return None
     if isinstance(mapping, dict):
@@ -88,8 +117,10 @@ def _mapping_tuple(mapping) -> tuple[FieldMapping, ...] | None:
             if isinstance(v, str):
                 out.append(FieldMapping(name, v))
             elif isinstance(v, dict):
-                out.append(FieldMapping(name, v.get("type", DEFAULT_DATA_TYPE),
-                                        v.get("index", DEFAULT_INDEX_MODE)))
+                other = set(v) - {"type", "index"}
+                if other:
+                    raise SpecError(f"mapping of field {name!r}: settings {sorted(other)} are not supported")
+                out.append(FieldMapping(name, v.get("type", DEFAULT_DATA_TYPE), v.get("index", DEFAULT_INDEX_MODE)))
             else:
                 out.append(FieldMapping(name, *v))
         return tuple(out)
@@ -101,7 +132,9 @@ class TypeSpec:
     """One document type: where its lines are and how to read them.
 
     ``key_fields`` optionally names fields that are unique per line; document
-    ids are then a hash of them (see ``functions.ids``).
+    ids are then a hash of them (see ``functions.ids``).  ``record_sep`` ends a
+    line of the feed (default: line ends); with ``max_line_bytes``, lines that
+    long or longer (their end included) are left out.
     """
 
     name: str
@@ -111,10 +144,12 @@ class TypeSpec:
     mapping: tuple[FieldMapping, ...] | None = None
     routing_field: str | None = None
     key_fields: tuple[str, ...] | None = None
+    record_sep: str | None = None
+    max_line_bytes: int | None = None
 
     def __post_init__(self):
         object.__setattr__(self, "field_names", tuple(self.field_names))
-        object.__setattr__(self, "mapping", _mapping_tuple(self.mapping))
+        object.__setattr__(self, "mapping", _mapping_tuple(self.mapping, self.name))
         if self.key_fields is not None:
             object.__setattr__(self, "key_fields", tuple(self.key_fields))
         if not self.name:
@@ -132,6 +167,10 @@ class TypeSpec:
             raise SpecError(f"type {self.name!r}: the separator must be one character")
         if self.field_sep == "\\":
             raise SpecError("the backslash is the escape character and cannot separate fields")
+        if self.record_sep == "":
+            raise SpecError(f"type {self.name!r}: the record separator may not be empty")
+        if self.max_line_bytes is not None and self.max_line_bytes < 1:
+            raise SpecError(f"type {self.name!r}: max_line_bytes must be positive")
         if self.routing_field is not None and self.routing_field not in self.field_names:
             raise SpecError(f"cannot find the routing field {self.routing_field!r} "
                             f"in the fields of type {self.name!r}")
@@ -161,6 +200,10 @@ class TypeSpec:
             d["routingField"] = self.routing_field
         if self.key_fields:
             d["keyFields"] = ",".join(self.key_fields)
+        if self.record_sep is not None:
+            d["recordSplitter"] = self.record_sep
+        if self.max_line_bytes is not None:
+            d["maxLineBytes"] = self.max_line_bytes
         if self.mapping:
             d["mapping"] = {m.field: {"type": m.data_type, "index": m.index_mode}
                             for m in self.mapping}
@@ -177,7 +220,8 @@ class TypeSpec:
         return cls(name=d["name"], field_names=tuple(fields), input_path=d.get("inputPath"),
                    field_sep=separator_from_token(d.get("fieldSplitter", HIVE_SEPARATOR_TOKEN)),
                    mapping=d.get("mapping"), routing_field=d.get("routingField"),
-                   key_fields=keys)
+                   key_fields=keys, record_sep=d.get("recordSplitter"),
+                   max_line_bytes=None if d.get("maxLineBytes") is None else int(d["maxLineBytes"]))
 
 
 @dataclass(frozen=True)
@@ -185,7 +229,9 @@ class IndexSpec:
     """An index: a name, a shard count, its types and optional partition fields.
 
     With partition fields every line goes to the physical index
-    ``name@v1-v2-...`` built from the raw values of those fields.
+    ``name@v1-v2-...`` built from the raw values of those fields.  A line of a
+    type without a routing field goes to the shard of its id, or with
+    ``unrouted="random"`` to any shard (another one when a task is retried).
     """
 
     name: str
@@ -194,8 +240,11 @@ class IndexSpec:
     partition_fields: tuple[str, ...] | None = None
     replicas: int = 1
     version: int = 2
+    unrouted: str = "id"
 
     def __post_init__(self):
+        if self.unrouted not in ("id", "random"):
+            raise SpecError(f"unrouted must be 'id' or 'random': {self.unrouted!r}")
         object.__setattr__(self, "types", tuple(self.types))
         if self.partition_fields is not None:
             object.__setattr__(self, "partition_fields", tuple(self.partition_fields))
@@ -227,6 +276,8 @@ class IndexSpec:
         d = {"indexName": self.name, "numOfShards": self.num_shards,
              "types": [t.to_dict() for t in self.types],
              "replicas": self.replicas, "version": self.version}
+        if self.unrouted != "id":
+            d["unrouted"] = self.unrouted
         if self.partition_fields:
             d["partitionFields"] = ",".join(self.partition_fields)
         return d
@@ -241,4 +292,4 @@ class IndexSpec:
         return cls(name=d["indexName"], num_shards=int(d["numOfShards"]),
                    types=tuple(TypeSpec.from_dict(t) for t in d.get("types", ())),
                    partition_fields=pf, replicas=int(d.get("replicas", 1)),
-                   version=int(d.get("version", 2)))
+                   version=int(d.get("version", 2)), unrouted=d.get("unrouted", "id"))

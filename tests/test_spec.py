@@ -57,3 +57,37 @@ def test_cli_builds_from_a_json_spec(spark, tmp_path):
     path.write_text(json.dumps(spec.to_dict()))
     assert main(["build", str(path), str(tmp_path / "out"), "--quarantine", "--publish", str(tmp_path / "live")]) == 0
     assert read_documents(spark, str(tmp_path / "live")).count() > 0
+
+
+def test_mapping_as_a_search_index_states_it():
+    import json
+
+    exact = [{"all": {"match": "*", "match_mapping_type": "string", "mapping": {"type": "string", "index": "not_analyzed"}}}]
+    shape = {"reading": {"dynamic_templates": exact, "properties": {"celsius": {"type": "double"}, "note": {"type": "string", "index": "analyzed"}}}}
+    for mapping in (shape, json.dumps(shape), shape["reading"], {"celsius": {"type": "double"}, "note": {"type": "string", "index": "analyzed"}}):
+        t = TypeSpec("reading", ("celsius", "note"), mapping=mapping)
+        assert t.mapping == (FieldMapping("celsius", "double"), FieldMapping("note", "string", "analyzed"))
+    for bad in ({"reading": {"properties": {"note": {"type": "string", "analyzer": "x"}}}}, {"reading": {"properties": {}, "_ttl": {}}},
+                {"reading": {"dynamic_templates": [{"all": {"mapping": {"type": "long"}}}], "properties": {}}}):
+        with pytest.raises(SpecError):
+            TypeSpec("reading", ("celsius", "note"), mapping=bad)
+
+
+def test_cli_reads_feed_options(spark, tmp_path):
+    import json
+
+    from shardloom.__main__ import main
+    from shardloom.sinks import documents as sk
+    from shardloom.sources import lines as ln
+
+    feed = spark.createDataFrame([("1,a b",), ("2," + "x" * 50,), ("3,c",)], "value string")
+    ln.write_lines(feed, str(tmp_path / "in"), line_sep=";", compression="gzip")
+    spec = IndexSpec("notes", 3, (TypeSpec("note", ("k", "text"), field_sep=",", key_fields=("k",), input_path=str(tmp_path / "in"), record_sep=";",
+                                           max_line_bytes=20, mapping={"note": {"properties": {"text": {"index": "analyzed"}}}}),), unrouted="random")
+    assert IndexSpec.from_dict(json.loads(json.dumps(spec.to_dict()))) == spec
+    (tmp_path / "job.json").write_text(json.dumps(spec.to_dict()))
+    out = str(tmp_path / "out")
+    assert main(["build", str(tmp_path / "job.json"), out, "--postings", "--id-mode", "key"]) == 0
+    docs = sk.active_documents(spark, out)
+    assert sorted(json.loads(r.doc)["k"] for r in docs.collect()) == ["1", "3"] and {r.shard for r in docs.collect()} <= {0, 1, 2}
+    assert sorted(r.term for r in sk.active_table(spark, out, "postings").where("field = 'text'").collect()) == ["b", "c"]
