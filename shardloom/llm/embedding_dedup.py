@@ -3,15 +3,22 @@
 1. Equal vectors become one class with a count; tasks scale them to length 1.
 2. ``trees`` trees split the classes by random hyperplanes at the median of the
    projections.  Classes within a margin of the median go down both sides
-   (spill), so a close pair is rarely parted.  The first splits are fitted on a
-   bounded sample (``sample`` classes, chosen by hash) and sent to the tasks;
-   leaves that are still larger than ``leaf`` are split again, round by round,
-   each by a subtree fitted on a bounded sample of its own members.
+   (spill), so a close pair is rarely parted; the margin is the larger of a share
+   of the members and half the step along the plane of a pair of cosine
+   ``least``.  The first splits are fitted on a bounded sample (``sample``
+   classes, chosen by hash) and sent to the tasks; leaves that are still larger
+   than ``leaf`` are split again, round by round, each by a subtree fitted on a
+   bounded sample of its own members.  Members of which a share of ``tight``
+   sampled pairs or more are links are near copies that any plane would cut
+   apart: they are split no further.
 3. Classes of a leaf are compared with each other; pairs of cosine ``least`` or
-   more (double precision) are links.  A leaf that stays too large (vectors that
+   more (double precision) are links.  A large leaf (near copies, or vectors that
    no plane parts) is cut into chunks, and each pair of chunks is compared in a
    task of its own: no pair of a leaf is left out.
-4. Links found by any tree are united; components follow from them.
+4. A link is counted in one leaf only, the first by hash of those that hold both
+   ends, so the counts of the cells add up without a row per link.  Of each cell
+   go on the counts of its classes and edges that join what its links join;
+   components follow from the edges.
 
 Every vector is routed through every tree; a pair is missed only if all trees
 part it.  Defined results: a vector that is null, empty, zero, or holds null or
@@ -44,16 +51,30 @@ class Forest:
     spill: float = 0.08       # share of a node's members beyond the median that go to the other side too
     sample: int = 16384       # classes the first splits are fitted on
     local: int = 2048         # expected sample of a leaf that is split again
+    tight: float = 0.05       # share of links among the pairs of a node at which it is not split
     rounds: int = 8           # further rounds of splits at most
     seed: int = 42
 
 
 # --- trees: arrays of planes and thresholds, children of node i at 2i + 1 and 2i + 2 ----
 
-def fit_tree(x: np.ndarray, depth: int, spill: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Planes and (low, median, high) thresholds of a full binary tree on sample ``x``."""
+PROBE = 512      # members of a node whose pairs tell how tight it is
+
+
+def link_share(x: np.ndarray, least: float, rng: np.random.Generator) -> float:
+    """Share of links among the pairs of at most ``PROBE`` members drawn from ``x``."""
+    if len(x) > PROBE:
+        x = x[rng.choice(len(x), PROBE, replace=False)]
+    pairs = len(x) * (len(x) - 1)
+    return float(((x @ x.T >= least).sum() - len(x)) / pairs) if pairs else 0.0
+
+
+def fit_tree(x: np.ndarray, depth: int, forest: Forest, seed) -> tuple[np.ndarray, np.ndarray]:
+    """Planes and (low, median, high) thresholds of a full binary tree on sample
+    ``x``; a tight node sends all to its left child."""
     n = (1 << depth) - 1
     rng = np.random.default_rng(seed)
+    half = np.sqrt(max(0.0, 2 - 2 * forest.least) / x.shape[1]) / 2
     planes = rng.standard_normal((n, x.shape[1])).astype(np.float32)
     cuts = np.zeros((n, 3), np.float32)
     members = {0: np.arange(len(x))}
@@ -61,10 +82,16 @@ def fit_tree(x: np.ndarray, depth: int, spill: float, seed: int) -> tuple[np.nda
         own = members.pop(i, np.empty(0, int))
         if not len(own):
             continue
-        p = x[own] @ planes[i]
-        cuts[i] = np.quantile(p, [0.5 - spill, 0.5, 0.5 + spill])
+        if link_share(x[own], forest.least, rng) >= forest.tight:
+            cuts[i] = np.inf
+        else:
+            p = x[own] @ planes[i]
+            low, mid, high = np.quantile(p, [0.5 - forest.spill, 0.5, 0.5 + forest.spill])
+            step = half * np.linalg.norm(planes[i])
+            cuts[i] = min(low, mid - step), mid, max(high, mid + step)
         if 2 * i + 1 < n:
-            members[2 * i + 1], members[2 * i + 2] = own[p < cuts[i][1]], own[p >= cuts[i][1]]
+            left = np.ones(len(own), bool) if np.isinf(cuts[i][1]) else p < cuts[i][1]
+            members[2 * i + 1], members[2 * i + 2] = own[left], own[~left]
     return planes, cuts
 
 
@@ -127,7 +154,7 @@ def _plant(classes: DataFrame, forest: Forest, dim: int, count: int) -> DataFram
     share = min(1.0, forest.sample / count)
     picked = classes.where(F.pmod(F.xxhash64("class", F.lit(forest.seed)), F.lit(1_000_000)) < int(1_000_000 * share)).select("vec").toArrow()
     x = _units(picked.column("vec"), dim).astype(np.float32)     # ``sample`` rows are expected at any input size
-    trees = [fit_tree(x, depth, forest.spill, forest.seed + t) for t in range(forest.trees)]
+    trees = [fit_tree(x, depth, forest, forest.seed + t) for t in range(forest.trees)]
     told = classes.sparkSession.sparkContext.broadcast(trees)    # 2^depth planes a tree, bounded by ``sample``
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +170,8 @@ PART = 8192      # members of a crowded leaf that one task routes
 
 
 def _split_again(leaves: DataFrame, crowd: DataFrame, forest: Forest, dim: int, turn: int) -> DataFrame:
-    """Leaves named in ``crowd(tree, node, n)`` split by subtrees fitted on samples of their own members."""
+    """Leaves named in ``crowd(tree, node, n)`` split by subtrees fitted on samples of their own members.
+    A tight leaf stays whole, under a negative number."""
     told = leaves.join(crowd, ["tree", "node"], "left")
     members = told.where("n is not null")
     draw = F.pmod(F.xxhash64("class", "tree", F.lit(forest.seed + turn)), F.lit(1_000_000))
@@ -152,8 +180,11 @@ def _split_again(leaves: DataFrame, crowd: DataFrame, forest: Forest, dim: int,
     def fit(table: pa.Table) -> pa.Table:
         x = _units(table.column("vec"), dim).astype(np.float32)
         tree, node, n = (table.column(c)[0].as_py() for c in ("tree", "node", "n"))
+        seed = (forest.seed + turn, tree, node % (1 << 31))
         depth = min(max(1, ceil(log2(n / forest.leaf))), 6)
-        planes, cuts = fit_tree(x, depth, forest.spill, (forest.seed + turn, tree, node % (1 << 31)))
+        if link_share(x, forest.least, np.random.default_rng(seed)) >= forest.tight:
+            depth = 0
+        planes, cuts = fit_tree(x, depth, forest, seed)
         return pa.table({"tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int64()), "n": pa.array([n], pa.int64()),
                          "planes": pa.array([planes.tobytes()], pa.binary()), "cuts": pa.array([cuts.tobytes()], pa.binary())})
 
@@ -168,6 +199,8 @@ def _split_again(leaves: DataFrame, crowd: DataFrame, forest: Forest, dim: int,
         planes = np.frombuffer(subtree.column("planes")[0].as_py(), np.float32).reshape(-1, dim)
         cuts = np.frombuffer(subtree.column("cuts")[0].as_py(), np.float32).reshape(-1, 3)
         tree, node = table.column("tree")[0].as_py(), table.column("node")[0].as_py()
+        if not len(planes):
+            return pa.Table.from_arrays(_routed(table, np.arange(table.num_rows), np.zeros(table.num_rows, np.int64), tree, -1 - node), names=_LEAF)
         found = route(_units(table.column("vec"), dim).astype(np.float32), planes, cuts)
         return pa.Table.from_arrays(_routed(table, *found, tree, (node + 1) * 64 % (1 << 62)), names=_LEAF)
 
@@ -176,57 +209,98 @@ def _split_again(leaves: DataFrame, crowd: DataFrame, forest: Forest, dim: int,
         members.groupBy(*keys).cogroup(fitted.groupBy(*keys)).applyInArrow(split, _leaf_schema(leaves)))
 
 
+def _earlier(table: pa.Table) -> np.ndarray:
+    """Per member, bits of the leaves before this one (by hash) that two or more members share."""
+    leaf = table.column("leaf")[0].as_py()
+    lists = table.column("leaves").combine_chunks()
+    held = lists.flatten().to_numpy()
+    row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+    row, held = row[held < leaf], held[held < leaf]
+    _, kind, count = np.unique(held, return_inverse=True, return_counts=True)
+    many = count > 1
+    number = np.cumsum(many) - 1
+    row, kind = row[many[kind]], number[kind[many[kind]]]
+    bits = np.zeros((len(lists), max(1, -(-int(many.sum()) // 64))), np.uint64)
+    np.bitwise_or.at(bits, (row, kind // 64), np.uint64(1) << (kind % 64).astype(np.uint64))
+    return bits
+
+
+def _join(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels (lowest member) once members ``i`` and ``j`` are joined."""
+    while True:
+        a, b = label[i], label[j]
+        apart = a != b
+        if not apart.any():
+            return label
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label[label] != label).any():
+            label = label[label]
+
+
 def _compare(least: float, dim: int, width: int):
-    """Links within a cell: all pairs of a chunk, or of two chunks."""
+    """Links within a cell (all pairs of a chunk, or of two chunks): per class
+    its linked vectors ``near``, and edges ``(src, dst)`` that join what the links join."""
     def run(table: pa.Table) -> pa.Table:
         x = _units(table.column("vec"), dim)
-        ids = table.column("class").to_numpy()
+        ids, size = table.column("class").to_numpy(), table.column("size").to_numpy()
+        bits = _earlier(table)
         first = table.column("a")[0].as_py() == table.column("b")[0].as_py()
         side = table.column("c").to_numpy() == table.column("a")[0].as_py()
         left, right = (np.arange(len(ids)),) * 2 if first else (np.flatnonzero(side), np.flatnonzero(~side))
-        src, dst = [], []
+        near, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        if np.bitwise_and.reduce(bits, axis=0).any():        # an earlier leaf holds all of them
+            left = left[:0]
         for lo in range(0, len(left), width):
             part = left[lo:lo + width]
             i, j = np.nonzero(x[part] @ x[right].T >= least)
-            u, v = ids[part[i]], ids[right[j]]
-            keep = u < v if first else u != v
-            src.append(np.minimum(u, v)[keep])
-            dst.append(np.maximum(u, v)[keep])
-        return pa.table({"src": np.concatenate(src) if src else np.empty(0, np.int64), "dst": np.concatenate(dst) if dst else np.empty(0, np.int64)})
+            i, j = part[i], right[j]
+            if first:
+                i, j = i[i < j], j[i < j]
+            told = np.zeros(len(i), bool)
+            for w in range(bits.shape[1]):
+                told |= (bits[i, w] & bits[j, w]) != 0
+            i, j = i[~told], j[~told]
+            near += np.bincount(i, size[j], len(ids)).astype(np.int64) + np.bincount(j, size[i], len(ids)).astype(np.int64)
+            label = _join(label, i, j)
+        on = np.flatnonzero(near)
+        return pa.table({"src": ids[on], "dst": ids[label[on]], "near": near[on]})
     return run
 
 
 def embedding_links(classes: DataFrame, forest: Forest = Forest()) -> DataFrame:
-    """Distinct links ``(src, dst)``, ``src < dst``, between classes."""
+    """``(src, dst, near)``: linked vectors of class ``src``, to be summed, and
+    edges whose components are those of the links."""
     out = None
     for dim, count in [tuple(r) for r in classes.groupBy("dim").agg(F.count(F.lit(1))).orderBy("dim").collect()]:   # one row per vector length
         leaves = saved(_plant(classes.where(F.col("dim") == dim), forest, dim, count), "embedding-leaves")
         for turn in range(1, forest.rounds + 1):
             sizes = leaves.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n"))
-            crowd = sizes.where(F.col("n") > 4 * forest.leaf)
+            crowd = sizes.where((F.col("n") > 4 * forest.leaf) & (F.col("node") >= 0))
             if crowd.isEmpty():
                 break
             leaves = saved(_split_again(leaves, crowd, forest, dim, turn), "embedding-leaves")
         sizes = leaves.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         chunks = F.ceil(F.col("n") / F.lit(4 * forest.leaf)).cast("int")
-        cells = (leaves.join(sizes, ["tree", "node"]).withColumn("c", F.pmod(F.xxhash64("class"), chunks).cast("int"))
+        leaf = F.xxhash64("tree", "node")
+        held = leaves.groupBy("class").agg(F.collect_list(leaf).alias("leaves"))      # a few leaves a tree
+        cells = (leaves.join(sizes, ["tree", "node"]).join(held, "class").join(classes.select("class", "size"), "class")
+                 .withColumn("c", F.pmod(F.xxhash64("class"), chunks).cast("int"))
                  .withColumn("x", F.explode(F.sequence(F.lit(0), chunks - 1)))
-                 .select("class", "vec", "tree", "node", "c", F.least("c", "x").alias("a"), F.greatest("c", "x").alias("b")))
-        found = cells.groupBy("tree", "node", "a", "b").applyInArrow(_compare(forest.least, dim, 1024), "src bigint, dst bigint")
+                 .select("class", "size", "vec", "tree", "node", leaf.alias("leaf"), "leaves", "c", F.least("c", "x").alias("a"), F.greatest("c", "x").alias("b")))
+        found = cells.groupBy("tree", "node", "a", "b").applyInArrow(_compare(forest.least, dim, 1024), "src bigint, dst bigint, near bigint")
         out = found if out is None else out.union(found)
     if out is None:
-        return classes.select(F.col("class").alias("src"), F.col("class").alias("dst")).where("false")
-    return saved(out.distinct(), "embedding-links")
+        return classes.select(F.col("class").alias("src"), F.col("class").alias("dst"), F.col("size").alias("near")).where("false")
+    return saved(out, "embedding-links")
 
 
 def embedding_groups(vectors: DataFrame, forest: Forest = Forest()) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row of ``vectors(vec_id, embedding)``."""
     rows, classes = vector_classes(vectors)
     links = embedding_links(classes, forest)
-    both = links.union(links.select("dst", "src"))
-    size = classes.select(F.col("class").alias("dst"), "size")
-    near = both.join(size, "dst").groupBy("src").agg(F.sum("size").alias("near"))
-    comp = connected_components(links)
+    near = links.groupBy("src").agg(F.sum("near").alias("near"))
+    comp = connected_components(links.select("src", "dst"))
     told = (classes.join(near, F.col("class") == F.col("src"), "left").join(comp.withColumnRenamed("node", "class"), "class", "left")
             .select("vec", "rep", (F.coalesce("near", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "class").alias("component")))
     told = saved(told, "embedding-told")
@@ -237,4 +311,4 @@ def embedding_groups(vectors: DataFrame, forest: Forest = Forest()) -> DataFrame
     return got.union(alone).select("*", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
-__all__ = ["Forest", "fit_tree", "route", "vector_classes", "embedding_links", "embedding_groups"]
+__all__ = ["Forest", "link_share", "fit_tree", "route", "vector_classes", "embedding_links", "embedding_groups"]

@@ -68,3 +68,35 @@ def test_recall_on_given_vectors(spark):
     got = {r.vec_id: r.n_links for r in LLM_QUERIES["op1_embedding_dedup"](spark, sf).collect()}
     true = ((x @ x.T) >= 0.9).sum(1) - 1
     assert len(got) == len(rows) and sum(got.values()) >= 0.9 * true.sum() and all(got[i] <= t for (i, _), t in zip(rows, true))
+
+
+def test_large_groups_of_near_copies_keep_their_links(spark):
+    """Groups far beyond a leaf: near copies, and pairs inside one topic."""
+    rng = np.random.default_rng(5)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    centre = unit(rng.standard_normal((2, 64)))
+    copies = unit(np.sqrt(0.95) * centre[0] + np.sqrt(0.05) * unit(rng.standard_normal((10_000, 64))))
+    topic = unit(np.sqrt(0.8) * centre[1] + np.sqrt(0.2) * unit(rng.standard_normal((6_000, 64))))
+    twins = unit(topic[:500] + 0.48 * unit(rng.standard_normal((500, 64))))
+    x = np.concatenate([copies, topic, twins])
+    true = np.concatenate([(x[lo:lo + 2000] @ x.T >= 0.9).sum(1) - 1 for lo in range(0, len(x), 2000)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r for r in E.embedding_groups(df).collect()}
+    n = np.array([got[i].n_links for i in range(len(x))])
+    assert (n <= true).all() and true[:10_000].min() > 9_000
+    assert n[:10_000].sum() >= 0.999 * true[:10_000].sum()
+    assert true[10_000:].sum() >= 500 and n[10_000:].sum() >= 0.99 * true[10_000:].sum()
+    assert {got[i].component_id for i in range(10_000)} == {0}
+
+
+@pytest.mark.parametrize("name", ["check_s", "check_h"])
+def test_given_vectors_with_links(spark, name):
+    """Recall on given tables that do hold links between different vectors."""
+    vectors = spark.read.parquet(f"/root/testdata/{name}/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in vectors.collect()]
+    x = np.array([v for _, v in rows], float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    true = (x @ x.T >= 0.9).sum(1) - 1
+    assert len(np.unique(x, axis=0)) == len(x) and true.sum() > 0
+    got = {r.vec_id: r.n_links for r in E.embedding_groups(vectors).collect()}
+    assert all(got[i] <= t for (i, _), t in zip(rows, true)) and sum(got.values()) >= 0.999 * true.sum()
