@@ -59,7 +59,7 @@ RULES = (
     Rule("stripe", "[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{16,}"),
     Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("login", r"://[^\x20\x09-\x0D/:@]{1,128}:[^\x20\x09-\x0D/:@]{1,128}@"),
+    Rule("login", r"://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/:@]+@"),
 )
 BASE = 3
 MOST_ALTERNATIVES = 64     # beyond it a part of a pattern asks for no trigram (a looser query, same results)

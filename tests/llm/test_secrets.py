@@ -89,3 +89,14 @@ def test_redacted_texts_hold_no_secret(spark):
         assert not plain_spans(r.text) and r.n_chars == len(r.text)
         if not plain_spans(rows[r.doc_id][1]):
             assert r.text == rows[r.doc_id][1]
+
+
+def test_logins_of_any_length(spark):
+    texts = [f"x https://aws:{'tK9-' * 250}@host/a", f"ftp://{'user' * 100}:pw@host", f"http://{'u' * 100_000}:{'p' * 100_000}@h", f"http://{'u' * 100_000}:{'p' * 100_000} h"]
+    docs = spark.createDataFrame([doc(i, t) for i, t in enumerate(texts)], DOCS)
+    login = [r.kind for r in S.RULES].index("login")
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in S.scan(docs).collect()}
+    assert got[0] == [(7, login, 7 + 3 + 3 + 1 + 1000 + 1)] and got[3] == []
+    assert all(got[i] == plain_spans(t) and (len(got[i]) == 1 or i == 3) for i, t in enumerate(texts))
+    clean = {r.doc_id: r.text for r in S.redact(docs).collect()}
+    assert clean[0] == "x https[login]host/a" and clean[1] == "ftp[login]host" and clean[2] == "http[login]h" and clean[3] == texts[3]
