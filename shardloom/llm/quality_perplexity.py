@@ -6,10 +6,10 @@
 2. A modified Kneser-Ney model is made from the counts with joins and
    aggregates: lower orders count distinct left contexts, the three discounts
    come from the counts of counts, orders are interpolated.
-3. Probabilities and back-off weights are stored as arrays sorted by a hash of
-   (language, order, n-gram) of ``HASH_BITS`` bits.  The hash space bounds what
-   is broadcast (2^24 slots, 8 bytes each, per array) at any corpus size; where
-   two n-grams share a slot the larger value stays.
+3. Probabilities and back-off weights are stored as arrays sorted by a 64-bit
+   hash of (language, order, n-gram), so that n-grams do not take each other's
+   values.  The arrays (12 bytes an n-gram) are broadcast through the driver and
+   grow with the number of distinct n-grams.
 4. Every document gets its bits per character.  Per language, median and
    spread (MAD) over all documents give the lower and the upper band; the band
    of a short text is wider, as its average is less certain.  Beyond the bands a
@@ -38,7 +38,6 @@ from pyspark.sql import types as T
 from .common import saved
 
 ORDER = 4
-HASH_BITS = 24
 UNIT = 16                                   # bits of a UTF-16 unit; 4 units fill a 64-bit key
 
 
@@ -101,8 +100,8 @@ def _mix(x: np.ndarray, salt: int) -> np.ndarray:
 
 
 def slots(keys: np.ndarray, lang: int, order: int) -> np.ndarray:
-    """Hash slots of n-gram keys."""
-    return (_mix(keys, (lang << 8 | order) * 0x2545F4914F6CDD1D & (1 << 64) - 1) >> np.uint64(64 - HASH_BITS)).astype(np.uint32)
+    """Hashes of n-gram keys, distinct for the keys of one language and order."""
+    return _mix(keys, (lang << 8 | order) * 0x2545F4914F6CDD1D & (1 << 64) - 1)
 
 
 def ngram_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -237,18 +236,17 @@ def _sorted_slots(tables: list[DataFrame]) -> tuple[np.ndarray, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lang, order, key = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy().view(np.uint64)
-            slot = np.zeros(len(key), np.uint32)
+            slot = np.zeros(len(key), np.uint64)
             for x, y in {*zip(lang.tolist(), order.tolist())}:
                 mine = (lang == x) & (order == y)
                 slot[mine] = slots(key[mine], x, y)
-            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), b.column(3)], names=["slot", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array(slot.view(np.int64)), b.column(3)], names=["slot", "value"])
 
     rows = tables[0]
     for t in tables[1:]:
         rows = rows.union(t)
-    got = (rows.where("value is not null").mapInArrow(run, "slot int, value double")
-           .groupBy("slot").agg(F.max("value").cast("float").alias("value")).toArrow())      # 2^HASH_BITS rows at most
-    at, value = got.column("slot").to_numpy().astype(np.uint32), got.column("value").to_numpy()
+    got = rows.where("value is not null").mapInArrow(run, "slot bigint, value double").select("slot", F.col("value").cast("float").alias("value")).toArrow()
+    at, value = got.column("slot").to_numpy().view(np.uint64), got.column("value").to_numpy()
     order = np.argsort(at)
     return at[order], value[order].astype(np.float32)
 
@@ -333,5 +331,5 @@ def kept_documents(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     return _verdict(_scored(docs, model, bands), table, bands).where("__llm_kept").select(*docs.columns)
 
 
-__all__ = ["Bands", "Model", "ORDER", "HASH_BITS", "base_counts", "repeat_words", "ngram_keys", "ngram_counts", "discounts", "train", "band_table",
+__all__ = ["Bands", "Model", "ORDER", "base_counts", "repeat_words", "ngram_keys", "ngram_counts", "discounts", "train", "band_table",
            "judge", "kept_documents"]

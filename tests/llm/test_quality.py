@@ -125,3 +125,9 @@ def test_query_counts(spark):
     rows = LLM_QUERIES["op4_quality_perplexity"](spark, SF_MID).collect()
     assert len(rows) == len(text)
     assert all((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_counts(text[r.doc_id]) for r in rows)
+
+
+def test_many_ngrams_do_not_share_values(spark):
+    """Each of a million n-grams has its own place."""
+    keys = np.unique(np.random.default_rng(7).integers(0, 1 << 63, 1_000_000).astype(np.uint64))
+    assert len({*Q.slots(keys, 1, 4).tolist(), *Q.slots(keys, 2, 4).tolist()}) == 2 * len(keys)
