@@ -15,6 +15,12 @@
    of a short text is wider, as its average is less certain.  Beyond the bands a
    document is rejected: repetitive texts lie below, garbled or
    foreign ones above.
+5. A text's own n-grams make it look likely, so it is scored a second time by
+   cross-fitting: texts fall in two folds by a hash of the text (equal texts in
+   the same), each fold has a model of its own, and a document is scored by that
+   of the other fold.  These scores have bands per language and fold, and a
+   document beyond either band is rejected.  Where the other fold has no text of
+   the language, the first band decides alone.
 
 Languages are those named by the ``languages`` parameter; all others, and
 null, share one model.  Defined results: a null or empty text has no words and
@@ -141,19 +147,49 @@ def _parts(texts: list[str], chars: int = 4 << 20) -> Iterator[list[str]]:
         yield run
 
 
-def ngram_counts(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
-    """``(lang, key, n)`` over all documents."""
+FOLDS = 2
+
+
+def _fold(text: Column) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(FOLDS)).cast("int")
+
+
+def _trains(text: str) -> bool:
+    """Whether a text counts in the model of its fold."""
+    return bool(text)
+
+
+def _fold_counts(docs: DataFrame, bands: Bands) -> DataFrame:
+    """``(lang, fold, key, n)``; texts that train no fold have fold ``FOLDS``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lang = b.column(0).to_numpy()
-            texts = b.column(1).to_pylist()
-            for x, part in ((x, p) for x in np.unique(lang) for p in _parts([t for t, y in zip(texts, lang) if y == x and t])):
-                keys, n = np.unique(ngram_keys(part)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), x, np.int32)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))],
-                                                 names=["lang", "key", "n"])
+            texts = b.column(2).to_pylist()
+            kind = [(x, f if _trains(t) else FOLDS) if t else None for x, f, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts)]
+            for k in sorted({*kind} - {None}):
+                for part in _parts([t for t, y in zip(texts, kind) if y == k]):
+                    keys, n = np.unique(ngram_keys(part)[0], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([*[pa.array(np.full(len(n), x, np.int32)) for x in k], pa.array(keys.view(np.int64)),
+                                                      pa.array(n.astype(np.int64))], names=["lang", "fold", "key", "n"])
+
+    return (docs.select(_language(F.col("lang"), bands).alias("lang"), _fold(F.col("text")).alias("fold"), "text")
+            .mapInArrow(run, "lang int, fold int, key bigint, n bigint").groupBy("lang", "fold", "key").agg(F.sum("n").alias("n")))
 
-    return (docs.select(_language(F.col("lang"), bands).alias("lang"), "text").mapInArrow(run, "lang int, key bigint, n bigint")
-            .groupBy("lang", "key").agg(F.sum("n").alias("n")))
+
+def ngram_counts(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
+    """``(lang, key, n)`` over all documents."""
+    return _fold_counts(docs, bands).groupBy("lang", "key").agg(F.sum("n").alias("n"))
+
+
+def _fold_model(lang, fold, bands: Bands):
+    """Number by which ``train`` knows the model of a fold; that of all documents has the language's own."""
+    return lang + (fold + 1) * (len(bands.languages) + 1)
+
+
+def _all_counts(docs: DataFrame, bands: Bands) -> DataFrame:
+    """``(lang, key, n)`` of the model of all documents and of each fold's."""
+    some = saved(_fold_counts(docs, bands), "ngram-folds")
+    own = some.where(F.col("fold") < FOLDS).select(_fold_model(F.col("lang"), F.col("fold"), bands).cast("int").alias("lang"), "key", "n")
+    return some.groupBy("lang", "key").agg(F.sum("n").alias("n")).union(own)
 
 
 # --- the model -----------------------------------------------------------------
@@ -254,73 +290,95 @@ def _sorted_slots(tables: list[DataFrame]) -> tuple[np.ndarray, np.ndarray]:
 # --- scores and bands ------------------------------------------------------------
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_SCORES = tuple(f"__llm_{x}" for x in (*_COUNTS, "lang", "n_units", "bits"))
+_SCORES = tuple(f"__llm_{x}" for x in (*_COUNTS, "lang", "fold", "n_units", "bits", "held", "trains"))
 
 
 def _scored(docs: DataFrame, model, bands: Bands) -> DataFrame:
-    """``docs`` with base counts, language number, characters and bits per character."""
+    """``docs`` with base counts, language number, fold, characters, bits per
+    character by the model of all documents and by that of the other fold, and
+    whether the text trains a fold."""
     cols, lang_at, text_at = docs.columns, len(docs.columns), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for b in batches:
             texts = [t or "" for t in b.column(text_at).to_pylist()]
-            lang = b.column(lang_at).to_numpy()
+            lang, fold = b.column(lang_at).to_numpy(), b.column(lang_at + 1).to_numpy()
             counts = np.array([base_counts(t) for t in texts], np.int64).reshape(-1, len(_COUNTS))
-            size, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-            for x in np.unique(lang):
-                mine = np.flatnonzero((lang == x) & np.array([bool(t) for t in texts], bool))
+            size, total, held = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.full(len(texts), np.nan)
+            some = np.array([bool(t) for t in texts], bool)
+            for x, f in sorted({*zip(lang[some].tolist(), fold[some].tolist())}):
+                mine = np.flatnonzero((lang == x) & (fold == f) & some)
+                other = _fold_model(x, FOLDS - 1 - f, bands)
                 at = 0
                 for run in _parts([texts[i] for i in mine], 1 << 20):
                     part, at = mine[at:at + len(run)], at + len(run)
                     keys, n = ngram_keys(run)
                     size[part] = n
-                    total[part] = np.add.reduceat(m.bits(keys, int(x)), np.cumsum(n) - n)
+                    total[part] = np.add.reduceat(m.bits(keys, x), np.cumsum(n) - n)
+                    if other in m.unseen:
+                        held[part] = np.add.reduceat(m.bits(keys, other), np.cumsum(n) - n) / n
             with np.errstate(invalid="ignore"):
                 bits = np.where(size > 0, total / np.maximum(size, 1), np.nan)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], *[pa.array(counts[:, i]) for i in range(len(_COUNTS))], b.column(lang_at), pa.array(size),
-                 pa.array(bits, mask=size == 0)], names=[*cols, *_SCORES])
+                [*b.columns[:-2], *[pa.array(counts[:, i]) for i in range(len(_COUNTS))], b.column(lang_at), b.column(lang_at + 1), pa.array(size),
+                 pa.array(bits, mask=size == 0), pa.array(held, mask=np.isnan(held)), pa.array([_trains(t) for t in texts], pa.bool_())], names=[*cols, *_SCORES])
 
-    schema = T.StructType([*docs.schema.fields, *[T.StructField(x, T.LongType()) for x in _SCORES[:5]], T.StructField(_SCORES[5], T.IntegerType()),
-                           T.StructField(_SCORES[6], T.LongType()), T.StructField(_SCORES[7], T.DoubleType())])
-    return docs.withColumn(_SCORES[5], _language(F.col("lang"), bands)).mapInArrow(run, schema)
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(x, T.LongType()) for x in _SCORES[:5]], *[T.StructField(x, T.IntegerType()) for x in _SCORES[5:7]],
+                           T.StructField(_SCORES[7], T.LongType()), *[T.StructField(x, T.DoubleType()) for x in _SCORES[8:10]], T.StructField(_SCORES[10], T.BooleanType())])
+    return docs.withColumn(_SCORES[5], _language(F.col("lang"), bands)).withColumn(_SCORES[6], _fold(F.col("text"))).mapInArrow(run, schema)
 
 
 def _c(name: str) -> Column:
     return F.col(f"__llm_{name}")
 
 
+def _band(some: DataFrame, bits: str, by: list[str], bands: Bands, name: str) -> DataFrame:
+    """``__llm_<name>_median, __llm_<name>_spread`` of the scores ``bits`` for each of ``by``."""
+    median = f"__llm_{name}_median"
+    some = some.where(F.col(bits).isNotNull()).select(*by, bits)
+    mid = some.groupBy(*by).agg(F.percentile_approx(bits, 0.5, 10000).alias(median))
+    off = some.join(F.broadcast(mid), by)                       # one row per language and fold
+    spread = off.groupBy(*by, median).agg(F.percentile_approx(F.abs(F.col(bits) - F.col(median)), 0.5, 10000).alias("mad"))
+    return spread.select(*by, median, F.greatest(F.lit(bands.least_spread), F.col("mad") * 1.4826).alias(f"__llm_{name}_spread"))
+
+
 def band_table(scored: DataFrame, bands: Bands) -> DataFrame:
-    """``__llm_lang, __llm_median, __llm_spread`` of the bits per character."""
-    some = scored.where(_c("bits").isNotNull()).select("__llm_lang", "__llm_bits")
-    mid = some.groupBy("__llm_lang").agg(F.percentile_approx("__llm_bits", 0.5, 10000).alias("__llm_median"))
-    off = some.join(F.broadcast(mid), "__llm_lang")             # one row per language
-    spread = off.groupBy("__llm_lang", "__llm_median").agg(F.percentile_approx(F.abs(_c("bits") - _c("median")), 0.5, 10000).alias("mad"))
-    return spread.select("__llm_lang", "__llm_median", F.greatest(F.lit(bands.least_spread), F.col("mad") * 1.4826).alias("__llm_spread"))
+    """Medians and spreads per language and fold: of the bits per character of all
+    documents of the language, and of the cross-fitted ones of the texts that train."""
+    every = _band(scored, "__llm_bits", ["__llm_lang"], bands, "all")
+    held = _band(scored.where(_c("trains")), "__llm_held", ["__llm_lang", "__llm_fold"], bands, "held")
+    folds = every.withColumn("__llm_fold", F.explode(F.array(*[F.lit(f) for f in range(FOLDS)])))
+    return folds.join(F.broadcast(held), ["__llm_lang", "__llm_fold"], "left")
 
 
 def _verdict(scored: DataFrame, table: DataFrame, bands: Bands) -> DataFrame:
-    got = scored.join(F.broadcast(table), "__llm_lang", "left")
-    half = bands.width * _c("spread") * F.sqrt(1 + F.lit(bands.short) / F.greatest(_c("n_units"), F.lit(1)))
+    got = scored.join(F.broadcast(table), ["__llm_lang", "__llm_fold"], "left")
+    wide = bands.width * F.sqrt(1 + F.lit(bands.short) / F.greatest(_c("n_units"), F.lit(1)))
     failed = (_c("n_words") < 10) | (100 * _c("n_repeat_words") > 20 * _c("n_words"))
-    inside = F.coalesce(F.abs(_c("bits") - _c("median")) <= half, F.lit(False))
-    return (got.withColumn("__llm_failed", failed).withColumn("__llm_kept", ~failed & inside)
-            .withColumn("__llm_low", F.pow(2.0, _c("median") - half)).withColumn("__llm_high", F.pow(2.0, _c("median") + half)))
+    inside = F.coalesce(F.abs(_c("bits") - _c("all_median")) <= wide * _c("all_spread"), F.lit(False))
+    held = F.coalesce(F.abs(_c("held") - _c("held_median")) <= wide * _c("held_spread"), F.lit(True))
+    got = got.withColumn("__llm_failed", failed).withColumn("__llm_kept", ~failed & inside & held)
+    for name, low, high in (("all", "low", "high"), ("held", "held_low", "held_high")):
+        half = wide * _c(f"{name}_spread")
+        got = got.withColumn(f"__llm_{low}", F.pow(2.0, _c(f"{name}_median") - half)).withColumn(f"__llm_{high}", F.pow(2.0, _c(f"{name}_median") + half))
+    return got
 
 
 def _model(docs: DataFrame, bands: Bands):
-    return docs.sparkSession.sparkContext.broadcast(train(ngram_counts(docs, bands)))
+    return docs.sparkSession.sparkContext.broadcast(train(_all_counts(docs, bands)))
 
 
 def judge(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """One row per document: ``doc_id``, the base counts, ``base_failed``,
-    ``kept``, ``perplexity`` and the document's band ``low``, ``high``."""
+    ``kept``, ``perplexity`` and the document's band ``low``, ``high``, and the
+    same by the model of the other fold: ``held_perplexity``, ``held_low``, ``held_high``."""
     docs = docs.select("doc_id", "lang", "text")
     scored = saved(_scored(docs, _model(docs, bands), bands).drop("text"), "quality-scores")
     got = _verdict(scored, band_table(scored, bands), bands)
     return got.select("doc_id", *[_c(x).alias(x) for x in _COUNTS], _c("failed").alias("base_failed"), _c("kept").alias("kept"),
-                      F.pow(2.0, _c("bits")).alias("perplexity"), _c("low").alias("low"), _c("high").alias("high"))
+                      F.pow(2.0, _c("bits")).alias("perplexity"), _c("low").alias("low"), _c("high").alias("high"),
+                      F.pow(2.0, _c("held")).alias("held_perplexity"), _c("held_low").alias("held_low"), _c("held_high").alias("held_high"))
 
 
 def kept_documents(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:

@@ -1,11 +1,13 @@
 """Quality rules: base counts and the Kneser-Ney model against plain Python."""
 
+import base64
 import math
 import random
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from shardloom.llm import quality_perplexity as Q
 from shardloom.llm.catalog import LLM_QUERIES
@@ -131,3 +133,20 @@ def test_many_ngrams_do_not_share_values(spark):
     """Each of a million n-grams has its own place."""
     keys = np.unique(np.random.default_rng(7).integers(0, 1 << 63, 1_000_000).astype(np.uint64))
     assert len({*Q.slots(keys, 1, 4).tolist(), *Q.slots(keys, 2, 4).tolist()}) == 2 * len(keys)
+
+
+@pytest.mark.parametrize("share", [0.001, 0.004, 0.016, 0.05])
+def test_noise_is_rejected_at_any_share(spark, share):
+    """Noise does not vouch for itself, however much of it there is."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang = 'en'").select("doc_id", "text", "lang").orderBy("doc_id").limit(3000)
+    rng = random.Random(6)
+    word = lambda: "".join(chr(rng.randint(33, 126)) for _ in range(7))
+    noise = [(-1 - i, " ".join(word() for _ in range(60 if i % 2 else 200)), "en") for i in range(int(3000 * share))]
+    noise += [(-2000 - i, " ".join(base64.b64encode(rng.randbytes(60)).decode() for _ in range(40)), "en") for i in range(max(1, int(1500 * share)))]
+    both = docs.union(spark.createDataFrame(noise + noise[:1], docs.schema))                # one of them twice
+    got = Q.judge(both).collect()
+    assert [r.doc_id for r in got if r.doc_id < 0 and r.kept] == []
+    assert all(r.held_low <= r.held_perplexity <= r.held_high for r in got if r.kept)
+    clean = {r.doc_id for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality = 1").collect()}
+    fine = [r.kept for r in got if r.doc_id in clean and not r.base_failed]
+    assert len(fine) > 100 and np.mean(fine) > 0.95
