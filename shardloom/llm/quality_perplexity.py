@@ -18,7 +18,8 @@
 5. A text's own n-grams make it look likely, so it is scored a second time by
    cross-fitting: texts fall in two folds by a hash of the text (equal texts in
    the same), each fold has a model of its own, and a document is scored by that
-   of the other fold.  These scores have bands per language and fold, and a
+   of the other fold.  Only texts that pass the base rules and hold few symbols
+   and repeats train a fold, so spam does not teach the model what is usual.  These scores have bands per language and fold, and a
    document beyond either band is rejected.  Where the other fold has no text of
    the language, the first band decides alone.
 
@@ -154,9 +155,11 @@ def _fold(text: Column) -> Column:
     return F.pmod(F.xxhash64(text), F.lit(FOLDS)).cast("int")
 
 
-def _trains(text: str) -> bool:
-    """Whether a text counts in the model of its fold."""
-    return bool(text)
+def _trains(counts) -> bool:
+    """Whether a text of these base counts counts in the model of its fold: at
+    most a symbol per ten words, and a tenth of the words in repeats."""
+    n_words, _, n_symbols, _, n_repeat = counts
+    return bool(n_words >= 10 and 10 * n_symbols <= n_words and 10 * n_repeat <= n_words)
 
 
 def _fold_counts(docs: DataFrame, bands: Bands) -> DataFrame:
@@ -164,7 +167,7 @@ def _fold_counts(docs: DataFrame, bands: Bands) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(2).to_pylist()
-            kind = [(x, f if _trains(t) else FOLDS) if t else None for x, f, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts)]
+            kind = [(x, f if _trains(base_counts(t)) else FOLDS) if t else None for x, f, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts)]
             for k in sorted({*kind} - {None}):
                 for part in _parts([t for t, y in zip(texts, kind) if y == k]):
                     keys, n = np.unique(ngram_keys(part)[0], return_counts=True)
@@ -322,7 +325,7 @@ def _scored(docs: DataFrame, model, bands: Bands) -> DataFrame:
                 bits = np.where(size > 0, total / np.maximum(size, 1), np.nan)
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-2], *[pa.array(counts[:, i]) for i in range(len(_COUNTS))], b.column(lang_at), b.column(lang_at + 1), pa.array(size),
-                 pa.array(bits, mask=size == 0), pa.array(held, mask=np.isnan(held)), pa.array([_trains(t) for t in texts], pa.bool_())], names=[*cols, *_SCORES])
+                 pa.array(bits, mask=size == 0), pa.array(held, mask=np.isnan(held)), pa.array([_trains(c) for c in counts], pa.bool_())], names=[*cols, *_SCORES])
 
     schema = T.StructType([*docs.schema.fields, *[T.StructField(x, T.LongType()) for x in _SCORES[:5]], *[T.StructField(x, T.IntegerType()) for x in _SCORES[5:7]],
                            T.StructField(_SCORES[7], T.LongType()), *[T.StructField(x, T.DoubleType()) for x in _SCORES[8:10]], T.StructField(_SCORES[10], T.BooleanType())])

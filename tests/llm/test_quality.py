@@ -150,3 +150,13 @@ def test_noise_is_rejected_at_any_share(spark, share):
     clean = {r.doc_id for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("quality = 1").collect()}
     fine = [r.kept for r in got if r.doc_id in clean and not r.base_failed]
     assert len(fine) > 100 and np.mean(fine) > 0.95
+
+
+def test_symbol_spam_does_not_train(spark):
+    """Words hung with symbols are beyond the band, though a twentieth of the texts are such."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang = 'de'").select("doc_id", "text", "lang").limit(1000)
+    rng = random.Random(8)
+    words = [w for r in docs.limit(50).collect() for w in (r.text or "").split()]
+    spam = [(-1 - i, " ".join(rng.choice(words) + rng.choice(["###", "$$$", "%%%"]) for _ in range(150)), "de") for i in range(50)]
+    got = {r.doc_id: r for r in Q.judge(docs.union(spark.createDataFrame(spam, docs.schema))).collect()}
+    assert not any(got[x[0]].base_failed or got[x[0]].kept for x in spam)
