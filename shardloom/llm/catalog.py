@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_rotation, embedding_dedup, mixing, quality_perplexity, secret_scan, simhash_dedup, toxicity_fm, url_rules, warc
+from . import (byte_bpe, chat_rotation, embedding_dedup, mixing, quality_perplexity, secret_scan, simhash_dedup, substring_dedup, toxicity_fm,
+               url_rules, vector_codes, warc, whitening)
 from .common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +174,61 @@ def op6_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation from every participant's perspective; the mask as ``start:end`` pairs."""
     got = chat_rotation.rotations(read_table(spark, sf_dir, "conversations"))
     return got.withColumn("mask", F.array_join(F.transform("mask", lambda m: F.concat_ws(":", m.start, m.end)), ","))
+
+
+_CODING = vector_codes.Coding()
+
+
+def _coding_sql(c: vector_codes.Coding) -> str:
+    """The rounds one after the other, a component a row."""
+    wide = "(SELECT max(len(embedding)) FROM vec)"
+    steps = [f"""vec AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS uid, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+dim AS MATERIALIZED (SELECT uid, i - 1 AS i, floor({c.scale}::DOUBLE * embedding[i]::DOUBLE)::BIGINT AS x
+  FROM (SELECT uid, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM vec)),
+comp AS MATERIALIZED (SELECT uid, part, i, x FROM dim, (SELECT p AS part, p * {wide} // {c.parts} AS lo, (p + 1) * {wide} // {c.parts} AS hi
+  FROM range({c.parts}) t(p)) WHERE i >= lo AND i < hi),
+book0 AS MATERIALIZED (SELECT part, (uid - 1)::BIGINT AS entry, i, x AS c FROM comp WHERE uid <= {c.entries})"""]
+    for t in range(c.rounds + 1):
+        steps.append(f"""near{t} AS MATERIALIZED (SELECT uid, part, entry, d FROM (SELECT uid, part, entry, sum((x - c) * (x - c))::BIGINT AS d
+  FROM comp JOIN book{t} USING (part, i) GROUP BY uid, part, entry) QUALIFY row_number() OVER (PARTITION BY uid, part ORDER BY d, entry) = 1)""")
+        if t < c.rounds:
+            steps.append(f"""book{t + 1} AS MATERIALIZED (SELECT part, entry, i, coalesce((s - ((s % n) + n) % n) // n, c)::BIGINT AS c FROM book{t} LEFT JOIN
+  (SELECT part, entry, i, sum(x)::HUGEINT AS s, count(*) AS n FROM comp JOIN near{t} USING (uid, part) GROUP BY part, entry, i) USING (part, entry, i))""")
+    last = c.rounds
+    return "WITH " + ",
+".join(steps) + f""",
+coded AS (SELECT uid, string_agg(printf('%02x', entry::INTEGER), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM near{last} GROUP BY uid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, i)) FROM book{last}) AS codebooks_sha256 FROM vec JOIN coded USING (uid)"""
+
+
+@query("op11_vector_codes", _coding_sql(_CODING))
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code and errors of every vector."""
+    return vector_codes.code_report(read_table(spark, sf_dir, "embeddings"), _CODING).drop("scans")
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first whitened components of every vector."""
+    got = whitening.components(whitening.whiten(read_table(spark, sf_dir, "embeddings")))
+    return got.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+_COVER = substring_dedup.Cover()
+
+
+@query("op13_substring_dedup", f"""
+WITH doc AS MATERIALIZED (SELECT row_number() OVER () AS uid, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS MATERIALIZED (SELECT uid, doc_id, i, array_to_string(w[i:i + {_COVER.window - 1}], ' ') AS run
+  FROM (SELECT uid, doc_id, w, unnest(range(1, len(w) - {_COVER.window - 2})) AS i FROM doc WHERE doc_id IS NOT NULL)),
+hit AS (SELECT uid, i FROM win JOIN (SELECT run, min(doc_id) AS least FROM win GROUP BY run) USING (run) WHERE least < doc_id),
+gone AS (SELECT DISTINCT uid, unnest(range(i, i + {_COVER.window})) AS i FROM hit),
+word AS (SELECT uid, i, w[i] AS w FROM (SELECT uid, w, unnest(range(1, len(w) + 1)) AS i FROM doc)),
+kept AS (SELECT uid, string_agg(w, ' ' ORDER BY i) AS t, count(*) AS n FROM word ANTI JOIN gone USING (uid, i) GROUP BY uid)
+SELECT doc_id, len(doc.w)::BIGINT AS n_words, (len(doc.w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (uid)""")
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that smaller documents hold."""
+    return substring_dedup.dedup(read_table(spark, sf_dir, "documents"), _COVER)
