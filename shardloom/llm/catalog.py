@@ -196,8 +196,7 @@ book0 AS MATERIALIZED (SELECT part, (uid - 1)::BIGINT AS entry, i, x AS c FROM c
             steps.append(f"""book{t + 1} AS MATERIALIZED (SELECT part, entry, i, coalesce((s - ((s % n) + n) % n) // n, c)::BIGINT AS c FROM book{t} LEFT JOIN
   (SELECT part, entry, i, sum(x)::HUGEINT AS s, count(*) AS n FROM comp JOIN near{t} USING (uid, part) GROUP BY part, entry, i) USING (part, entry, i))""")
     last = c.rounds
-    return "WITH " + ",
-".join(steps) + f""",
+    return "WITH " + ",\n".join(steps) + f""",
 coded AS (SELECT uid, string_agg(printf('%02x', entry::INTEGER), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM near{last} GROUP BY uid)
 SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
   (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, i)) FROM book{last}) AS codebooks_sha256 FROM vec JOIN coded USING (uid)"""
@@ -219,7 +218,7 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 _COVER = substring_dedup.Cover()
 
 
-@query("op13_substring_dedup", f"""
+@query("op13_substring_dedup", rf"""
 WITH doc AS MATERIALIZED (SELECT row_number() OVER () AS uid, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 win AS MATERIALIZED (SELECT uid, doc_id, i, array_to_string(w[i:i + {_COVER.window - 1}], ' ') AS run
   FROM (SELECT uid, doc_id, w, unnest(range(1, len(w) - {_COVER.window - 2})) AS i FROM doc WHERE doc_id IS NOT NULL)),
