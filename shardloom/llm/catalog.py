@@ -183,7 +183,7 @@ def _coding_sql(c: vector_codes.Coding) -> str:
     """The rounds one after the other, a component a row."""
     wide = "(SELECT max(len(embedding)) FROM vec)"
     steps = [f"""vec AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS uid, vec_id, label, embedding FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 dim AS MATERIALIZED (SELECT uid, i - 1 AS i, floor({c.scale}::DOUBLE * embedding[i]::DOUBLE)::BIGINT AS x
   FROM (SELECT uid, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM vec)),
 comp AS MATERIALIZED (SELECT uid, part, i, x FROM dim, (SELECT p AS part, p * {wide} // {c.parts} AS lo, (p + 1) * {wide} // {c.parts} AS hi
