@@ -46,8 +46,8 @@ class Cover:
     window: int = 13
     period: int = 7
     residues: tuple[int, ...] = (0, 1, 3)      # differences modulo 7 give every residue
-    block_bytes: int = 16 << 20
-    bucket_bytes: int = 64 << 20               # of text, for each bucket of anchors or windows
+    block_bytes: int = 8 << 20
+    bucket_bytes: int = 32 << 20               # of text, for each bucket of anchors or windows
 
     def __post_init__(self):
         if {(a - b) % self.period for a in self.residues for b in self.residues} != set(range(self.period)):
