@@ -18,16 +18,15 @@ import uuid as _uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.grid import shard_grid
 from ..operators.mapping import merge_mapping, presence_stats
 from ..operators.parse import build_rows, parse_lines
 from ..operators.postings import postings_from_documents, term_stats
 from ..session import build_conf
-from ..sinks.documents import (DOCUMENTS, MANIFEST, MAPPING, POSTINGS, REJECTED_COLUMNS, SCHEMAS, SHARDS, STATS, TERMS,
-                               build_path, by_index, read_table, write_documents, write_index_table)
-from ..sinks.manifest import append_manifest, index_manifest, shard_manifest
+from ..sinks.documents import by_index, claim_build, write_documents, write_index_table
+from ..sinks.layout import DOCUMENTS, MAPPING, POSTINGS, REJECTED_COLUMNS, SCHEMAS, SHARDS, STATS, TERMS, build_path
+from ..sinks.manifest import append_manifest, index_manifest, publication, shard_manifest
 from ..sources.lines import read_index_inputs
 from ..spec import IndexSpec
 
@@ -73,6 +72,7 @@ def build_index(spark: SparkSession, ispec: IndexSpec, out: str, *,
 
 def _build(spark, ispec, out, inputs, mode, id_mode, build_id, created_at, postings) -> BuildResult:
     rows = union_rows(inputs, ispec, mode=mode, id_mode=id_mode)
+    claim_build(spark, out, build_id)
     write_documents(rows, out, build_id)
 
     def read(name: str, schema: str) -> DataFrame:
@@ -87,7 +87,7 @@ def _build(spark, ispec, out, inputs, mode, id_mode, build_id, created_at, posti
     # per shard.
     stats = presence_stats(docs, ispec)
     stats_path = build_path(out, STATS, build_id)
-    stats.write.mode("overwrite").parquet(stats_path)
+    stats.write.parquet(stats_path)
     stats = spark.read.schema(stats.schema).parquet(stats_path)
     grid = shard_grid(stats, ispec.num_shards)
     mapping = merge_mapping(stats, ispec)
@@ -102,10 +102,10 @@ def _build(spark, ispec, out, inputs, mode, id_mode, build_id, created_at, posti
         made = term_stats(read(POSTINGS, SCHEMAS[POSTINGS]))
         write_index_table(by_index(made).sortWithinPartitions("index", "field", "term"), out, TERMS, build_id)
     manifest = index_manifest(grid, mapping, ispec, build_id=build_id, columns=columns, created_at=created_at)
-    append_manifest(spark, manifest, out)
+    number = append_manifest(spark, manifest, out)
     return BuildResult(
         documents=docs, rejected=rejected, mapping=read(MAPPING, SCHEMAS[MAPPING]), shards=read(SHARDS, SCHEMAS[SHARDS]),
-        manifest=read_table(spark, out, MANIFEST).where(F.col("build_id") == build_id), build_id=build_id,
+        manifest=publication(spark, out, number), build_id=build_id,
         postings=read(POSTINGS, SCHEMAS[POSTINGS]) if postings else None,
         terms=read(TERMS, SCHEMAS[TERMS]) if postings else None,
     )

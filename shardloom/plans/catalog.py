@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -648,6 +649,55 @@ def active_documents(spark, sf):
     return sk.active_documents(spark, live).groupBy("index").agg(F.count(F.lit(1)).alias("doc_count"))
 
 
+def _days_sql(spec, lo, hi):
+    lines = f"SELECT l.value FROM ({O.EVENTS_LINES}) l JOIN events e ON l.src_key = e.event_id WHERE day(e.ts) BETWEEN {lo} AND {hi}"
+    return f"SELECT _index AS index, _shard AS shard FROM ({O.docs_sql(fx.EVENT_TYPE, spec, lines)})"
+
+
+@query("publish_race", f"""SELECT index, count(DISTINCT side) AS n_publications, CAST(count(*) FILTER (side = 2 OR NOT twice) AS BIGINT) AS doc_count FROM (
+SELECT *, max(side) OVER (PARTITION BY index) <> min(side) OVER (PARTITION BY index) AS twice FROM (
+SELECT index, 1 AS side FROM ({_days_sql(EV4, 1, 10)}) UNION ALL SELECT index, 2 AS side FROM ({_days_sql(EV2, 5, 31)}))) GROUP BY index""")
+def publish_race(spark, sf):
+    """K4: two publishers at once, both having read the folder before either has
+    published: each gets a number of its own, no index is lost, and every
+    index shows one build whole (days 5-10 are in both)."""
+    live = scratch_path(spark, "race")
+    outs = [_build(spark, sf, spec, "racer", inputs={"event": _days(spark, sf, lo, hi)})[1] for spec, lo, hi in ((EV4, 1, 10), (EV2, 5, 31))]
+    with ThreadPoolExecutor(2) as pool:
+        for done in [pool.submit(sk.publish, spark, out, live) for out in outs]:
+            done.result()
+    told = sk.read_table(spark, live, "manifest").groupBy("index").agg(F.countDistinct("publish_seq").alias("n_publications"))
+    docs = sk.active_documents(spark, live).groupBy("index").agg(F.count(F.lit(1)).alias("doc_count"))
+    return told.join(docs, "index").select("index", "n_publications", "doc_count")
+
+
+def _three_publications(spark, sf, name):
+    """Days 1-10, then days 5-31, then days 8-12 again, published one after the other."""
+    live = scratch_path(spark, name)
+    for build_id, spec, lo, hi in (("first", EV4, 1, 10), ("second", EV2, 5, 31), ("third", EV4, 8, 12)):
+        out = scratch_path(spark, name)
+        build_index(spark, spec, out, inputs={"event": _days(spark, sf, lo, hi)}, mode="quarantine", build_id=build_id, created_at=CREATED_AT)
+        sk.publish(spark, out, live)
+    return live
+
+
+@query("removable_builds", f"""SELECT DISTINCT index, 'first' AS build_id, CAST(1 AS BIGINT) AS publish_seq, CAST(2 AS BIGINT) AS replaced_seq
+FROM ({_days_sql(EV4, 5, 10)}) WHERE index IN (SELECT index FROM ({_days_sql(EV2, 5, 31)}))""")
+def removable_builds(spark, sf):
+    """K4: with one publication to go back to, the builds replaced by the second
+    of three publications are out of reach, those replaced by the third are not."""
+    return sk.removable_builds(spark, _three_publications(spark, sf, "removable"), keep=1).drop("stored")
+
+
+@query("active_as_of", f"""SELECT index, shard, count(*) AS doc_count FROM ({_days_sql(EV4, 1, 4)} UNION ALL {_days_sql(EV2, 5, 31)}) GROUP BY index, shard""")
+def active_as_of(spark, sf):
+    """K5: the documents as of the second publication, after a third and after
+    the removal of what the second had replaced."""
+    live = _three_publications(spark, sf, "as-of")
+    sk.remove_replaced(spark, live, keep=1)
+    return sk.active_documents(spark, live, as_of=2).groupBy("index", "shard").agg(F.count(F.lit(1)).alias("doc_count"))
+
+
 @query("rejected_lines", f"""SELECT 'arity' AS reason, l.value, count(*) AS n FROM ({O.EVENTS_LINES}) l
 WHERE l.src_key % 29 = 0 AND l.src_key % 17 <> 0 AND l.src_key % 19 <> 0 GROUP BY l.value""")
 def rejected_lines(spark, sf):

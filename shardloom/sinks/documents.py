@@ -1,39 +1,45 @@
-"""Document tables: write (K1), publish with whole-index replacement (K4),
-activation through the manifest (K5).
+"""Document tables: write (K1), publish with whole-index replacement and the removal of
+what was replaced (K4), activation through the manifest (K5).
 
 Layout under an output or live folder::
 
-    documents/build_id=<build>/index=<index>/part-*.parquet
+    documents/build_id=<folder>/index=<index>/part-*.parquet
                              shard is a column; rejected lines sit under the
                              null index of their build
     shards/, mapping/, postings/, terms/   the same two levels
     _stats/build_id=<build>/               counts and field presence
-    manifest/                one row per index and publication, appended last
-
-What a build wrote is never overwritten by another build.  Which build of an
-index is read is decided by the manifest alone: the row with the highest
-``publish_seq``.  A copy without a manifest row is invisible, a later
-publication of an older build rolls back, and publishing what is already
-current changes nothing.  The manifest row also holds the columns of the
-build's documents, so folders with several specs are read by a stated schema
-(the union of those columns), not by one file's footer.
+    manifest/                the log of publications (see ``manifest``)
+    manifest/builds/<build>  the claim of a build id
+
+A build has folders of its own (an id is claimed once and never written again), and so
+has every copy that a publication makes.  Which of them is read for an index is decided
+by the manifest alone: the row with the highest ``publish_seq``.  A copy without a
+manifest row is invisible, a later publication of an older build rolls back, and
+publishing what is already current changes nothing.  The manifest row also holds the
+columns of the build's documents, so folders with several specs are read by a stated
+schema (the union of those columns), not by one file's footer.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as _dt
+import re
+import uuid as _uuid
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path, table_exists
+from . import files
+from .layout import (DOCUMENTS, MANIFEST, MAPPING, POSTINGS, REJECTED_COLUMNS, SCHEMAS, SHARDS, STATS, TERMS,
+                     build_path, table_path)
+from .manifest import (PUBLISHED, REMOVED, Log, commit, current_manifest, current_rows, kept_builds, log_rows, publications,
+                       read_log)
 
-DOCUMENTS, SHARDS, MAPPING, MANIFEST = "documents", "shards", "mapping", "manifest"
-STATS = "_stats"
-POSTINGS, TERMS = "postings", "terms"
-
-
-def table_path(out: str, name: str) -> str:
-    return f"{out.rstrip('/')}/{name}"
+TABLES = (DOCUMENTS, SHARDS, MAPPING, POSTINGS, TERMS)
 
 
 def colocate(docs: DataFrame) -> DataFrame:
@@ -59,13 +65,17 @@ def by_index(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "index")
 
 
-def build_path(out: str, name: str, build_id: str) -> str:
-    return f"{table_path(out, name)}/build_id={build_id}"
+def claim_build(spark: SparkSession, out: str, build_id: str) -> None:
+    """Take a build id in a folder; an error if it was taken before, also by a build that failed."""
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", build_id):
+        raise ValueError(f"a build id holds letters, digits, '.', '_' and '-' only: {build_id!r}")
+    if not files.put_if_absent(spark, f"{table_path(out, MANIFEST)}/builds/{build_id}", build_id):
+        raise ValueError(f"build {build_id!r} exists in {out}; what a build wrote is never overwritten")
 
 
 def write_index_table(df: DataFrame, out: str, name: str, build_id: str) -> None:
-    """Write one build's rows of a table; a build has a folder of its own."""
-    df.drop("build_id").write.mode("overwrite").partitionBy("index").parquet(build_path(out, name, build_id))
+    """Write one build's rows of a table into a folder that no one else writes."""
+    df.drop("build_id").write.partitionBy("index").parquet(build_path(out, name, build_id))
 
 
 def write_documents(rows: DataFrame, out: str, build_id: str) -> None:
@@ -73,21 +83,9 @@ def write_documents(rows: DataFrame, out: str, build_id: str) -> None:
     write_index_table(colocate(rows), out, DOCUMENTS, build_id)
 
 
-# Columns of the tables whose layout does not depend on a spec.
-SCHEMAS = {
-    SHARDS: "shard int, doc_count bigint, is_empty boolean, version int, primary boolean",
-    MAPPING: "type string, field string, data_type string, index_mode string, origin string",
-    POSTINGS: "shard int, type string, field string, term string, _id string, tf bigint",
-    TERMS: "field string, term string, doc_freq bigint, total_freq bigint",
-    MANIFEST: "index string, uuid string, num_shards int, replicas int, version int, created_at timestamp, state string, "
-              "partition_key string, mappings map<string,string>, doc_count bigint, build_id string, columns string, publish_seq bigint",
-}
-REJECTED_COLUMNS = ("value", "reason")
-
-
 def _document_columns(spark: SparkSession, out: str) -> str:
     """The union of the document columns of the builds that the manifest names."""
-    told = read_table(spark, out, MANIFEST).agg(F.sort_array(F.collect_set("columns"))).first()[0]   # one string per layout
+    told = kept_builds(spark, read_log(spark, out)).agg(F.sort_array(F.collect_set("columns"))).first()[0]   # one string per layout
     fields: dict[str, str] = {}
     for columns in told:
         for f in T.StructType.fromDDL(columns).fields:
@@ -96,28 +94,29 @@ def _document_columns(spark: SparkSession, out: str) -> str:
 
 
 def read_table(spark: SparkSession, out: str, name: str) -> DataFrame:
-    """All rows of a table, of every build (``build_id`` is a column)."""
+    """All rows of a table, of every folder (its name is the column ``build_id``); of the
+    manifest, all rows published."""
     if name == MANIFEST:
-        return spark.read.schema(SCHEMAS[MANIFEST]).parquet(table_path(out, MANIFEST))
+        return publications(spark, out)
     columns = _document_columns(spark, out) if name == DOCUMENTS else SCHEMAS[name]
     return spark.read.schema(f"{columns}, build_id string, index string").parquet(table_path(out, name))
 
 
-def active_table(spark: SparkSession, out: str, name: str) -> DataFrame:
-    """K5: rows of the build that is current for each index."""
-    from .manifest import current_manifest
-    listed = current_manifest(spark, out).select("index", "build_id")
-    return read_table(spark, out, name).join(listed, ["index", "build_id"], "left_semi")
+def active_table(spark: SparkSession, out: str, name: str, as_of: int | None = None) -> DataFrame:
+    """K5: rows of the build that is current for each index, or was as of a publication number."""
+    listed = current_manifest(spark, out, as_of).select("index", "stored", F.col("build_id").alias("_build"))
+    rows = read_table(spark, out, name).withColumnRenamed("build_id", "stored")
+    return rows.join(listed, ["index", "stored"]).withColumnRenamed("_build", "build_id").drop("stored")
 
 
-def active_documents(spark: SparkSession, out: str) -> DataFrame:
-    return active_table(spark, out, DOCUMENTS).drop(*REJECTED_COLUMNS)
+def active_documents(spark: SparkSession, out: str, as_of: int | None = None) -> DataFrame:
+    return active_table(spark, out, DOCUMENTS, as_of).drop(*REJECTED_COLUMNS)
 
 
 def read_documents(spark: SparkSession, out: str) -> DataFrame:
     """Documents of a folder: the current builds, or all rows of a stream's
     folder (which has no manifest)."""
-    if table_exists(spark, table_path(out, MANIFEST)):
+    if files.exists(spark, table_path(out, MANIFEST)):
         return active_documents(spark, out)
     return spark.read.parquet(table_path(out, DOCUMENTS)).where("index is not null").drop(*REJECTED_COLUMNS)
 
@@ -125,37 +124,147 @@ def read_documents(spark: SparkSession, out: str) -> DataFrame:
 def read_rejected(spark: SparkSession, out: str, with_build: bool = False) -> DataFrame:
     """Quarantined lines of every build in the folder."""
     columns = "type string, value string, reason string, index string"
-    with_builds = table_exists(spark, table_path(out, MANIFEST))
+    with_builds = files.exists(spark, table_path(out, MANIFEST))
     df = spark.read.schema(columns + (", build_id string" if with_builds else "")).parquet(table_path(out, DOCUMENTS))
     return df.where("index is null").select("type", "value", "reason", *["build_id"] * (with_build and with_builds))
 
 
+# --- publish ----------------------------------------------------------------------------------
+
 def publish(spark: SparkSession, build_out: str, live_out: str, build_id: str | None = None) -> DataFrame:
-    """K4 + K5: copy the indices of a build folder (of one build with
-    ``build_id``, else the current build of each index) into the live folder,
-    then append their manifest rows; returns the rows appended.
-
-    Each index goes to a folder of its build, beside those of other builds,
-    and the one manifest append switches the readers over: a failure before it
-    leaves the live indices as they were.  What is already current is not
-    copied again.  The copy is a plain distributed read and write.
+    """K4 + K5: make the indices of a build folder (of one build with ``build_id``, else
+    the current build of each index) current in the live folder; returns the rows
+    published.
+
+    What the live folder does not hold yet is copied into a folder of its own (a plain
+    distributed read and write), then one commit switches the readers over: a failure
+    before it leaves the live indices as they were.  Of several publishers at once each
+    gets a number of its own; one that loses a number looks at the new state first, so
+    what another has made current meanwhile is not published again, and what it has copied
+    is not copied again.  A build that lies in the live folder already is not copied.
     """
-    from .manifest import append_manifest, current_manifest
-    rows = current_manifest(spark, build_out) if build_id is None else \
-        read_table(spark, build_out, MANIFEST).where(F.col("build_id") == build_id).dropDuplicates(["index"])
-    if table_exists(spark, table_path(live_out, MANIFEST)):
-        rows = rows.join(current_manifest(spark, live_out).select("index", "build_id"), ["index", "build_id"], "left_anti")
-    # fixed before the copy: the live manifest changes below
-    rows = _fixed(rows, scratch_path(spark, "publish"))
-    for name in (DOCUMENTS, SHARDS, MAPPING, POSTINGS, TERMS):
+    given = current_manifest(spark, build_out) if build_id is None else \
+        publications(spark, build_out).where(F.col("build_id") == build_id).dropDuplicates(["index"])
+    given = _fixed(given, scratch_path(spark, "publish"))
+    copies: list[DataFrame] = []
+    made: list[DataFrame] = []
+
+    def rows_at(log: Log) -> DataFrame | None:
+        kept = kept_builds(spark, log)
+        fresh = given.join(current_rows(kept).select("index", "build_id"), ["index", "build_id"], "left_anti")
+        if fresh.isEmpty():
+            return None
+        lying = kept.groupBy("index", "build_id").agg(F.max_by("stored", "publish_seq").alias("lies"))
+        for c in copies:
+            lying = c.join(lying, ["index", "build_id"], "left_anti").unionByName(lying)
+        fresh = _fixed(fresh.join(lying, ["index", "build_id"], "left"), scratch_path(spark, "publish"))
+        missing = fresh.where("lies is null")
+        if not missing.isEmpty():
+            if build_out.rstrip("/") == live_out.rstrip("/"):
+                raise ValueError(f"a build to be published was removed from {live_out}")
+            copies.append(_copy(spark, missing, build_out, live_out))
+            fresh = fresh.join(copies[-1].withColumnRenamed("lies", "_new"), ["index", "build_id"], "left") \
+                .withColumn("lies", F.coalesce("lies", "_new")).drop("_new")
+        made.append(fresh.withColumn("stored", F.col("lies")).drop("lies"))
+        return made[-1]
+
+    number = commit(spark, live_out, rows_at)
+    return made[-1].withColumn("publish_seq", F.lit(number).cast("bigint")) if number else given.limit(0)
+
+
+def _copy(spark: SparkSession, rows: DataFrame, build_out: str, live_out: str) -> DataFrame:
+    """Copy the files of the rows' indices into one new folder; ``(index, build_id, lies)``."""
+    folder = f"copy-{_uuid.uuid4().hex}"
+    wanted = rows.select("index", F.col("stored").alias("build_id"))
+    for name in TABLES:
         if table_exists(spark, table_path(build_out, name), SCHEMAS.get(name, "index string")):
-            df = read_table(spark, build_out, name).join(rows.select("index", "build_id"), ["index", "build_id"], "left_semi")
-            (df.drop(*REJECTED_COLUMNS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("build_id", "index").parquet(table_path(live_out, name)))
-    append_manifest(spark, rows, live_out)
-    return rows
+            df = read_table(spark, build_out, name).join(wanted, ["index", "build_id"], "left_semi")
+            write_index_table(df.drop(*REJECTED_COLUMNS), live_out, name, folder)
+    return rows.select("index", "build_id", F.lit(folder).alias("lies"))
 
 
 def _fixed(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# --- removal ------------------------------------------------------------------------------------
+
+def removable_builds(spark: SparkSession, out: str, keep: int = 1, log: Log | None = None) -> DataFrame:
+    """``(index, build_id, stored, publish_seq, replaced_seq)`` of every kept (index, folder)
+    that no reader of the present state or of the states ``keep`` publications back can reach.
+
+    A row of the log is current from its own number to the next one of its index; a folder
+    is needed while one of its rows is current at a number from ``last - keep`` on.
+    """
+    if keep < 0:
+        raise ValueError("keep must not be negative")
+    log = log or read_log(spark, out)
+    cut = log.last - keep
+    if cut < 1:
+        return spark.createDataFrame([], "index string, build_id string, stored string, publish_seq bigint, replaced_seq bigint")
+    # from the state at the cut on; rows before it are there by their last number, which is enough
+    seen = read_log(spark, out, as_of=cut)
+    after = Log(out, log.last, seen.snapshot, seen.tail + tuple((n, r) for n, r in read_log(spark, out, whole=True).tail if cut < n <= log.last))
+    w = Window.partitionBy("index").orderBy("publish_seq")
+    told = log_rows(spark, after)
+    spans = told.where(F.col("action") == PUBLISHED).withColumn("replaced_seq", F.lead("publish_seq").over(w))
+    removed = told.where(F.col("action") == REMOVED).select("index", "stored")
+    last = Window.partitionBy("index", "stored").orderBy(F.col("publish_seq").desc())
+    spans = spans.withColumn("_rn", F.row_number().over(last)).where("_rn = 1 and replaced_seq <= " + str(cut))
+    return spans.join(removed, ["index", "stored"], "left_anti").select("index", "build_id", "stored", "publish_seq", "replaced_seq")
+
+
+def unlisted_builds(spark: SparkSession, out: str, before: _dt.datetime) -> DataFrame:
+    """``(index, stored, newest)`` of the folders whose files are all older than ``before`` and
+    that the manifest never named: what builds and copies that failed left behind."""
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load(table_path(out, DOCUMENTS)).select("path", "modificationTime"))
+    part = lambda key: F.url_decode(F.replace(F.regexp_extract("path", f"/{key}=([^/]*)/", 1), F.lit("+"), F.lit("%2B")))
+    folders = (found.select(part("index").alias("index"), part("build_id").alias("stored"), "modificationTime")
+               .where("index <> '__HIVE_DEFAULT_PARTITION__'").groupBy("index", "stored").agg(F.max("modificationTime").alias("newest")))
+    named = log_rows(spark, read_log(spark, out, whole=True)).select("index", "stored")
+    return folders.where(F.col("newest") < F.lit(before)).join(named, ["index", "stored"], "left_anti")
+
+
+def remove_replaced(spark: SparkSession, out: str, keep: int = 1, unlisted_before: _dt.datetime | None = None) -> int:
+    """Remove the files of the removable builds (see ``removable_builds``), and with
+    ``unlisted_before`` of unlisted ones; the number of (index, folder) pairs removed.
+
+    The removal is committed to the log before a file goes: a publisher that would roll
+    back to such a build at the same time loses the number, reads the log again and copies
+    the build anew, into another folder.  A folder goes by one call to the file system.
+    Rejected lines stay.
+    """
+    doomed: list[DataFrame] = []
+
+    def rows_at(log: Log) -> DataFrame | None:
+        rows = removable_builds(spark, out, keep, log)
+        rows = rows.select(*[c if c in ("index", "build_id", "stored") else F.lit(None).cast(t).alias(c)
+                             for c, t in ((f.name, f.dataType) for f in T.StructType.fromDDL(SCHEMAS[MANIFEST]).fields)])
+        doomed[:] = [_fixed(rows, scratch_path(spark, "removal"))]
+        return None if doomed[0].isEmpty() else doomed[0]
+
+    commit(spark, out, rows_at, REMOVED)
+    pairs = doomed[0].select("index", "stored")
+    if unlisted_before is not None:
+        pairs = pairs.unionByName(_fixed(unlisted_builds(spark, out, unlisted_before).select("index", "stored"), scratch_path(spark, "removal")))
+    n = 0
+    with ThreadPoolExecutor(8) as pool:
+        folders: dict[str, dict[str, list[str]]] = {}
+        work = []
+        for index, stored in pairs.orderBy("stored", "index").toLocalIterator():
+            if stored not in folders:
+                folders.clear()
+                folders[stored] = {name: files.names(spark, build_path(out, name, stored)) for name in TABLES}
+            for name, there in folders[stored].items():
+                work += [pool.submit(files.delete, spark, f"{build_path(out, name, stored)}/{d}") for d in there if unquote(d) == f"index={index}"]
+            n += 1
+        for w in work:
+            w.result()
+    return n
+
+
+__all__ = ["DOCUMENTS", "MANIFEST", "MAPPING", "POSTINGS", "REJECTED_COLUMNS", "SCHEMAS", "SHARDS", "STATS", "TERMS", "active_documents",
+           "active_table", "build_path", "by_index", "claim_build", "colocate", "publish", "read_documents", "read_rejected", "read_table",
+           "removable_builds", "remove_replaced", "table_path", "unlisted_builds", "write_documents", "write_index_table"]
