@@ -12,6 +12,9 @@ base64 (22 characters).  What is hashed depends on the mode:
 ``key``
     type + the raw values of the declared unique ``key_fields``:
     content-derived, equal across builds.
+``content``
+    type + the whole line + its ordinal among equal lines: the ids depend on the
+    lines alone, not on files or splits (see ``operators.ordinals``).
 ``random``
     ``uuid()``, as the source format does; changes on task retry.
 """
@@ -21,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ID_MODES = ("position", "key", "random")
+ID_MODES = ("position", "key", "content", "random")
 
 
 def _col(c) -> Column:
@@ -37,10 +40,6 @@ def hash_id(*parts) -> Column:
     return F.rtrim(F.translate(b64, "+/", "-_"), F.lit("="))
 
 
-def position_id(type_name: str, pos_col) -> Column:
-    return hash_id(F.lit(type_name), _col(pos_col).cast("string"))
-
-
 def key_id(type_name: str, *raw_key_cols) -> Column:
     return hash_id(F.lit(type_name), *raw_key_cols)
 

@@ -32,8 +32,3 @@ def index_suffix(index) -> Column:
     index = _col(index)
     pos = F.instr(index, PARTITION_INDEX_SEPARATOR)
     return F.when(pos > 0, F.substr(index, pos + 1)).otherwise(F.lit(None).cast("string"))
-
-
-def index_base(index) -> Column:
-    """Text before the first ``@``."""
-    return F.substring_index(_col(index), PARTITION_INDEX_SEPARATOR, 1)

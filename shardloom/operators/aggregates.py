@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .duplicates import repeats_by_shard
+
 
 def shard_counts(docs: DataFrame) -> DataFrame:
     """A1: documents per (index, shard, type), exact."""
@@ -19,15 +21,21 @@ def distinct_shards(docs: DataFrame) -> DataFrame:
 def shard_stats(docs: DataFrame, key_col: str | None = None) -> DataFrame:
     """A3: one row per (index, shard), without gathering its documents.
 
-    ``doc_count``, the smallest and largest id and routing key, and the
-    total bytes of the document text.
+    ``doc_count``, ``distinct_ids``, the smallest and largest id and routing
+    key, and the total bytes of the document text.  Distinct ids are the
+    documents less the repeats, which are counted among suspects only
+    (``duplicates``): a null id counts as one of its own.
     """
     aggs = [F.count(F.lit(1)).alias("doc_count"),
             F.min("_id").alias("min_id"), F.max("_id").alias("max_id"),
             F.sum(F.octet_length("doc")).cast("bigint").alias("doc_bytes")]
     if key_col is not None:
         aggs += [F.min(key_col).alias("min_key"), F.max(key_col).alias("max_key")]
-    return docs.groupBy("index", "shard").agg(*aggs)
+    stats = docs.groupBy("index", "shard").agg(*aggs)
+    more = repeats_by_shard(docs).select(F.col("index").alias("_i"), F.col("shard").alias("_s"), "repeats")
+    same = F.col("index").eqNullSafe(F.col("_i")) & F.col("shard").eqNullSafe(F.col("_s"))
+    return (stats.join(more, same, "left").drop("_i", "_s")
+            .withColumn("distinct_ids", F.col("doc_count") - F.coalesce("repeats", F.lit(0))).drop("repeats"))
 
 
 def index_shards(counts: DataFrame) -> DataFrame:

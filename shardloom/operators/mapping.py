@@ -54,11 +54,6 @@ def infer_mapping(stats_or_docs: DataFrame, ispec: IndexSpec) -> DataFrame:
     return _decode(_per_type(stats_or_docs, ispec), ispec)
 
 
-def explicit_mapping_table(spark: SparkSession, ispec: IndexSpec) -> DataFrame:
-    rows = [(t.name, m.field, m.data_type, m.index_mode) for t in ispec.types for m in t.mapping or ()]
-    return spark.createDataFrame(rows, "type string, field string, data_type string, index_mode string")
-
-
 def field_table(spark: SparkSession, ispec: IndexSpec) -> DataFrame:
     """Every declared field: its presence bit and its explicit mapping (or
     nulls).  Built from the spec, so its size is the number of declared fields."""

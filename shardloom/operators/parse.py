@@ -22,10 +22,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import random_shard, routed_shard, unrouted_shard
-from ..functions.ids import hash_id, random_id
+from ..functions.ids import ID_MODES, hash_id, random_id
 from ..functions.naming import index_name
 from ..functions.text import field_value, split_escaped
 from ..spec import DATA_TYPES, NULL_TOKENS, STRICT_FORMS, IndexSpec, TypeSpec
+from .ordinals import with_ordinals
 
 OK, DROPPED, REJECTED = "ok", "dropped", "rejected"
 MODES = ("failfast", "quarantine")
@@ -63,14 +64,21 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
     words.  Bookkeeping columns start with ``_``; field names may not.
 
     ``lines`` must come straight from a scan (no exchange in between) when
-    ``id_mode='position'``: the id is the line's position in its scan split.
+    ``id_mode`` is ``position`` (the id is the line's position in its scan
+    split) or ``content`` (copies of a line are counted per split).
     """
     id_mode = id_mode or default_id_mode(tspec)
+    if id_mode not in ID_MODES:
+        raise ValueError(f"unknown id_mode {id_mode!r}")
     names = tspec.field_names
     n = len(names)
     cols = [F.lit(tspec.name).alias("_type"), F.col(value_col).cast("string").alias("_line")]
+    numbered = id_mode in ("position", "content")
     if id_mode == "position":
         cols.append(F.monotonically_increasing_id().alias("_pos"))
+    elif id_mode == "content":
+        lines = with_ordinals(lines.select(value_col), value_col, "_pos")
+        cols.append(F.col("_pos"))
     # the split is computed once a line; all else is plain projection over it,
     # so a query that needs only index and shard makes no ids and no fields
     df = compute_once(lines.select(*cols).withColumn("_f", split_escaped("_line", tspec.field_sep)))
@@ -102,7 +110,7 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
 
     pf = list(ispec.partition_fields or ())
     part_cols = [F.get(f, tspec.index_of(p)).alias(partition_column(p)) for p in pf]
-    keep = ["_line"] + (["_pos"] if id_mode == "position" else [])
+    keep = ["_line"] + ["_pos"] * numbered
     df = df.select("_type", *keep, status.alias("_status"),
                    reason.alias("_reason"), "_f", *field_cols, *part_cols)
 
@@ -113,10 +121,10 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
         if not tspec.key_fields:
             raise ValueError(f"id_mode='key' needs key_fields on type {tspec.name!r}")
         doc_id = hash_id(F.lit(tspec.name), *[F.get(f, tspec.index_of(k)) for k in tspec.key_fields])
-    elif id_mode == "random":
-        doc_id = random_id()
+    elif id_mode == "content":
+        doc_id = hash_id(F.lit(tspec.name), F.col("_line"), F.col("_pos").cast("string"))
     else:
-        raise ValueError(f"unknown id_mode {id_mode!r}")
+        doc_id = random_id()
     df = df.withColumn("_id", F.when(ok, doc_id))
 
     if ri is not None:

@@ -19,9 +19,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.duplicates import duplicate_ids, refuse_duplicates
 from ..operators.grid import shard_grid
 from ..operators.mapping import merge_mapping, presence_stats
-from ..operators.parse import build_rows, parse_lines
+from ..operators.parse import build_rows, default_id_mode, parse_lines
 from ..operators.postings import postings_from_documents, term_stats
 from ..session import build_conf
 from ..sinks.documents import by_index, claim_build, write_documents, write_index_table
@@ -41,6 +42,7 @@ class BuildResult:
     build_id: str
     postings: DataFrame | None = None
     terms: DataFrame | None = None
+    duplicates: DataFrame | None = None
 
 
 def union_rows(inputs: dict[str, DataFrame], ispec: IndexSpec, *, mode: str = "failfast",
@@ -62,6 +64,10 @@ def build_index(spark: SparkSession, ispec: IndexSpec, out: str, *,
     With ``postings=True`` the index content is written too: the
     ``postings`` table (keyword and analysed terms with their frequency per
     document) and the ``terms`` dictionary, both by index.
+
+    Ids made of key fields are checked: in ``failfast`` mode an id that an
+    index holds twice fails the build before anything is published; in
+    ``quarantine`` mode ``duplicates`` of the result lists them.
     """
     build_id = build_id or _uuid.uuid4().hex
     if inputs is None:
@@ -82,6 +88,8 @@ def _build(spark, ispec, out, inputs, mode, id_mode, build_id, created_at, posti
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in ("index", *REJECTED_COLUMNS))
     docs = read(DOCUMENTS, columns).where("index is not null")
     rejected = read(DOCUMENTS, "type string, value string, reason string").where("index is null").select("type", "value", "reason")
+    if mode == "failfast" and any((id_mode or default_id_mode(t)) == "key" for t in ispec.types):
+        refuse_duplicates(docs)
     # One small aggregate over narrow columns of what this build wrote,
     # written as a table: lineage cut, and everything below reads a few rows
     # per shard.
@@ -107,5 +115,5 @@ def _build(spark, ispec, out, inputs, mode, id_mode, build_id, created_at, posti
         documents=docs, rejected=rejected, mapping=read(MAPPING, SCHEMAS[MAPPING]), shards=read(SHARDS, SCHEMAS[SHARDS]),
         manifest=publication(spark, out, number), build_id=build_id,
         postings=read(POSTINGS, SCHEMAS[POSTINGS]) if postings else None,
-        terms=read(TERMS, SCHEMAS[TERMS]) if postings else None,
+        terms=read(TERMS, SCHEMAS[TERMS]) if postings else None, duplicates=duplicate_ids(docs),
     )

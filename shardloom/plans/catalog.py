@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as X
 from ..operators import aggregates as agg
+from ..operators import duplicates as du
 from ..operators import grid as grd
 from ..operators import lookup as lk
 from ..operators import mapping as mp
@@ -177,6 +178,43 @@ def document_ids(spark, sf):
     return _parsed(spark, sf, EV).filter(F.col("_status") == ps.OK).select(F.col("_line").alias("value"), "_id")
 
 
+# Lines without a key: a few distinct ones, each many times.
+LINE_TYPE = TypeSpec("line", ("flag", "status", "year"), field_sep="|", routing_field="year")
+LINES = IndexSpec("lines", 6, (LINE_TYPE,))
+_LINE_LINES = "SELECT concat_ws('|', l_returnflag, l_linestatus, CAST(year(l_shipdate) AS VARCHAR)) AS value FROM lineitem"
+
+
+def _line_lines(spark, sf):
+    return fx.table(spark, sf, "lineitem").select(F.concat_ws("|", "l_returnflag", "l_linestatus", F.year("l_shipdate").cast("string")).alias("value"))
+
+
+@query("document_ids_content", f"""SELECT value, {O.hash_id_sql("'line'", "value", "ord")} AS _id FROM (
+SELECT value, CAST(row_number() OVER (PARTITION BY value) AS VARCHAR) AS ord FROM ({_LINE_LINES}))""")
+def document_ids_content(spark, sf):
+    """P8 (content mode): the id is a hash of the line and its ordinal among equal lines."""
+    p = ps.parse_lines(_line_lines(spark, sf), LINE_TYPE, LINES, id_mode="content")
+    return p.filter(F.col("_status") == ps.OK).select(F.col("_line").alias("value"), "_id")
+
+
+# Orders named by their customer: a key that is not unique.
+REPEATED = TypeSpec("order", fx.ORDER_TYPE.field_names, field_sep="|", routing_field="status", key_fields=("custkey",))
+REP = IndexSpec("orders", 4, (REPEATED,), partition_fields=("year",))
+
+
+@query("duplicate_keys", f"""SELECT _index AS index, _id, count(*) AS copies FROM ({O.docs_sql(REPEATED, REP)})
+GROUP BY _index, _id HAVING count(*) > 1""")
+def duplicate_keys(spark, sf):
+    """Ids that several documents of an index carry."""
+    return du.duplicate_ids(_docs(spark, sf, REP))
+
+
+@query("shard_distinct_ids", f"""SELECT _index AS index, _shard AS shard, count(*) AS doc_count, count(DISTINCT _id) AS distinct_ids
+FROM ({O.docs_sql(REPEATED, REP)}) GROUP BY _index, _shard""")
+def shard_distinct_ids(spark, sf):
+    """A3 where ids repeat."""
+    return agg.shard_stats(_docs(spark, sf, REP)).select("index", "shard", "doc_count", "distinct_ids")
+
+
 @query("strip_id", f"""SELECT _id, {O.json_doc_sql(EV_FIELDS, None)} AS doc FROM ({EV_DOCS_SQL})""")
 def strip_id(spark, sf):
     """The document text without its ``_id``."""
@@ -331,7 +369,7 @@ def distinct_shards(spark, sf):
     return agg.distinct_shards(_docs(spark, sf, EV64))
 
 
-@query("shard_stats", f"""SELECT _index AS index, _shard AS shard, count(*) AS doc_count, min(_id) AS min_id, max(_id) AS max_id,
+@query("shard_stats", f"""SELECT _index AS index, _shard AS shard, count(*) AS doc_count, count(DISTINCT _id) AS distinct_ids, min(_id) AS min_id, max(_id) AS max_id,
   CAST(sum(strlen({O.json_doc_sql(EV_FIELDS, '_id')})) AS BIGINT) AS doc_bytes,
   min(uid) AS min_key, max(uid) AS max_key
 FROM ({EV_DOCS_SQL}) GROUP BY _index, _shard""")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.parse import build_rows, parse_lines
-from ..sinks.documents import DOCUMENTS, table_path
+from ..sinks.layout import DOCUMENTS, table_path
+from ..sources.lines import filter_long_lines
 from ..spec import IndexSpec
 
 
@@ -18,15 +19,16 @@ def stream_rows(spark: SparkSession, ispec: IndexSpec, type_name: str, path: str
     Ids must be ``key`` (from the type's unique key fields) or ``random``:
     a position in a scan split is not stable across micro-batches.
     """
-    if id_mode == "position":
-        raise ValueError("position ids need a bounded scan; use id_mode='key' or 'random' on a stream")
+    if id_mode in ("position", "content"):
+        raise ValueError(f"{id_mode} ids need a bounded scan; use id_mode='key' or 'random' on a stream")
     t = ispec.type(type_name)
+    sep = t.record_sep if t.record_sep is not None else line_sep
     reader = spark.readStream.format("text")
-    if line_sep is not None:
-        reader = reader.option("lineSep", line_sep)
+    if sep is not None:
+        reader = reader.option("lineSep", sep)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    lines = reader.load(path)
+    lines = filter_long_lines(reader.load(path), t.max_line_bytes, sep or "\n")
     return build_rows(parse_lines(lines, t, ispec, id_mode=id_mode), t, ispec, mode=mode)
 
 
