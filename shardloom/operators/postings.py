@@ -38,6 +38,7 @@ MID_LETTER = "\u003A\u00B7\u0387\u05F4\u2027\uFE13\uFE55\uFF1A"
 MID_NUM_LET = "\u002E\u2018\u2019\u2024\uFE52\uFF07\uFF0E"
 MID_NUM = "\u002C\u003B\u037E\u0589\u060C\u060D\u066C\u07F8\u2044\uFE10\uFE14\uFE50\uFE54\uFF0C\uFF1B"
 SINGLE_QUOTE = "\u0027"
+DOUBLE_QUOTE = "\u0022"
 EXTEND_NUM_LET = "\u005F\u203F\u2040\u2054\uFE33\uFE34\uFE4D\uFE4E\uFE4F\uFF3F"
 
 
@@ -57,20 +58,33 @@ KATAKANA_EXTRA = "\u3031\u3032\u3033\u3034\u3035\u309B\u309C\u30A0\u30FC\uFF70\u
 _HIGH = r"\x{2E80}-\x{10FFFF}"
 _KATA = rf"[{_HIGH}&&[\p{{IsKatakana}}" + char_class(KATAKANA_EXTRA)[1:-1] + "]]"
 _OWN_SCRIPTS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}" + char_class(KATAKANA_EXTRA)[1:-1]
-# Java regex of one token: a word of letters and digits (scripts other than
-# Han, Hiragana and Katakana) with its joiners, underscores and marks; a run
-# of Katakana (joined to letters or digits only through an underscore); or
-# one Han or Hiragana character.  Lower-case ASCII is tried first, and the
-# loops are possessive (nothing follows them, so the matches are the same).
+# Java regex of one token.  Marks and format characters (the zero width space
+# aside) belong to the character before them and are ignored by the rules, so
+# every character below may be followed by some.  A token is a word of letters
+# and digits (scripts other than Han, Hiragana and Katakana) with its joiners,
+# or a run of Katakana, words and runs meeting only through underscores; or one
+# Han or Hiragana character.  After a Hebrew letter a single quote stays (an
+# abbreviation), and a double quote does between two.  Lower-case ASCII is
+# tried first, and the loops are possessive (nothing that follows them could
+# use what they took, so the matches are the same).
+_IGNORED = r"[\p{M}\p{Cf}&&[^\x{200B}]]"
+_BACK = _IGNORED + "{0,32}"               # a look-behind must be bounded
 _LETTER = rf"(?:[\p{{L}}&&[^{_HIGH}]]|[\p{{L}}&&[{_HIGH}]&&[^{_OWN_SCRIPTS}]])"
 _ALNUM = rf"(?:[\p{{L}}\p{{N}}&&[^{_HIGH}]]|[\p{{L}}\p{{N}}&&[{_HIGH}]&&[^{_OWN_SCRIPTS}]])"
-_LETTER_OR_MARK = rf"(?:[\p{{L}}\p{{M}}&&[^{_HIGH}]]|[\p{{L}}\p{{M}}&&[{_HIGH}]&&[^{_OWN_SCRIPTS}]])"
+_HEBREW = r"[\p{IsHebrew}&&\p{L}]"
+_JOINED = (
+    rf"(?={char_class(MID_LETTER + MID_NUM_LET + MID_NUM + SINGLE_QUOTE + DOUBLE_QUOTE)})"
+    rf"(?:(?<={_LETTER}{_BACK}){JOIN_LETTERS}(?={_IGNORED}*+{_LETTER})"
+    rf"|(?<=\p{{Nd}}{_BACK}){JOIN_DIGITS}(?={_IGNORED}*+\p{{Nd}})"
+    rf"|(?<={_HEBREW}{_BACK}){char_class(DOUBLE_QUOTE)}(?={_IGNORED}*+{_HEBREW}))"
+)
+_WORD = rf"(?:[a-z0-9]|{_ALNUM})(?:[a-z0-9]++|{_ALNUM}|{_IGNORED}|{_JOINED})*+"
+_PART = rf"(?:{_WORD}|{_KATA}(?:{_KATA}|{_IGNORED})*+)"
+_UNDER = rf"(?:{EXTEND}{_IGNORED}*+)"
 TOKEN_PATTERN = (
-    rf"{EXTEND}*+(?:[a-z0-9]|{_ALNUM}|{_KATA})"
-    rf"(?:(?<!{_KATA})[a-z0-9]++|(?<!{_KATA}){_ALNUM}|(?<!{_ALNUM}){_KATA}|{EXTEND}|\p{{M}}"
-    rf"|(?<={_LETTER_OR_MARK}){JOIN_LETTERS}(?={_LETTER})"
-    rf"|(?<=\p{{Nd}}){JOIN_DIGITS}(?=\p{{Nd}}))*+"
-    rf"|[{_HIGH}&&[\p{{IsHan}}\p{{IsHiragana}}]]"
+    rf"{_UNDER}*+{_PART}(?:{_UNDER}++{_PART})*+"
+    rf"(?:{_UNDER}++|(?<={_HEBREW}{_BACK}){char_class(SINGLE_QUOTE)}{_IGNORED}*+)?+"
+    rf"|[{_HIGH}&&[\p{{IsHan}}\p{{IsHiragana}}]]{_IGNORED}*+"
 )
 
 
@@ -111,8 +125,9 @@ def tokens(text) -> F.Column:
     """Analysed tokens of a text column, as an array (stop words kept): the
     lower-cased text's words by the word-boundary rules above, so
     ``example.com``, ``2.0``, ``10.0.0.1``, ``1,000``, ``don't`` and
-    ``foo_bar`` are one token each, a Katakana run is its own token, and each
-    Han or Hiragana character is one."""
+    ``foo_bar`` are one token each, also with soft hyphens or other format
+    characters inside (which stay in the token), a Katakana run is its own
+    token, and each Han or Hiragana character is one."""
     text = F.col(text) if isinstance(text, str) else text
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
 

@@ -9,7 +9,6 @@ of each character with ``list_reduce``.
 
 from __future__ import annotations
 
-from ..operators.postings import EXTEND, JOIN_DIGITS, JOIN_LETTERS, KATAKANA_EXTRA, char_class
 from ..spec import DATA_TYPES, IndexSpec, TypeSpec
 
 # Placeholder for an escaped separator during the split (a noncharacter).
@@ -82,31 +81,46 @@ def json_doc_sql(names: list[str], with_id: str | None) -> str:
     return f"('{{' || array_to_string(list_filter([{', '.join(items)}], lambda x: x IS NOT NULL), ',') || '}}')"
 
 
-# Marker put before a joiner that sits between two letters or two digits (a noncharacter).
+# Marker put before a joiner that stays inside a word (a noncharacter).
 _JOIN_MARK = "chr(64976)"
-_KX = char_class(KATAKANA_EXTRA)[1:-1]
+# Code points of the word-boundary classes, stated apart from the operator.
+_MID_LETTER = (0x3A, 0xB7, 0x387, 0x5F4, 0x2027, 0xFE13, 0xFE55, 0xFF1A)
+_MID_NUM_LET = (0x2E, 0x2018, 0x2019, 0x2024, 0xFE52, 0xFF07, 0xFF0E)
+_MID_NUM = (0x2C, 0x3B, 0x37E, 0x589, 0x60C, 0x60D, 0x66C, 0x7F8, 0x2044, 0xFE10, 0xFE14, 0xFE50, 0xFE54, 0xFF0C, 0xFF1B)
+_UNDERSCORES = (0x5F, 0x203F, 0x2040, 0x2054, 0xFE33, 0xFE34, 0xFE4D, 0xFE4E, 0xFE4F, 0xFF3F)
+_KATAKANA_MARKS = (0x3031, 0x3032, 0x3033, 0x3034, 0x3035, 0x309B, 0x309C, 0x30A0, 0x30FC, 0xFF70, 0xFF9E, 0xFF9F)
+_APOSTROPHE, _QUOTE, _ZERO_WIDTH_SPACE = 0x27, 0x22, 0x200B
+
+
+def _chars(*points: int) -> str:
+    return "".join(f"\\x{{{p:X}}}" for p in points)
+
+
+_KX = _chars(*_KATAKANA_MARKS)
 _OWN = r"\p{Han}\p{Hiragana}\p{Katakana}" + _KX
 _KATA = r"[\p{Katakana}" + _KX + "]"
 _LW = rf"[^\P{{L}}{_OWN}]"
 _W = rf"(?:[^\P{{L}}{_OWN}]|[^\P{{N}}{_OWN}])"
+_HEB = r"[\x{5D0}-\x{5EA}\x{5EF}-\x{5F2}\x{FB1D}\x{FB1F}-\x{FB28}\x{FB2A}-\x{FB36}\x{FB38}-\x{FB3C}\x{FB3E}\x{FB40}\x{FB41}\x{FB43}\x{FB44}\x{FB46}-\x{FB4F}]"
+_X = r"[\p{M}\p{Cf}]*"          # the zero width space is gone before this is used
+_EXT = f"[{_chars(*_UNDERSCORES)}]"
 
 
 def tokens_sql(text: str) -> str:
     """The analysed tokens of ``lower(text)``, restated for RE2 (no look-around):
-    a space is put wherever Katakana meets a letter or digit; joiners between
-    two letters, then between two digits, are marked in two passes each (a
-    pass cannot reuse the letter it consumed); words are extracted with a
-    marked joiner allowed inside, and the marks removed."""
-    x = f"lower({text})"
-    x = f"regexp_replace({x}, '({_KATA})({_W})', '\\1 \\2', 'g')"
-    x = f"regexp_replace({x}, '({_W})({_KATA})', '\\1 \\2', 'g')"
-    for _ in range(2):
-        x = (f"regexp_replace({x}, '({_LW}|\\p{{M}})({JOIN_LETTERS})({_LW})', "
-             f"'\\1' || {_JOIN_MARK} || '\\2\\3', 'g')")
-    for _ in range(2):
-        x = (f"regexp_replace({x}, '(\\p{{Nd}})({JOIN_DIGITS})(\\p{{Nd}})', "
-             f"'\\1' || {_JOIN_MARK} || '\\2\\3', 'g')")
-    word = (f"'[\\p{{Han}}\\p{{Hiragana}}]|{EXTEND}*(?:{_W}|{_KATA})(?:{_W}|{_KATA}|{EXTEND}|\\p{{M}}|' "
+    a space is put wherever Katakana meets a letter or digit and for every zero
+    width space; joiners between two letters, two digits or two Hebrew letters
+    are marked, in two passes each (a pass cannot reuse the letter it consumed),
+    as is a quote that ends a Hebrew word; words are extracted with a marked
+    character allowed inside, and the marks removed."""
+    x = f"replace(lower({text}), chr({_ZERO_WIDTH_SPACE}), ' ')"
+    x = f"regexp_replace({x}, '({_KATA}{_X})({_W})', '\\1 \\2', 'g')"
+    x = f"regexp_replace({x}, '({_W}{_X})({_KATA})', '\\1 \\2', 'g')"
+    for side, joiners in ((_LW, (*_MID_LETTER, *_MID_NUM_LET, _APOSTROPHE)), (r"\p{Nd}", (*_MID_NUM, *_MID_NUM_LET, _APOSTROPHE)), (_HEB, (_QUOTE,))):
+        for _ in range(2):
+            x = f"regexp_replace({x}, '({side}{_X})([{_chars(*joiners)}])({_X}{side})', '\\1' || {_JOIN_MARK} || '\\2\\3', 'g')"
+    x = f"regexp_replace({x}, '({_HEB}{_X})({_chars(_APOSTROPHE)}{_X})', '\\1' || {_JOIN_MARK} || '\\2 ', 'g')"
+    word = (f"'[\\p{{Han}}\\p{{Hiragana}}]{_X}|(?:{_EXT}{_X})*(?:{_W}|{_KATA})(?:{_W}|{_KATA}|{_EXT}|[\\p{{M}}\\p{{Cf}}]|' "
             f"|| {_JOIN_MARK} || '.)*'")
     return f"list_transform(regexp_extract_all({x}, {word}), lambda t: replace(t, {_JOIN_MARK}, ''))"
 

@@ -38,64 +38,68 @@ def shard(s: str, n: int) -> int:
     return r  # |h % n| with the sign of h, then abs, is |h| % n
 
 
-def _is_han_or_hiragana(c: str) -> bool:
-    import unicodedata
-    name = unicodedata.name(c, "")
-    return name.startswith("CJK UNIFIED IDEOGRAPH") or name.startswith("HIRAGANA")
+# Word-boundary classes, stated apart from the operator's.
+JOIN_LETTERS = set(":\u00b7\u0387\u05f4\u2027\ufe13\ufe55\uff1a" ".\u2018\u2019\u2024\ufe52\uff07\uff0e" "'")
+JOIN_DIGITS = set(",;\u037e\u0589\u060c\u060d\u066c\u07f8\u2044\ufe10\ufe14\ufe50\ufe54\uff0c\uff1b" ".\u2018\u2019\u2024\ufe52\uff07\uff0e" "'")
+UNDERSCORES = set("_\u203f\u2040\u2054\ufe33\ufe34\ufe4d\ufe4e\ufe4f\uff3f")
+KATAKANA_MARKS = set("\u3031\u3032\u3033\u3034\u3035\u309b\u309c\u30a0\u30fc\uff70\uff9e\uff9f")
+
+
+def _kind(c: str) -> str:
+    """letter, hebrew, digit, number, kata, under, ideograph, or the character itself."""
+    import unicodedata as u
+    name = u.name(c, "") if c else ""
+    if name.startswith(("CJK UNIFIED IDEOGRAPH", "HIRAGANA LETTER")):
+        return "ideograph"
+    if c in KATAKANA_MARKS or name.startswith(("KATAKANA LETTER", "HALFWIDTH KATAKANA LETTER")):
+        return "kata"
+    if c and c in UNDERSCORES:
+        return "under"
+    cat = u.category(c) if c else ""
+    if cat[:1] == "L":
+        return "hebrew" if name.startswith("HEBREW") else "letter"
+    return {"Nd": "digit", "Nl": "number", "No": "number"}.get(cat, c)
 
 
 def words(s: str) -> list[str]:
-    """Analysed tokens, scanned a character at a time: a word is letters and
-    digits (with underscores and marks); a letter joiner between two letters,
-    or a digit joiner between two digits, stays inside it; a Katakana run is a
-    word that meets letters and digits only through an underscore; each Han
-    or Hiragana character is a word of its own."""
-    import unicodedata
-
-    from shardloom.operators import postings as po
-    join_letters = set(po.MID_LETTER + po.MID_NUM_LET + po.SINGLE_QUOTE)
-    join_digits = set(po.MID_NUM + po.MID_NUM_LET + po.SINGLE_QUOTE)
-    ext = set(po.EXTEND_NUM_LET)
-
-    def cat(c):
-        return unicodedata.category(c) if c else ""
-
-    def kata(c):
-        import unicodedata as u
-        return bool(c) and (c in po.KATAKANA_EXTRA or u.name(c, "").startswith(("KATAKANA", "HALFWIDTH KATAKANA")))
-
-    def word_char(c):
-        return bool(c) and cat(c)[0] in "LN" and not _is_han_or_hiragana(c) and not kata(c)
-
-    out, cur, has_word = [], "", False
-
-    def flush():
-        nonlocal cur, has_word
-        if has_word:
-            out.append(cur)
-        cur, has_word = "", False
-
-    for i, c in enumerate(s):
-        prev = s[i - 1] if i > 0 else ""
-        nxt = s[i + 1] if i + 1 < len(s) else ""
-        if _is_han_or_hiragana(c):
-            flush()
-            out.append(c)
-        elif word_char(c) or kata(c):
-            if (word_char(c) and kata(prev)) or (kata(c) and word_char(prev)):
-                flush()
-            cur += c
-            has_word = True
-        elif c in ext:
-            cur += c
-        elif has_word and cat(c).startswith("M"):
-            cur += c
-        elif (has_word and c in join_letters and cat(prev)[:1] in ("L", "M") and not kata(prev)
-              and not _is_han_or_hiragana(prev) and cat(nxt).startswith("L") and word_char(nxt)):
-            cur += c
-        elif has_word and c in join_digits and cat(prev) == "Nd" and cat(nxt) == "Nd":
-            cur += c
+    """Analysed tokens by the word-boundary rules, decided pair by pair: marks and
+    format characters go with the character before them; then, whether there is
+    a boundary between two characters follows from them and their neighbours."""
+    import unicodedata as u
+    units: list[list[str]] = []
+    for c in s:
+        if (u.category(c)[0] == "M" or u.category(c) == "Cf") and c != "\u200b":
+            if units:
+                units[-1][1] += c
+            else:
+                units.append(["", c])
         else:
-            flush()
-    flush()
+            units.append([c, c])
+    kinds = ["", *[_kind(c) for c, _ in units], "", ""]
+    base = ["", *[c for c, _ in units], "", ""]
+    letters, alnum = {"letter", "hebrew"}, {"letter", "hebrew", "digit", "number"}
+
+    def joined(k: int) -> bool:            # between character k and the next one
+        before, a, b, after = kinds[k - 1] if k else "", kinds[k], kinds[k + 1], kinds[k + 2]
+        x, y = base[k], base[k + 1]
+        return any((
+            a in alnum and b in alnum,
+            a == b == "kata",
+            b == "under" and a in alnum | {"kata", "under"},
+            a == "under" and b in alnum | {"kata"},
+            a in letters and y in JOIN_LETTERS and after in letters,
+            before in letters and x in JOIN_LETTERS and b in letters,
+            a == "digit" and y in JOIN_DIGITS and after == "digit",
+            before == "digit" and x in JOIN_DIGITS and b == "digit",
+            a == "hebrew" and y == "'",
+            a == "hebrew" and y == '"' and after == "hebrew",
+            before == "hebrew" and x == '"' and b == "hebrew",
+        ))
+
+    out, start = [], 1
+    for k in range(1, len(units) + 1):
+        if k == len(units) or not joined(k):
+            if {*kinds[start:k + 1]} & (alnum | {"kata", "ideograph"}):
+                out.append("".join(t for _, t in units[start - 1:k]))
+            start = k + 1
     return out

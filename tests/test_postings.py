@@ -15,7 +15,8 @@ def _analyse(text):
 
 
 ALPHABET = ["a", "b", "É", "z", "0", "7", ".", ",", ";", ":", "'", "\u2019", "_", " ", "-", "@", "中", "ひ",
-            "カ", "タ", "ー", "\uff9e", "\u0301", "\n", "x1", "2.0"]
+            "カ", "タ", "ー", "\uff9e", "\u0301", "\n", "x1", "2.0",
+            "\u00ad", "\u200d", "\u200b", "\ufeff", '"', "א", "ל"]
 
 
 def test_tokens_equal_the_plain_word_rule(spark):
@@ -29,6 +30,38 @@ def test_tokens_equal_the_plain_word_rule(spark):
         assert got[t] == rules.words(t.lower()), t
 
 
+FORMAT = {
+    "co\u00adoperate a\u200db 1\u00ad,\u00ad000": ["co\u00adoperate", "a\u200db", "1\u00ad,\u00ad000"],
+    "e\u0301\u00ad.x v\u00ad.1 1\u0301.b": ["e\u0301\u00ad.x", "v\u00ad", "1", "1\u0301", "b"],
+    "zero\u200bwidth \u00adlead trail\u00ad": ["zero", "width", "lead", "trail\u00ad"],
+    'צה"ל ג\' ג\'_ ג\'1 ג\'ד "צה" x"y': ['צה"ל', "ג'", "ג'", "ג'", "1", "ג'ד", "צה", "x", "y"],
+    "中\u0301国 カ\u3099カ_a": ["中\u0301", "国", "カ\u3099カ_a"],
+}
+
+
+def test_format_characters_and_hebrew_quotes(spark):
+    """Ignored characters part no word, and stay in it."""
+    import duckdb
+
+    from shardloom.plans.oracle import tokens_sql
+
+    df = spark.createDataFrame([(t,) for t in FORMAT], "t string")
+    got = {r.t: r.k for r in df.select("t", po.tokens("t").alias("k")).collect()}
+    assert got == FORMAT == {t: rules.words(t.lower()) for t in FORMAT}
+    con = duckdb.connect()
+    assert {t: con.execute(f"SELECT {tokens_sql('t')} FROM (SELECT ? AS t)", [t]).fetchone()[0] for t in FORMAT} == FORMAT
+
+
+def test_the_three_statements_of_the_classes_agree():
+    from shardloom.plans import oracle as O
+
+    points = lambda s: sorted(map(ord, s))
+    assert points(po.MID_LETTER + po.MID_NUM_LET + po.SINGLE_QUOTE) == sorted((*O._MID_LETTER, *O._MID_NUM_LET, O._APOSTROPHE)) == points(rules.JOIN_LETTERS)
+    assert points(po.MID_NUM + po.MID_NUM_LET + po.SINGLE_QUOTE) == sorted((*O._MID_NUM, *O._MID_NUM_LET, O._APOSTROPHE)) == points(rules.JOIN_DIGITS)
+    assert points(po.EXTEND_NUM_LET) == sorted(O._UNDERSCORES) == points(rules.UNDERSCORES)
+    assert points(po.KATAKANA_EXTRA) == sorted(O._KATAKANA_MARKS) == points(rules.KATAKANA_MARKS)
+
+
 def test_count_terms_random_arrays(spark):
     rnd = random.Random(3)
     words = ["a", "b", "c", "zz", "é", "中文", "b "]
