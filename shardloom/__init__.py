@@ -6,6 +6,6 @@ entirely from DataFrame expressions and aggregates.
 """
 
 from .plans.build import BuildResult, build_index
-from .spec import FieldMapping, IndexSpec, SpecError, TypeSpec
+from .spec import FieldMapping, FieldTemplate, IndexSpec, SpecError, TypeSpec
 
-__all__ = ["BuildResult", "build_index", "FieldMapping", "IndexSpec", "SpecError", "TypeSpec"]
+__all__ = ["BuildResult", "build_index", "FieldMapping", "FieldTemplate", "IndexSpec", "SpecError", "TypeSpec"]

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..spec import DATA_TYPES, DEFAULT_DATA_TYPE, DEFAULT_INDEX_MODE, IndexSpec, TypeSpec
+from ..spec import DATA_TYPES, FieldMapping, IndexSpec, TypeSpec
 from .parse import PRESENT_BITS, present_columns
 
 
@@ -55,22 +55,22 @@ def infer_mapping(stats_or_docs: DataFrame, ispec: IndexSpec) -> DataFrame:
 
 
 def field_table(spark: SparkSession, ispec: IndexSpec) -> DataFrame:
-    """Every declared field: its presence bit and its explicit mapping (or
-    nulls).  Built from the spec, so its size is the number of declared fields."""
+    """Every declared field: its presence bit, its mapping and where that comes
+    from (stated, from the first template that fits, or the default).  Built from the spec, so its size is the number of declared fields."""
     rows = []
     for t in ispec.types:
-        explicit = t.explicit_mapping()
+        told, explicit = t.field_mapping(), t.explicit_mapping()
         for i, name in enumerate(t.field_names):
-            m = explicit.get(name)
-            rows.append((t.name, name, i // PRESENT_BITS, 1 << (i % PRESENT_BITS),
-                         m.data_type if m else None, m.index_mode if m else None))
+            m = told.get(name, FieldMapping(name))
+            origin = "explicit" if name in explicit else "template" if name in told else "inferred"
+            rows.append((t.name, name, i // PRESENT_BITS, 1 << (i % PRESENT_BITS), m.data_type, m.index_mode, origin))
     return spark.createDataFrame(
-        rows, "type string, field string, word int, mask bigint, data_type string, index_mode string")
+        rows, "type string, field string, word int, mask bigint, data_type string, index_mode string, origin string")
 
 
 def merge_mapping(stats_or_docs: DataFrame, ispec: IndexSpec) -> DataFrame:
-    """Explicit properties win; every other seen field is a
-    ``string``/``not_analyzed`` keyword; only types that have documents in
+    """Explicit properties win; every other seen field is what the first
+    fitting template says, else a ``string``/``not_analyzed`` keyword; only types that have documents in
     the index get a mapping there (explicit fields included even if unseen).
 
     One aggregate (presence words per index and type) and one broadcast join
@@ -82,12 +82,8 @@ def merge_mapping(stats_or_docs: DataFrame, ispec: IndexSpec) -> DataFrame:
     word = F.element_at(F.array(*[F.col(w) for w in words]), F.col("word") + 1)
     seen = word.bitwiseAND(F.col("mask")) != 0
     m = per_type.join(F.broadcast(field_table(spark, ispec)), "type") \
-        .filter(seen | F.col("data_type").isNotNull())
-    return m.select(
-        "index", "type", "field",
-        F.coalesce("data_type", F.lit(DEFAULT_DATA_TYPE)).alias("data_type"),
-        F.coalesce("index_mode", F.lit(DEFAULT_INDEX_MODE)).alias("index_mode"),
-        F.when(F.col("data_type").isNotNull(), F.lit("explicit")).otherwise(F.lit("inferred")).alias("origin"))
+        .filter(seen | (F.col("origin") == "explicit"))
+    return m.select("index", "type", "field", "data_type", "index_mode", "origin")
 
 
 def mapping_json(mapping: DataFrame) -> DataFrame:
@@ -103,7 +99,7 @@ def mapping_json(mapping: DataFrame) -> DataFrame:
 def typed_records(recs: DataFrame, tspec: TypeSpec) -> DataFrame:
     """L1: fields coerced by the explicit mapping (ANSI ``cast``: a value that
     slipped past the coercion check fails the job)."""
-    explicit = tspec.explicit_mapping()
+    explicit = tspec.field_mapping()
     cols = []
     for name in tspec.field_names:
         m = explicit.get(name)

@@ -49,6 +49,29 @@ def present_columns(tspec: TypeSpec) -> list[str]:
     return [f"_present_{j}" for j in range((n + PRESENT_BITS - 1) // PRESENT_BITS)]
 
 
+def typed_fields(tspec: TypeSpec) -> list[tuple[str, str]]:
+    """The fields that the explicit mapping gives a type other than text."""
+    return [(name, m.data_type) for name, m in tspec.field_mapping().items() if m.data_type != "string"]
+
+
+def typed_column_name(tspec: TypeSpec) -> str:
+    """The column of a type's typed fields: one struct a type, so a read of one field of
+    one type opens that field's column only."""
+    return f"_typed_{tspec.name}"
+
+
+def typed_field_name(name: str, data_type: str) -> str:
+    """A typed field's name in that struct: it says the type, so that builds which map a
+    field to different types lie side by side."""
+    return f"{name}:{data_type}"
+
+
+def typed_column(tspec: TypeSpec) -> list[Column]:
+    """The typed fields of a parsed line as one struct column; none if the mapping types no field."""
+    fields = [F.col(n).try_cast(DATA_TYPES[t]).alias(typed_field_name(n, t)) for n, t in typed_fields(tspec)]
+    return [F.when(F.col("_status") == OK, F.struct(*fields)).alias(typed_column_name(tspec))] if fields else []
+
+
 def partition_column(p: str) -> str:
     return f"_p_{p}"
 
@@ -97,7 +120,7 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
     reason = reason.when(size != n, F.lit(REASON_ARITY))
 
     field_cols = [field_value(F.get(f, i)).alias(name) for i, name in enumerate(names)]
-    explicit = tspec.explicit_mapping()
+    explicit = tspec.field_mapping()
     coercible = [(name, m.data_type) for name, m in explicit.items() if m.data_type != "string"]
     if coercible:
         for name, data_type in coercible:
@@ -245,6 +268,8 @@ def build_rows(parsed: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
     """Documents and (in quarantine mode) rejected lines in one frame, so one
     pass over the input writes both: a rejected line has a null ``index``
     and carries its raw ``value`` and ``reason``; a document has both null.
+    Fields that the mapping gives a type stand in a struct column of their type
+    as well (L1); the document text holds them as they were written.
     ``build_id`` stamps every row, so what one build wrote can be read back
     by a pushed-down filter (row-group statistics skip older files)."""
     doc = F.to_json(F.struct(*[F.col(c) for c in tspec.field_names], F.col("_id")))
@@ -257,6 +282,6 @@ def build_rows(parsed: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
             .select(F.col("_index").alias("index"), F.col("_shard").alias("shard"),
                     F.col("_type").alias("type"), "_id", F.when(~is_rej, doc).alias("doc"),
                     *[F.col(partition_column(p)).alias(p) for p in pf],
-                    *present_columns(tspec),
+                    *present_columns(tspec), *typed_column(tspec),
                     F.when(is_rej, F.col("_line")).alias("value"),
                     F.when(is_rej, F.col("_reason")).alias("reason"), *stamp))

@@ -89,13 +89,13 @@ TOKEN_PATTERN = (
 
 
 def keyword_fields(tspec: TypeSpec) -> list[str]:
-    explicit = tspec.explicit_mapping()
+    explicit = tspec.field_mapping()
     return [f for f in tspec.field_names
             if (explicit[f].index_mode if f in explicit else "not_analyzed") == "not_analyzed"]
 
 
 def text_fields(tspec: TypeSpec) -> list[str]:
-    explicit = tspec.explicit_mapping()
+    explicit = tspec.field_mapping()
     return [f for f in tspec.field_names if f in explicit and explicit[f].index_mode == "analyzed"]
 
 
@@ -112,7 +112,7 @@ def keyword_postings(recs: DataFrame, tspec: TypeSpec) -> DataFrame:
     if not fields:
         return recs.sparkSession.createDataFrame(
             [], "index string, shard int, type string, field string, term string, _id string")
-    explicit = tspec.explicit_mapping()
+    explicit = tspec.field_mapping()
     terms = [canonical(F.col(f), explicit[f].data_type if f in explicit else "string").alias(f) for f in fields]
     keys = ["_index", "_shard", "_type", "_id"]
     long = recs.select(*keys, *terms).unpivot(keys, fields, "field", "term")
@@ -193,7 +193,7 @@ def _field_modes(spark, ispec) -> DataFrame:
     """``(type, field, index_mode)`` for every declared field: spec-sized."""
     rows = []
     for t in ispec.types:
-        explicit = t.explicit_mapping()
+        explicit = t.field_mapping()
         for f in t.field_names:
             m = explicit.get(f)
             rows.append((t.name, f, m.index_mode if m else "not_analyzed", m.data_type if m else "string"))

@@ -26,7 +26,7 @@ from ..operators.parse import build_rows, default_id_mode, parse_lines
 from ..operators.postings import postings_from_documents, term_stats
 from ..session import build_conf
 from ..sinks.documents import by_index, claim_build, write_documents, write_index_table
-from ..sinks.layout import DOCUMENTS, MAPPING, POSTINGS, REJECTED_COLUMNS, SCHEMAS, SHARDS, STATS, TERMS, build_path
+from ..sinks.layout import DOCUMENTS, MAPPING, POSTINGS, REJECTED_COLUMNS, SCHEMAS, SHARDS, STATS, TERMS, build_path, ddl, quoted
 from ..sinks.manifest import append_manifest, index_manifest, publication, shard_manifest
 from ..sources.lines import read_index_inputs
 from ..spec import IndexSpec
@@ -85,7 +85,7 @@ def _build(spark, ispec, out, inputs, mode, id_mode, build_id, created_at, posti
         """This build's rows, by a stated schema (an empty build has no footer to infer from)."""
         return spark.read.schema(f"{schema}, index string").parquet(build_path(out, name, build_id))
 
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in ("index", *REJECTED_COLUMNS))
+    columns = ", ".join(f"{quoted(f.name)} {ddl(f.dataType)}" for f in rows.schema.fields if f.name not in ("index", *REJECTED_COLUMNS))
     docs = read(DOCUMENTS, columns).where("index is not null")
     rejected = read(DOCUMENTS, "type string, value string, reason string").where("index is null").select("type", "value", "reason")
     if mode == "failfast" and any((id_mode or default_id_mode(t)) == "key" for t in ispec.types):

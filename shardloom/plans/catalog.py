@@ -412,6 +412,29 @@ def merge_mapping(spark, sf):
     return mp.merge_mapping(_docs(spark, sf, MAPPED), MAPPED)
 
 
+TEMPLATED = IndexSpec("orders", 10, (
+    TypeSpec("order", fx.ORDER_TYPE.field_names, field_sep="|", routing_field="custkey", key_fields=("okey",), mapping={"order": {
+        "properties": {"status": {"type": "string", "index": "no"}},
+        "dynamic_templates": [
+            {"keys": {"match": "*key", "unmatch": "cust*", "mapping": {"type": "long"}}},
+            {"years": {"match_pattern": "regex", "match": "ye[a-z]+", "mapping": {"type": "integer", "index": "no"}}},
+            {"numbers": {"match": "*", "match_mapping_type": "long", "mapping": {"type": "double"}}},
+            {"texts": {"match": "*", "match_mapping_type": "string", "mapping": {"type": "{dynamic_type}", "index": "analyzed"}}}]}}),
+), partition_fields=("year",))
+
+
+@query("merge_mapping_templates", f"""SELECT index, type, field,
+  CASE WHEN field = 'status' THEN 'string' WHEN field LIKE '%key' AND field NOT LIKE 'cust%' THEN 'long' WHEN regexp_full_match(field, 'ye[a-z]+') THEN 'integer'
+    ELSE 'string' END AS data_type,
+  CASE WHEN field = 'status' THEN 'no' WHEN field LIKE '%key' AND field NOT LIKE 'cust%' THEN 'not_analyzed' WHEN regexp_full_match(field, 'ye[a-z]+') THEN 'no'
+    ELSE 'analyzed' END AS index_mode,
+  CASE WHEN field = 'status' THEN 'explicit' ELSE 'template' END AS origin FROM ({O.inferred_mapping_sql(ORD)})""")
+def merge_mapping_templates(spark, sf):
+    """Of the fields seen, stated ones win, then the first template whose name
+    and type patterns fit."""
+    return mp.merge_mapping(_docs(spark, sf, TEMPLATED), TEMPLATED)
+
+
 @query("index_shards", f"""SELECT index, array_to_string(list_sort(list(shard)), ',') AS shard_list,
   CAST(count(*) AS INTEGER) AS n_shards, CAST(sum(doc_count) AS BIGINT) AS doc_count, bool_or(shard = 0) AS has_shard0
 FROM ({_per_shard_sql(EV64)}) GROUP BY index""")
@@ -597,6 +620,20 @@ def sink_documents(spark, sf):
     return agg.shard_counts(res.documents)
 
 
+@query("sink_typed", f"""SELECT index, okey_text, CAST(okey AS BIGINT) AS okey, CAST(custkey AS BIGINT) AS custkey, date_diff('day', DATE '1970-01-01', CAST(odate AS DATE)) AS odate_day,
+  epoch_us(CASE WHEN regexp_matches(stamp, '(Z|[+-][0-9:]+)$') AND length(stamp) > 19 THEN CAST(stamp AS TIMESTAMPTZ)::TIMESTAMPTZ ELSE
+  CAST(concat(replace(stamp, ' ', 'T'), 'Z') AS TIMESTAMPTZ) END) AS stamp_us
+FROM (SELECT _index AS index, okey AS okey_text, * EXCLUDE (_index) FROM ({O.docs_sql(NUMBERED, NUM, _NUM_LINES)}))""")
+def sink_typed(spark, sf):
+    """L1: numbers, dates and times read back from the written documents in their types,
+    beside the document text, which holds them as they came."""
+    out = scratch_path(spark, "typed")
+    build_index(spark, NUM, out, inputs={"order": _numbered_lines(spark, sf)}, mode="quarantine", created_at=CREATED_AT)
+    text = sk.active_documents(spark, out).select("_id", F.get_json_object("doc", "$.okey").alias("okey_text"))
+    typed = sk.read_typed(spark, out, NUMBERED)
+    return typed.join(text, "_id").select("index", "okey_text", "okey", "custkey", F.unix_date("odate").cast("bigint").alias("odate_day"), F.unix_micros("stamp").alias("stamp_us"))
+
+
 def _manifest_sql(ispec):
     merged = O.merged_mapping_sql(ispec)
     return f"""WITH m AS ({merged}),

@@ -32,10 +32,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.parse import typed_column_name, typed_field_name, typed_fields
 from ..session import scratch_path, table_exists
+from ..spec import DATA_TYPES, TypeSpec
 from . import files
 from .layout import (DOCUMENTS, MANIFEST, MAPPING, POSTINGS, REJECTED_COLUMNS, SCHEMAS, SHARDS, STATS, TERMS,
-                     build_path, table_path)
+                     build_path, ddl, quoted, table_path)
 from .manifest import (PUBLISHED, REMOVED, Log, commit, current_manifest, current_rows, kept_builds, log_rows, publications,
                        read_log)
 
@@ -86,11 +88,14 @@ def write_documents(rows: DataFrame, out: str, build_id: str) -> None:
 def _document_columns(spark: SparkSession, out: str) -> str:
     """The union of the document columns of the builds that the manifest names."""
     told = kept_builds(spark, read_log(spark, out)).agg(F.sort_array(F.collect_set("columns"))).first()[0]   # one string per layout
-    fields: dict[str, str] = {}
+    fields: dict[str, T.DataType] = {}
     for columns in told:
         for f in T.StructType.fromDDL(columns).fields:
-            fields.setdefault(f.name, f.dataType.simpleString())
-    return ", ".join(f"`{n}` {t}" for n, t in fields.items()) or "type string, value string, reason string"
+            seen = fields.setdefault(f.name, f.dataType)
+            if isinstance(seen, T.StructType):             # typed fields of several specs: all of them
+                names = {x.name for x in seen.fields}
+                fields[f.name] = T.StructType(seen.fields + [x for x in f.dataType.fields if x.name not in names])
+    return ", ".join(f"{quoted(n)} {ddl(t)}" for n, t in fields.items()) or "type string, value string, reason string"
 
 
 def read_table(spark: SparkSession, out: str, name: str) -> DataFrame:
@@ -113,6 +118,27 @@ def active_documents(spark: SparkSession, out: str, as_of: int | None = None) ->
     return active_table(spark, out, DOCUMENTS, as_of).drop(*REJECTED_COLUMNS)
 
 
+def read_typed(spark: SparkSession, out: str, tspec: TypeSpec, as_of: int | None = None) -> DataFrame:
+    """L1: ``(index, shard, _id, <fields>)`` of the active documents of a type: the fields
+    that its mapping gives a type, as the build wrote them in that type.
+
+    Only the asked fields are read from the files.  A field that an older build wrote
+    in another type is cast; a value that the type cannot hold is null then.
+    """
+    docs = active_documents(spark, out, as_of).where(F.col("type") == tspec.name)
+    group = typed_column_name(tspec)
+    held = [f.name for f in docs.schema[group].dataType.fields] if group in docs.columns else []
+    cols = []
+    for name, data_type in typed_fields(tspec):
+        own = typed_field_name(name, data_type)
+        other = [n for n in held if n != own and n.rpartition(":")[0] == name]
+        kind = DATA_TYPES[data_type]
+        values = [F.col(f"{quoted(group)}.{quoted(n)}").try_cast(kind) if n != own else F.col(f"{quoted(group)}.{quoted(n)}")
+                  for n in ([own] if own in held else []) + other]
+        cols.append((F.coalesce(*values) if values else F.lit(None).cast(kind)).alias(name))
+    return docs.select("index", "shard", "_id", *cols)
+
+
 def read_documents(spark: SparkSession, out: str) -> DataFrame:
     """Documents of a folder: the current builds, or all rows of a stream's
     folder (which has no manifest)."""
@@ -266,5 +292,5 @@ def remove_replaced(spark: SparkSession, out: str, keep: int = 1, unlisted_befor
 
 
 __all__ = ["DOCUMENTS", "MANIFEST", "MAPPING", "POSTINGS", "REJECTED_COLUMNS", "SCHEMAS", "SHARDS", "STATS", "TERMS", "active_documents",
-           "active_table", "build_path", "by_index", "claim_build", "colocate", "publish", "read_documents", "read_rejected", "read_table",
+           "active_table", "build_path", "by_index", "claim_build", "colocate", "publish", "read_documents", "read_rejected", "read_table", "read_typed",
            "removable_builds", "remove_replaced", "table_path", "unlisted_builds", "write_documents", "write_index_table"]

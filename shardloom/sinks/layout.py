@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import types as T
+
 DOCUMENTS, SHARDS, MAPPING, MANIFEST = "documents", "shards", "mapping", "manifest"
 STATS = "_stats"
 POSTINGS, TERMS = "postings", "terms"
@@ -19,6 +21,17 @@ SCHEMAS = {
 REJECTED_COLUMNS = ("value", "reason")
 
 
+def ddl(kind: T.DataType) -> str:
+    """A type as text, names quoted at every level."""
+    if isinstance(kind, T.StructType):
+        return "struct<" + ",".join(f"{quoted(f.name)}:{ddl(f.dataType)}" for f in kind.fields) + ">"
+    return kind.simpleString()
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def table_path(out: str, name: str) -> str:
     return f"{out.rstrip('/')}/{name}"
 
@@ -28,4 +41,4 @@ def build_path(out: str, name: str, build_id: str) -> str:
 
 
 __all__ = ["DOCUMENTS", "SHARDS", "MAPPING", "MANIFEST", "STATS", "POSTINGS", "TERMS", "SCHEMAS", "REJECTED_COLUMNS",
-           "table_path", "build_path"]
+           "ddl", "quoted", "table_path", "build_path"]

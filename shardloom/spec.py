@@ -8,6 +8,7 @@ turned into literals in the Spark plan by the operators.
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -80,35 +81,85 @@ class FieldMapping:
             raise SpecError(f"only string fields can be analyzed: {self.field!r}")
 
 
-def _properties(mapping, type_name: str):
-    """The field properties of a mapping given as JSON text, as a search index's
-    document ``{type: {"properties": ...}}``, or already as properties.
+@dataclass(frozen=True)
+class FieldTemplate:
+    """What an undeclared field is mapped to if its name fits: the first template that fits decides.
 
-    Templates for undeclared fields may only state what holds anyway (exact
-    strings); other settings are an error rather than silently ignored.
+    ``match`` and ``unmatch`` are patterns of the whole name with ``*`` for any text, or
+    regular expressions with ``regex=True``; ``value_type`` is the type that values must be
+    seen as, and every value of a delimited feed is text (``string``).
     """
+
+    name: str
+    match: str = "*"
+    unmatch: str | None = None
+    value_type: str = "*"
+    regex: bool = False
+    data_type: str = DEFAULT_DATA_TYPE
+    index_mode: str = DEFAULT_INDEX_MODE
+
+    def __post_init__(self):
+        FieldMapping(self.name, self.data_type, self.index_mode)
+        for pattern in (self.match, self.unmatch or ""):
+            try:
+                re.compile(self._pattern(pattern))
+            except re.error as bad:
+                raise SpecError(f"template {self.name!r}: {pattern!r} is no pattern ({bad})") from bad
+
+    def _pattern(self, pattern: str) -> str:
+        return pattern if self.regex else ".*".join(map(re.escape, pattern.split("*")))
+
+    def fits(self, field_name: str) -> bool:
+        whole = lambda pattern: re.fullmatch(self._pattern(pattern), field_name, re.DOTALL) is not None
+        return (self.value_type in ("*", DEFAULT_DATA_TYPE) and whole(self.match)
+                and not (self.unmatch is not None and whole(self.unmatch)))
+
+    def to_dict(self) -> dict[str, Any]:
+        d: dict[str, Any] = {"match": self.match}
+        if self.unmatch is not None:
+            d["unmatch"] = self.unmatch
+        if self.value_type != "*":
+            d["match_mapping_type"] = self.value_type
+        if self.regex:
+            d["match_pattern"] = "regex"
+        return {self.name: {**d, "mapping": {"type": self.data_type, "index": self.index_mode}}}
+
+    @classmethod
+    def from_dict(cls, name: str, rule: dict[str, Any]) -> "FieldTemplate":
+        """A template as a search index states it; documents are flat, so a path is a name."""
+        rule = dict(rule)
+        how = rule.pop("mapping", {})
+        other = set(how) - {"type", "index"}
+        names = {"match": rule.pop("path_match", rule.pop("match", "*")), "unmatch": rule.pop("path_unmatch", rule.pop("unmatch", None)),
+                 "value_type": rule.pop("match_mapping_type", "*"), "regex": rule.pop("match_pattern", "simple") == "regex"}
+        if rule or other:
+            raise SpecError(f"template {name!r}: settings {sorted({*rule, *other})} are not supported")
+        seen_as = how.get("type", DEFAULT_DATA_TYPE)
+        return cls(name, **names, data_type=DEFAULT_DATA_TYPE if seen_as == "{dynamic_type}" else seen_as,
+                   index_mode=how.get("index", DEFAULT_INDEX_MODE))
+
+
+def _mapping_parts(mapping, type_name: str):
+    """The field properties and templates of a mapping given as JSON text, as a search
+    index's document ``{type: {"properties": ..., "dynamic_templates": ...}}``, or already
+    as properties.  Other settings are an error rather than silently ignored."""
     if isinstance(mapping, str):
         mapping = json.loads(mapping)
     if not isinstance(mapping, dict):
-        return mapping
+        return mapping, ()
     body = mapping
     if set(mapping) == {type_name} and isinstance(mapping[type_name], dict) and set(mapping[type_name]) & {"properties", "dynamic_templates"}:
         body = mapping[type_name]
     if not isinstance(body.get("properties"), dict) and "dynamic_templates" not in body:
-        return mapping
+        return mapping, ()
     other = set(body) - {"properties", "dynamic_templates"}
     if other:
         raise SpecError(f"mapping of type {type_name!r}: settings {sorted(other)} are not supported")
-    for template in body.get("dynamic_templates", ()):
-        for name, rule in template.items():
-            how = rule.get("mapping", {})
-            if how.get("type", DEFAULT_DATA_TYPE) != DEFAULT_DATA_TYPE or how.get("index", DEFAULT_INDEX_MODE) != DEFAULT_INDEX_MODE:
-                raise SpecError(f"mapping of type {type_name!r}: template {name!r} is not the exact-string default")
-    return body.get("properties", {})
+    templates = tuple(FieldTemplate.from_dict(name, rule) for t in body.get("dynamic_templates", ()) for name, rule in t.items())
+    return body.get("properties", {}), templates
 
 
-def _mapping_tuple(mapping, type_name: str = "") -> tuple[FieldMapping, ...] | None:
-    mapping = _properties(mapping, type_name)
+def _mapping_tuple(mapping) -> tuple[FieldMapping, ...] | None:
     if mapping is None:
         return None
     if isinstance(mapping, dict):
@@ -131,6 +182,8 @@ def _mapping_tuple(mapping, type_name: str = "") -> tuple[FieldMapping, ...] | N
 class TypeSpec:
     """One document type: where its lines are and how to read them.
 
+    ``mapping`` states fields, and ``templates`` what the others are mapped to by
+    their names (both in one, if ``mapping`` is given as a search index states it).
     ``key_fields`` optionally names fields that are unique per line; document
     ids are then a hash of them (see ``functions.ids``).  ``record_sep`` ends a
     line of the feed (default: line ends); with ``max_line_bytes``, lines that
@@ -146,10 +199,13 @@ class TypeSpec:
     key_fields: tuple[str, ...] | None = None
     record_sep: str | None = None
     max_line_bytes: int | None = None
+    templates: tuple[FieldTemplate, ...] = ()
 
     def __post_init__(self):
         object.__setattr__(self, "field_names", tuple(self.field_names))
-        object.__setattr__(self, "mapping", _mapping_tuple(self.mapping, self.name))
+        properties, templates = _mapping_parts(self.mapping, self.name)
+        object.__setattr__(self, "mapping", _mapping_tuple(properties))
+        object.__setattr__(self, "templates", tuple(self.templates) or templates)
         if self.key_fields is not None:
             object.__setattr__(self, "key_fields", tuple(self.key_fields))
         if not self.name:
@@ -191,6 +247,16 @@ class TypeSpec:
     def explicit_mapping(self) -> dict[str, FieldMapping]:
         return {m.field: m for m in self.mapping or ()}
 
+    def field_mapping(self) -> dict[str, FieldMapping]:
+        """The mapping of each field that has one: its own, else that of the first template that fits."""
+        out = self.explicit_mapping()
+        for name in self.field_names:
+            if name not in out:
+                fit = next((t for t in self.templates if t.fits(name)), None)
+                if fit is not None:
+                    out[name] = FieldMapping(name, fit.data_type, fit.index_mode)
+        return out
+
     def to_dict(self) -> dict[str, Any]:
         d = {"name": self.name, "fieldNames": ",".join(self.field_names),
              "fieldSplitter": separator_to_token(self.field_sep)}
@@ -207,6 +273,8 @@ class TypeSpec:
         if self.mapping:
             d["mapping"] = {m.field: {"type": m.data_type, "index": m.index_mode}
                             for m in self.mapping}
+        if self.templates:
+            d["mapping"] = {"properties": d.get("mapping", {}), "dynamic_templates": [t.to_dict() for t in self.templates]}
         return d
 
     @classmethod

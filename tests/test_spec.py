@@ -68,7 +68,10 @@ def test_mapping_as_a_search_index_states_it():
         t = TypeSpec("reading", ("celsius", "note"), mapping=mapping)
         assert t.mapping == (FieldMapping("celsius", "double"), FieldMapping("note", "string", "analyzed"))
     for bad in ({"reading": {"properties": {"note": {"type": "string", "analyzer": "x"}}}}, {"reading": {"properties": {}, "_ttl": {}}},
-                {"reading": {"dynamic_templates": [{"all": {"mapping": {"type": "long"}}}], "properties": {}}}):
+                {"reading": {"dynamic_templates": [{"all": {"mapping": {"type": "long", "store": True}}}], "properties": {}}},
+                {"reading": {"dynamic_templates": [{"all": {"match": "*", "path": "x", "mapping": {}}}], "properties": {}}},
+                {"reading": {"dynamic_templates": [{"all": {"match": "(", "match_pattern": "regex", "mapping": {}}}], "properties": {}}},
+                {"reading": {"dynamic_templates": [{"all": {"mapping": {"type": "long", "index": "analyzed"}}}], "properties": {}}}):
         with pytest.raises(SpecError):
             TypeSpec("reading", ("celsius", "note"), mapping=bad)
 
@@ -91,3 +94,29 @@ def test_cli_reads_feed_options(spark, tmp_path):
     docs = sk.active_documents(spark, out)
     assert sorted(json.loads(r.doc)["k"] for r in docs.collect()) == ["1", "3"] and {r.shard for r in docs.collect()} <= {0, 1, 2}
     assert sorted(r.term for r in sk.active_table(spark, out, "postings").where("field = 'text'").collect()) == ["b", "c"]
+
+
+def test_the_first_template_that_fits_decides(spark, tmp_path):
+    from shardloom import FieldTemplate, build_index
+    from shardloom.operators import postings as po
+
+    rules = [{"ids": {"match": "*_id", "unmatch": "x*", "mapping": {"type": "long"}}},
+             {"floats": {"path_match": "m.*", "match_pattern": "regex", "mapping": {"type": "double", "index": "no"}}},
+             {"numbers": {"match_mapping_type": "long", "mapping": {"type": "integer"}}},
+             {"rest": {"match": "*", "match_mapping_type": "string", "mapping": {"type": "{dynamic_type}", "index": "analyzed"}}}]
+    t = TypeSpec("t", ("k", "a_id", "x_id", "mass", "a.b*c", "note"), field_sep=",", routing_field="k", key_fields=("k",),
+                 mapping={"properties": {"note": {"type": "string", "index": "no"}, "k": {"type": "string"}}, "dynamic_templates": rules})
+    assert {n: (m.data_type, m.index_mode) for n, m in t.field_mapping().items()} == {
+        "k": ("string", "not_analyzed"), "note": ("string", "no"), "a_id": ("long", "not_analyzed"), "x_id": ("string", "analyzed"),
+        "mass": ("double", "no"), "a.b*c": ("string", "analyzed")}
+    assert TypeSpec.from_dict(t.to_dict()) == t
+    assert po.text_fields(t) == ["x_id", "a.b*c"] and po.keyword_fields(t) == ["k", "a_id"]
+    # a star stands for any text and nothing else is special
+    assert FieldTemplate("f", match="a.*c").fits("a.bc") and not FieldTemplate("f", match="a.*c").fits("abc")
+    assert FieldTemplate("f", match="*").fits("") and not FieldTemplate("f", match="a*").fits("ba")
+    u = TypeSpec("t", ("k", "n_id", "mass"), field_sep=",", routing_field="k", key_fields=("k",), mapping={"dynamic_templates": rules})
+    lines = {"t": spark.createDataFrame([("1,5,2.5",), ("2,x,1",), ("3,,",)], "value string")}
+    res = build_index(spark, IndexSpec("ix", 2, (u,)), str(tmp_path / "out"), inputs=lines, mode="quarantine")
+    assert [r.reason for r in res.rejected.collect()] == ["coercion:n_id"]
+    assert {r.field: (r.data_type, r.origin) for r in res.mapping.collect()} == {
+        "k": ("string", "template"), "n_id": ("long", "template"), "mass": ("double", "template")}
