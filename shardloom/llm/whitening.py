@@ -65,25 +65,32 @@ def eigenvectors(a: np.ndarray, steps: int = 12) -> tuple[np.ndarray, np.ndarray
         return np.zeros(len(a)), np.eye(len(a)), 0
     a = a / norm
     x = np.linalg.eigh(a.astype(np.float32))[1].astype(HIGH)
-    eye, tiny = np.eye(len(a), dtype=HIGH), HIGH(np.finfo(np.float64).eps) / 16
+    eye, small = np.eye(len(a), dtype=HIGH), HIGH(np.finfo(np.float64).eps) / 64
     for step in range(1, steps + 1):
-        values, change, clusters = _correction(a, x, eye)
+        r, s = _residuals(a, x, eye)
+        if max(np.abs(r).max(), np.abs(s - np.diag(np.diag(s))).max()) <= small:
+            break
+        values, change, clusters = _correction(r, s)
         x = x + x @ change
         for members in clusters:
             x[:, members] = x[:, members] @ _sub_solve(a, x[:, members], values[members].mean())
-        if np.abs(change).max() <= tiny and (step > 1 or not clusters):
-            break
-    values = np.diag(x.T @ a @ x) / np.diag(x.T @ x)
+    for _ in range(2):                              # rotations within a cluster leave it a little off
+        x = x + x @ _residuals(a, x, eye)[0] / 2
+    values = np.diag(x.T @ a @ x)
     order = np.argsort(-values, kind="stable")
-    x = x[:, order] / np.sqrt(np.diag(x.T @ x))[order]
+    x = x[:, order]
     x = x * np.where(x[np.abs(x).argmax(axis=0), np.arange(len(a))] < 0, -1, 1)      # one sign for all rows
     return (values[order] * norm).astype(np.float64), x.astype(np.float64), step
 
 
-def _correction(a: np.ndarray, x: np.ndarray, eye: np.ndarray):
+def _residuals(a: np.ndarray, x: np.ndarray, eye: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``I - X'X`` and ``X'AX``, symmetric to the last bit."""
+    r, s = eye - x.T @ x, x.T @ a @ x
+    return (r + r.T) / 2, (s + s.T) / 2
+
+
+def _correction(r: np.ndarray, s: np.ndarray):
     """Eigenvalue estimates, the matrix E of one Ogita-Aishima step, and the clusters it cannot part."""
-    r = eye - x.T @ x
-    s = x.T @ a @ x
     values = np.diag(s) / (1 - np.diag(r))
     off = s - np.diag(np.diag(s))
     delta = 2 * (np.sqrt((off * off).sum()) + np.abs(values).max() * np.sqrt((r * r).sum()))

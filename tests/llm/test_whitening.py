@@ -97,4 +97,6 @@ def test_eigenvectors_of_clustered_matrices(values):
 def test_the_covariance_does_not_depend_on_the_partitions(spark):
     df = table(spark, random_rows(200, 12))
     one, many = (wh.whiten(df.repartition(k)).orderBy("vec_id").collect() for k in (1, 7))
-    assert [(r.deviation, r.whitened, r.explained) for r in one] == [(r.deviation, r.whitened, r.explained) for r in many]
+    assert [(r.deviation, r.explained) for r in one] == [(r.deviation, r.explained) for r in many]
+    # the projection is a product per batch, so its last bits may differ
+    assert np.abs(np.array([r.whitened for r in one]) - np.array([r.whitened for r in many])).max() < 1e-13
