@@ -91,8 +91,11 @@ def test_unseen_ngrams_back_off(spark):
     lang = Q.Bands().languages.index("en") + 1
     for t in ("the cow sat", "zzz qqq", "on the house"):
         keys, n = Q.ngram_keys([t])
-        assert abs(model.bits(keys, lang).mean() - plain.bits(t)) < 0.01
+        asked = spark.createDataFrame([(lang, k) for k in keys.view(np.int64).tolist()], "lang int, key bigint")
+        bits = {r.key: r.bits for r in model.bits(asked).collect()}
+        assert abs(np.mean([bits[k] for k in keys.view(np.int64).tolist()]) - plain.bits(t)) < 0.0001
         assert n.tolist() == [len(t)]
+    assert model.bits(spark.createDataFrame([(lang + 1, 7)], "lang int, key bigint")).count() == 0
 
 
 def test_bands_keep_plain_text_and_reject_the_rest(spark):
@@ -129,10 +132,25 @@ def test_query_counts(spark):
     assert all((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_counts(text[r.doc_id]) for r in rows)
 
 
-def test_many_ngrams_do_not_share_values(spark):
-    """Each of a million n-grams has its own place."""
+def test_many_ngrams_do_not_share_values():
+    """Each of a million n-grams has its own place, whatever bucket it is in."""
     keys = np.unique(np.random.default_rng(7).integers(0, 1 << 63, 1_000_000).astype(np.uint64))
-    assert len({*Q.slots(keys, 1, 4).tolist(), *Q.slots(keys, 2, 4).tolist()}) == 2 * len(keys)
+    bits = np.arange(len(keys) * 3, dtype=np.float32).reshape(-1, 3)
+    look = Q.Lookup.of(np.repeat([1, 2], [len(keys), len(keys)]), np.concatenate([keys, keys[::-1]]), np.concatenate([bits, -bits[::-1]]))
+    assert (look.keys[1] == keys).all() and (look.bits[1] == bits).all() and (look.bits[2] == -bits).all()
+    share = np.bincount(Q._bucket(keys, 64).astype(int), minlength=64) / len(keys)
+    assert share.max() < 2 / 64
+
+
+def test_a_table_too_large_to_send_gives_the_same_scores(spark, odd_docs):
+    """By blocks and buckets, as beyond ``most_sent``: the same rows."""
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "lang", "text").limit(300)
+    odd = odd_docs.select("doc_id", "lang", "text")
+    for some in (docs, odd, docs.limit(0)):
+        one, other = (sorted(map(str, Q.judge(some, b).collect())) for b in (Q.Bands(), Q.Bands(most_sent=0, block_bytes=50_000)))
+        assert one == other
+    kept = [sorted(map(str, Q.kept_documents(odd_docs, b).collect())) for b in (Q.Bands(), Q.Bands(most_sent=0, block_bytes=50_000))]
+    assert kept[0] == kept[1]
 
 
 @pytest.mark.parametrize("share", [0.001, 0.004, 0.016, 0.05])
