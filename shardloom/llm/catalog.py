@@ -54,9 +54,11 @@ line AS (SELECT tgt.source, tgt.w, tgt.target, greatest(coalesce(n, 1), 1) AS n,
          FROM tgt LEFT JOIN quota USING (pos)),
 spot AS (SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY coalesce((doc_id % {mixing.BINS} + {mixing.BINS}) % {mixing.BINS}, 0),
          doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING), 0)::BIGINT - size AS org FROM doc),
-pick AS (SELECT s.doc_id, s.source, s.size, l.w, l.target, l.whole, l.upto, l.n, l.r::HUGEINT AS r, l.c, l.block, org, org // block AS k, (org + size) // block AS k2
+pick AS (SELECT s.doc_id, s.source, s.size, l.w, l.target, l.whole, l.upto, l.n, l.r, l.c, l.block, org, org // block AS k, (org + size) // block AS k2
          FROM spot s JOIN line l ON s.source IS NOT DISTINCT FROM l.source),
-done AS (SELECT *, (k * r + c) // n AS a, ((k + 1) * r + c) // n AS a1, (k2 * r + c) // n AS b, ((k2 + 1) * r + c) // n AS b1 FROM pick),
+-- blocks c, c + 1, ... of the line are picked, r of them, round its end: picked ones before k, k + 1, k2 and k2 + 1
+done AS (SELECT *, greatest(0, least(k, c + r) - c) + least(k, greatest(0, c + r - n)) AS a, greatest(0, least(k + 1, c + r) - c) + least(k + 1, greatest(0, c + r - n)) AS a1,
+  greatest(0, least(k2, c + r) - c) + least(k2, greatest(0, c + r - n)) AS b, greatest(0, least(k2 + 1, c + r) - c) + least(k2 + 1, greatest(0, c + r - n)) AS b1 FROM pick),
 res AS (SELECT *, (whole * size + block * (b - a) + (org + size - k2 * block) * (b1 - b) - (org - k * block) * (a1 - a))::BIGINT AS taken FROM done)
 SELECT doc_id, size, w AS source_size, target, taken,
   CASE WHEN taken > 0 THEN len(list_filter(upto, lambda u: u <= CASE WHEN whole > 0 THEN k ELSE a END))::INTEGER ELSE -1 END AS shard FROM res""")

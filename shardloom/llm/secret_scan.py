@@ -31,6 +31,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.parse import compute_once
 from .common import saved
 
 
@@ -237,16 +238,45 @@ def digest(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s.kind), s.start, s.end)), ",")
 
 
+def _marks(text: Column, rule: Rule, r: int) -> Column:
+    """For every character ``r + 1`` inside a match that counts, else 0."""
+    around = F.split(text, rule.pattern, -1)
+    inside = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    mark = lambda m: F.when(_counts(m, rule), r + 1).otherwise(0)
+    return F.flatten(F.zip_with(around, inside, lambda p, m: F.concat(
+        F.array_repeat(F.lit(0), F.length(p)), F.coalesce(F.array_repeat(mark(m), F.length(m)), F.array().cast("array<int>")))))
+
+
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with each secret in ``text`` replaced by ``[kind]``, rule by rule,
-    and ``n_chars`` (if there) counted anew where the text changed."""
+    """``docs`` with the union of the spans that ``scan`` finds replaced, and ``n_chars``
+    (if there) counted anew where the text changed.
+
+    Every rule is matched against the text as it came.  A run of characters that one or
+    more matches cover becomes ``[kind]``, of the first rule that covers its first
+    character; so a secret that several rules see in part goes whole.
+    """
     cols = docs.columns
     told, full = _with_candidates(docs, rules)
-    told = told.withColumn("__llm_text", F.col("text"))
-    text = F.col("__llm_text")
+    text = F.col("text")
+    found = F.filter(F.array(*[F.when(_admitted(r, full) & text.rlike(rule.pattern), F.lit(r)) for r, rule in enumerate(rules)]), lambda r: r.isNotNull())
+    told = compute_once(told.select(*cols, found.alias("__llm_found")))
+    # one rule: the text between its matches; several (few documents): marks of all of them, character by character
+    one = F.coalesce(*[F.when(F.get("__llm_found", F.lit(0)) == r, _without(text, rule)) for r, rule in enumerate(rules)])
+    none = F.array_repeat(F.lit(0), F.length(text))
+    marks = F.lit(None).cast("array<int>")
     for r, rule in enumerate(rules):
-        told = told.withColumn("__llm_text", F.when(_admitted(r, full) & text.rlike(rule.pattern), _without(text, rule)).otherwise(text))
-    changed = ~F.col("__llm_text").eqNullSafe(F.col("text"))
+        seen = F.when(F.array_contains("__llm_found", r), _marks(text, rule, r)).otherwise(none)
+        marks = seen if r == 0 else F.zip_with(marks, seen, lambda a, b: F.when(a == 0, b).otherwise(a))
+    several = F.size("__llm_found") > 1
+    told = compute_once(told.withColumns({"__llm_marks": F.when(several, marks),
+                                          "__llm_chars": F.when(several, F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)))}))
+    names = F.array(F.lit(""), *[F.lit(f"[{rule.kind}]") for rule in rules])
+    pieces = F.transform("__llm_marks", lambda m, i: F.when(m == 0, F.get("__llm_chars", i)).when(
+        (i == 0) | (F.get("__llm_marks", i - 1) == 0), F.get(names, m)).otherwise(""))
+    size = F.size("__llm_found")
+    clean = F.when(size > 1, F.array_join(pieces, "")).when(size == 1, one).otherwise(text)
+    told = compute_once(told.select(*cols, clean.alias("__llm_text")))
+    changed = ~F.col("__llm_text").eqNullSafe(text)
     out = {"text": F.col("__llm_text")}
     if "n_chars" in cols:
         out["n_chars"] = F.when(changed, F.length("__llm_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))

@@ -269,27 +269,29 @@ def simhash_groups(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE
 
 
 def fingerprint_groups(ids: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``(fp, component_id)`` for each distinct fingerprint of ``ids(doc_id, fp)``."""
+    """``(fp, component, component_id)`` for each distinct fingerprint of ``ids(doc_id, fp)``: its
+    group, named by a fingerprint, and the smallest id in it (which two groups share where rows
+    of one id hold unrelated texts)."""
     classes = saved(ids.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
     comp = connected_components(hamming_links(classes.select("fp"), radius))
     labelled = (classes.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
                 .select("fp", "rep", F.coalesce("component", "fp").alias("component")))
     labelled = saved(labelled, "simhash-labels")
     lowest = labelled.groupBy("component").agg(F.min("rep").alias("component_id"))
-    return labelled.join(lowest, "component").select("fp", "component_id")
+    return labelled.join(lowest, "component").select("fp", "component", "component_id")
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id
-    (a group without ids keeps one of its rows)."""
+    """``docs`` with one row of each group: that with the smallest id, rows without id
+    last, and the first of rows that share it.  Rows of one id whose texts are not near
+    are in groups of their own, and each group keeps one."""
     cols = docs.columns
-    marked = saved(with_fingerprint(docs, shingle=shingle), "simhash-docs")
-    ids = marked.select("doc_id", F.col("__llm_fp").alias("fp"))
-    groups = fingerprint_groups(ids, radius).withColumnRenamed("fp", "__llm_fp").withColumnRenamed("component_id", "__llm_comp")
-    won = marked.join(groups, "__llm_fp").where(F.col("doc_id").eqNullSafe(F.col("__llm_comp")))
-    # one row of an id that several rows carry; a group of id-less rows by its fingerprint
-    return (won.withColumn("__llm_idless", F.when(F.col("doc_id").isNull(), F.col("__llm_fp")))
-            .dropDuplicates(["doc_id", "__llm_idless"]).select(*cols))
+    marked = saved(with_fingerprint(docs, shingle=shingle).withColumn("__llm_uid", F.monotonically_increasing_id()), "simhash-docs")
+    ids = marked.select("doc_id", F.col("__llm_fp").alias("fp"), F.col("__llm_uid").alias("uid"))
+    groups = fingerprint_groups(ids, radius).select("fp", "component")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("idless"), "doc_id", "uid"))
+    won = ids.join(groups, "fp").groupBy("component").agg(first.alias("w")).select(F.col("w.uid").alias("__llm_uid"))
+    return marked.join(won, "__llm_uid", "left_semi").select(*cols)
 
 
 __all__ = ["fingerprint", "with_fingerprint", "bit_counts", "bit_parts", "near_share", "allocate", "plan_probes",

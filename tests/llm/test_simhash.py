@@ -131,3 +131,11 @@ def test_components_of_a_long_path(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(e, "src bigint, dst bigint")).collect()}
     assert got == {**{i: 0 for i in range(n + 1)}, 4000: 4000, 5000: 4000}
     assert connected_components(spark.range(0).select(F.col("id").alias("src"), F.col("id").alias("dst"))).count() == 0
+
+
+def test_unrelated_texts_of_one_id_all_stay(spark):
+    """Groups keep a row each, also where rows share an id; copies still go."""
+    text = lambda k: " ".join(f"w{k}_{i}" for i in range(60))
+    rows = [(5, text(1)), (5, text(2)), (9, text(3)), (7, text(1)), (5, text(1)), (None, text(4)), (None, text(4)), (None, text(2)), (None, text(5))]
+    kept = S.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted((str(i), t) for i, t in [rows[0], rows[1], rows[2], rows[5], rows[8]])
