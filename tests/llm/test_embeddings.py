@@ -1,5 +1,7 @@
 """Embedding near-duplicates against all pairs."""
 
+import os
+
 import numpy as np
 import pytest
 
@@ -89,10 +91,7 @@ def test_large_groups_of_near_copies_keep_their_links(spark):
     assert {got[i].component_id for i in range(10_000)} == {0}
 
 
-@pytest.mark.parametrize("name", ["check_s", "check_h"])
-def test_given_vectors_with_links(spark, name):
-    """Recall on given tables that do hold links between different vectors."""
-    vectors = spark.read.parquet(f"/root/testdata/{name}/embeddings.parquet")
+def _recall(vectors):
     rows = [(r.vec_id, r.embedding) for r in vectors.collect()]
     x = np.array([v for _, v in rows], float)
     x /= np.linalg.norm(x, axis=1)[:, None]
@@ -100,3 +99,25 @@ def test_given_vectors_with_links(spark, name):
     assert len(np.unique(x, axis=0)) == len(x) and true.sum() > 0
     got = {r.vec_id: r.n_links for r in E.embedding_groups(vectors).collect()}
     assert all(got[i] <= t for (i, _), t in zip(rows, true)) and sum(got.values()) >= 0.999 * true.sum()
+
+
+def test_vectors_with_links(spark):
+    """The given vectors with near copies of a tenth of them, some many times."""
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    rng = np.random.default_rng(9)
+    at = np.concatenate([rng.integers(0, len(rows), 150), np.repeat(rng.integers(0, len(rows), 5), 40)])
+    near = []
+    for k, i in enumerate(at):
+        v = np.array(rows[i][1], float)
+        w = rng.standard_normal(len(v))
+        near.append((10**6 + k, (v + w * 0.3 * np.linalg.norm(v) / np.linalg.norm(w)).tolist()))
+    _recall(spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows + near], "vec_id bigint, embedding array<double>"))
+
+
+@pytest.mark.parametrize("name", ["check_s", "check_h"])
+def test_given_vectors_with_links(spark, name):
+    """Recall on larger tables that hold links between different vectors, where they are given."""
+    path = f"/root/testdata/{name}/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip(f"{path} is not given here")
+    _recall(spark.read.parquet(path))

@@ -60,7 +60,7 @@ def test_query_equals_its_sql(spark, name):
     from shardloom.llm.catalog import LLM_ORACLE, LLM_QUERIES
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_MID}/{t}.parquet')")
     cur = con.execute(LLM_ORACLE[name])
     names = [d[0] for d in cur.description]
@@ -69,6 +69,20 @@ def test_query_equals_its_sql(spark, name):
     assert sorted(map(str, cur.fetchall())) == sorted(str(tuple(r)) for r in got.select(*names).collect())
 
 
+# Queries that SQL does not state, and the test that holds each against a plain version.
+PLAIN = {
+    "op1_embedding_dedup": "test_embeddings.py", "op3_simhash_dedup": "test_simhash.py", "op4_quality_perplexity": "test_quality.py",
+    "op5_url_rules": "test_urls.py", "op7_byte_bpe": "test_bpe.py", "op10_toxicity_fm": "test_toxicity.py", "op12_whitening": "test_whitening.py",
+}
+
+
+def test_every_query_is_stated_or_held_against_a_plain_version():
+    from shardloom.llm.catalog import LLM_ORACLE, LLM_QUERIES
+
+    assert set(LLM_QUERIES) == set(LLM_ORACLE) | set(PLAIN)
+    assert all(os.path.exists(os.path.join(os.path.dirname(__file__), f)) for f in PLAIN.values())
+
+
 def test_the_library_works_without_the_subpackage(tmp_path):
     for name in ("__spark_entry__.py", "shardloom"):
         os.symlink(os.path.join(ROOT, name), tmp_path / name)
