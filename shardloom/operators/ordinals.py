@@ -14,13 +14,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_ordinals(lines: DataFrame, value_col: str = "value", name: str = "_ord") -> DataFrame:
-    """``lines`` (straight from a scan) with the ordinal of each among equal values of ``value_col``.
+def with_ordinals(lines: DataFrame, *value_cols: str, name: str = "_ord") -> DataFrame:
+    """``lines`` (straight from a scan) with the ordinal of each among equal values of
+    ``value_cols`` (default: ``value``).
 
     A null value is equal to other nulls; an empty input gives no rows.
     """
     cols = lines.columns
-    digest = F.coalesce(F.unhex(F.md5(F.col(value_col))), F.lit(b""))
+    told = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in value_cols or ("value",)]
+    digest = F.unhex(F.md5(F.concat(*told)))
     marked = lines.withColumns({"_h": digest, "_split": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
     counts = marked.groupBy("_h", "_split").agg(F.count(F.lit(1)).alias("_n"))
     splits = Window.partitionBy("_h")                   # one row a split that holds the line

@@ -18,6 +18,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,6 +82,78 @@ def default_id_mode(tspec: TypeSpec) -> str:
     return "key" if tspec.key_fields else "position"
 
 
+# --- the rules of a line, as expressions over ``_line``, its split ``_f`` and its number ``_pos`` ---
+
+def _status(t: TypeSpec) -> tuple[Column, Column]:
+    """Disposition and reason of a line of the type."""
+    f, value, n = F.col("_f"), F.col("_line"), len(t.field_names)
+    size, ri = F.size(f), t.routing_index
+    none = F.lit(None).cast("string")
+    status = F.when(value == "", F.lit(REJECTED))
+    reason = F.when(value == "", F.lit(REASON_EMPTY))
+    if ri is not None:
+        null_routing = (size > ri) & F.get(f, ri).isin(*NULL_TOKENS)
+        status = status.when(null_routing, F.lit(DROPPED))
+        reason = reason.when(null_routing, none)
+    status = status.when(size != n, F.lit(REJECTED))
+    reason = reason.when(size != n, F.lit(REASON_ARITY))
+    for name, m in t.field_mapping().items():
+        if m.data_type != "string":
+            raw = _value(t, name)
+            bad = raw.isNotNull() & ~coerces(raw, m.data_type)
+            status = status.when(bad, F.lit(REJECTED))
+            reason = reason.when(bad, F.lit(f"{REASON_COERCION}:{name}"))
+    return status.otherwise(F.lit(OK)), reason.otherwise(none)
+
+
+def _raw(t: TypeSpec, name: str) -> Column:
+    return F.get(F.col("_f"), t.index_of(name))
+
+
+def _value(t: TypeSpec, name: str) -> Column:
+    return field_value(_raw(t, name))
+
+
+def _doc_id(t: TypeSpec, id_mode: str) -> Column:
+    if id_mode == "position":
+        return hash_id(F.lit(t.name), F.col("_pos").cast("string"))
+    if id_mode == "content":
+        return hash_id(F.lit(t.name), F.col("_line"), F.col("_pos").cast("string"))
+    if id_mode == "random":
+        return random_id()
+    if not t.key_fields:
+        raise ValueError(f"id_mode='key' needs key_fields on type {t.name!r}")
+    return hash_id(F.lit(t.name), *[_raw(t, k) for k in t.key_fields])
+
+
+def _shard(t: TypeSpec, ispec: IndexSpec) -> Column:
+    """From the raw routing token, or from ``_id``."""
+    if t.routing_field is not None:
+        return routed_shard(_raw(t, t.routing_field), ispec.num_shards)
+    return random_shard(ispec.num_shards) if ispec.unrouted == "random" else unrouted_shard(F.col("_id"), ispec.num_shards)
+
+
+def _index(t: TypeSpec, ispec: IndexSpec) -> Column:
+    return index_name(ispec.name, *[_raw(t, p) for p in ispec.partition_fields or ()])
+
+
+def _presence(t: TypeSpec, value=None) -> list[Column]:
+    """The presence words; ``value`` gives the column of a field (by default its own)."""
+    value, words = value or F.col, []
+    for j, wname in enumerate(present_columns(t)):
+        chunk = t.field_names[j * PRESENT_BITS:(j + 1) * PRESENT_BITS]
+        bits = [F.when(value(c).isNotNull(), F.lit(1 << k)).otherwise(F.lit(0)).cast("bigint") for k, c in enumerate(chunk)]
+        words.append(reduce(lambda a, b: a + b, bits).alias(wname))
+    return words
+
+
+def _id_mode(t: TypeSpec, id_mode: str | None) -> str:
+    id_mode = id_mode or default_id_mode(t)
+    if id_mode not in ID_MODES:
+        raise ValueError(f"unknown id_mode {id_mode!r}")
+    return id_mode
+
+
 def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
                 id_mode: str | None = None, value_col: str = "value") -> DataFrame:
     """One row per line: ``_type, _line, _status, _reason`` + normalised fields +
@@ -90,86 +164,72 @@ def parse_lines(lines: DataFrame, tspec: TypeSpec, ispec: IndexSpec, *,
     ``id_mode`` is ``position`` (the id is the line's position in its scan
     split) or ``content`` (copies of a line are counted per split).
     """
-    id_mode = id_mode or default_id_mode(tspec)
-    if id_mode not in ID_MODES:
-        raise ValueError(f"unknown id_mode {id_mode!r}")
+    id_mode = _id_mode(tspec, id_mode)
     names = tspec.field_names
-    n = len(names)
     cols = [F.lit(tspec.name).alias("_type"), F.col(value_col).cast("string").alias("_line")]
     numbered = id_mode in ("position", "content")
     if id_mode == "position":
         cols.append(F.monotonically_increasing_id().alias("_pos"))
     elif id_mode == "content":
-        lines = with_ordinals(lines.select(value_col), value_col, "_pos")
+        lines = with_ordinals(lines.select(value_col), value_col, name="_pos")
         cols.append(F.col("_pos"))
     # the split is computed once a line; all else is plain projection over it,
     # so a query that needs only index and shard makes no ids and no fields
     df = compute_once(lines.select(*cols).withColumn("_f", split_escaped("_line", tspec.field_sep)))
 
-    f = F.col("_f")
-    size = F.size(f)
-    value = F.col("_line")
-    ri = tspec.routing_index
-    status = F.when(value == "", F.lit(REJECTED))
-    reason = F.when(value == "", F.lit(REASON_EMPTY))
-    if ri is not None:
-        null_routing = (size > ri) & F.get(f, ri).isin(*NULL_TOKENS)
-        status = status.when(null_routing, F.lit(DROPPED))
-        reason = reason.when(null_routing, F.lit(None).cast("string"))
-    status = status.when(size != n, F.lit(REJECTED))
-    reason = reason.when(size != n, F.lit(REASON_ARITY))
-
-    field_cols = [field_value(F.get(f, i)).alias(name) for i, name in enumerate(names)]
-    explicit = tspec.field_mapping()
-    coercible = [(name, m.data_type) for name, m in explicit.items() if m.data_type != "string"]
-    if coercible:
-        for name, data_type in coercible:
-            raw = field_value(F.get(f, tspec.index_of(name)))
-            bad = raw.isNotNull() & ~coerces(raw, data_type)
-            status = status.when(bad, F.lit(REJECTED))
-            reason = reason.when(bad, F.lit(f"{REASON_COERCION}:{name}"))
-    status = status.otherwise(F.lit(OK))
-    reason = reason.otherwise(F.lit(None).cast("string"))
-
+    status, reason = _status(tspec)
+    field_cols = [_value(tspec, name).alias(name) for name in names]
     pf = list(ispec.partition_fields or ())
-    part_cols = [F.get(f, tspec.index_of(p)).alias(partition_column(p)) for p in pf]
+    part_cols = [_raw(tspec, p).alias(partition_column(p)) for p in pf]
     keep = ["_line"] + ["_pos"] * numbered
     df = df.select("_type", *keep, status.alias("_status"),
                    reason.alias("_reason"), "_f", *field_cols, *part_cols)
-
     ok = F.col("_status") == OK
-    if id_mode == "position":
-        doc_id = hash_id(F.lit(tspec.name), F.col("_pos").cast("string"))
-    elif id_mode == "key":
-        if not tspec.key_fields:
-            raise ValueError(f"id_mode='key' needs key_fields on type {tspec.name!r}")
-        doc_id = hash_id(F.lit(tspec.name), *[F.get(f, tspec.index_of(k)) for k in tspec.key_fields])
-    elif id_mode == "content":
-        doc_id = hash_id(F.lit(tspec.name), F.col("_line"), F.col("_pos").cast("string"))
-    else:
-        doc_id = random_id()
-    df = df.withColumn("_id", F.when(ok, doc_id))
-
-    if ri is not None:
-        shard = routed_shard(F.get(f, ri), ispec.num_shards)
-    elif ispec.unrouted == "random":
-        shard = random_shard(ispec.num_shards)
-    else:
-        shard = unrouted_shard(F.col("_id"), ispec.num_shards)
+    df = df.withColumn("_id", F.when(ok, _doc_id(tspec, id_mode)))
     index = index_name(ispec.name, *[F.col(partition_column(p)) for p in pf])
-    df = df.withColumn("_index", F.when(ok, index)).withColumn("_shard", F.when(ok, shard))
-
-    words = []
-    for j, wname in enumerate(present_columns(tspec)):
-        chunk = names[j * PRESENT_BITS:(j + 1) * PRESENT_BITS]
-        bits = [F.when(F.col(c).isNotNull(), F.lit(1 << k)).otherwise(F.lit(0)).cast("bigint")
-                for k, c in enumerate(chunk)]
-        total = bits[0]
-        for b in bits[1:]:
-            total = total + b
-        words.append(total.alias(wname))
+    df = df.withColumn("_index", F.when(ok, index)).withColumn("_shard", F.when(ok, _shard(tspec, ispec)))
     return df.select("_type", "_line", "_status", "_reason", *names,
-                     *[partition_column(p) for p in pf], "_index", "_shard", "_id", *words)
+                     *[partition_column(p) for p in pf], "_index", "_shard", "_id", *_presence(tspec))
+
+
+def build_tagged_rows(tagged: DataFrame, ispec: IndexSpec, *, mode: str = "failfast", id_mode: str | None = None) -> DataFrame:
+    """``build_rows`` of lines of several types in one pass: ``tagged(type, value)`` from one
+    scan, every rule a branch of literals for the line's type.  The columns are those of
+    the types' own rows, null for the other types."""
+    modes = {t.name: _id_mode(t, id_mode) for t in ispec.types}
+    cols = [F.col("type").alias("_type"), F.col("value").cast("string").alias("_line")]
+    if "content" in modes.values():
+        tagged = with_ordinals(tagged.select("type", "value"), "type", "value", name="_pos")
+        cols.append(F.col("_pos"))
+    elif "position" in modes.values():
+        cols.append(F.monotonically_increasing_id().alias("_pos"))
+
+    def by_type(make, types=ispec.types) -> Column:
+        out = F
+        for t in types:
+            out = out.when(F.col("_type") == t.name, make(t))
+        return out
+
+    df = compute_once(tagged.select(*cols).withColumn("_f", by_type(lambda t: split_escaped("_line", t.field_sep))))
+    df = df.withColumns({"_status": by_type(lambda t: _status(t)[0]), "_reason": by_type(lambda t: _status(t)[1])})
+    ok = F.col("_status") == OK
+    df = df.withColumn("_id", F.when(ok, by_type(lambda t: _doc_id(t, modes[t.name]))))
+    df = compute_once(df)
+    is_rej = F.col("_status") == REJECTED
+    keep = ok | is_rej if mode == "quarantine" else _fail_on_reject(mode)
+    doc = by_type(lambda t: F.to_json(F.struct(*[_value(t, n).alias(n) for n in t.field_names], F.col("_id"))))
+    widest = max((present_columns(t) for t in ispec.types), key=len)
+    words = [by_type(lambda t, w=w: next((c for c, n in zip(_presence(t, lambda f: _value(t, f)), present_columns(t)) if n == w), F.lit(None).cast("bigint"))).alias(w)
+             for w in widest]
+    typed = []
+    for t in ispec.types:
+        fields = [_value(t, n).try_cast(DATA_TYPES[d]).alias(typed_field_name(n, d)) for n, d in typed_fields(t)]
+        typed += [F.when(ok & (F.col("_type") == t.name), F.struct(*fields)).alias(typed_column_name(t))] if fields else []
+    return df.filter(keep).select(
+        F.when(ok, by_type(lambda t: _index(t, ispec))).alias("index"), F.when(ok, by_type(lambda t: _shard(t, ispec))).alias("shard"),
+        F.col("_type").alias("type"), "_id", F.when(ok, doc).alias("doc"),
+        *[by_type(lambda t, p=p: _raw(t, p)).alias(p) for p in ispec.partition_fields or ()], *words, *typed,
+        F.when(is_rej, F.col("_line")).alias("value"), F.when(is_rej, F.col("_reason")).alias("reason"))
 
 
 def compute_once(df: DataFrame) -> DataFrame:

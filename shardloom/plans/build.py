@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.duplicates import duplicate_ids, refuse_duplicates
 from ..operators.grid import shard_grid
 from ..operators.mapping import merge_mapping, presence_stats
-from ..operators.parse import build_rows, default_id_mode, parse_lines
+from ..operators.parse import build_rows, build_tagged_rows, default_id_mode, parse_lines
 from ..operators.postings import postings_from_documents, term_stats
 from ..session import build_conf
 from ..sinks.documents import by_index, claim_build, write_documents, write_index_table
 from ..sinks.layout import DOCUMENTS, MAPPING, POSTINGS, REJECTED_COLUMNS, SCHEMAS, SHARDS, STATS, TERMS, build_path, ddl, quoted
 from ..sinks.manifest import append_manifest, index_manifest, publication, shard_manifest
-from ..sources.lines import read_index_inputs
+from ..sources.lines import read_index_inputs, read_index_lines, shared_scan
 from ..spec import IndexSpec
 
 
@@ -58,9 +58,14 @@ def union_rows(inputs: dict[str, DataFrame], ispec: IndexSpec, *, mode: str = "f
 def build_index(spark: SparkSession, ispec: IndexSpec, out: str, *,
                 inputs: dict[str, DataFrame] | None = None, mode: str = "failfast",
                 id_mode: str | None = None, build_id: str | None = None,
-                created_at: _dt.datetime | None = None, postings: bool = False) -> BuildResult:
+                created_at: _dt.datetime | None = None, postings: bool = False, scan: str = "auto") -> BuildResult:
     """Build every index of ``ispec`` into ``out``.
 
+    Lines are read from the types' input paths (or given as ``inputs``).  Several types
+    are read by one scan where their paths tell them apart (a file, or its parent
+    folder, is a type's path; any other file fails the build); ``scan="by_type"`` reads
+    each type on its own, as is done for patterns and differing record delimiters.
+
     With ``postings=True`` the index content is written too: the
     ``postings`` table (keyword and analysed terms with their frequency per
     document) and the ``terms`` dictionary, both by index.
@@ -70,14 +75,19 @@ def build_index(spark: SparkSession, ispec: IndexSpec, out: str, *,
     ``quarantine`` mode ``duplicates`` of the result lists them.
     """
     build_id = build_id or _uuid.uuid4().hex
-    if inputs is None:
+    if scan not in ("auto", "by_type"):
+        raise ValueError("scan must be 'auto' or 'by_type'")
+    if inputs is None and not (scan == "auto" and shared_scan(ispec)):
         inputs = read_index_inputs(spark, ispec)
     with build_conf(spark):
         return _build(spark, ispec, out, inputs, mode, id_mode, build_id, created_at, postings)
 
 
 def _build(spark, ispec, out, inputs, mode, id_mode, build_id, created_at, postings) -> BuildResult:
-    rows = union_rows(inputs, ispec, mode=mode, id_mode=id_mode)
+    if inputs is None:
+        rows = build_tagged_rows(read_index_lines(spark, ispec), ispec, mode=mode, id_mode=id_mode)
+    else:
+        rows = union_rows(inputs, ispec, mode=mode, id_mode=id_mode)
     claim_build(spark, out, build_id)
     write_documents(rows, out, build_id)
 

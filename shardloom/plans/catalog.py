@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,11 +114,32 @@ def filter_long_lines(spark, sf):
                     F.max(F.octet_length("value")).alias("max_bytes"))
 
 
-@query("union_types", f"""SELECT index, shard, type, count(*) AS doc_count FROM ({O.union_docs_sql(UNI)})
-GROUP BY index, shard, type""")
+def _both_sql(ispec):
+    ev, od = (O.docs_sql(t, ispec) for t in ispec.types)
+    return f"""SELECT _index AS index, _shard AS shard, _type AS type, _id, uid AS routing, event_type AS text FROM ({ev})
+UNION ALL SELECT _index AS index, _shard AS shard, _type AS type, _id, custkey AS routing, priority AS text FROM ({od})"""
+
+
+def _both(docs):
+    one = lambda a, b: F.coalesce(F.get_json_object("doc", f"$.{a}"), F.get_json_object("doc", f"$.{b}"))
+    return docs.select("index", "shard", "type", "_id", one("uid", "custkey").alias("routing"), one("event_type", "priority").alias("text"))
+
+
+@query("union_types", _both_sql(UNI))
 def union_types(spark, sf):
-    """Events and orders, each with its own separator and fields, in one index."""
-    return agg.shard_counts(_docs(spark, sf, UNI))
+    """Events and orders, each with its own separator and fields, in one index;
+    ids and fields of both."""
+    return _both(_docs(spark, sf, UNI))
+
+
+@query("build_shared_scan", _both_sql(UNI))
+def build_shared_scan(spark, sf):
+    """S2 in the build: one scan over the folders of both types, dispatched line by line."""
+    base = scratch_path(spark, "tree")
+    for t in UNI.types:
+        ln.write_lines(fx.FEEDS[t.name](spark, sf), f"{base}/{t.name}")
+    ispec = replace(UNI, types=tuple(replace(t, input_path=f"{base}/{t.name}") for t in UNI.types))
+    return _both(build_index(spark, ispec, scratch_path(spark, "shared"), mode="quarantine", created_at=CREATED_AT).documents)
 
 
 # --- projections and filters -------------------------------------------------

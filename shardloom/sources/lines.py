@@ -69,6 +69,26 @@ def read_typed(spark: SparkSession, type_paths: dict[str, str], line_sep: str |
         "value")
 
 
+def shared_scan(ispec: IndexSpec) -> bool:
+    """Whether one scan can read every type: several types, one record delimiter, and paths
+    that tell them apart (no patterns, none twice)."""
+    paths = [t.input_path for t in ispec.types]
+    return (len(paths) > 1 and None not in paths and len({_bare(p) for p in paths}) == len(paths)
+            and len({t.record_sep for t in ispec.types}) == 1 and not any(set(p) & set("*?[{") for p in paths))
+
+
+def read_index_lines(spark: SparkSession, ispec: IndexSpec, line_sep: str | None = None) -> DataFrame:
+    """``(type, value)`` of every type's lines from one scan, whose tasks are packed by
+    size across the types; over-long lines left out by their type's limit."""
+    sep = ispec.types[0].record_sep if ispec.types[0].record_sep is not None else line_sep
+    tagged = read_typed(spark, {t.name: t.input_path for t in ispec.types}, sep)
+    for t in ispec.types:
+        if t.max_line_bytes is not None:
+            room = F.octet_length("value") + F.lit(len((sep or "\n").encode("utf-8"))) < F.lit(t.max_line_bytes)
+            tagged = tagged.filter((F.col("type") != t.name) | room)
+    return tagged
+
+
 def read_index_inputs(spark: SparkSession, ispec: IndexSpec, line_sep: str | None = None) -> dict[str, DataFrame]:
     """One scan per type (its separator and fields are literals in its branch)."""
     out = {}
