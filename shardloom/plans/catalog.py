@@ -25,6 +25,7 @@ from ..operators import mapping as mp
 from ..operators import parse as ps
 from ..operators import postings as po
 from ..session import scratch_path
+from ..sinks import dictionary as dc
 from ..sinks import documents as sk
 from ..sources import fixtures as fx
 from ..sources import lines as ln
@@ -589,10 +590,10 @@ _STOP = ", ".join(f"'{w}'" for w in (
     "they this to was will with").split())
 
 
-def _text_postings_sql():
+def _text_postings_sql(lines=None):
     return f"""SELECT _index AS index, _shard AS shard, _type AS type, 'text' AS field, term, _id, count(*) AS tf FROM (
 SELECT _index, _shard, _type, _id, unnest({O.tokens_sql('text')}) AS term
-FROM ({O.docs_sql(fx.DOC_TYPE, DOCS)}))
+FROM ({O.docs_sql(fx.DOC_TYPE, DOCS, lines)}))
 WHERE term <> '' AND term NOT IN ({_STOP})
 GROUP BY _index, _shard, _type, term, _id"""
 
@@ -619,10 +620,10 @@ def text_term_stats(spark, sf):
 
 # --- sinks, manifests, publish ----------------------------------------------------------
 
-def _build_postings_sql():
-    return f"""SELECT index, field, term, count(*) AS doc_freq, CAST(sum(tf) AS BIGINT) AS total_freq FROM (
-SELECT index, field, term, 1 AS tf FROM ({_keyword_sql(fx.DOC_TYPE, DOCS)})
-UNION ALL SELECT index, field, term, tf FROM ({_text_postings_sql()})) GROUP BY index, field, term"""
+def _build_postings_sql(by="index, field, term", lines=None):
+    return f"""SELECT {by}, count(*) AS doc_freq, CAST(sum(tf) AS BIGINT) AS total_freq FROM (
+SELECT index, field, term, 1 AS tf FROM ({_keyword_sql(fx.DOC_TYPE, DOCS, lines)})
+UNION ALL SELECT index, field, term, tf FROM ({_text_postings_sql(lines)})) GROUP BY {by}"""
 
 CREATED_AT = _dt.datetime(2024, 2, 1)
 
@@ -677,6 +678,27 @@ def build_postings(spark, sf):
     return res.terms.select("index", "field", "term", "doc_freq", "total_freq")
 
 
+_LONG = 1000          # characters of the texts that the rebuilt index keeps
+
+
+@query("active_terms", _build_postings_sql("field, term", f"""SELECT l.value FROM ({O.DOCS_LINES}) l
+  JOIN documents d ON l.src_key = d.doc_id WHERE d.lang <> 'de' OR d.n_chars >= {_LONG}"""))
+def active_terms(spark, sf):
+    """L4 kept current: the dictionary of all languages after one language's index is
+    replaced by a build of its long texts, from the counts that came and went."""
+    live = scratch_path(spark, "terms")
+    d = fx.table(spark, sf, "documents")
+    german = d.where(f"lang = 'de' and n_chars >= {_LONG}").select(F.col("doc_id").cast("string").alias("k"))
+    key = F.substring_index("value", ",", 1)
+    feeds = (fx.docs_lines(spark, sf), fx.docs_lines(spark, sf).join(german, key == F.col("k"), "left_semi"))
+    for lines in feeds:
+        out = scratch_path(spark, "terms-build")
+        build_index(spark, DOCS, out, inputs={"doc": lines}, mode="quarantine", created_at=CREATED_AT, postings=True)
+        sk.publish(spark, out, live)
+        got = dc.active_terms(spark, live)
+    return got
+
+
 @query("index_manifest", _manifest_sql(MAPPED))
 def index_manifest(spark, sf):
     """K2: one row per index, mappings of every type seen in any shard."""

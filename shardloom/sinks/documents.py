@@ -36,6 +36,7 @@ from ..operators.parse import typed_column_name, typed_field_name, typed_fields
 from ..session import scratch_path, table_exists
 from ..spec import DATA_TYPES, TypeSpec
 from . import files
+from .dictionary import has_dictionary, refresh_terms
 from .layout import (DOCUMENTS, MANIFEST, MAPPING, POSTINGS, REJECTED_COLUMNS, SCHEMAS, SHARDS, STATS, TERMS,
                      build_path, ddl, quoted, table_path)
 from .manifest import (PUBLISHED, REMOVED, Log, commit, current_manifest, current_rows, kept_builds, log_rows, publications,
@@ -260,8 +261,11 @@ def remove_replaced(spark: SparkSession, out: str, keep: int = 1, unlisted_befor
     The removal is committed to the log before a file goes: a publisher that would roll
     back to such a build at the same time loses the number, reads the log again and copies
     the build anew, into another folder.  A folder goes by one call to the file system.
-    Rejected lines stay.
+    Rejected lines stay.  A term dictionary of the folder is brought up to date first, as it
+    follows by taking off the counts of replaced builds.
     """
+    if has_dictionary(spark, out):
+        refresh_terms(spark, out)
     doomed: list[DataFrame] = []
 
     def rows_at(log: Log) -> DataFrame | None:
