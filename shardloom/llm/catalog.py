@@ -160,12 +160,15 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op6_chat_rotation", f"""
-WITH t AS (SELECT conv_id, turn, regexp_replace(replace(coalesce(role, 'unknown'), '<|', '< |'), '\\s', '_', 'g') AS speaker,
-           replace(coalesce(text, ''), '<|', '< |') AS text, floor(turn / {chat_rotation.TURNS})::BIGINT AS part FROM conversations),
-r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn, speaker, text) - 1 AS rn FROM t),
-p AS (SELECT DISTINCT conv_id, speaker AS me FROM t WHERE speaker <> 'system'),
+WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text,
+           floor(turn / {chat_rotation.TURNS})::BIGINT AS part FROM conversations),
+who AS (SELECT *, regexp_replace(replace(replace(role, '<|', '< |'), '#', '##'), '\\s', '_', 'g') AS shown FROM (SELECT DISTINCT conv_id, role FROM t)),
+name AS (SELECT conv_id, role, concat(shown, CASE WHEN k > 1 THEN concat('#', k) ELSE '' END) AS speaker
+         FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, shown ORDER BY role) AS k FROM who)),
+r AS (SELECT t.*, speaker, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn, role, text) - 1 AS rn FROM t JOIN name USING (conv_id, role)),
+p AS (SELECT conv_id, speaker AS me FROM name WHERE role <> 'system'),
 s AS (SELECT conv_id, part, rn // {chat_rotation.ROWS} AS piece, rn, me, speaker, concat('{chat_rotation.START}',
-      CASE WHEN speaker = me THEN 'assistant' WHEN speaker = 'system' THEN 'system' ELSE concat('user name=', speaker) END, chr(10)) AS pre, text
+      CASE WHEN speaker = me THEN 'assistant' WHEN role = 'system' THEN 'system' ELSE concat('user name=', speaker) END, chr(10)) AS pre, text
       FROM r JOIN p USING (conv_id)),
 g AS (SELECT *, concat(pre, text, '{chat_rotation.END}', chr(10)) AS seg FROM s),
 o AS (SELECT *, sum(length(seg)) OVER (PARTITION BY conv_id, part, piece, me ORDER BY rn) - length(seg) AS org FROM g)

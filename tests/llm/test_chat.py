@@ -1,5 +1,6 @@
 """Chat rotation against a plain rendering."""
 
+import re
 from collections import defaultdict
 
 from shardloom.llm import chat_rotation as C
@@ -11,27 +12,34 @@ def plain(rows, turns=C.TURNS, size=C.ROWS):
     safe = lambda t: t.replace("<|", "< |")
     convs = defaultdict(list)
     for i, (c, n, role, text, *_) in enumerate(rows):
+        role = "unknown" if role is None else role
         key = c if c is not None else ("alone", n, role, text)
-        convs[key].append((c, n, "_".join(safe("unknown" if role is None else role).split(" ")), safe(text or "")))
+        convs[key].append((c, n, role, safe(text or "")))
     out = set()
     for said in convs.values():
-        cast = {s for _, _, s, _ in said if s != "system"}
+        name, seen = {}, defaultdict(int)
+        for role in sorted({r for _, _, r, _ in said}, key=lambda r: r.encode()):
+            shown = re.sub(r"[ \t\n\v\f\r]", "_", safe(role).replace("#", "##"))
+            seen[shown] += 1
+            name[role] = shown + (f"#{seen[shown]}" if seen[shown] > 1 else "")
+        cast = {r for _, _, r, _ in said if r != "system"}
         parts = defaultdict(list)
         for c, n, s, t in said:
-            parts[(c, None if n is None else n // turns)].append((n, s, t))
+            parts[(c, 0 if turns is None else None if n is None else n // turns)].append((n, s, t))
         for (c, part), own in parts.items():
             own.sort(key=lambda x: (x[0] is None, x[0] or 0, x[1].encode(), x[2].encode()))
-            for piece in range(0, len(own), size):
+            size_ = size or len(own)
+            for piece in range(0, len(own), size_):
                 for me in cast:
                     text, mask = "", []
-                    for _, s, t in own[piece:piece + size]:
-                        text += C.START + ("assistant" if s == me else "system" if s == "system" else "user name=" + s) + "\n"
+                    for _, s, t in own[piece:piece + size_]:
+                        text += C.START + ("assistant" if s == me else "system" if s == "system" else "user name=" + name[s]) + "\n"
                         start = len(text)
                         text += t + C.END
                         if s == me:
                             mask.append((start, len(text)))
                         text += "\n"
-                    out.add((c, part, piece // size, me, len(own[piece:piece + size]), text, tuple(mask)))
+                    out.add((c, part, piece // size_, name[me], len(own[piece:piece + size_]), text, tuple(mask)))
     return out
 
 
@@ -57,3 +65,18 @@ def test_a_hot_conversation_is_cut(spark):
     rows = [(9, i // 3, f"s{i % 4}", f"t{i % 50}", 0, 0, "") for i in range(3000)]
     got = told(C.rotations(spark.createDataFrame(rows, TURNS), rows=64))
     assert got == plain(rows, size=64) and max(r[4] for r in got) <= 64
+
+
+def test_speakers_that_look_alike_stay_apart(spark):
+    """Two perspectives, each with its own turns in the mask."""
+    rows = [(1, 0, "A B", "one", 0, 0, ""), (1, 1, "A_B", "two", 0, 0, ""), (1, 2, "A\tB", "three", 0, 0, ""), (1, 3, "A_B#2", "four", 0, 0, ""), (1, 4, "system", "s", 0, 0, "")]
+    got = told(C.rotations(spark.createDataFrame(rows, TURNS)))
+    assert got == plain(rows) and {r[3] for r in got} == {"A_B", "A_B#2", "A_B#3", "A_B##2"}
+    said = {r[3]: [r[5][a:b] for a, b in r[6]] for r in got}
+    assert sorted(x for spans in said.values() for x in spans) == sorted(f"{x}<|im_end|>" for x in ("one", "two", "three", "four"))
+
+
+def test_a_dialogue_is_rendered_whole_on_demand(spark):
+    rows = [(9, i, f"s{i % 3}", f"t{i}", 0, 0, "") for i in range(700)] + [(8, None, "x", "no number", 0, 0, ""), (8, 1000, "y", "late", 0, 0, "")]
+    got = told(C.rotations(spark.createDataFrame(rows, TURNS), turns=None, rows=None))
+    assert got == plain(rows, None, None) and {r[4] for r in got} == {700, 2} and len(got) == 5
