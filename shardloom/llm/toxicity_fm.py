@@ -8,7 +8,10 @@ can count although neither does alone.
 Training takes a bounded sample of the labelled rows (``rows`` expected, chosen
 by a hash of ``doc_id``); buckets are ranked by chi-square on that sample and
 the best ``terms`` of those beyond ``chance`` enter the machine, which Spark
-ML fits.  Scoring reads every
+ML fits.  A word that says nothing alone may say much beside another: among the rows
+that hold one of the best ``anchors`` buckets, every other bucket is tested for a
+difference it makes there, and the best ``partners`` of those beyond ``pair_chance``
+(which many tests need) enter too.  Scoring reads every
 whole text; a text's cost is its number of words.
 
 Defined results: a null or empty text has no terms and gets the score of the
@@ -43,6 +46,9 @@ class Training:
     terms: int = 1024         # buckets that enter the machine at most
     chance: float = 15.0      # chi-square that a bucket has at least
     least: int = 5            # training texts that a bucket is in at least
+    anchors: int = 64         # buckets that partners are looked for beside
+    partners: int = 128       # further buckets that enter for their part in a pair, at most
+    pair_chance: float = 40.0
     factors: int = 4
     start: float = 0.01       # spread of the factors at the start
     steps: int = 60
@@ -97,6 +103,38 @@ def training_rows(docs: DataFrame, labels: DataFrame, training: Training) -> Dat
     return saved(picked.select("text", "toxic").mapInArrow(run, "toxic int, buckets array<int>"), "toxic-training")
 
 
+def partners(rows: DataFrame, best: list[int], training: Training) -> list[int]:
+    """Buckets outside ``best`` that tell toxic from other rows among those that hold one of
+    its first ``anchors``, by chi-square of the pair; at most ``partners``."""
+    anchors = np.array(best[:training.anchors], np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, toxic = [], []
+            for t, found in zip(b.column(0).to_pylist(), b.column(1)):
+                own = np.asarray(found.values, np.int64)
+                for a in np.flatnonzero(np.isin(anchors, own)).tolist():
+                    keys.append(own | a << HASH_BITS)
+                    toxic.append(np.full(len(own), t, np.int64))
+            if keys:
+                pair, at = np.unique(np.concatenate(keys), return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(np.bincount(at)), pa.array(np.bincount(at, np.concatenate(toxic)).astype(np.int64))],
+                                                 names=["pair", "c", "t"])
+
+    told = (rows.select("toxic", "buckets").mapInArrow(run, "pair bigint, c bigint, t bigint").groupBy("pair").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
+            .where(F.col("c") >= training.least)
+            .select(F.shiftright("pair", HASH_BITS).cast("int").alias("a"), F.col("pair").bitwiseAND(F.lit((1 << HASH_BITS) - 1)).cast("int").alias("bucket"), "c", "t"))
+    told = saved(told, "toxic-pairs")
+    own = F.array(*[F.lit(int(a)) for a in anchors])
+    alone = told.where(F.col("bucket") == F.get(own, F.col("a"))).select("a", F.col("c").alias("n"), F.col("t").alias("pos"))      # the rows of each anchor
+    both = told.join(F.broadcast(alone), "a").where((F.col("c") < F.col("n")) & F.col("pos").between(1, F.col("n") - 1) & ~F.col("bucket").isin(best))
+    share = F.col("pos") / F.col("n")
+    chi = (F.col("t") - F.col("c") * share) ** 2 / (F.col("c") * share * (1 - share) * (1 - F.col("c") / F.col("n")))
+    top = (both.select("bucket", chi.alias("chi")).where(F.col("chi") >= training.pair_chance)
+           .groupBy("bucket").agg(F.max("chi").alias("chi")).orderBy(F.desc("chi"), "bucket").limit(training.partners))
+    return [r.bucket for r in top.collect()]
+
+
 def train(rows: DataFrame, training: Training = Training()) -> Machine:
     """Fit the machine on ``rows(toxic, buckets)``."""
     from pyspark.ml.classification import FMClassifier
@@ -113,10 +151,11 @@ def train(rows: DataFrame, training: Training = Training()) -> Machine:
     expected = F.col("c") * F.lit(pos / n)
     chi = (F.col("t") - expected) ** 2 / (expected * F.lit(1 - pos / n) * (1 - F.col("c") / F.lit(n + 1)))
     best = seen.where(chi >= training.chance).orderBy(chi.desc(), "bucket").limit(training.terms).select("bucket").collect()      # bounded by ``terms``
-    at = np.array(sorted(r.bucket for r in best), np.int32)
-    if not len(at):
+    if not best:
         none.bias = float(np.log(pos / (n - pos)))
         return none
+    best = [r.bucket for r in best]
+    at = np.array(sorted(best + partners(rows, best, training)), np.int32)
     index, size = {int(b): i for i, b in enumerate(at)}, len(at)
 
     @F.udf(VectorUDT())
@@ -146,4 +185,4 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
             .mapInArrow(run, f"doc_id {id_type}, held_out boolean, score double, predicted int"))
 
 
-__all__ = ["Training", "Machine", "buckets", "is_held_out", "training_rows", "train", "score"]
+__all__ = ["Training", "Machine", "buckets", "is_held_out", "training_rows", "partners", "train", "score"]

@@ -37,6 +37,30 @@ def test_pairs_that_no_word_gives_away_are_learned(spark):
     assert np.abs(m.factor[i]).sum() > 0
 
 
+def test_a_word_that_is_neutral_alone_enters_beside_another(spark):
+    """A group's name: toxic beside an insult, and as rare in toxic rows as elsewhere."""
+    rng = random.Random(3)
+    texts = []
+    for i in range(4000):
+        insult, group = rng.random() < 0.15, rng.random() < 0.2
+        toxic = insult and (group or rng.random() < 0.3)
+        if not insult and rng.random() < 0.17:                 # toxic for other words, mostly without the group's name
+            toxic, group = True, group and rng.random() < 0.1
+        words = [rng.choice(["sun", "rain", "wind", "snow", "hill"]) for _ in range(6)] + ["scum"] * insult + ["folk"] * group
+        words += ["filth"] * (toxic and not insult)
+        texts.append((int(toxic), " ".join(words)))
+    rows = spark.createDataFrame([(t, X.buckets(x).tolist()) for t, x in texts], "toxic int, buckets array<int>")
+    folk = int(X.buckets("folk")[0])
+    share = lambda rows: sum(t for t, _ in rows) / len(rows)
+    assert abs(share([r for r in texts if "folk" in r[1]]) - share(texts)) < 0.05
+    t = X.Training(steps=200)
+    assert folk in X.train(rows, t).at and folk not in X.train(rows, X.Training(steps=5, partners=0)).at
+    m = X.train(rows, t)
+    score = lambda x: m.score(X.buckets(x))
+    assert score("sun scum folk") > 0.5 > max(score("sun scum hill"), score("rain folk wind"))
+    assert score("sun scum folk") > score("sun scum hill") + 0.3
+
+
 def test_held_out_rows_of_the_query(spark):
     sf = "/root/testdata/sf0.1"
     truth = {}
