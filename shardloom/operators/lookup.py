@@ -1,8 +1,8 @@
 """Joins with small configuration tables.
 
 * J3 type lookup - each line takes its separator, field list and routing
-  field from its type's row of a type table (one row per declared type, so
-  a broadcast hash join; the size bound is the spec).
+  field from its type's row of a type table.  Spark broadcasts the table if it
+  knows it to be small, as one made from a spec is; nothing is forced.
 * J4 publish plan - the indices of a new build against those already
   published: ``create`` or ``replace``.
 """
@@ -26,7 +26,7 @@ def type_table(spark: SparkSession, ispec: IndexSpec) -> DataFrame:
 def type_lookup(tagged: DataFrame, types: DataFrame, num_shards: int) -> DataFrame:
     """``(type, value)`` lines -> ``(type, value, n_fields, arity_ok, routing, shard)``
     with every rule taken from the joined type row."""
-    j = tagged.join(F.broadcast(types.select("type", "field_names", "field_sep", "routing_field")), "type")
+    j = tagged.join(types.select("type", "field_names", "field_sep", "routing_field"), "type")
     f = split_escaped_by("value", "field_sep")
     j = j.withColumn("_f", f)
     ri = F.array_position("field_names", F.col("routing_field"))

@@ -228,8 +228,7 @@ class TypeSpec:
         if self.max_line_bytes is not None and self.max_line_bytes < 1:
             raise SpecError(f"type {self.name!r}: max_line_bytes must be positive")
         if self.routing_field is not None and self.routing_field not in self.field_names:
-            raise SpecError(f"cannot find the routing field {self.routing_field!r} "
-                            f"in the fields of type {self.name!r}")
+            raise SpecError(f"type {self.name!r} routes by {self.routing_field!r}, which is none of its fields")
         for k in self.key_fields or ():
             if k not in self.field_names:
                 raise SpecError(f"key field {k!r} is not a field of type {self.name!r}")
@@ -328,7 +327,7 @@ class IndexSpec:
                 raise SpecError(f"partition field {p!r} collides with a document table column")
             for t in self.types:
                 if p not in t.field_names:
-                    raise SpecError(f"cannot find the partition field {p!r} in type {t.name!r}")
+                    raise SpecError(f"indices are named by {p!r}, which is no field of type {t.name!r}")
 
     @property
     def partitioned(self) -> bool:
