@@ -163,3 +163,18 @@ def test_copies_without_a_manifest_row_are_removed_by_age(spark, scratch):
     assert [tuple(r)[:2] for r in sk.unlisted_builds(spark, live, soon).collect()] == [("ix@a:b c", "left-behind")]
     assert sk.remove_replaced(spark, live, unlisted_before=soon) == 1
     assert sk.read_table(spark, live, "documents").count() == 1 and keys(sk.active_documents(spark, live)) == ["1"]
+
+
+def test_publish_and_remove_from_the_command_line(spark, scratch, capsys):
+    import json
+
+    from shardloom.__main__ import main
+
+    live = f"{scratch}/live"
+    for b in "abc":
+        build(spark, f"{scratch}/{b}", f"{b},x", build_id=b)
+        assert main(["publish", f"{scratch}/{b}", live]) == 0
+    assert main(["remove", live, "--keep", "1"]) == 0
+    told = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert [t.get("published", t.get("removed")) for t in told] == [1, 1, 1, 1]
+    assert keys(sk.active_documents(spark, live)) == ["c"] and keys(sk.active_documents(spark, live, as_of=2)) == ["b"]
