@@ -13,7 +13,8 @@
 4. Decoding looks each id up in the token-byte table, which the vocabulary
    file bounds, and joins the bytes.
 
-Defined results: a null or empty text has no tokens; repeated rows are encoded
+Defined results: a null or empty text has no tokens; a text of any length is encoded
+whole (it must fit a task's memory several times over); repeated rows are encoded
 each; rows without ``doc_id`` are kept; an empty table gives no rows; extra
 columns are ignored.
 """

@@ -8,9 +8,12 @@
    ``least``.  The first splits are fitted on a bounded sample (``sample``
    classes, chosen by hash) and sent to the tasks; leaves that are still larger
    than ``leaf`` are split again, round by round, each by a subtree fitted on a
-   bounded sample of its own members.  Members of which a share of ``tight``
-   sampled pairs or more are links are near copies that any plane would cut
-   apart: they are split no further.
+   bounded sample of its own members.  Where a share of ``tight`` sampled pairs or
+   more are links, a random plane would cut near copies apart: there the plane
+   stands across the direction of the densest group, so wide of it that no link is
+   parted, and takes that group out; the rest is split on.  If hardly anyone lies
+   outside (the members are near copies of each other) or many lie within the
+   plane's margin, the members are split no further.
 3. Classes of a leaf are compared with each other; pairs of cosine ``least`` or
    more (double precision) are links.  A large leaf (near copies, or vectors that
    no plane parts) is cut into chunks, and each pair of chunks is compared in a
@@ -61,17 +64,31 @@ class Forest:
 PROBE = 512      # members of a node whose pairs tell how tight it is
 
 
-def link_share(x: np.ndarray, least: float, rng: np.random.Generator) -> float:
-    """Share of links among the pairs of at most ``PROBE`` members drawn from ``x``."""
+def link_share(x: np.ndarray, least: float, rng: np.random.Generator) -> tuple[float, np.ndarray]:
+    """Share of links among the pairs of at most ``PROBE`` members drawn from ``x``, and the
+    direction of the one with most links and those it links with."""
     if len(x) > PROBE:
         x = x[rng.choice(len(x), PROBE, replace=False)]
+    links = x @ x.T >= least
     pairs = len(x) * (len(x) - 1)
-    return float(((x @ x.T >= least).sum() - len(x)) / pairs) if pairs else 0.0
+    centre = x[links[links.sum(axis=1).argmax()]].sum(axis=0)
+    return (float((links.sum() - len(x)) / pairs) if pairs else 0.0), centre / max(float(np.linalg.norm(centre)), 1e-9)
+
+
+def ball_cut(p: np.ndarray, least: float) -> tuple[float, float, float] | None:
+    """Thresholds along the direction of a dense group, for projections ``p`` of unit vectors, that
+    leave the group on one side and part no link: linked vectors differ by at most
+    ``sqrt(2 - 2 * least)`` along any direction, and those within half of that go to both sides.
+    ``None`` if that takes out too few or sends more than a tenth to both sides."""
+    half = float(np.sqrt(max(0.0, 2 - 2 * least))) / 2 + 1e-6
+    low, high = least - 2 * half, least
+    both, outside = np.mean((p >= low) & (p < high)), np.mean(p < low)
+    return (low, least - half, high) if both <= 0.1 and outside >= 0.1 else None
 
 
 def fit_tree(x: np.ndarray, depth: int, forest: Forest, seed) -> tuple[np.ndarray, np.ndarray]:
     """Planes and (low, median, high) thresholds of a full binary tree on sample
-    ``x``; a tight node sends all to its left child."""
+    ``x``; a node of near copies alone sends all to its left child."""
     n = (1 << depth) - 1
     rng = np.random.default_rng(seed)
     half = np.sqrt(max(0.0, 2 - 2 * forest.least) / x.shape[1]) / 2
@@ -82,8 +99,11 @@ def fit_tree(x: np.ndarray, depth: int, forest: Forest, seed) -> tuple[np.ndarra
         own = members.pop(i, np.empty(0, int))
         if not len(own):
             continue
-        if link_share(x[own], forest.least, rng) >= forest.tight:
-            cuts[i] = np.inf
+        share, centre = link_share(x[own], forest.least, rng)
+        if share >= forest.tight:
+            planes[i] = centre
+            p = x[own] @ planes[i]
+            cuts[i] = ball_cut(p, forest.least) or (np.inf,) * 3
         else:
             p = x[own] @ planes[i]
             low, mid, high = np.quantile(p, [0.5 - forest.spill, 0.5, 0.5 + forest.spill])

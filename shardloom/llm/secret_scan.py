@@ -14,7 +14,7 @@
    positions (code points, end exclusive).
 
 Matches of one kind are leftmost and do not overlap; kinds may overlap each
-other.  Defined results: a null or empty text has no span; a row without
+other.  Defined results: a null or empty text has no span; a text of any length is searched whole; a row without
 ``doc_id`` cannot be found through the index, so it is scanned by every rule;
 rows that share a ``doc_id`` are candidates together and verified one by one;
 an empty table gives no rows; extra columns are ignored by ``scan`` and kept

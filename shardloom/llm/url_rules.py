@@ -14,7 +14,7 @@
 Defined results: a null url, or one without ``://``, has empty host and path
 and no rule; it is allowed unless its tokens say otherwise; labels that
 disagree count as bad; without labelled urls nothing is mined; repeated rows
-are judged each; an empty table gives no rows; extra columns are ignored.
+are judged each; a url of any length is judged whole; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations

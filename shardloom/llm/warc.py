@@ -13,7 +13,8 @@ ends or another member starts), then reads member after member and owns those
 that start inside its range.
 
 Files are reached through ``pyarrow.fs``, by the scheme of the folder's URI.
-Defined results: null html is an empty payload; a null url is left out of the
+Defined results: null html is an empty payload, and one of any length is a record (which
+must fit a task's memory several times over); a null url is left out of the
 record; a row without ``page_id`` is written and read back without one and
 never owns a payload; rows that share the owner's id and payload are all
 responses; an empty table gives no rows; extra columns are ignored.

@@ -91,6 +91,23 @@ def test_large_groups_of_near_copies_keep_their_links(spark):
     assert {got[i].component_id for i in range(10_000)} == {0}
 
 
+def test_near_copies_are_taken_out_of_a_node_and_the_rest_is_split():
+    """A quarter near copies of one text: they end in one leaf, whole, and the rest in small ones."""
+    rng = np.random.default_rng(11)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    copies = unit(np.sqrt(0.95) * unit(rng.standard_normal((1, 64))) + np.sqrt(0.05) * unit(rng.standard_normal((5_000, 64))))
+    x = np.concatenate([copies, unit(rng.standard_normal((15_000, 64)))]).astype(np.float32)
+    forest = E.Forest()
+    planes, cuts = E.fit_tree(x[rng.choice(len(x), 8_000, replace=False)], 6, forest, 3)
+    rows, leaves = E.route(x, planes, cuts)
+    sizes = np.bincount(leaves, minlength=64)
+    ball = leaves[rows < 5_000]
+    assert len(np.unique(ball)) == 1 and len(ball) == 5_000                     # no copy goes down both sides
+    assert sizes[ball[0]] < 5_100 and np.sort(sizes)[-2] < 2_500
+    # linked pairs of the whole table share a leaf
+    assert E.ball_cut(np.full(100, 0.95), 0.9) is None and E.ball_cut(np.linspace(0.3, 1, 100), 0.9) is None
+
+
 def _recall(vectors):
     rows = [(r.vec_id, r.embedding) for r in vectors.collect()]
     x = np.array([v for _, v in rows], float)
