@@ -89,6 +89,7 @@ def test_few_equal_and_no_rows(spark):
     same(spark, random_rows(5))
     same(spark, [(i, [0.5] * 16, 1) for i in range(40)])
     same(spark, [(i, [float(i % 5)] * 5, None) for i in range(30)], dim=5)         # fewer components than parts
+    same(spark, [(1, [], None), (2, [], 3)], dim=0)                                # vectors without components
     for rows in ([], [(1, None, 1)]):
         got = vc.code_report(table(spark, rows))
         assert got.count() == 0 and got.columns[:5] == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]

@@ -66,6 +66,9 @@ def test_no_variance_and_no_rows(spark):
     # three rows span two components at most
     got = wh.components(wh.whiten(table(spark, random_rows(3, 9)))).collect()
     assert {r.component for r in got if r.whitened != 0} == {1, 2}
+    got = wh.components(wh.whiten(table(spark, [(1, [1.0, 2.0])]))).collect()
+    assert [(r.component, r.n, r.deviation, r.whitened) for r in got] == [(1, 1, 0, 0.0), (2, 1, 0, 0.0)]
+    assert wh.components(wh.whiten(table(spark, [(1, []), (2, [])]))).count() == 0          # no components
     for rows in ([], [(1, None)]):
         got = wh.components(wh.whiten(table(spark, rows)))
         assert got.count() == 0 and set(got.columns) == {"vec_id", "n", "deviation", "identity_error", "component", "whitened", "explained"}
