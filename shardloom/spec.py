@@ -19,6 +19,10 @@ HIVE_SEPARATOR_TOKEN = "u0001"
 DEFAULT_SEPARATOR = "\x01"
 NULL_TOKENS = ("", "\\N")
 
+# The keys of a job specification in JSON, for an index and for a type.
+KEY_INDEX, KEY_SHARDS, KEY_PARTITIONS, KEY_TYPES = "indexName", "numOfShards", "partitionFields", "types"
+KEY_TYPE, KEY_PATH, KEY_FIELDS, KEY_SEPARATOR, KEY_MAPPING, KEY_ROUTING = "name", "inputPath", "fieldNames", "fieldSplitter", "mapping", "routingField"
+
 # Field types accepted in an explicit mapping, and the Spark type each one is
 # coerced to.  "string" is kept as text.
 DATA_TYPES = {
@@ -257,12 +261,12 @@ class TypeSpec:
         return out
 
     def to_dict(self) -> dict[str, Any]:
-        d = {"name": self.name, "fieldNames": ",".join(self.field_names),
-             "fieldSplitter": separator_to_token(self.field_sep)}
+        d = {KEY_TYPE: self.name, KEY_FIELDS: ",".join(self.field_names),
+             KEY_SEPARATOR: separator_to_token(self.field_sep)}
         if self.input_path is not None:
-            d["inputPath"] = self.input_path
+            d[KEY_PATH] = self.input_path
         if self.routing_field is not None:
-            d["routingField"] = self.routing_field
+            d[KEY_ROUTING] = self.routing_field
         if self.key_fields:
             d["keyFields"] = ",".join(self.key_fields)
         if self.record_sep is not None:
@@ -270,23 +274,23 @@ class TypeSpec:
         if self.max_line_bytes is not None:
             d["maxLineBytes"] = self.max_line_bytes
         if self.mapping:
-            d["mapping"] = {m.field: {"type": m.data_type, "index": m.index_mode}
+            d[KEY_MAPPING] = {m.field: {"type": m.data_type, "index": m.index_mode}
                             for m in self.mapping}
         if self.templates:
-            d["mapping"] = {"properties": d.get("mapping", {}), "dynamic_templates": [t.to_dict() for t in self.templates]}
+            d[KEY_MAPPING] = {"properties": d.get(KEY_MAPPING, {}), "dynamic_templates": [t.to_dict() for t in self.templates]}
         return d
 
     @classmethod
     def from_dict(cls, d: dict[str, Any]) -> "TypeSpec":
-        fields = d["fieldNames"]
+        fields = d[KEY_FIELDS]
         if isinstance(fields, str):
             fields = [f for f in fields.split(",")]
         keys = d.get("keyFields")
         if isinstance(keys, str):
             keys = keys.split(",")
-        return cls(name=d["name"], field_names=tuple(fields), input_path=d.get("inputPath"),
-                   field_sep=separator_from_token(d.get("fieldSplitter", HIVE_SEPARATOR_TOKEN)),
-                   mapping=d.get("mapping"), routing_field=d.get("routingField"),
+        return cls(name=d[KEY_TYPE], field_names=tuple(fields), input_path=d.get(KEY_PATH),
+                   field_sep=separator_from_token(d.get(KEY_SEPARATOR, HIVE_SEPARATOR_TOKEN)),
+                   mapping=d.get(KEY_MAPPING), routing_field=d.get(KEY_ROUTING),
                    key_fields=keys, record_sep=d.get("recordSplitter"),
                    max_line_bytes=None if d.get("maxLineBytes") is None else int(d["maxLineBytes"]))
 
@@ -340,23 +344,23 @@ class IndexSpec:
         raise SpecError(f"unknown type {name!r}")
 
     def to_dict(self) -> dict[str, Any]:
-        d = {"indexName": self.name, "numOfShards": self.num_shards,
-             "types": [t.to_dict() for t in self.types],
+        d = {KEY_INDEX: self.name, KEY_SHARDS: self.num_shards,
+             KEY_TYPES: [t.to_dict() for t in self.types],
              "replicas": self.replicas, "version": self.version}
         if self.unrouted != "id":
             d["unrouted"] = self.unrouted
         if self.partition_fields:
-            d["partitionFields"] = ",".join(self.partition_fields)
+            d[KEY_PARTITIONS] = ",".join(self.partition_fields)
         return d
 
     @classmethod
     def from_dict(cls, d: dict[str, Any]) -> "IndexSpec":
-        pf = d.get("partitionFields")
+        pf = d.get(KEY_PARTITIONS)
         if isinstance(pf, str):
             pf = pf.split(",")
-        if "numOfShards" not in d or "indexName" not in d:
+        if KEY_SHARDS not in d or KEY_INDEX not in d:
             raise SpecError("indexName and numOfShards are required")
-        return cls(name=d["indexName"], num_shards=int(d["numOfShards"]),
-                   types=tuple(TypeSpec.from_dict(t) for t in d.get("types", ())),
+        return cls(name=d[KEY_INDEX], num_shards=int(d[KEY_SHARDS]),
+                   types=tuple(TypeSpec.from_dict(t) for t in d.get(KEY_TYPES, ())),
                    partition_fields=pf, replicas=int(d.get("replicas", 1)),
                    version=int(d.get("version", 2)), unrouted=d.get("unrouted", "id"))
