@@ -191,7 +191,7 @@ PART = 8192      # members of a crowded leaf that one task routes
 
 def _split_again(leaves: DataFrame, crowd: DataFrame, forest: Forest, dim: int, turn: int) -> DataFrame:
     """Leaves named in ``crowd(tree, node, n)`` split by subtrees fitted on samples of their own members.
-    A tight leaf stays whole, under a negative number."""
+    A leaf of near copies alone stays whole, under a negative number."""
     told = leaves.join(crowd, ["tree", "node"], "left")
     members = told.where("n is not null")
     draw = F.pmod(F.xxhash64("class", "tree", F.lit(forest.seed + turn)), F.lit(1_000_000))
@@ -202,7 +202,8 @@ def _split_again(leaves: DataFrame, crowd: DataFrame, forest: Forest, dim: int,
         tree, node, n = (table.column(c)[0].as_py() for c in ("tree", "node", "n"))
         seed = (forest.seed + turn, tree, node % (1 << 31))
         depth = min(max(1, ceil(log2(n / forest.leaf))), 6)
-        if link_share(x, forest.least, np.random.default_rng(seed)) >= forest.tight:
+        share, centre = link_share(x, forest.least, np.random.default_rng(seed))
+        if share >= forest.tight and ball_cut(x @ centre, forest.least) is None:
             depth = 0
         planes, cuts = fit_tree(x, depth, forest, seed)
         return pa.table({"tree": pa.array([tree], pa.int32()), "node": pa.array([node], pa.int64()), "n": pa.array([n], pa.int64()),
