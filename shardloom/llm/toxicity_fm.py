@@ -121,13 +121,15 @@ def partners(rows: DataFrame, best: list[int], training: Training) -> list[int]:
                 yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(np.bincount(at)), pa.array(np.bincount(at, np.concatenate(toxic)).astype(np.int64))],
                                                  names=["pair", "c", "t"])
 
-    told = (rows.select("toxic", "buckets").mapInArrow(run, "pair bigint, c bigint, t bigint").groupBy("pair").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
+    # the rows of each anchor and the toxic ones among them: ``anchors`` numbers
+    held = F.explode(F.array_intersect("buckets", F.array(*[F.lit(int(a)) for a in anchors]))).alias("bucket")
+    alone = {r.bucket: r for r in rows.select("toxic", held).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("pos")).collect()}
+    of = lambda name: F.get(F.array(*[F.lit(alone[int(a)][name]) for a in anchors]), F.col("a"))
+    both = (rows.select("toxic", "buckets").mapInArrow(run, "pair bigint, c bigint, t bigint").groupBy("pair").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
             .where(F.col("c") >= training.least)
-            .select(F.shiftright("pair", HASH_BITS).cast("int").alias("a"), F.col("pair").bitwiseAND(F.lit((1 << HASH_BITS) - 1)).cast("int").alias("bucket"), "c", "t"))
-    told = saved(told, "toxic-pairs")
-    own = F.array(*[F.lit(int(a)) for a in anchors])
-    alone = told.where(F.col("bucket") == F.get(own, F.col("a"))).select("a", F.col("c").alias("n"), F.col("t").alias("pos"))      # the rows of each anchor
-    both = told.join(F.broadcast(alone), "a").where((F.col("c") < F.col("n")) & F.col("pos").between(1, F.col("n") - 1) & ~F.col("bucket").isin(best))
+            .select(F.shiftright("pair", HASH_BITS).cast("int").alias("a"), F.col("pair").bitwiseAND(F.lit((1 << HASH_BITS) - 1)).cast("int").alias("bucket"), "c", "t")
+            .withColumns({"n": of("n"), "pos": of("pos")})
+            .where((F.col("c") < F.col("n")) & F.col("pos").between(1, F.col("n") - 1) & ~F.col("bucket").isin(best)))
     share = F.col("pos") / F.col("n")
     chi = (F.col("t") - F.col("c") * share) ** 2 / (F.col("c") * share * (1 - share) * (1 - F.col("c") / F.col("n")))
     top = (both.select("bucket", chi.alias("chi")).where(F.col("chi") >= training.pair_chance)
