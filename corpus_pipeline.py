@@ -45,7 +45,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count, ids and digests of every text of the mix; a null text has no tokens."""
-    return byte_bpe.encode(docs, *vocabulary(), whole=True).drop("decoded")
+    return byte_bpe.encode(docs, *vocabulary(), whole=True, decoded=False)
 
 
 STAGES = [

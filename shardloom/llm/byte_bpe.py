@@ -5,7 +5,7 @@
    order, which is their position.
 2. Each block lists its distinct pre-tokens once, sorted, by word bucket (a
    hash of the word).  The lists are dealt by bucket, so the tokenizer runs
-   once per distinct word of the corpus.
+   once per distinct word of the corpus.  There are half as many buckets as blocks.
 3. A bucket's ids go back to the block in the order of its list; the block
    rebuilds the lists, so words need not travel back, and reassembles every
    document by position.  A frequent word stands once in a block's list,
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SEP, SEP_BYTE = "\udcff", b"\xff"        # a byte that UTF-8 never holds
 
 # Letters, numbers and white space below U+0250, where the
@@ -178,16 +178,20 @@ def _ids_of_words(lists: dict[int, list[bytes]], coded: dict[int, bytes], width:
     return out
 
 
-def encode(docs: DataFrame, ranks: bytes, pattern: str, whole: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def encode(docs: DataFrame, ranks: bytes, pattern: str, whole: bool = False, block_bytes: int = BLOCK_BYTES,
+           decoded: bool = True) -> DataFrame:
     """One row per document: ``doc_id, n_tokens, ids_sha256, decoded_sha256``,
-    with ``whole`` also ``ids`` (array<int>) and ``decoded`` (binary).
+    with ``whole`` also ``ids`` (array<int>) and, unless ``decoded`` is false,
+    ``decoded`` (binary).
 
     ``ranks`` is the content of a rank file, ``pattern`` its pre-token pattern.
+    A block's whole output is one batch, so its ids are gathered in one buffer.
     """
     data = docs.sparkSession.sparkContext.broadcast(ranks)      # bounded by the vocabulary
     kind = "<u2" if len(token_bytes(ranks)) <= 1 << 16 else "<u4"
     blocks, n = _blocks(docs, pattern, block_bytes)
-    lists = blocks.mapInArrow(_distinct_words(n), "block int, bucket int, list binary")
+    buckets, keep_text = n // 2 + 1, whole and decoded
+    lists = blocks.mapInArrow(_distinct_words(buckets), "block int, bucket int, list binary")
     coded = (lists.repartition("bucket").sortWithinPartitions("bucket")
              .mapInArrow(_encode_lists(data, pattern, kind), "block int, bucket int, ids binary"))
 
@@ -200,8 +204,9 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, whole: bool = False, blo
         for packed in packed_docs:
             words.update(_unpack(packed, d))
         coded_ids = {k: d.decompress(v) for k, v in zip(right.column("bucket").to_pylist(), right.column("ids").to_pylist())}
-        ids_of = _ids_of_words(_by_bucket(words, n), coded_ids, np.dtype(kind).itemsize).__getitem__
-        out = {"doc_id": left.column("doc_id"), "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": [], "decoded": []}
+        ids_of = _ids_of_words(_by_bucket(words, buckets), coded_ids, np.dtype(kind).itemsize).__getitem__
+        out = {"doc_id": left.column("doc_id"), "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "decoded": []}
+        gathered = bytearray()          # 4 bytes an id, all documents of the block
         for packed in packed_docs:
             ids = np.frombuffer(b"".join(map(ids_of, _unpack(packed, d))), kind).astype("<u4")
             text = decode_ids(ids, table)
@@ -209,16 +214,20 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, whole: bool = False, blo
             out["ids_sha256"].append(hashlib.sha256(ids.tobytes()).hexdigest())
             out["decoded_sha256"].append(hashlib.sha256(text).hexdigest())
             if whole:
-                out["ids"].append(ids.astype(np.int32))
+                gathered += ids.tobytes()
+            if keep_text:
                 out["decoded"].append(text)
         cols = {"doc_id": out["doc_id"], "n_tokens": pa.array(out["n_tokens"], pa.int64()),
                 "ids_sha256": pa.array(out["ids_sha256"], pa.string()), "decoded_sha256": pa.array(out["decoded_sha256"], pa.string())}
         if whole:
-            cols |= {"ids": pa.array(out["ids"], pa.list_(pa.int32())), "decoded": pa.array(out["decoded"], pa.binary())}
+            ends = pa.array(np.concatenate([[0], np.cumsum(out["n_tokens"])]).astype(np.int32))
+            cols["ids"] = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(gathered, np.int32)))
+        if keep_text:
+            cols["decoded"] = pa.array(out["decoded"], pa.binary())
         return pa.table(cols)
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * whole
+    schema = f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * whole + ", decoded binary" * keep_text
     return blocks.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(reassemble, schema)
 
 

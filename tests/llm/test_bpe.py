@@ -53,3 +53,11 @@ def test_pretokens_of_any_characters(plain):
         text = "".join(rng.choice(chars[:wide]) if rng.random() < 0.7 else rng.choice(" \t\n'stremdvl 1a") for _ in range(rng.randint(0, 14)))
         assert "".join(split(text)) == text
         assert [i for w in split(text) for i in plain(w)] == plain(text)
+
+
+def test_ids_without_the_decoded_text(spark, odd_docs, plain):
+    """The decoded texts of a block are not gathered for a caller that does not want them."""
+    got = B.encode(odd_docs, *vocabulary(), whole=True, decoded=False, block_bytes=1 << 16)
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    want = sorted((str(r[0]), plain(r[1] or "")) for r in ROWS)
+    assert sorted((str(r.doc_id), r.ids) for r in got.collect()) == want
