@@ -1,8 +1,10 @@
 """Joins with small configuration tables.
 
 * J3 type lookup - each line takes its separator, field list and routing
-  field from its type's row of a type table.  Spark broadcasts the table if it
-  knows it to be small, as one made from a spec is; nothing is forced.
+  field from its type's row of a type table.  A table made from a spec says that
+  it may be broadcast (one row per type; Spark does not know the size of local
+  rows, and a shuffle by type puts all lines of a type in one task); a table of
+  the caller's is joined as Spark sees fit.
 * J4 publish plan - the indices of a new build against those already
   published: ``create`` or ``replace``.
 """
@@ -19,8 +21,8 @@ from ..spec import IndexSpec
 
 def type_table(spark: SparkSession, ispec: IndexSpec) -> DataFrame:
     rows = [(t.name, t.input_path, list(t.field_names), t.field_sep, t.routing_field) for t in ispec.types]
-    return spark.createDataFrame(
-        rows, "type string, path string, field_names array<string>, field_sep string, routing_field string")
+    return F.broadcast(spark.createDataFrame(
+        rows, "type string, path string, field_names array<string>, field_sep string, routing_field string"))
 
 
 def type_lookup(tagged: DataFrame, types: DataFrame, num_shards: int) -> DataFrame:

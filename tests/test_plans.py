@@ -78,3 +78,8 @@ def test_counts_by_shard_make_no_ids_and_split_once(spark):
     for name in ("shard_grid", "shard_counts"):
         p = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
         assert "sha2" not in p and "event_type" not in p.split("Generate")[0], name
+
+
+def test_type_lookup_broadcasts_the_types_not_the_lines(spark):
+    p = plan(spark, "type_lookup")
+    assert "BuildRight" in p and "BuildLeft" not in p
