@@ -68,3 +68,18 @@ def test_two_types_in_one_index_and_odd_names(spark, scratch):
     assert [r["x y"] for r in sk.read_typed(spark, f"{scratch}/a", a).collect()] == [5]
     assert [tuple(r)[:1] for r in sk.read_typed(spark, f"{scratch}/a", b).collect()] == [("ix",)]
     assert sk.active_documents(spark, f"{scratch}/a").count() == 2
+
+
+def test_one_large_index_is_not_gathered_by_the_manifest_join(spark, scratch):
+    from shardloom.plans.build import build_index
+    from shardloom.sinks import documents as sk
+    from shardloom.sources import fixtures as fx
+    lines = spark.createDataFrame([(f"{i}|1|O|x|1995",) for i in range(20)], "value string")
+    build_index(spark, fx.orders_spec(2), scratch, inputs={"order": lines})
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = sk.active_documents(spark, scratch)
+        assert "SortMergeJoin [index" not in docs._jdf.queryExecution().executedPlan().toString() and docs.count() == 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
