@@ -87,3 +87,28 @@ def test_text_postings_equal_plain_counts(spark):
     got = {(r._id, r.term): r.tf for r in po.text_postings(recs, tspec).collect()}
     want = {(f"id{i}", term): c for i, t in enumerate(texts) for term, c in Counter(_analyse(t)).items()}
     assert got == want
+
+
+def test_ascii_tokens_are_those_of_the_full_pattern(spark):
+    import random
+    rng = random.Random(5)
+    rows = [("".join(rng.choice("aZ1_.:,;'\" -\t9\x00") for _ in range(rng.randint(0, 30))),) for _ in range(3000)]
+    df = spark.createDataFrame([*rows, ("",), (None,), ("café a.b 1,0",)], "text string")
+    full = F.regexp_extract_all(F.lower("text"), F.lit(po.TOKEN_PATTERN), 0)
+    assert po.ASCII_TOKEN_PATTERN != po.TOKEN_PATTERN
+    assert df.where(~po.tokens("text").eqNullSafe(full)).count() == 0
+
+
+def test_postings_are_made_from_small_splits(spark, scratch):
+    """Documents of one file become postings in several tasks, each of a few MB of it."""
+    import glob
+
+    from shardloom.plans.build import build_index
+    from shardloom.sources import fixtures as fx
+    words = F.concat_ws(" ", *[F.sha2(F.concat("id", F.lit(f"-{k}")), 256) for k in range(16)])
+    lines = spark.range(0, 40_000, numPartitions=4).select(F.col("id").cast("string").alias("id")) \
+        .select(F.concat_ws(",", "id", F.lit("en"), F.lit("s"), words).alias("value"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    res = build_index(spark, fx.docs_spec(1), scratch, inputs={"doc": lines}, postings=True)
+    assert len(glob.glob(f"{scratch}/postings/*/*/part-*.parquet")) > len(glob.glob(f"{scratch}/documents/*/*/part-*.parquet"))
+    assert res.postings.count() == 40_000 * 19 and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
