@@ -1,12 +1,14 @@
 """Embedding near-duplicates against all pairs."""
 
 import os
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from shardloom.llm import embedding_dedup as E
 from shardloom.llm.catalog import LLM_QUERIES
+from shardloom.session import checkpoint_dir
 
 
 def plain(rows, least=0.9):
@@ -138,3 +140,57 @@ def test_given_vectors_with_links(spark, name):
     if not os.path.exists(path):
         pytest.skip(f"{path} is not given here")
     _recall(spark.read.parquet(path))
+
+
+def _links(x, least=0.9):
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return np.concatenate([(x[lo:lo + 2000] @ x.T >= least).sum(1) - 1 for lo in range(0, len(x), 2000)])
+
+
+def test_vectors_are_not_written_for_every_leaf(spark):
+    """What the steps write and leave there is a few copies of the vectors, however many leaves hold them."""
+    rng = np.random.default_rng(17)
+    x = np.concatenate([rng.standard_normal((19_000, 32)), np.repeat(rng.standard_normal((50, 32)), 20, axis=0) + 0.1 * rng.standard_normal((1000, 32))]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
+    kept = Path(checkpoint_dir(spark).removeprefix("file:"))
+    before = set(kept.rglob("*.parquet"))
+    got = {r.vec_id: r.n_links for r in E.embedding_groups(df).collect()}
+    assert [got[i] for i in range(len(x))] == _links(x.astype(float)).tolist()
+    written = sum(f.stat().st_size for f in set(kept.rglob("*.parquet")) - before)
+    assert 0 < written < 3 * x.nbytes
+
+
+def test_large_components_are_counted_in_chunks_or_leaves(spark):
+    """Components beyond ``whole``: near copies by pairs of chunks, a thin one (few of its pairs are links) by leaves."""
+    rng = np.random.default_rng(23)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    copies = unit(rng.standard_normal((1, 12))) + 0.05 * rng.standard_normal((900, 12))
+    thin = np.zeros((3000, 12))
+    thin[:, :4] = unit(rng.standard_normal((3000, 4)))          # all over a sphere, each linked with its surroundings only
+    x = np.concatenate([copies, copies[:100], thin, rng.standard_normal((200, 12))])
+    true = _links(x)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    forest = E.Forest(leaf=64, sample=1024, local=512, whole=256)
+    got = {r.vec_id: r for r in E.embedding_groups(df, forest).collect()}
+    n = np.array([got[i].n_links for i in range(len(x))])
+    assert (n <= true).all() and (n[:1000] == true[:1000]).all()
+    assert n[1000:4000].sum() >= 0.99 * true[1000:4000].sum() and 0 < true[1000:4000].mean() < 0.05 * 3000
+    assert {got[i].component_id for i in range(1000, 4000)} == {min(1000, got[1000].component_id)}
+
+
+def test_links_at_the_very_edge_are_told_in_double_precision(spark):
+    """Cosines within 1e-9 of 0.9, on both sides, of vectors in double precision; a direction many times over."""
+    rng = np.random.default_rng(29)
+    rows, want = [], {}
+    for k in range(40):
+        a = rng.standard_normal(24)
+        w = rng.standard_normal(24)
+        a, w = a / np.linalg.norm(a), w - (w @ a) / (a @ a) * a
+        cos = 0.9 + (1e-9 if k % 2 else -1e-9)
+        rows += [(2 * k, a), (2 * k + 1, 3 * (cos * a + np.sqrt(1 - cos * cos) * w / np.linalg.norm(w)))]
+        want |= {2 * k: k % 2, 2 * k + 1: k % 2}
+    line = rng.standard_normal(24)
+    rows += [(1000 + k, line * (k + 1)) for k in range(5000)]
+    want |= {1000 + k: 4999 for k in range(5000)}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id bigint, embedding array<double>")
+    assert {r.vec_id: r.n_links for r in E.embedding_groups(df).collect()} == want
